@@ -44,7 +44,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fir
         id_ = F.col("row")[doc_id].cast("long")
         groups = keyed.groupBy("gid", "digit", "ended").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(id_.isNull().alias("no_id"), id_.alias("id"), F.col("rid").alias("rid"))).alias("least")).filter("n > 1").withColumn("next", F.monotonically_increasing_id())
         g = staged(groups, f"radix-groups-{depth}").select(F.col("gid").alias("g_gid"), F.col("digit").alias("g_digit"), F.col("ended").alias("g_ended"), "n", "least", "next")
-        k = keyed.join(g, (F.col("gid") == F.col("g_gid")) & (F.col("digit") == F.col("g_digit")) & (F.col("ended") == F.col("g_ended")), "left")
+        # Always by shuffle: how much moves then grows in proportion to the input, whatever the size of the groups.
+        k = keyed.join(g.hint("merge"), (F.col("gid") == F.col("g_gid")) & (F.col("digit") == F.col("g_digit")) & (F.col("ended") == F.col("g_ended")), "left")
         alone, open_ = F.col("n").isNull(), F.col("n").isNotNull() & ~F.col("ended")
         cut = staged(
             k.select(
