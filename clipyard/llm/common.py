@@ -97,3 +97,18 @@ def space_units(text: str) -> list[str]:
         return []
     first, *rest = text.split(" ") if _plain(text) else _SAFE.split(text)
     return [first, *[" " + x for x in rest]]
+
+
+def heaviest(df: DataFrame, weight: str, limit: int) -> DataFrame:
+    """The rows of largest ``weight`` (a positive count), at most ``limit``: whole classes of a logarithmic histogram.
+
+    The histogram has under a thousand rows at any size of ``df``.
+    """
+    cls = F.floor(F.log(F.col(weight).cast("double")) * 20)
+    seen, least = 0, None
+    for r in sorted(df.groupBy(cls.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["c"]):
+        seen += r["n"]
+        if seen > limit:
+            break
+        least = r["c"]
+    return df.filter(F.lit(False)) if least is None else df.filter(cls >= F.lit(least))

@@ -291,3 +291,50 @@ def n_best(v: Pieces, word: str, n: int) -> list[tuple[float, list[int]]]:
             heapq.heappush(heap, (-(g + best[start]), tick, start, g, (ids, tail)))
             tick += 1
     return out
+
+
+def expected_counts(v: Pieces, words: list[str], weights: np.ndarray, logp: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece over all segmentations, each word ``weights`` times (forward-backward).
+
+    ``logp``: one natural log probability a piece. Words above LONG characters take their best path under ``logp``.
+    """
+    out = np.zeros(v.size)
+    for i in (i for i, w in enumerate(words) if len(w) > LONG):
+        at, best, back = len(words[i]), [0.0] + [-math.inf] * len(words[i]), [None] * (len(words[i]) + 1)
+        for end, into in enumerate(_scalar_edges(v, words[i])):
+            for start, ids in into:
+                if (s := best[start] + float(logp[ids].sum())) > best[end]:
+                    best[end], back[end] = s, (start, ids)
+        while at:
+            at, ids = back[at]
+            np.add.at(out, ids, weights[i])
+    short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG]
+    for a in range(0, len(short), 30_000):
+        part = short[a : a + 30_000]
+        order, lens, grid = _matrix([words[i] for i in part])
+        top, n, w = grid.shape[0], len(part), weights[np.array(part)[order]]
+        alpha, beta = np.full((top + 1, n), -np.inf), np.full((top + 1, n), -np.inf)
+        alpha[0] = 0
+        steps = []
+        for end, found, miss in edges(v, lens, grid):
+            cost = None
+            if miss is not None and len(miss):
+                cost = _fallback(v, grid[end - 1][miss], logp)
+                alpha[end][miss] = alpha[end - 1][miss] + cost
+            for start, rows, ids in found:
+                alpha[end][rows] = np.logaddexp(alpha[end][rows], alpha[start][rows] + logp[ids])
+            steps.append((end, found, miss, cost))
+        total = alpha[lens, np.arange(n)]
+        beta[lens, np.arange(n)] = 0
+        for end, found, miss, cost in reversed(steps):
+            if cost is not None:
+                use = w[miss] * np.exp(alpha[end - 1][miss] + cost + beta[end][miss] - total[miss])
+                u, inv = np.unique(grid[end - 1][miss], return_inverse=True)
+                for c, x in zip(u, np.bincount(inv, weights=use), strict=True):
+                    np.add.at(out, v.fallback_ids(chr(c)), x)
+                beta[end - 1][miss] = np.logaddexp(beta[end - 1][miss], beta[end][miss] + cost)
+            for start, rows, ids in found:
+                through = logp[ids] + beta[end][rows]
+                out += np.bincount(ids, weights=w[rows] * np.exp(alpha[start][rows] + through - total[rows]), minlength=v.size)
+                beta[start][rows] = np.logaddexp(beta[start][rows], through)
+    return out

@@ -8,14 +8,40 @@ from pyspark.sql import functions as F
 
 from .common import crc_bucket, table
 from .exact_dedup import exact_dedup
+from .language_id import fit_language_model, identify_language
+from .lm_scoring import lm_scores
 from .packing import best_fit_pack
+from .quality import quality_scores
+from .sentencepiece_codec import decode, encode_n_best
 from .token_counts import token_counts
+from .top_k import top_k
+
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return top_k(rows, rows.filter(F.col("vec_id") % 50 == 0))
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_n_best(table(spark, sf_dir, "documents"), VOCABULARY)
+    digest = coded.select("doc_id", "ids", "text", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.transform("nbest", lambda x: F.round(x["score"], 3)).alias("scores"))
+    return decode(digest, VOCABULARY).select("doc_id", "n_pieces", "ids_hash", "scores", (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_bucket(F.col("doc_id"), 4) == 2
+    model = fit_language_model(docs.filter(~held_out), VOCABULARY)
+    out = identify_language(docs, model, VOCABULARY, carry=F.struct(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out")))
+    return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -24,9 +50,24 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_token_counts, op7_best_fit_packing)}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_bucket(F.col("doc_id"), 4) == 2)
+
+
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), crc_bucket(F.col("doc_id"), 7) == 2, VOCABULARY)
+
+
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op7_best_fit_packing, op9_quality, op10_lm_scores)}
 
 SQL = {
+    "op1_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2]))::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op3_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\v\f\r]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
