@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_bucket, table
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .language_id import fit_language_model, identify_language
 from .lm_scoring import lm_scores
 from .packing import best_fit_pack
@@ -46,6 +47,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -58,7 +63,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), crc_bucket(F.col("doc_id"), 7) == 2, VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op7_best_fit_packing, op9_quality, op10_lm_scores)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op9_quality, op10_lm_scores)}
 
 SQL = {
     "op1_top_k": """
