@@ -177,7 +177,7 @@ def _spread(big: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Edges among the rows of cells above the bound: leader links, then all rows against those it doesn't reach."""
     lead = big.groupBy("cell").agg(F.min_by(F.struct("uid", "shingles"), "uid").alias("l")).select("cell", F.col("l.uid").alias("leader"), F.col("l.shingles").alias("l_shingles"))
     met = staged(big.join(lead.hint("merge"), "cell").mapInArrow(_leader(percent), "cell long, uid long, leader long, linked boolean"), "join-leaders")
-    rest = big.join(met.filter("NOT linked").select("cell", "uid"), ["cell", "uid"])
+    rest = staged(big.join(met.filter("NOT linked").select("cell", "uid"), ["cell", "uid"]), "join-rest")
     blocks = lambda docs, n: F.greatest(F.lit(1), F.ceil(docs / F.lit(CELL_DOCS)), F.ceil(n / F.lit(CELL_SHINGLES))).cast("int")
     left_n = sizes.select("cell", blocks(F.col("docs"), F.col("total")).alias("lb"))
     right_n = rest.groupBy("cell").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total")).select("cell", blocks(F.col("docs"), F.col("total")).alias("rb"))

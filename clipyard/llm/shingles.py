@@ -91,7 +91,7 @@ class Packer:
         bucket = (h >> np.uint64(64 - self.bits)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(h) else np.zeros(0, int)
         value = (h >> np.uint64(32 - self.bits)).astype(np.uint32)
-        ends = np.append(first[1:], len(h))
+        ends = np.append(first, len(h))[1:]
         return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), pa.array([value[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary())], names=["bucket", "data"])
 
 
