@@ -14,6 +14,7 @@ from .lm_scoring import lm_scores
 from .packing import best_fit_pack
 from .quality import quality_scores
 from .sentencepiece_codec import decode, encode_n_best
+from .substring_dedup import repeated_passages
 from .token_counts import token_counts
 from .top_k import top_k
 
@@ -55,6 +56,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).select("doc_id", "start", "end", "source_id", "source_start", F.round("jaccard", 6).alias("jaccard"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_bucket(F.col("doc_id"), 4) == 2)
 
@@ -63,7 +68,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), crc_bucket(F.col("doc_id"), 7) == 2, VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op9_quality, op10_lm_scores)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op8_substring_dedup, op9_quality, op10_lm_scores)}
 
 SQL = {
     "op1_top_k": """

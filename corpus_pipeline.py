@@ -1,8 +1,62 @@
-"""The corpus pipeline (being built)."""
+"""The corpus pipeline: language ID, exact dedup, n-gram Jaccard join, substring dedup, best-fit packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as Parquet and read again as the next
+stage's documents. All but the last give the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clipyard.llm.common import crc_bucket, staged
+from clipyard.llm.exact_dedup import exact_dedup
+from clipyard.llm.jaccard_join import jaccard_components
+from clipyard.llm.language_id import UNDETERMINED, fit_language_model, identify_language
+from clipyard.llm.packing import best_fit_pack
+from clipyard.llm.substring_dedup import drop_repeated_passages, repeated_passages
+
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts without a letter and those that no learned language claims by half; the label becomes the prediction's."""
+    model = fit_language_model(docs.filter(crc_bucket(F.col("doc_id"), 4) != 2), VOCABULARY)
+    told = identify_language(docs, model, VOCABULARY, carry=F.struct(*docs.columns))
+    kept = told.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= 0.5))
+    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.{c}").alias(c) for c in docs.columns])
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup(docs, keep_rows=True).filter("kept").select("row.*")
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of smallest id stays."""
+    gone = jaccard_components(docs).filter("component_id <> doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that an earlier document has; a document of which no word is left goes."""
+    found = staged(repeated_passages(docs), "pipeline-passages")
+    cut = drop_repeated_passages(docs, found).withColumn("n_chars", F.length("text").cast("long"))
+    return cut.filter(F.col("text").rlike("[^ \\t-\\r]")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return best_fit_pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [("language ID", language_id), ("exact dedup", exact), ("n-gram Jaccard join", near), ("substring dedup", passages), ("best-fit packing", packing)]
+
+#: No SQL form: the stages' models and tokenisers aren't SQL. tests/llm compares the run with plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), "stage-" + "".join(c if c.isalnum() else "-" for c in name))
+    return docs
