@@ -1,0 +1 @@
+"""Multimodal dataset preparation, checking and scoring as Spark DataFrame operations."""
