@@ -60,19 +60,25 @@ def chunks_by_bytes(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[
 
 
 class Memo(dict):
-    """unit -> value, filled in batches by ``compute``; emptied when it holds ``limit`` units."""
+    """unit -> value, filled in batches by ``compute``. Holds the units of late batches: two generations of ``limit``."""
 
-    def __init__(self, compute: Callable[[list], Iterable], limit: int = 300_000):
+    def __init__(self, compute: Callable[[list], Iterable], limit: int = 250_000):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.old = compute, limit, {}
 
     def fill(self, lists: Iterable[list]) -> None:
         need = set().union(*lists)
-        if len(self) + len(need) > self.limit:
+        if len(self) + len(need - self.keys()) > self.limit:
+            self.old = dict(self)
             self.clear()
-        need = list(need - self.keys())
-        if need:
-            self.update(zip(need, self.compute(need), strict=True))
+        new = []
+        for unit in need - self.keys():
+            if unit in self.old:
+                self[unit] = self.old[unit]
+            else:
+                new.append(unit)
+        if new:
+            self.update(zip(new, self.compute(new), strict=True))
 
 
 #: White space beyond the space and the line feed: ASCII, then the rest.

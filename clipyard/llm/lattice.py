@@ -144,8 +144,8 @@ def log_marginals(v: Pieces, words: list[str], logp: np.ndarray) -> np.ndarray:
     short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG]
     for i in (i for i, w in enumerate(words) if len(w) > LONG):
         out[i] = _long_marginal(v, words[i], logp)
-    for a in range(0, len(short), 50_000):
-        part = short[a : a + 50_000]
+    for a in range(0, len(short), 16_000):
+        part = short[a : a + 16_000]
         order, lens, grid = _matrix([words[i] for i in part])
         alpha = np.full((grid.shape[0] + 1, len(part), logp.shape[1]), -np.inf)
         alpha[0] = 0
@@ -195,17 +195,17 @@ def _long_marginal(v: Pieces, word: str, logp: np.ndarray) -> np.ndarray:
     return ring[len(word) % size]
 
 
-def best_two(v: Pieces, words: list[str]) -> list[tuple[float, float, bytes, int]]:
-    """Of each word: best and second-best score (-inf if there is one segmentation), best ids as uint32 bytes, their number.
+def best_two(v: Pieces, words: list[str]) -> list[tuple[float, float, bytes]]:
+    """Of each word: best score, how much the second best loses (inf if there is none), best ids as uint32 bytes.
 
     Equal scores go to the longer last piece.
     """
-    out: list = [(0.0, -math.inf, b"", 0)] * len(words)
+    out: list = [(0.0, math.inf, b"")] * len(words)
     for i in (i for i, w in enumerate(words) if len(w) > LONG):
         out[i] = _long_best_two(v, words[i])
     short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG]
-    for a in range(0, len(short), 50_000):
-        part = short[a : a + 50_000]
+    for a in range(0, len(short), 16_000):
+        part = short[a : a + 16_000]
         order, lens, grid = _matrix([words[i] for i in part])
         n, top = len(part), grid.shape[0]
         b1, b2 = np.full((top + 1, n), -np.inf), np.full((top + 1, n), -np.inf)
@@ -240,11 +240,11 @@ def best_two(v: Pieces, words: list[str]) -> list[tuple[float, float, bytes, int
             at[live] -= k
         for r in range(n):
             ids = paths[r][::-1]
-            out[part[order[r]]] = (float(s1[r]), float(s2[r]), np.array(ids, np.uint32).tobytes(), len(ids))
+            out[part[order[r]]] = (float(s1[r]), float(s1[r] - s2[r]), np.array(ids, np.uint32).tobytes())
     return out
 
 
-def _long_best_two(v: Pieces, word: str) -> tuple[float, float, bytes, int]:
+def _long_best_two(v: Pieces, word: str) -> tuple[float, float, bytes]:
     sc = v.scores.tolist()
     b1, b2 = [0.0] + [-math.inf] * len(word), [-math.inf] * (len(word) + 1)
     back: list = [None] * (len(word) + 1)
@@ -259,7 +259,7 @@ def _long_best_two(v: Pieces, word: str) -> tuple[float, float, bytes, int]:
     while at:
         at, piece = back[at]
         ids.extend(reversed(piece))
-    return b1[-1], b2[-1], np.array(ids[::-1], np.uint32).tobytes(), len(ids)
+    return b1[-1], b1[-1] - b2[-1], np.array(ids[::-1], np.uint32).tobytes()
 
 
 def n_best(v: Pieces, word: str, n: int) -> list[tuple[float, list[int]]]:
@@ -309,8 +309,8 @@ def expected_counts(v: Pieces, words: list[str], weights: np.ndarray, logp: np.n
             at, ids = back[at]
             np.add.at(out, ids, weights[i])
     short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG]
-    for a in range(0, len(short), 30_000):
-        part = short[a : a + 30_000]
+    for a in range(0, len(short), 16_000):
+        part = short[a : a + 16_000]
         order, lens, grid = _matrix([words[i] for i in part])
         top, n, w = grid.shape[0], len(part), weights[np.array(part)[order]]
         alpha, beta = np.full((top + 1, n), -np.inf), np.full((top + 1, n), -np.inf)

@@ -13,7 +13,7 @@ from .language_id import fit_language_model, identify_language
 from .lm_scoring import lm_scores
 from .packing import best_fit_pack
 from .quality import quality_scores
-from .sentencepiece_codec import decode, encode_n_best
+from .sentencepiece_codec import encode_n_best
 from .substring_dedup import repeated_passages
 from .token_counts import token_counts
 from .top_k import top_k
@@ -28,8 +28,8 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_n_best(table(spark, sf_dir, "documents"), VOCABULARY)
-    digest = coded.select("doc_id", "ids", "text", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.transform("nbest", lambda x: F.round(x["score"], 3)).alias("scores"))
-    return decode(digest, VOCABULARY).select("doc_id", "n_pieces", "ids_hash", "scores", (F.col("decoded") == F.col("text")).alias("round_trip"))
+    scores = F.transform("nbest", lambda x: F.round(x["score"], 3))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), scores.alias("scores"), "round_trip")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,9 +72,9 @@ QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup
 
 SQL = {
     "op1_top_k": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-                   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2]))::BIGINT AS score
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
               FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",

@@ -48,46 +48,48 @@ def _encode(model: str, n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load_pieces(model)
-        memo = Memo(lambda units: best_two(v, units), limit=200_000)
+        memo = Memo(lambda units: best_two(v, units))
+        said = piece_bytes(v).__getitem__
         lists: dict[str, list] = {}
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks_by_bytes(texts):
+            for a, b in chunks_by_bytes(texts, 2_000_000):
                 units = [text_units(t) for t in texts[a:b]]
                 memo.fill(units)
-                data, sizes, nbest = [], [], []
-                for u in units:
+                data, sizes, nbest, same = [], [], [], []
+                for t, u in zip(texts[a:b], units, strict=True):
                     got = list(map(memo.__getitem__, u))
                     raw = b"".join([g[2] for g in got])
                     data.append(raw)
                     sizes.append(len(raw) // 4)
-                    total = sum(g[0] for g in got)
-                    near = heapq.nsmallest(n - 1, ((g[0] - g[1], i) for i, g in enumerate(got) if g[1] > -np.inf))
+                    same.append(decoded(np.frombuffer(raw, "<i4").tolist(), said) == t.replace(SPACE, " "))
+                    total, loss = sum([g[0] for g in got]), np.array([g[1] for g in got])
+                    near = np.argpartition(loss, n - 2)[: n - 1] if len(loss) > n - 1 > 0 else np.arange(len(loss) if n > 1 else 0)
                     choices = []
-                    for _, i in near:
+                    for i in np.sort(near[np.isfinite(loss[near])]).tolist():
                         if u[i] not in lists:
-                            if len(lists) > 50_000:
+                            if len(lists) > 20_000:
                                 lists.clear()
                             lists[u[i]] = n_best(v, u[i], n)
                         choices.append((i, lists[u[i]]))
-                    nbest.append([{"score": total - loss, "edits": [{"unit": i, "ids": ids} for i, ids in e]} for loss, e in combine(choices, n)])
-                flat = np.frombuffer(b"".join(data), "<i4")
+                    nbest.append([{"score": total - less, "edits": [{"unit": i, "ids": ids} for i, ids in e]} for less, e in combine(choices, n)])
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids, pa.array(nbest, edits_type), pa.array([t.replace(SPACE, " ") for t in texts[a:b]])], names=["doc_id", "ids", "nbest", "text"])
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(data), "<i4")))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids, pa.array(nbest, edits_type), pa.array(same, pa.bool_())], names=["doc_id", "ids", "nbest", "round_trip"])
 
     return run
 
 
 def encode_n_best(docs: DataFrame, model: str, n: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, ids (the best segmentation), nbest (score and the units that differ from the best; best first), text.
+    """doc_id, ids (the best segmentation), nbest (score and the units that differ from the best; best first), round_trip.
 
-    Null and empty texts have no ids and one segmentation of score 0. Among equal scores the longer last piece wins
+    ``round_trip``: the ids decode to the text.
+ Null and empty texts have no ids and one segmentation of score 0. Among equal scores the longer last piece wins
     within a unit. The space mark itself counts as a space, as the format has it. Ids may be null or repeat; extra
     columns are left out; an empty table gives an empty one.
     """
     two = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return two.mapInArrow(_encode(model, n), "doc_id long, ids array<int>, nbest array<struct<score:double,edits:array<struct<unit:int,ids:array<int>>>>>, text string")
+    return two.mapInArrow(_encode(model, n), "doc_id long, ids array<int>, nbest array<struct<score:double,edits:array<struct<unit:int,ids:array<int>>>>>, round_trip boolean")
 
 
 def piece_bytes(v: Pieces) -> list[bytes]:
@@ -99,6 +101,11 @@ def piece_bytes(v: Pieces) -> list[bytes]:
     return out
 
 
+def decoded(ids: list[int], said) -> str:
+    """The text of ids; ``said`` gives a piece's bytes. The mark before the text goes; broken UTF-8 is replaced."""
+    return b"".join(map(said, ids)).decode("utf-8", "replace").removeprefix(" ")
+
+
 def _decode(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = piece_bytes(load_pieces(model)).__getitem__
@@ -106,7 +113,7 @@ def _decode(model: str):
             col = batch.column("ids")
             flat, offsets = col.flatten().to_numpy().tolist(), col.offsets.to_numpy()
             offsets = (offsets - offsets[0]).tolist()
-            out = [b"".join(map(get, flat[a:b])).decode("utf-8", "replace").removeprefix(" ") for a, b in zip(offsets, offsets[1:], strict=False)]
+            out = [decoded(flat[a:b], get) for a, b in zip(offsets, offsets[1:], strict=False)]
             keep = [c for c in batch.schema.names if c != "ids"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(out, pa.string())], names=[*keep, "decoded"])
 
