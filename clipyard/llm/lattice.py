@@ -27,6 +27,7 @@ class Pieces:
 
     def __init__(self, pieces: list[str], scores: np.ndarray, byte_ids: np.ndarray | None, usable: np.ndarray):
         self.pieces, self.scores, self.byte_ids = pieces, scores, byte_ids
+        self.score_list = scores.tolist()
         self.ids = {p: i for i, p in enumerate(pieces) if usable[i]}
         self.size = len(pieces)
         self.longest = max(map(len, self.ids), default=1)
@@ -228,24 +229,28 @@ def best_two(v: Pieces, words: list[str]) -> list[tuple[float, float, bytes]]:
                 piece[end][to] = ids[won]
         last = np.arange(n)
         s1, s2 = b1[lens, last], b2[lens, last]
-        paths: list[list[int]] = [[] for _ in range(n)]
-        at = lens.copy()
+        at, rows, ids = lens.copy(), [], []
         while (live := np.flatnonzero(at > 0)).size:
-            p, k = piece[at[live], live], back[at[live], live]
-            for r, x, e in zip(live.tolist(), p.tolist(), at[live].tolist(), strict=True):
-                if x >= 0:
-                    paths[r].append(x)
-                else:
-                    paths[r].extend(reversed(v.fallback_ids(chr(grid[e - 1, r]))))
-            at[live] -= k
-        for r in range(n):
-            ids = paths[r][::-1]
-            out[part[order[r]]] = (float(s1[r]), float(s1[r] - s2[r]), np.array(ids, np.uint32).tobytes())
+            rows.append(live)
+            own = piece[at[live], live].astype(np.int64)
+            ids.append(np.where(own >= 0, own, -2 - grid[at[live] - 1, live].astype(np.int64)))
+            at[live] -= back[at[live], live]
+        rows, ids = np.concatenate(rows)[::-1], np.concatenate(ids)[::-1]
+        order2 = np.argsort(rows, kind="stable")
+        ids, ends = ids[order2], np.cumsum(np.bincount(rows, minlength=n)) * 4
+        raw, spelled = ids.astype("<u4").tobytes(), np.unique(rows[order2][ids < 0])
+        start = 0
+        for to, one, two, end in zip(np.array(part)[order].tolist(), s1.tolist(), s2.tolist(), ends.tolist(), strict=True):
+            out[to] = (one, one - two, raw[start:end])
+            start = end
+        for r in spelled.tolist():  # words with characters that aren't pieces
+            own = [y for x in ids[(ends[r - 1] // 4 if r else 0) : ends[r] // 4].tolist() for y in ([x] if x >= 0 else v.fallback_ids(chr(-2 - x)))]
+            out[part[order[r]]] = (*out[part[order[r]]][:2], np.array(own, np.uint32).tobytes())
     return out
 
 
 def _long_best_two(v: Pieces, word: str) -> tuple[float, float, bytes]:
-    sc = v.scores.tolist()
+    sc = v.score_list
     b1, b2 = [0.0] + [-math.inf] * len(word), [-math.inf] * (len(word) + 1)
     back: list = [None] * (len(word) + 1)
     for end, into in enumerate(_scalar_edges(v, word)):
@@ -270,7 +275,7 @@ def n_best(v: Pieces, word: str, n: int) -> list[tuple[float, list[int]]]:
     """
     if not word:
         return [(0.0, [])]
-    sc = v.scores.tolist()
+    sc = v.score_list
     into = _scalar_edges(v, word)
     best = [0.0] + [-math.inf] * len(word)
     for end in range(1, len(word) + 1):

@@ -58,12 +58,12 @@ def _encode(model: str, n: int):
                 memo.fill(units)
                 data, sizes, nbest, same = [], [], [], []
                 for t, u in zip(texts[a:b], units, strict=True):
-                    got = list(map(memo.__getitem__, u))
-                    raw = b"".join([g[2] for g in got])
+                    scores, losses, raws = zip(*map(memo.__getitem__, u), strict=True) if u else ((), (), ())
+                    raw = b"".join(raws)
                     data.append(raw)
                     sizes.append(len(raw) // 4)
                     same.append(decoded(np.frombuffer(raw, "<i4").tolist(), said) == t.replace(SPACE, " "))
-                    total, loss = sum([g[0] for g in got]), np.array([g[1] for g in got])
+                    total, loss = sum(scores), np.array(losses)
                     near = np.argpartition(loss, n - 2)[: n - 1] if len(loss) > n - 1 > 0 else np.arange(len(loss) if n > 1 else 0)
                     choices = []
                     for i in np.sort(near[np.isfinite(loss[near])]).tolist():
