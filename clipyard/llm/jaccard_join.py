@@ -201,7 +201,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, order
     """
     spark = docs.sparkSession
     two = docs.select(F.col(doc_id).cast("long").alias("row"), F.col(text).cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(pack_all(two, lambda words, known: _sets(words, known, width), "text", "join-repeats"))
+    shared = spark.sparkContext.broadcast(pack_all(two, lambda texts, known: np.concatenate([_sets(words_of(t), known, width) for t in texts]), "text", "join-repeats"))
     rows = staged(two.mapInArrow(_rows(shared, orders, width, percent, pa.int64()), "row long, uid long, n long, shingles binary, tokens array<array<long>>"), "join-rows")
     live = rows.filter("tokens IS NOT NULL")
     cells = None

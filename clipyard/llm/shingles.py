@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import chunks_by_bytes, staged
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
 
@@ -58,6 +58,27 @@ def shingle_hashes(hashed: np.ndarray, width: int = 5) -> np.ndarray:
         return mix(out)
 
 
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
+_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
+class Runs:
+    """Digests of runs of equal length in a hash sequence, from sums of a polynomial modulo 2^64."""
+
+    def __init__(self, h: np.ndarray):
+        global _powers
+        with np.errstate(over="ignore"):
+            if len(_powers[0]) < len(h):
+                n = 1 << (len(h) - 1).bit_length()
+                _powers = tuple(np.concatenate(([np.uint64(1)], np.cumprod(np.full(n - 1, b)))) for b in (np.uint64(_BASE), _INVERSE))
+            self.sums = np.concatenate(([np.uint64(0)], np.cumsum(h * _powers[0][: len(h)])))
+
+    def digest(self, start: np.ndarray, size: int, seed: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self.sums[start + size] - self.sums[start]) * _powers[1][start], seed)
+
+
 def distinct(h: np.ndarray) -> np.ndarray:
     """Sorted distinct values."""
     if len(h) < 2:
@@ -176,15 +197,16 @@ def repeats(packed: DataFrame, bits: int, name: str, most_bits: int = 1 << 29, m
 
 
 def pack_all(docs: DataFrame, hashes: Callable, text: str, name: str) -> Repeats:
-    """Repeats among ``hashes(words, known)`` of every text."""
+    """Repeats among ``hashes(texts, known)``, one array for a list of texts, over every text."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
     bits = bucket_bits(total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, out = WordHashes(), Packer(bits)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if out.add(hashes(words_of(t), known)):
+            texts = batch.column(0).to_pylist()
+            for a, b in chunks_by_bytes([t or "" for t in texts], 2_000_000):
+                if out.add(hashes(texts[a:b], known)):
                     yield out.rows()
         yield out.rows()
 
