@@ -280,10 +280,10 @@ def n_best(v: Pieces, word: str, n: int) -> list[tuple[float, list[int]]]:
     best = [0.0] + [-math.inf] * len(word)
     for end in range(1, len(word) + 1):
         best[end] = max(best[s] + sum(sc[x] for x in ids) for s, ids in into[end])
-    heap = [(-best[-1], 0, len(word), 0.0, None)]
+    heap = [(-best[-1], len(word), 0, 0.0, None)]  # of equal scores the path nearest to its end goes on
     out, tick = [], 1
     while heap and len(out) < n:
-        rank, _, at, done, tail = heapq.heappop(heap)
+        rank, at, _, done, tail = heapq.heappop(heap)
         if at == 0:
             ids, node = [], tail
             while node:
@@ -293,7 +293,7 @@ def n_best(v: Pieces, word: str, n: int) -> list[tuple[float, list[int]]]:
             continue
         for start, ids in into[at]:
             g = done + sum(sc[x] for x in ids)
-            heapq.heappush(heap, (-(g + best[start]), tick, start, g, (ids, tail)))
+            heapq.heappush(heap, (-(g + best[start]), start, tick, g, (ids, tail)))
             tick += 1
     return out
 
