@@ -29,7 +29,7 @@ class WordHashes(dict):
     """word -> 64-bit hash, kept while a worker runs, emptied at a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -98,7 +98,7 @@ def bucket_bits(total_bytes: int) -> int:
 class Packer:
     """Gathers hashes and gives them out as (bucket, sorted four-byte values) rows."""
 
-    def __init__(self, bits: int, most: int = 3_000_000):
+    def __init__(self, bits: int, most: int = 2_000_000):
         self.bits, self.most, self.held, self.n = bits, most, [], 0
 
     def add(self, h: np.ndarray) -> bool:
@@ -128,11 +128,17 @@ def _repeated(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([int(more.sum())], pa.int64()), "vals": pa.array([v[first][more].tobytes()], pa.binary()), "counts": pa.array([n[more].astype(np.uint32).tobytes()], pa.binary())})
 
 
+def places(value: np.ndarray, log2: int) -> list[np.ndarray]:
+    """Four bits of a bucket's 2^log2 for each four-byte value."""
+    with np.errstate(over="ignore"):
+        return [((value * np.uint32(m)) >> np.uint32(32 - log2)).astype(np.int64) for m in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
+
+
 class Repeats:
     """What tasks know of the hashes that occur twice or more: a bitmap and the most frequent ones.
 
-    The bitmap has no false negatives, so what it lacks occurs once; it has 16 bits a repeated hash, ``most_bits`` at
-    most, and says yes too often beyond that, which costs work but no result. ``heavy``: at most a million hashes
+    The bitmap is a Bloom filter without false negatives, so what it lacks occurs once; it has 16 bits a repeated hash,
+    ``most_bits`` at most, and says yes too often beyond that, which costs work but no result. ``heavy``: at most a million hashes
     with their counts, only used to order hashes.
     """
 
@@ -146,8 +152,14 @@ class Repeats:
         self.heavy, self.counts = heavy[order], counts[order]
 
     def seen_twice(self, h: np.ndarray) -> np.ndarray:
-        at = (h >> np.uint64(64 - self.bits - self.log2)).astype(np.int64)
-        return (self.bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        yes = np.zeros(len(h), bool)
+        first = ((h >> np.uint64(64 - self.bits)) << np.uint64(self.log2)).astype(np.int64)
+        value, on = (h >> np.uint64(32 - self.bits)).astype(np.uint32), np.arange(len(h))
+        for place in places(value, self.log2):
+            at = first[on] + place[on]
+            on = on[(self.bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+        yes[on] = True
+        return yes
 
     def weight(self, h: np.ndarray) -> np.ndarray:
         """The count where it is known to be large, else 0."""
@@ -169,7 +181,8 @@ def repeats(packed: DataFrame, bits: int, name: str, most_bits: int = 1 << 29, m
             out, hist = [], []
             for vals, counts in zip(batch.column("vals").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 bit = np.zeros(1 << log2, bool)
-                bit[np.frombuffer(vals, np.uint32) >> np.uint32(32 - log2)] = True
+                for place in places(np.frombuffer(vals, np.uint32), log2):
+                    bit[place] = True
                 out.append(np.packbits(bit, bitorder="little").tobytes())
                 c = np.frombuffer(counts, np.uint32)
                 hist.append(np.bincount((np.log2(c[c >= least_heavy]) * 8).astype(int), minlength=260).tolist())
