@@ -15,6 +15,9 @@ SPACES = "[ \\t-\\r]+"
 
 _LOCAL: dict[str, str] = {}
 
+#: Paths of the tables staged so far, in order.
+STAGED: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share (``spark.checkpoint.dir``); a temporary one only where unset."""
@@ -35,7 +38,24 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    STAGED.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for path in list(paths):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        if path in STAGED:
+            STAGED.remove(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``staged`` returned."""
+    delete_paths(df.sparkSession, [df.staged_path])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

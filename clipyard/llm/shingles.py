@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_by_bytes, staged
+from .common import chunks_by_bytes, discard, staged
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
 
@@ -206,6 +206,7 @@ def repeats(packed: DataFrame, bits: int, name: str, most_bits: int = 1 << 29, m
     top = shared.mapInArrow(heavy, "keys binary, ns binary").collect()  # most_heavy hashes at most
     keys = np.frombuffer(b"".join(r["keys"] for r in top), np.uint64)
     ns = np.frombuffer(b"".join(r["ns"] for r in top), np.uint32)
+    discard(shared)
     return Repeats(bits, log2, {r["bucket"]: np.frombuffer(r["map"], np.uint8) for r in got}, keys, ns)
 
 
@@ -244,7 +245,8 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         pair = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        e = staged(pair.select("e.u", "e.v").filter("u > v").distinct(), name)
+        old, e = e, staged(pair.select("e.u", "e.v").filter("u > v").distinct(), name)
+        discard(old)
         if (now := mark(e)) == before:
             break
         before = now
