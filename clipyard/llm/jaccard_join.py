@@ -211,11 +211,16 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, order
         lists = token.groupBy("cell", "token").agg(F.min("uid").alias("a"), F.max("uid").alias("b")).filter("a < b").select("cell", "token", "a")
         edges = token.join(lists.hint("merge"), ["cell", "token"]).filter("uid <> a").select(F.col("uid").alias("u"), F.col("a").alias("v"))
         cells = connected_components(edges, f"join-cells-{k}").select(F.col("node").alias("uid"), F.col("label").alias("cell"))
-    members = staged(live.select("uid", "n", "shingles").dropDuplicates(["uid"]).join(cells, "uid"), "join-members")
-    sizes = members.groupBy("cell").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total"))
+    # Cells get their size from narrow rows; each text's set then moves once, from one of its rows.
+    texts = staged(live.groupBy("uid").agg(F.min("row").alias("one"), F.first("n").alias("n")).join(cells, "uid"), "join-texts")
+    sizes = staged(texts.groupBy("cell").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total")), "join-sizes")
     large = (F.col("docs") > CELL_DOCS) | (F.col("total") > CELL_SHINGLES)
-    big = staged(members.join(sizes.filter(large).select("cell"), "cell"), "join-big")
-    small = members.join(sizes.filter(~large).select("cell"), "cell")
+    chosen = texts.join(sizes.select("cell", large.cast("int").alias("large")), "cell").select(F.col("uid").alias("t_uid"), "one", "cell", "large")
+    # Not an equality of columns: the rows are dealt by uid alone, as the next step wants them.
+    same = F.coalesce("row", F.lit(-1)).bitwiseXOR(F.coalesce("one", F.lit(-1))) == 0
+    sets = live.select("row", "uid", "n", "shingles").join(chosen.hint("merge"), (F.col("uid") == F.col("t_uid")) & same)
+    members = staged(sets.select("cell", "uid", "n", "shingles", "large").dropDuplicates(["uid"]), "join-members", "large")
+    big, small = members.filter("large = 1").drop("large"), members.filter("large = 0")
     labels = small.select("cell", "uid", "shingles").groupBy("cell").applyInArrow(_cell(percent), "node long, label long")
     if not big.isEmpty():
         labels = labels.union(connected_components(_spread(big, sizes.filter(large), percent), "join-spread"))
