@@ -57,7 +57,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents")).select("doc_id", "start", "end", "source_id", "source_start", F.round("jaccard", 6).alias("jaccard"))
+    return repeated_passages(table(spark, sf_dir, "documents")).select("doc_id", "start", "end", "source_id", "source_start", "source_end", F.round("jaccard", 6).alias("jaccard"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

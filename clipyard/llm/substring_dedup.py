@@ -1,23 +1,21 @@
-"""Near-duplicate passages by compact windows of token min-hashes.
-
-A token is a word shingle. For one hash function, the subsequences of a text whose smallest token hash sits at
-position c are those between the nearest smaller values on both sides: a node of the Cartesian tree over the
-hashes. Only nodes that hold a passage of the least length count; cut to the passages around c they are the runs of
-equal arg-min of a sliding window, which numpy finds for all positions at once.
-
-Windows of different texts meet on a key: the hash function, and the tokens from c on over half a passage, to the
-right or to the left (any passage of the least length around c holds one of the halves), or nearly a passage. Keys that occur once are
-dropped by a bounded bitmap counted over all texts. A key's windows meet its first and its last window, not each
-other, so a hot key gives two rows a window. Window pairs of two documents are gathered, need ``min_hits`` hash
-functions, and are verified on the token sequences: along each diagonal the longest span around the hits whose
-Jaccard similarity holds.
+"""Near-duplicate passages by rarest shared tokens and chains of equal runs.
+
+A token is a word shingle. A passage can only repeat where three quarters of the tokens occur twice in the corpus;
+such stretches come out of one pass over the text. There, under one order of all tokens (rare before frequent, then by
+hash), a token is a key if it is among the smallest of any window of the least passage length: as many as two
+similar passages need to share one, whichever words were changed (the prefix filter of set joins, on windows).
+
+Documents meet on a key. All pairs of a key of few windows are candidates. A key of many windows has all its windows
+meet the first; a window whose neighbourhood no verified passage covers then meets every earlier window of the key,
+so nothing hangs on what the first window looks like. Candidate documents are verified as a whole: runs of equal
+tokens on any diagonal are chained, and the widest joined spans whose two token sets are similar enough are passages;
+stretches whose tokens are shared in another order are compared as sets.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks_by_bytes, discard, staged
-from .shingles import Runs, WordHashes, distinct, mix, pack_all, shingle_hashes, words_of
+from .jaccard_join import prefix_length
+from .shingles import Repeats, WordHashes, distinct, mix, pack_all, shingle_hashes, word_hashes, words_of
 
 
 def compact_windows(v: np.ndarray, least: int, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,130 +57,197 @@ def compact_windows(v: np.ndarray, least: int, starts: np.ndarray | None = None)
     return first, c, last
 
 
-class Batch:
-    """Several texts as one sequence of words: their hashes, tokens and the windows' keys."""
-
-    def __init__(self, texts: list[str | None], known: WordHashes, width: int):
-        words = [words_of(t) for t in texts]
-        self.sizes = np.array([len(w) for w in words])
-        self.first = np.concatenate(([0], np.cumsum(self.sizes)))
-        self.tokens = shingle_hashes(np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, int(self.first[-1])), width)
-        self.owner = np.repeat(np.arange(len(texts)), self.sizes)
-        self.width = width
-
-    def keys(self, least: int, functions: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(key, c, function) of all texts' windows.
-
-        For each function two keys a window: the half passage from c to the right and to the left. For the first
-        function also passages of the least length with c at every ninth place: all who meet there share a passage.
-        """
-        keys, at, which = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        half, n = (least + 1) // 2 - 3, len(self.tokens)
-        ends = (self.first[1:] - self.width + 1)[self.owner]  # one beyond a text's last token
-        starts = np.flatnonzero(np.arange(len(self.owner)) + least <= ends)
-        starts = starts[starts + least <= n]
-        if len(starts):
-            begins, runs = self.first[:-1][self.owner], Runs(self.tokens)
-            for f in range(functions):
-                c = np.unique(compact_windows(mix(self.tokens, f + 1), least, starts)[1])
-                rulers = [(half, 0), (half, half - 1)] + ([(least, o) for o in sorted({*range(0, least, 9), least - 1})] if f == 0 else [])
-                for j, (size, before) in enumerate(rulers):
-                    on = c[(c - before >= begins[c]) & (c - before + size <= ends[c])]
-                    keys.append(runs.digest(on - before, size, 100 * (f + 1) + j))
-                    at.append(on)
-                    which.append(np.full(len(on), f))
-        return np.concatenate(keys), np.concatenate(at), np.concatenate(which)
-
-
-def _rows(shared, least: int, functions: int, width: int):
+def stretches(rep: np.ndarray, percent: int, least: int) -> list[tuple[int, int]]:
+    """Maximal [start, end) of ``least`` or more in which every place lies in a row with ``percent`` of ``rep`` or more."""
+    if len(rep) < least:
+        return []
+    sums = np.concatenate(([0], np.cumsum(np.where(rep, 100 - percent, -percent))))
+    on = np.maximum.accumulate(sums[::-1])[::-1][1:] >= np.minimum.accumulate(sums)[:-1]
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], on.view(np.int8), [0]))))
+    return [(int(s), int(e)) for s, e in zip(edge[::2], edge[1::2], strict=True) if e - s >= least]
+
+
+def among_smallest(rank: np.ndarray, least: int, p: int) -> np.ndarray:
+    """Which places have fewer than ``p`` smaller ones in some window of ``least`` around them; beyond the ends nothing is smaller."""
+    n, side = len(rank), least - 1
+    wide = np.concatenate((np.full(side, ~np.uint64(0)), rank, np.full(side, ~np.uint64(0))))
+    kind = np.int8 if least < 128 else np.int32
+    right = np.zeros((least, n), kind)
+    for d in range(1, least):
+        right[d] = right[d - 1] + (wide[side + d : side + d + n] < rank)
+    left, best = np.zeros(n, kind), right[side].copy()
+    for d in range(1, least):
+        left += wide[side - d : side - d + n] < rank
+        np.minimum(best, left + right[side - d], out=best)
+    return best < p
+
+
+def _tokens(texts: list[str | None], known: WordHashes, width: int) -> list[np.ndarray]:
+    """Each text's shingles; nothing of texts of fewer words."""
+    return [shingle_hashes(word_hashes(w, known), width) if len(w) >= width else np.zeros(0, np.uint64) for w in map(words_of, texts)]
+
+
+def window_keys(tokens: np.ndarray, rep: Repeats, least: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, lo, hi) of a text's keys, each once, and the tokens [lo, hi) around it that a passage might hold."""
+    twice, p = rep.seen_twice(tokens), prefix_length(least, percent)
+    keys, lows, highs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b in stretches(twice, percent, least):
+        own, on = tokens[a:b], twice[a:b]
+        w = rep.weight(own)
+        cls = np.where(w > 0, (2 * np.log2(np.maximum(w, 1))).astype(np.uint64) + np.uint64(2), on.astype(np.uint64))
+        rank = (cls << np.uint64(57)) | (mix(own) >> np.uint64(7))
+        for x in range(0, b - a, 100_000):
+            y = min(b - a, x + 100_000)
+            first, last = max(0, x - least), min(b - a, y + least)
+            at = x + np.flatnonzero(among_smallest(rank[first:last], least, p)[x - first : y - first] & on[x:y])
+            places = np.flatnonzero(on)
+            keys.append(own[at])
+            lows.append(a + places[np.searchsorted(places, at - least + 1)])
+            highs.append(a + places[np.searchsorted(places, at + least - 1, side="right") - 1] + 1)
+    key, low, high = np.concatenate(keys), np.concatenate(lows), np.concatenate(highs)
+    if not len(key):
+        return key, low, high
+    order = np.argsort(key, kind="stable")
+    key, low, high = key[order], low[order], high[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[first], np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)
+
+
+def _rows(shared, least: int, percent: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rep, known = shared.value, WordHashes()
         for batch in batches:
             texts = batch.column(3).to_pylist()
             for a, b in chunks_by_bytes([t or "" for t in texts], 2_000_000):
-                x = Batch(texts[a:b], known, width)
-                keys, c, f = x.keys(least, functions)
-                on = np.flatnonzero(rep.seen_twice(keys))
-                # A shared passage gives keys under several functions: a lone one is the bitmap's error.
-                on = on[np.bincount(x.owner[c[on]], minlength=len(x.sizes))[x.owner[c[on]]] > 1]
-                on = on[np.argsort(x.owner[c[on]], kind="stable")]
-                owner = x.owner[c[on]]
-                docs, begin = np.unique(owner, return_index=True)
-                cut = pa.array(np.append(begin, len(on)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(cut, pa.array(v)) for v in (keys[on].view(np.int64), (c[on] - x.first[owner]).astype(np.int32), f[on].astype(np.int32))]
-                small = (x.tokens >> np.uint64(24)).astype(np.uint32)
-                tokens = [small[x.first[d] : x.first[d + 1] - width + 1].tobytes() for d in docs]
-                took = pa.array(docs + a)
-                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(took) for k in range(3)], pa.array(x.sizes[docs], pa.int32()), pa.array(tokens, pa.binary()), *lists], names=["doc_id", "uid", "tid", "n", "tokens", "keys", "at", "which"])
+                took, sizes, small, lists = [], [], [], ([], [], [])
+                for i, tokens in enumerate(_tokens(texts[a:b], known, width), a):
+                    found = window_keys(tokens, rep, least, percent)
+                    if len(found[0]):
+                        took.append(i)
+                        sizes.append(len(tokens) + width - 1)
+                        small.append((tokens >> np.uint64(24)).astype(np.uint32).tobytes())
+                        for into, x in zip(lists, found, strict=True):
+                            into.append(x)
+                cut = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in lists[0]]))).astype(np.int32))
+                flat = [np.concatenate([np.zeros(0, np.int64), *(x.view(np.int64) for x in into)]) for into in lists]
+                arrays = [pa.ListArray.from_arrays(cut, pa.array(v if k == 0 else v.astype(np.int32))) for k, v in enumerate(flat)]
+                where = pa.array(took, pa.int64())
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(where) for k in range(3)], pa.array(sizes, pa.int32()), pa.array(small, pa.binary()), *arrays], names=["doc_id", "uid", "tid", "n", "tokens", "keys", "lo", "hi"])
 
     return run
 
 
-def spans_on_diagonal(a: np.ndarray, b: np.ndarray, shift: int, hits: list[int], least: int, percent: int) -> list[tuple[int, int]]:
-    """Spans [start, end) of ``a`` that match ``b`` at position - ``shift`` around the hits.
+def equal_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, size): runs of equal tokens of ``a`` from i and ``b`` from j, by i.
 
-    A span starts and ends with equal tokens, has ``least`` or more, and grows over unequal ones while equal tokens
-    are at least ``percent`` of the union of both sides.
+    A token that is frequent in both (over 64 pairs) pairs its occurrences in turn only.
     """
-    lo, hi = max(0, shift), min(len(a), len(b) + shift)
-    if hi - lo < least:
-        return []
-    same = a[lo:hi] == b[lo - shift : hi - shift]
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], same.view(np.int8), [0]))))
-    runs = [(int(s) + lo, int(e) + lo) for s, e in zip(edge[::2], edge[1::2], strict=True)]
-    starts = np.array([s for s, _ in runs])
-    fine = lambda equal, size: 100 * equal >= percent * (2 * size - equal)
-    out: list[tuple[int, int]] = []
-    for hit in sorted(hits):
-        if out and hit < out[-1][1]:
-            continue
-        i = int(np.searchsorted(starts, hit, side="right")) - 1
-        if i < 0 or hit >= runs[i][1]:
+    order = np.argsort(b, kind="stable")
+    by = b[order]
+    low, high = np.searchsorted(by, a), np.searchsorted(by, a, side="right")
+    n = high - low
+    mine = np.argsort(a, kind="stable")
+    own = a[mine]
+    turn, times = np.empty(len(a), np.int64), np.empty(len(a), np.int64)
+    begin = np.searchsorted(own, own)
+    turn[mine] = np.arange(len(a)) - begin
+    times[mine] = np.searchsorted(own, own, side="right") - begin
+    dense = n * times > 64
+    low = np.where(dense, low + turn, low)
+    n = np.where(dense, (turn < n).astype(np.int64), n)
+    i = np.repeat(np.arange(len(a)), n)
+    j = order[np.repeat(low - np.cumsum(n) + n, n) + np.arange(len(i))]
+    order = np.lexsort((i, j - i))
+    i, j = i[order], j[order]
+    new = np.ones(len(i), bool)
+    new[1:] = (np.diff(i) != 1) | (np.diff(j) != 1)
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(i)))
+    order = np.lexsort((j[first], i[first]))
+    return i[first][order], j[first][order], size[order]
+
+
+def chains(i: np.ndarray, j: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Runs joined in step: each to the one before it, on both sides, at the least distance, if it is that one's nearest too."""
+    n = len(i)
+    before, cost = np.full(n, -1), np.full(n, np.iinfo(np.int64).max)
+    for k in range(1, n):
+        di, dj = i[k] - (i[:k] + size[:k]), j[k] - (j[:k] + size[:k])
+        far = np.abs(di) + np.abs(dj)
+        far[(j[:k] >= j[k]) | (i[:k] >= i[k]) | (di + size[k] <= 0) | (dj + size[k] <= 0) | (di != dj)] = np.iinfo(np.int64).max
+        q = k - 1 - int(np.argmin(far[::-1]))
+        if far[q] < np.iinfo(np.int64).max:
+            before[k], cost[k] = q, far[q]
+    after: dict[int, int] = {}
+    for k in np.argsort(cost, kind="stable").tolist():
+        if before[k] >= 0:
+            after.setdefault(int(before[k]), k)
+    out, joined = [], set(after.values())
+    for k in range(n):
+        if k not in joined:
+            path = [k]
+            while path[-1] in after:
+                path.append(after[path[-1]])
+            out.append(np.array(path))
+    return out
+
+
+def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list[tuple[int, int, int, int, float]]:
+    """(start, end, source start, source end, jaccard): spans of ``a`` and ``b`` of ``least`` or more tokens whose sets are similar.
+
+    A span begins and ends with shared tokens. Of the spans along a chain the widest come first, until they hold every run that
+    a similar span holds.
+    """
+    out: list[tuple[int, int, int, int, float]] = []
+
+    def similar(s: int, e: int, s2: int, e2: int) -> bool:
+        x, y = distinct(a[s:e]), distinct(b[s2:e2])
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        union = len(x) + len(y) - both
+        if fine := 100 * both >= percent * union:
+            out.append((s, e, s2, e2, both / union))
+        return fine
+
+    i, j, size = equal_runs(a, b)
+    if not len(i):
+        return out
+    in_b, in_a = np.isin(a, b), np.isin(b, a)
+    plain = len(distinct(a)) == len(a) and len(distinct(b)) == len(b)
+    sums = [np.concatenate(([0], np.cumsum(x))) for x in (in_b, in_a)]
+    for path in chains(i, j, size):
+        s, s2, n = i[path], j[path], size[path]
+        e, e2 = s + n, s2 + n
+        if e[-1] - s[0] < least or e2[-1] - s2[0] < least:
             continue
-        left, right, equal = i, i, runs[i][1] - runs[i][0]
-        while True:
-            grown = []
-            if right + 1 < len(runs):
-                grown.append((runs[right + 1][0] - runs[right][1], 1))
-            if left > 0 and (not out or runs[left - 1][0] >= out[-1][1]):
-                grown.append((runs[left][0] - runs[left - 1][1], -1))
-            for _, way in sorted(grown):
-                l2, r2 = (left, right + 1) if way > 0 else (left - 1, right)
-                new = runs[r2] if way > 0 else runs[l2]
-                more = equal + new[1] - new[0]
-                if fine(more, runs[r2][1] - runs[l2][0]):
-                    left, right, equal = l2, r2, more
-                    break
-            else:
-                break
-        if runs[right][1] - runs[left][0] >= least:
-            out.append((runs[left][0], runs[right][1]))
+        wide, wide2, total = e[None, :] - s[:, None], e2[None, :] - s2[:, None], np.concatenate(([0], np.cumsum(n)))
+        equal = total[None, 1:] - total[:-1, None]
+        if plain:
+            may = 100 * equal >= percent * (wide + wide2 - equal)
+        else:  # tokens that repeat in a span count once, so only what neither side can have decides
+            may = (100 * (sums[0][e][None, :] - sums[0][s][:, None]) >= percent * wide) & (100 * (sums[1][e2][None, :] - sums[1][s2][:, None]) >= percent * wide2)
+        left, right = np.nonzero(may & (wide >= least) & (wide2 >= least))
+        held = np.zeros(len(path), bool)
+        for k in np.argsort(-wide[left, right], kind="stable").tolist():
+            l, r = int(left[k]), int(right[k])
+            if not held[l : r + 1].all() and similar(int(s[l]), int(e[r]), int(s2[l]), int(e2[r])):
+                held[l : r + 1] = True
     return out
 
 
-def _verify(least: int, percent: int, width: int, min_hits: int):
+FOUND = "doc_id long, uid long, start int, end int, source_id long, source_start int, source_end int, jaccard double"
+
+
+def _verify(least: int, percent: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "uid", "start", "end", "source_id", "source_start", "jaccard"]
         for batch in batches:
-            out = []
-            get = {c: batch.column(c).to_pylist() for c in batch.schema.names}
+            out, col = [], {c: batch.column(c) for c in batch.schema.names}
             for i in range(batch.num_rows):
-                a, b = np.frombuffer(get["tokens"][i], np.uint32), np.frombuffer(get["s_tokens"][i], np.uint32)
-                hits: dict[int, list] = {}
-                for x in get["hits"][i]:
-                    hits.setdefault(x["at"] - x["s_at"], []).append((x["at"], x["which"]))
-                for shift, at in sorted(hits.items()):
-                    for s, e in spans_on_diagonal(a, b, shift, [x for x, _ in at], least, percent):
-                        if len({f for x, f in at if s <= x < e}) < min_hits:
-                            continue
-                        x, y = distinct(a[s:e]), distinct(b[s - shift : e - shift])
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        union = len(x) + len(y) - both
-                        if 100 * both >= percent * union:
-                            out.append((get["doc_id"][i], get["uid"][i], s, e + width - 1, get["s_doc"][i], s - shift, both / union))
-            cols = list(zip(*out, strict=True)) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+                a, b = (np.frombuffer(col[c][i].as_py(), np.uint32) for c in ("tokens", "s_tokens"))
+                for s, e, s2, e2, jaccard in joined_spans(a, b, least, percent):
+                    out.append((col["doc_id"][i].as_py(), col["uid"][i].as_py(), s, e + width - 1, col["s_doc"][i].as_py(), s2, e2 + width - 1, jaccard))
+            cols = list(zip(*out, strict=True)) or [()] * 8
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in FOUND.split(", ")])
 
     return run
 
@@ -191,38 +257,47 @@ def document_key(doc_id, text):
     return F.xxhash64(doc_id.cast("long"), text.cast("string"))
 
 
-def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, functions: int = 4, min_hits: int = 1, width: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, uid, start, end, source_id, source_start, jaccard: word spans [start, end) of ``doc_id`` that near-duplicate a passage of an earlier document.
+#: All pairs of a key's windows are candidates up to so many windows.
+FEW = 8
+
 
-    Passages have ``words`` or more words and a similarity of ``percent`` or more on ``width``-word shingles, word by
-    word in step. Earlier: smaller doc_id, null ids first; rows with equal id and text are one document (``uid``
-    tells rows with equal ids apart). A document lists each source it meets, so spans may overlap. A passage that is
-    equal word for word over ``words`` words is always met; one with changed words is met if some hash function's
-    smallest token has 24 equal words on one side. Null and short texts have no passage; extra columns are left
-    out; an empty table gives an empty one.
+def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, uid, start, end, source_id, source_start, source_end, jaccard: word spans [start, end) of ``doc_id`` that near-duplicate a passage of an earlier document.
+
+    Passages have ``words`` or more words on both sides, begin and end with shared ``width``-word shingles, and have a
+    similarity of ``percent`` or more between their sets of shingles; words may be changed, inserted or deleted.
+    Earlier: smaller doc_id, null ids first; rows with equal id and text are one document (``uid`` tells rows with
+    equal ids apart). A document lists each source it meets, so spans may overlap; of a frequent passage that may be
+    the first source only. Null and short texts have no passage; extra columns are left out; an empty table gives an
+    empty one.
     """
     spark, least = docs.sparkSession, words - width + 1
     four = docs.select(F.col(doc_id).cast("long").alias("doc_id"), document_key(F.col(doc_id), F.col(text)).alias("uid"), F.xxhash64(F.col(text).cast("string")).alias("tid"), F.col(text).cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(pack_all(four, lambda texts, known: Batch(texts, known, width).keys(least, functions)[0], "text", "passage-repeats"))
-    rows = staged(four.mapInArrow(_rows(shared, least, functions, width), "doc_id long, uid long, tid long, n int, tokens binary, keys array<long>, at array<int>, which array<int>"), "passage-rows")
+    shared = spark.sparkContext.broadcast(pack_all(four, lambda texts, known: np.concatenate([np.zeros(0, np.uint64), *_tokens(texts, known, width)]), "text", "passage-repeats"))
+    rows = staged(four.mapInArrow(_rows(shared, least, percent, width), "doc_id long, uid long, tid long, n int, tokens binary, keys array<long>, lo array<int>, hi array<int>"), "passage-rows")
     # Of equal texts the first stands for all: the others are wholly its passage.
     first = rows.groupBy("tid").agg(F.min(F.struct("doc_id", "uid")).alias("f"))
     told = staged(rows.select("doc_id", "uid", "tid", "n").distinct().join(first.hint("merge"), "tid"), "passage-texts")
-    copies = told.filter((F.col("uid") != F.col("f.uid")) & (F.col("n") >= words)).select("doc_id", "uid", F.lit(0).alias("start"), F.col("n").alias("end"), F.col("f.doc_id").alias("source_id"), F.lit(0).alias("source_start"), F.lit(1.0).alias("jaccard"))
+    copies = told.filter((F.col("uid") != F.col("f.uid")) & (F.col("n") >= words)).select("doc_id", "uid", F.lit(0).alias("start"), F.col("n").alias("end"), F.col("f.doc_id").alias("source_id"), F.lit(0).alias("source_start"), F.col("n").alias("source_end"), F.lit(1.0).alias("jaccard"))
     single = staged(rows.join(told.filter(F.col("uid") == F.col("f.uid")).select("uid").hint("merge"), "uid", "left_semi").dropDuplicates(["uid"]), "passage-first")
     discard(rows)
-    x = F.explode(F.arrays_zip("keys", "at", "which")).alias("x")
-    windows = single.select("doc_id", "uid", x).select(F.col("x.keys").alias("key"), F.struct("doc_id", "uid", F.col("x.at").alias("at")).alias("w"), F.col("x.which").alias("which"))
-    ends = windows.groupBy("key").agg(F.min("w").alias("a"), F.max("w").alias("z")).filter("a.uid <> z.uid")
-    # The first window is every other's source, and every other is a source of the last.
-    met = windows.join(ends.hint("merge"), "key")
-    pairs = met.select("which", F.explode(F.array(F.struct(F.col("w").alias("m"), F.col("a").alias("s")), F.struct(F.col("z").alias("m"), F.col("w").alias("s")))).alias("p"))
-    pairs = pairs.filter("p.m.uid <> p.s.uid AND p.m > p.s").select(F.col("p.m.uid").alias("uid"), F.col("p.s.uid").alias("s_uid"), F.struct(F.col("p.m.at").alias("at"), F.col("p.s.at").alias("s_at"), "which").alias("hit"))
-    grouped = staged(pairs.groupBy("uid", "s_uid").agg(F.collect_set("hit").alias("hits")), "passage-pairs")
+    x = F.explode(F.arrays_zip("keys", "lo", "hi")).alias("x")
+    windows = single.select(F.struct("doc_id", "uid").alias("w"), x).select(F.col("x.keys").alias("key"), "w", F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"))
+    groups = windows.groupBy("key").agg(F.min("w").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    met = staged(windows.join(groups.hint("merge"), "key"), "passage-windows")
+    few = met.filter(F.col("m") <= FEW).groupBy("key").agg(F.array_sort(F.collect_list("w")).alias("all"))
+    pairs = few.select(F.explode(F.flatten(F.transform("all", lambda m, i: F.transform(F.slice("all", F.lit(1), i), lambda s: F.struct(m["uid"].alias("uid"), s["uid"].alias("s_uid")))))).alias("p")).select("p.*")
+    hot = met.filter(F.col("m") > FEW)
+    pairs = staged(pairs.unionByName(hot.filter("w.uid <> a.uid").select(F.col("w.uid").alias("uid"), F.col("a.uid").alias("s_uid"))).distinct(), "passage-pairs")
     known = single.select("uid", "doc_id", "tokens")
     sources = single.select(F.col("uid").alias("s_uid"), F.col("doc_id").alias("s_doc"), F.col("tokens").alias("s_tokens"))
-    whole = grouped.join(known.hint("merge"), "uid").join(sources.hint("merge"), "s_uid").select("doc_id", "uid", "tokens", "hits", "s_doc", "s_tokens")
-    return whole.mapInArrow(_verify(least, percent, width, min_hits), "doc_id long, uid long, start int, end int, source_id long, source_start int, jaccard double").unionByName(copies)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        whole = pairs.join(known.hint("merge"), "uid").join(sources.hint("merge"), "s_uid").select("doc_id", "uid", "tokens", "s_doc", "s_tokens")
+        return staged(whole.mapInArrow(_verify(least, percent, width), FOUND), "passage-found")
+
+    found = verified(pairs)
+    return found.unionByName(copies)
 
 
 _WORD = re.compile("[^ \t-\r]+")

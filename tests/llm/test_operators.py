@@ -374,6 +374,50 @@ def test_shared_passages_are_found_and_clean_documents_left(spark, corpus):
     assert prose(9, 64) in cut[shared[0]] and all(prose(9, 64) not in cut[i] and cut[i] for i in shared[1:])
 
 
+def planted(seed: int, kind: str, n: int, edits: int) -> tuple[str, str, int]:
+    """Two documents around a passage of ``n`` words, edited in the second, and where it begins there."""
+    r = random.Random(seed)
+    fresh = lambda k, tag: [f"{tag}{seed}x{r.randrange(10**9)}" for _ in range(k)]
+    passage = fresh(n, "p")
+    other = passage[:]
+    for k in range(edits):
+        at = (k + 1) * n // (edits + 1)
+        if kind == "change":
+            other[at] = f"new{seed}x{k}"
+        elif kind == "insert":
+            other.insert(at + k, f"new{seed}x{k}")
+        elif kind == "delete":
+            del other[at - k]
+    if kind == "swap":
+        other = passage[n // 2 :] + passage[: n // 2]
+    before = fresh(r.randrange(20, 60), "c")
+    return " ".join(fresh(40, "a") + passage + fresh(40, "b")), " ".join(before + other + fresh(30, "d")), len(before)
+
+
+# Kind, words, edits: each of a Jaccard similarity of 0.75 or more on shingles.
+CHANGED = [("change", 50, 1)], [("change", 80, 2), ("change", 140, 3), ("change", 400, 9)]
+SHIFTED = [("insert", 50, 1), ("insert", 60, 1), ("insert", 98, 2), ("delete", 60, 1), ("delete", 100, 2), ("swap", 80, 0)]
+
+
+def planted_recall(spark, kinds, each=12) -> float:
+    """Share of planted passages of which the later document's words are found, but for the four at each end."""
+    rows, want = [], {}
+    for k, (kind, n, edits) in enumerate(kinds):
+        for t in range(each):
+            a, b, at = planted(1000 * k + t, kind, n, edits)
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+            want[len(rows) - 1] = set(range(at + 4, at + n - 6))
+    cover = collections.defaultdict(set)
+    for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.source_id == r.doc_id - 1
+        cover[r.doc_id].update(range(r.start, r.end))
+    return sum(w <= cover[i] for i, w in want.items()) / len(want)
+
+
+def test_passages_with_changed_words_are_found(spark):
+    assert planted_recall(spark, [x for part in CHANGED for x in part]) == 1
+
+
 def test_passages_odd(odd, none):
     assert repeated_passages(odd).count() == 0 and repeated_passages(none).count() == 0
     assert drop_repeated_passages(odd, repeated_passages(odd)).columns == odd.columns
