@@ -174,7 +174,7 @@ def chains(i: np.ndarray, j: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
     for k in range(1, n):
         di, dj = i[k] - (i[:k] + size[:k]), j[k] - (j[:k] + size[:k])
         far = np.abs(di) + np.abs(dj)
-        far[(j[:k] >= j[k]) | (i[:k] >= i[k]) | (di + size[k] <= 0) | (dj + size[k] <= 0) | (di != dj)] = np.iinfo(np.int64).max
+        far[(j[:k] >= j[k]) | (i[:k] >= i[k]) | (di + size[k] <= 0) | (dj + size[k] <= 0)] = np.iinfo(np.int64).max
         q = k - 1 - int(np.argmin(far[::-1]))
         if far[q] < np.iinfo(np.int64).max:
             before[k], cost[k] = q, far[q]
@@ -231,6 +231,14 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
             l, r = int(left[k]), int(right[k])
             if not held[l : r + 1].all() and similar(int(s[l]), int(e[r]), int(s2[l]), int(e2[r])):
                 held[l : r + 1] = True
+    # Shared in another order: what the chains left, as sets.
+    mine = [x for x in stretches(in_b, percent, least) if not any(y[0] < x[1] and x[0] < y[1] for y in out)]
+    for x in mine:
+        for y in stretches(in_a, percent, least):
+            s, e = (x[0] + f(np.flatnonzero(in_b[x[0] : x[1]])) for f in (np.min, np.max))
+            s2, e2 = (y[0] + f(np.flatnonzero(in_a[y[0] : y[1]])) for f in (np.min, np.max))
+            if min(e - s, e2 - s2) + 1 >= least:
+                similar(int(s), int(e) + 1, int(s2), int(e2) + 1)
     return out
 
 

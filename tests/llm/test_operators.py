@@ -418,6 +418,10 @@ def test_passages_with_changed_words_are_found(spark):
     assert planted_recall(spark, [x for part in CHANGED for x in part]) == 1
 
 
+def test_passages_with_words_inserted_deleted_or_swapped_are_found(spark):
+    assert planted_recall(spark, SHIFTED) == 1
+
+
 def test_passages_odd(odd, none):
     assert repeated_passages(odd).count() == 0 and repeated_passages(none).count() == 0
     assert drop_repeated_passages(odd, repeated_passages(odd)).columns == odd.columns
