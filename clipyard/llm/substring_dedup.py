@@ -305,7 +305,13 @@ def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width
         return staged(whole.mapInArrow(_verify(least, percent, width), FOUND), "passage-found")
 
     found = verified(pairs)
-    return found.unionByName(copies)
+    # Windows of hot keys that the first one didn't settle.
+    spans = found.groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    open_ = hot.filter("w.uid <> a.uid").select("key", "w", "lo", "hi", F.col("w.uid").alias("uid")).join(spans.hint("merge"), "uid", "left")
+    open_ = open_.filter(~F.coalesce(F.exists("spans", lambda s: (s["start"] <= F.col("lo")) & (s["end"] >= F.col("hi") + width - 1)), F.lit(False)))
+    more = open_.select("key", "w").join(hot.select("key", F.col("w").alias("s")).hint("merge"), "key").filter("w > s").select(F.col("w.uid").alias("uid"), F.col("s.uid").alias("s_uid")).distinct()
+    more = staged(more.join(pairs, ["uid", "s_uid"], "left_anti"), "passage-more")
+    return found.unionByName(verified(more)).unionByName(copies)
 
 
 _WORD = re.compile("[^ \t-\r]+")

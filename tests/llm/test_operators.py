@@ -422,6 +422,24 @@ def test_passages_with_words_inserted_deleted_or_swapped_are_found(spark):
     assert planted_recall(spark, SHIFTED) == 1
 
 
+def test_passages_around_a_hot_line_are_found(spark):
+    """A line of 45 words in many documents; two in the middle share a passage around it, exact or with a word changed."""
+    r = random.Random(3)
+    fresh = lambda k: [f"w{r.randrange(10**9)}" for _ in range(k)]
+    line, rows, want = fresh(45), [], {}
+    for i in range(60):
+        left, right = fresh(5), fresh(6)
+        for _ in range(2):
+            rows.append(fresh(30) + left + line + right + fresh(30))
+        rows[-1][40] = rows[-1][40] if i % 2 else "changed"
+        want[len(rows) - 1] = set(range(30 if i % 2 else 41, 82))
+    got = repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")).collect()
+    cover = collections.defaultdict(set)
+    for x in got:
+        cover[x.doc_id].update(range(x.start, x.end))
+    assert all(w <= cover[i] for i, w in want.items())
+
+
 def test_passages_odd(odd, none):
     assert repeated_passages(odd).count() == 0 and repeated_passages(none).count() == 0
     assert drop_repeated_passages(odd, repeated_passages(odd)).columns == odd.columns
