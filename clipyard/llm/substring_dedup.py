@@ -57,14 +57,17 @@ def compact_windows(v: np.ndarray, least: int, starts: np.ndarray | None = None)
     return first, c, last
 
 
-def stretches(rep: np.ndarray, percent: int, least: int) -> list[tuple[int, int]]:
-    """Maximal [start, end) of ``least`` or more in which every place lies in a row with ``percent`` of ``rep`` or more."""
+def stretches(rep: np.ndarray, percent: int, least: int, free: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Maximal [start, end) of ``least`` or more in which every place lies in a row with ``percent`` of ``rep`` or more; ``free`` places don't count against it."""
     if len(rep) < least:
         return []
-    sums = np.concatenate(([0], np.cumsum(np.where(rep, 100 - percent, -percent))))
+    cost = np.where(rep, 100 - percent, -percent)
+    if free is not None:
+        cost[free & ~rep] = 0
+    sums = np.concatenate(([0], np.cumsum(cost)))
     on = np.maximum.accumulate(sums[::-1])[::-1][1:] >= np.minimum.accumulate(sums)[:-1]
     edge = np.flatnonzero(np.diff(np.concatenate(([0], on.view(np.int8), [0]))))
-    return [(int(s), int(e)) for s, e in zip(edge[::2], edge[1::2], strict=True) if e - s >= least]
+    return [(int(s), int(e)) for s, e in zip(edge[::2], edge[1::2], strict=True) if e - s >= least and rep[s:e].any()]
 
 
 def among_smallest(rank: np.ndarray, least: int, p: int) -> np.ndarray:
@@ -125,7 +128,12 @@ def _rows(shared, least: int, percent: int, width: int):
                     if len(found[0]):
                         took.append(i)
                         sizes.append(len(tokens) + width - 1)
-                        small.append((tokens >> np.uint64(24)).astype(np.uint32).tobytes())
+                        # What lies in no stretch or occurs once equals nothing: zeros, which compress.
+                        own = np.zeros(len(tokens), np.uint32)
+                        twice = rep.seen_twice(tokens)
+                        for s, e in stretches(twice, percent, least):
+                            own[s:e] = np.where(twice[s:e], np.maximum(tokens[s:e] >> np.uint64(32), np.uint64(1)), np.uint64(0))
+                        small.append(own.tobytes())
                         for into, x in zip(lists, found, strict=True):
                             into.append(x)
                 cut = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in lists[0]]))).astype(np.int32))
@@ -192,6 +200,19 @@ def chains(i: np.ndarray, j: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def within(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of ``a`` are among the sorted ``b``."""
+    return b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+
+
+def again(a: np.ndarray) -> np.ndarray:
+    """Which places of ``a`` repeat an earlier one."""
+    order = np.argsort(a, kind="stable")
+    out = np.zeros(len(a), bool)
+    out[order[1:]] = a[order[1:]] == a[order[:-1]]
+    return out
+
+
 def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list[tuple[int, int, int, int, float]]:
     """(start, end, source start, source end, jaccard): spans of ``a`` and ``b`` of ``least`` or more tokens whose sets are similar.
 
@@ -208,12 +229,18 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
             out.append((s, e, s2, e2, both / union))
         return fine
 
-    i, j, size = equal_runs(a, b)
-    if not len(i):
+    if min(len(a), len(b)) < least:
         return out
-    in_b, in_a = np.isin(a, b), np.isin(b, a)
-    plain = len(distinct(a)) == len(a) and len(distinct(b)) == len(b)
-    sums = [np.concatenate(([0], np.cumsum(x))) for x in (in_b, in_a)]
+    in_b = within(a, np.sort(b))
+    again_a = again(a)
+    if not stretches(in_b, percent, least, again_a):
+        return out
+    in_a, again_b = within(b, np.sort(a)), again(b)
+    if not stretches(in_a, percent, least, again_b):
+        return out
+    i, j, size = equal_runs(a, b)
+    plain = not again_a.any() and not again_b.any()
+    lack = [np.concatenate(([0], np.cumsum(x))) for x in (~in_b & ~again_a, ~in_a & ~again_b)]
     for path in chains(i, j, size):
         s, s2, n = i[path], j[path], size[path]
         e, e2 = s + n, s2 + n
@@ -223,8 +250,9 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
         equal = total[None, 1:] - total[:-1, None]
         if plain:
             may = 100 * equal >= percent * (wide + wide2 - equal)
-        else:  # tokens that repeat in a span count once, so only what neither side can have decides
-            may = (100 * (sums[0][e][None, :] - sums[0][s][:, None]) >= percent * wide) & (100 * (sums[1][e2][None, :] - sums[1][s2][:, None]) >= percent * wide2)
+        else:  # tokens that repeat in a span count once, so only what the other side lacks decides
+            lacks = sum(x[t][None, :] - x[f][:, None] for x, f, t in ((lack[0], s, e), (lack[1], s2, e2)))
+            may = (100 - percent) * np.minimum(wide, wide2) >= percent * lacks
         left, right = np.nonzero(may & (wide >= least) & (wide2 >= least))
         held = np.zeros(len(path), bool)
         for k in np.argsort(-wide[left, right], kind="stable").tolist():
@@ -232,8 +260,7 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
             if not held[l : r + 1].all() and similar(int(s[l]), int(e[r]), int(s2[l]), int(e2[r])):
                 held[l : r + 1] = True
     # Shared in another order: what the chains left, as sets.
-    mine = [x for x in stretches(in_b, percent, least) if not any(y[0] < x[1] and x[0] < y[1] for y in out)]
-    for x in mine:
+    for x in [x for x in stretches(in_b, percent, least) if not any(y[0] < x[1] and x[0] < y[1] for y in out)]:
         for y in stretches(in_a, percent, least):
             s, e = (x[0] + f(np.flatnonzero(in_b[x[0] : x[1]])) for f in (np.min, np.max))
             s2, e2 = (y[0] + f(np.flatnonzero(in_a[y[0] : y[1]])) for f in (np.min, np.max))
@@ -242,6 +269,14 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
     return out
 
 
+def apart(data: bytes, side: int) -> np.ndarray:
+    """A text's tokens, the zeros as values that equal nothing."""
+    v = np.frombuffer(data, np.uint32).astype(np.int64)
+    zero = np.flatnonzero(v == 0)
+    v[zero] = (side << 40) + zero
+    return v
+
+
 FOUND = "doc_id long, uid long, start int, end int, source_id long, source_start int, source_end int, jaccard double"
 
 
@@ -250,7 +285,7 @@ def _verify(least: int, percent: int, width: int):
         for batch in batches:
             out, col = [], {c: batch.column(c) for c in batch.schema.names}
             for i in range(batch.num_rows):
-                a, b = (np.frombuffer(col[c][i].as_py(), np.uint32) for c in ("tokens", "s_tokens"))
+                a, b = (apart(col[c][i].as_py(), k) for k, c in enumerate(("tokens", "s_tokens"), 1))
                 for s, e, s2, e2, jaccard in joined_spans(a, b, least, percent):
                     out.append((col["doc_id"][i].as_py(), col["uid"][i].as_py(), s, e + width - 1, col["s_doc"][i].as_py(), s2, e2 + width - 1, jaccard))
             cols = list(zip(*out, strict=True)) or [()] * 8
