@@ -70,7 +70,7 @@ def _rows(shared, orders: int, width: int, percent: int, doc_type: pa.DataType):
                 live = len(found) == orders
                 tokens.append(found if live else None)
                 sets.append(own.tobytes() if live else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(tokens, pa.list_(pa.list_(pa.int64())))], names=["row", "uid", "n", "shingles", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(tokens, pa.list_(pa.list_(pa.int64()))), *batch.columns[2:]], names=["row", "uid", "n", "shingles", "tokens", *batch.schema.names[2:]])
 
     return run
 
@@ -191,18 +191,19 @@ def _spread(big: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return met.filter("linked AND uid <> leader").select(F.col("uid").alias("u"), F.col("leader").alias("v")).union(found)
 
 
-def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, orders: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, orders: int = 3, text: str = "text", doc_id: str = "doc_id", row_key: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that links of at least ``percent`` reach.
 
     Links are between sets of ``width``-word shingles (with fewer words, the whole sequence). Null, empty and blank
     texts have no shingle and link with nothing. Rows that repeat an id take part each with its own text; null ids
     take part, but a component's id is null only if all its ids are. Extra columns are left out; an empty table
-    gives an empty one.
+    gives an empty one. With ``row_key``, a long that tells rows apart, also row_key and kept: whether the row is its
+    component's first by id, null ids last, then by key.
     """
-    spark = docs.sparkSession
-    two = docs.select(F.col(doc_id).cast("long").alias("row"), F.col(text).cast("string").alias("text"))
+    spark, extra = docs.sparkSession, [] if row_key is None else ["key"]
+    two = docs.select(F.col(doc_id).cast("long").alias("row"), F.col(text).cast("string").alias("text"), *([F.col(row_key).cast("long").alias("key")] if extra else []))
     shared = spark.sparkContext.broadcast(pack_all(two, lambda texts, known: np.concatenate([_sets(words_of(t), known, width) for t in texts]), "text", "join-repeats"))
-    rows = staged(two.mapInArrow(_rows(shared, orders, width, percent, pa.int64()), "row long, uid long, n long, shingles binary, tokens array<array<long>>"), "join-rows")
+    rows = staged(two.mapInArrow(_rows(shared, orders, width, percent, pa.int64()), "row long, uid long, n long, shingles binary, tokens array<array<long>>" + (", key long" if extra else "")), "join-rows")
     live = rows.filter("tokens IS NOT NULL")
     cells = None
     for k in range(orders):
@@ -225,8 +226,9 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, order
     if not big.isEmpty():
         labels = labels.union(connected_components(_spread(big, sizes.filter(large), percent), "join-spread"))
     labels = staged(labels.filter("node <> label"), "join-labels")
-    named = rows.select("row", "uid", "n").join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-    named = staged(named.select("row", "n", "label"), "join-named")
-    least = named.filter("n > 0").groupBy("label").agg(F.min("row").alias("least"))
+    named = rows.select("row", "uid", "n", *extra).join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    named = staged(named.select("row", "n", "label", *extra), "join-named")
+    place = F.struct(F.col("row").isNull(), "row", *extra)
+    least = named.filter("n > 0").groupBy("label").agg(F.min("row").alias("least"), *([F.min(place).alias("first")] if extra else []))
     out = named.join(least, "label", "left")
-    return out.select(F.col("row").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("row")).alias("component_id"))
+    return out.select(F.col("row").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("row")).alias("component_id"), *([F.col("key").alias("row_key"), F.when(F.col("n") > 0, place.eqNullSafe(F.col("first"))).otherwise(F.lit(True)).alias("kept")] if extra else []))

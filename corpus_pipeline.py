@@ -17,7 +17,7 @@ from clipyard.llm.exact_dedup import exact_dedup
 from clipyard.llm.jaccard_join import jaccard_components
 from clipyard.llm.language_id import UNDETERMINED, fit_language_model, identify_language
 from clipyard.llm.packing import best_fit_pack
-from clipyard.llm.substring_dedup import drop_repeated_passages, repeated_passages
+from clipyard.llm.substring_dedup import document_key, drop_repeated_passages, repeated_passages
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -35,9 +35,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of smallest id stays."""
-    gone = jaccard_components(docs).filter("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates the row of smallest id stays, a null id last; ids may repeat."""
+    keyed = docs.withColumn("_row_key", document_key(F.col("doc_id"), F.col("text")))
+    gone = jaccard_components(keyed, row_key="_row_key").filter("NOT kept").select(F.col("row_key").alias("_row_key"))
+    return keyed.join(gone, "_row_key", "left_anti").select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

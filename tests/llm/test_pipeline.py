@@ -55,6 +55,18 @@ def test_exact_and_near_copies_go(steps):
     assert near == {i for i in sets if find(i) == i}
 
 
+def test_near_copies_with_repeated_and_null_ids(spark):
+    """Only the near copy goes, not a clean row of the same id; null ids and equal ids within a group leave one row."""
+    base = [f"w{k}" for k in range(100)]
+    near = lambda k: " ".join([*base[:50], f"new{k}", *base[51:]])
+    other = [" ".join(f"{t}{k}" for k in range(60)) for t in "xyz"]
+    null = [other[2] + " end", other[2]]
+    rows = [(1, near(0)), (2, near(1)), (2, other[0]), (3, other[1]), (1, near(2)), (None, near(3)), (None, null[0]), (None, null[1])]
+    got = corpus_pipeline.near(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA).collect()
+    assert sorted((r.doc_id or 0) for r in got) == [0, 1, 2, 3] and {r.text for r in got if r.doc_id == 2} == {other[0]}
+    assert {r.text for r in got if r.doc_id == 1} <= {near(0), near(2)} and {r.text for r in got if r.doc_id is None} <= set(null)
+
+
 def test_no_passage_of_fifty_words_is_left_twice(steps):
     before, after = ({r.doc_id: r.text.lower().split() for r in steps[k].collect()} for k in (3, 4))
     runs = {}
