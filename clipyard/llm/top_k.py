@@ -79,7 +79,8 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, i
     for r in range(len(q)):
         may = members.get(r)
         if may is None:  # all bands were read: the accumulators are whole, up to rounding
-            top = min(len(data), k + 1)
+            acc[r][ids == query_ids[r]] = -np.inf
+            top = min(len(data), k)
             kth = np.partition(acc[r], len(data) - top)[len(data) - top]
             may = np.flatnonzero(acc[r] >= kth - 1e-3 - abs(kth) * 1e-9)
         may = may[ids[may] != query_ids[r]]

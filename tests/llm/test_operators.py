@@ -109,6 +109,18 @@ def test_bands_add_up_and_stop_with_proof():
         assert ids.tolist() == want and score.tolist() == [s[j] for j in want]
 
 
+def test_a_repeated_id_with_other_vectors_hides_no_neighbour():
+    """The query's own rows are all nearer than the k others, and every vector has to be read to the end."""
+    x, ids = np.ones((200, 4), np.int64) * 100, np.arange(200)
+    x[:4] += np.arange(1, 5)[:, None]
+    ids[:4] = 0
+    for _, got, _ in search_block(x[:1], ids[:1], x, ids, 5):
+        assert got.tolist() == [4, 5, 6, 7, 8]
+    x[4:] -= np.arange(196)[:, None] % 90
+    for _, got, _ in search_block(x[:1], ids[:1], x, ids, 5, stop_at=-5):
+        assert got.tolist() == [4, 94, 184, 5, 95]
+
+
 # 2
 
 
