@@ -15,47 +15,52 @@ SPACES = "[ \\t-\\r]+"
 
 _LOCAL: dict[str, str] = {}
 
-#: Paths of the tables staged so far, in order.
-STAGED: list[str] = []
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (``spark.checkpoint.dir``); a temporary one only where unset."""
+    """The folder that all executors share (``spark.checkpoint.dir``); a temporary one only where unset and Spark is local."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="spark-")
     return f"file://{_LOCAL[app]}"
 
 
+#: Removes a write's shuffle files once it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The shuffle files of the write go when it has ended: only the written table is read from then on.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    STAGED.append(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
 
 
-def delete_paths(spark: SparkSession, paths: list[str]) -> None:
-    """Remove staged tables that nothing reads any more."""
-    for path in list(paths):
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``staged`` returned and that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(df.staged_path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        if path in STAGED:
-            STAGED.remove(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Remove a table that ``staged`` returned."""
-    delete_paths(df.sparkSession, [df.staged_path])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

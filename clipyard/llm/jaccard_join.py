@@ -4,14 +4,13 @@ If two sets have a Jaccard similarity of t, then under any one order of all toke
 set's first n - ceil(t n) + 1. Several orders give several such conditions, and a linked pair meets all of them:
 
 1. Count every shingle of the corpus in buckets; tasks get a bounded summary (which repeat, which are frequent).
-2. Each order sorts a document's shingles by (frequency class, a hash of its own), so frequent shingles come last.
-   Prefix tokens that occur once are dropped; a document that has none left under some order links with nothing.
-3. Under the first order, documents that share a prefix token fall into one cell; each further order cuts every
-   cell by the same rule. No link ever crosses cells.
-4. Cells are verified on whole shingle sets. A cell needs its components, not all its pairs: a pivot is compared
-   with every other document through an inverted index, and only documents outside the largest component pivot.
-   A cell above a bound is spread: all its rows meet one leader, then those that don't link with it meet all rows
-   in blocks of bounded size.
+   Only repeated shingles can be shared, so a text goes on with those alone, and only if they are enough for a link.
+2. Each order sorts a text's shingles by (frequency class, a hash of its own): single ones first, frequent ones last.
+3. Texts that share a prefix token under the first order are candidate pairs: all pairs of a token of few texts; of
+   hotter tokens, the text with the largest repeated part with all others. A pair stays if sizes allow a link and
+   the two also share a prefix token under every other order; then their sets are compared.
+4. A hot token whose texts these links bring into one component is settled. What is left meets all texts of its
+   hot tokens in blocks of bounded size through an inverted index, so no list of all pairs is ever made.
 
 Copies share a 64-bit id of their word sequence from the start and enter once (two different sequences share an id
 with a chance of 3e-20 a pair). Shingles are 64-bit hashes.
@@ -27,15 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
-from .shingles import WordHashes, connected_components, distinct, mix, pack_all, shingle_hashes, word_hashes, words_of
+from .common import chunks_by_bytes, discard, staged
+from .shingles import WordHashes, connected_components, distinct, mix, repeated_shingles, shingle_arrays, words_of
 
-#: Cells up to so many documents and shingles are verified in one task; larger ones are spread.
-CELL_DOCS, CELL_SHINGLES = 4000, 4_000_000
-
-
-def _sets(words: list[bytes], known: WordHashes, width: int) -> np.ndarray:
-    return distinct(shingle_hashes(word_hashes(words, known), width))
+#: All pairs of a token are candidates up to so many texts.
+FEW = 16
+#: A block of what is left holds about so many texts and shingles.
+BLOCK_DOCS, BLOCK_SHINGLES = 2000, 1_000_000
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -43,34 +40,40 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _rows(shared, orders: int, width: int, percent: int, doc_type: pa.DataType):
+def prefixes(own: np.ndarray, single: int, weight: np.ndarray, orders: int, percent: int) -> list[np.ndarray]:
+    """The repeated tokens ``own`` among a set's first ones, under each order; ``single`` more tokens occur once and come first."""
+    p = prefix_length(len(own) + single, percent) - single
+    cls = np.where(weight > 0, (2 * np.log2(np.maximum(weight, 1))).astype(np.uint64), np.uint64(0))
+    out = []
+    for k in range(orders):
+        rank = (cls << np.uint64(57)) | (mix(own, k) >> np.uint64(7))
+        out.append(own[np.argpartition(rank, p - 1)[:p]] if p < len(own) else own)
+    return out
+
+
+ROWS = "row long, uid long, n long, shingles binary, tokens array<array<long>>"
+
+
+def _rows(shared, orders: int, width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rep, known = shared.value, WordHashes()
         for batch in batches:
-            uids, sizes, sets, tokens = [], [], [], []
-            for t in batch.column(1).to_pylist():
-                hashed = word_hashes(words_of(t), known)
-                own = distinct(shingle_hashes(hashed, width))
-                uids.append(xxhash.xxh3_64_intdigest(hashed.tobytes()) - (1 << 63))
-                sizes.append(len(own))
-                found = []
-                if len(own):
-                    p = prefix_length(len(own), percent)
-                    twice = rep.seen_twice(own)
-                    if twice.any():
-                        w = rep.weight(own)
-                        cls = np.where(w > 0, (2 * np.log2(np.maximum(w, 1))).astype(np.uint64) + np.uint64(1), np.uint64(0))
-                        for k in range(orders):
-                            rank = (cls << np.uint64(57)) | (mix(own, k) >> np.uint64(7))
-                            first = np.argpartition(rank, p - 1)[:p] if p < len(own) else np.arange(len(own))
-                            first = first[twice[first]]
-                            if not len(first):
-                                break
-                            found.append(own[first].view(np.int64).tolist())
-                live = len(found) == orders
-                tokens.append(found if live else None)
-                sets.append(own.tobytes() if live else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(tokens, pa.list_(pa.list_(pa.int64()))), *batch.columns[2:]], names=["row", "uid", "n", "shingles", "tokens", *batch.schema.names[2:]])
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in chunks_by_bytes(texts, 2_000_000):
+                flat, bounds, hashed, ends = shingle_arrays([words_of(t) for t in texts[a:b]], known, width)
+                twice = rep.seen_twice(flat)
+                uids, sizes, sets, tokens = [], [], [], []
+                for i in range(b - a):
+                    on, whole = twice[bounds[i] : bounds[i + 1]], flat[bounds[i] : bounds[i + 1]]
+                    own = distinct(whole[on])
+                    single = len(on) - int(np.count_nonzero(on))  # what isn't repeated stands at one place
+                    n = len(own) + single
+                    live = len(own) > 0 and 100 * len(own) >= percent * n
+                    uids.append(xxhash.xxh3_64_intdigest(hashed[ends[i] : ends[i + 1]].tobytes()) - (1 << 63))
+                    sizes.append(n)
+                    sets.append(own.tobytes() if live else None)
+                    tokens.append([x.view(np.int64) for x in prefixes(own, single, rep.weight(own), orders, percent)] if live else None)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(tokens, pa.list_(pa.list_(pa.int64()))), *[c.slice(a, b - a) for c in batch.columns[2:]]], names=["row", "uid", "n", "shingles", "tokens", *batch.schema.names[2:]])
 
     return run
 
@@ -85,110 +88,97 @@ class Roots:
             x = self.up[x]
         return x
 
-    def join(self, a: int, b: int) -> None:
+    def join(self, a: int, b: int) -> bool:
         a, b = self.find(a), self.find(b)
         if a != b:
             self.up[max(a, b)] = min(a, b)
+        return a != b
 
 
 class Index:
     """Inverted index of some sets: how many elements each shares with a given one."""
 
     def __init__(self, sets: list[np.ndarray]):
-        self.sizes = np.array([len(s) for s in sets])
-        flat = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        sizes = [len(s) for s in sets]
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
         order = np.argsort(flat, kind="stable")
-        flat, self.owner = flat[order], owner[order]
+        flat, self.owner, self.count = flat[order], owner[order], len(sets)
         first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
         self.values, self.first = flat[first], np.append(first, len(flat))
 
-    def linked(self, own: np.ndarray, percent: int) -> np.ndarray:
-        at = np.searchsorted(self.values, own)
-        at = at[(at < len(self.values))]
-        at = at[np.isin(self.values[at], own)]
-        a, b = self.first[at], self.first[at + 1]
-        n = b - a
-        where = np.repeat(a - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        both = np.bincount(self.owner[where], minlength=len(self.sizes))
-        return np.flatnonzero((both > 0) & (100 * both >= percent * (self.sizes + len(own) - both)))
-
-
-def components(sets: list[np.ndarray], percent: int) -> list[int]:
-    """For each set the first set of its component under links, without comparing within a component."""
-    roots, index, n = Roots(len(sets)), Index(sets), len(sets)
-    todo = set(range(n))
-    pivot = 0
-    while True:
-        todo.discard(pivot)
-        for x in index.linked(sets[pivot], percent).tolist():
-            roots.join(pivot, x)
-        top = np.array([roots.find(x) for x in range(n)]) if n > 64 or not todo else None
-        if not todo:
-            break
-        if top is None:
-            top = np.array([roots.find(x) for x in range(n)])
-        largest = np.bincount(top).argmax()
-        out = next((x for x in sorted(todo) if top[x] != largest), None)
-        if out is None:
-            break
-        pivot = out
-    return [roots.find(x) for x in range(n)]
-
-
-def _cell(percent: int):
-    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        uid = rows.column("uid").to_numpy()
-        order = np.argsort(uid)
-        raw = rows.column("shingles").to_pylist()
-        top = components([np.frombuffer(raw[i], np.uint64) for i in order], percent)
-        return pa.table({"node": pa.array(uid[order]), "label": pa.array(uid[order][top])})
+    def shared(self, own: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
+        at = at[self.values[at] == own]
+        a, n = self.first[at], self.first[at + 1] - self.first[at]
+        where = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(self.owner[where], minlength=self.count)
 
-    return run
 
+def linked(both, n, m, percent: int):
+    """Whether sets of ``n`` and ``m`` tokens that share ``both`` are similar enough."""
+    return 100 * both >= percent * (n + m - both)
 
-def _leader(percent: int):
+
+def _compare(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column("shingles").to_pylist(), batch.column("l_shingles").to_pylist(), strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("cell"), batch.column("uid"), batch.column("leader"), pa.array(keep, pa.bool_())], names=["cell", "uid", "leader", "linked"])
+            for a, b, n, m in zip(*(batch.column(c).to_pylist() for c in ("shingles", "v_shingles", "n", "v_n")), strict=True):
+                both = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
+                keep.append(linked(both, n, m, percent))
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def _blocks(percent: int):
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
-        ids = left.column("uid").to_numpy()
-        index = Index([np.frombuffer(x, np.uint64) for x in left.column("shingles").to_pylist()])
-        pairs = [(u, x) for u, s in zip(right.column("uid").to_pylist(), right.column("shingles").to_pylist(), strict=True) for x in ids[index.linked(np.frombuffer(s, np.uint64), percent)].tolist() if x != u]
-        u, v = zip(*pairs, strict=True) if pairs else ((), ())
+        u, v = [], []
+        if left.num_rows and right.num_rows:
+            ids, sizes, labels = (left.column(c).to_numpy() for c in ("uid", "n", "label"))
+            index, at = Index([np.frombuffer(x, np.uint64) for x in left.column("shingles").to_pylist()]), {}
+            names, where = np.unique(np.concatenate((labels, right.column("label").to_numpy())), return_inverse=True)
+            roots = Roots(len(names))
+            for i, (uid, n, s) in enumerate(zip(*(right.column(c).to_pylist() for c in ("uid", "n", "shingles")), strict=True)):
+                both = index.shared(np.frombuffer(s, np.uint64))
+                for x in np.flatnonzero((both > 0) & linked(both, sizes, n, percent)).tolist():
+                    if roots.join(int(where[x]), int(where[len(ids) + i])):  # one link a pair of components is enough
+                        u.append(uid)
+                        v.append(int(ids[x]))
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
 
 
-def _spread(big: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Edges among the rows of cells above the bound: leader links, then all rows against those it doesn't reach."""
-    lead = big.groupBy("cell").agg(F.min_by(F.struct("uid", "shingles"), "uid").alias("l")).select("cell", F.col("l.uid").alias("leader"), F.col("l.shingles").alias("l_shingles"))
-    met = staged(big.join(lead.hint("merge"), "cell").mapInArrow(_leader(percent), "cell long, uid long, leader long, linked boolean"), "join-leaders")
-    rest = staged(big.join(met.filter("NOT linked").select("cell", "uid"), ["cell", "uid"]), "join-rest")
-    blocks = lambda docs, n: F.greatest(F.lit(1), F.ceil(docs / F.lit(CELL_DOCS)), F.ceil(n / F.lit(CELL_SHINGLES))).cast("int")
-    left_n = sizes.select("cell", blocks(F.col("docs"), F.col("total")).alias("lb"))
-    right_n = rest.groupBy("cell").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total")).select("cell", blocks(F.col("docs"), F.col("total")).alias("rb"))
-    n = left_n.join(right_n, "cell")
+def _candidates(met: DataFrame, percent: int) -> DataFrame:
+    """(u, v), u < v: all pairs of a token's few texts; its leader with each of many; sizes allow a link."""
+    fits = lambda a, b: 100 * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+    few = met.filter(F.col("m") <= FEW).groupBy("token").agg(F.array_sort(F.collect_list(F.struct("uid", "n"))).alias("all"))
+    pair = lambda x, i: F.transform(F.filter(F.slice("all", F.lit(1), i), lambda y: fits(x["n"], y["n"])), lambda y: F.struct(y["uid"].alias("u"), x["uid"].alias("v")))
+    pairs = few.select(F.explode(F.flatten(F.transform("all", pair))).alias("p")).select("p.u", "p.v")
+    hot = met.filter((F.col("m") > FEW) & (F.col("uid") != F.col("lead.uid")) & fits(F.col("n"), F.col("lead.n")))
+    return pairs.union(hot.select(F.least("uid", "lead.uid"), F.greatest("uid", "lead.uid"))).distinct()
+
+
+def _rest(open_: DataFrame, texts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links between the texts of open hot tokens: those outside a cell's largest component against the whole cell, in blocks."""
+    lists = open_.groupBy("token").agg(F.min("uid").alias("a"))
+    edges = open_.join(lists, "token").filter("uid <> a").select(F.col("uid").alias("u"), F.col("a").alias("v"))
+    cells = connected_components(edges, "join-cells").select(F.col("node").alias("uid"), F.col("label").alias("cell"))
+    members = cells.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    members = staged(members.join(texts.select("uid", "n", "shingles").hint("merge"), "uid"), "join-members")
+    weight = F.octet_length("shingles") / 8
+    parts = members.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("docs"), F.sum(weight).alias("total"))
+    top = parts.groupBy("cell").agg(F.max_by("label", F.struct("docs", "label")).alias("top"), F.sum("docs").alias("docs"), F.sum("total").alias("total"), F.max(F.struct("docs", "label", "total")).alias("big"))
+    blocks = lambda docs, n: F.greatest(F.lit(1), F.ceil(docs / F.lit(BLOCK_DOCS)), F.ceil(n / F.lit(BLOCK_SHINGLES))).cast("int")
+    cut = top.select("cell", "top", blocks(F.col("docs"), F.col("total")).alias("lb"), blocks(F.col("docs") - F.col("big.docs"), F.col("total") - F.col("big.total")).alias("rb"))
+    placed = members.join(cut, "cell")
     place = lambda of: F.pmod(F.xxhash64("uid"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    left = big.join(n, "cell").select("cell", place("lb").alias("a"), every("rb").alias("b"), "uid", "shingles")
-    right = rest.join(n, "cell").select("cell", every("lb").alias("a"), place("rb").alias("b"), "uid", "shingles")
-    key = ["cell", "a", "b"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_blocks(percent), "u long, v long")
-    return met.filter("linked AND uid <> leader").select(F.col("uid").alias("u"), F.col("leader").alias("v")).union(found)
+    left = placed.select("cell", place("lb").alias("a"), every("rb").alias("b"), "uid", "n", "label", "shingles")
+    right = placed.filter("label <> top").select("cell", every("lb").alias("a"), place("rb").alias("b"), "uid", "n", "label", "shingles")
+    key, right = ["cell", "a", "b"], right.toDF(*right.columns)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_blocks(percent), "u long, v long")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, orders: int = 3, text: str = "text", doc_id: str = "doc_id", row_key: str | None = None) -> DataFrame:
@@ -202,32 +192,31 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5, order
     """
     spark, extra = docs.sparkSession, [] if row_key is None else ["key"]
     two = docs.select(F.col(doc_id).cast("long").alias("row"), F.col(text).cast("string").alias("text"), *([F.col(row_key).cast("long").alias("key")] if extra else []))
-    shared = spark.sparkContext.broadcast(pack_all(two, lambda texts, known: np.concatenate([_sets(words_of(t), known, width) for t in texts]), "text", "join-repeats"))
-    rows = staged(two.mapInArrow(_rows(shared, orders, width, percent, pa.int64()), "row long, uid long, n long, shingles binary, tokens array<array<long>>" + (", key long" if extra else "")), "join-rows")
-    live = rows.filter("tokens IS NOT NULL")
-    cells = None
-    for k in range(orders):
-        token = live.select("uid", F.explode(F.col("tokens")[k]).alias("token"))
-        token = token.withColumn("cell", F.lit(0).cast("long")) if cells is None else token.join(cells, "uid")
-        lists = token.groupBy("cell", "token").agg(F.min("uid").alias("a"), F.max("uid").alias("b")).filter("a < b").select("cell", "token", "a")
-        edges = token.join(lists.hint("merge"), ["cell", "token"]).filter("uid <> a").select(F.col("uid").alias("u"), F.col("a").alias("v"))
-        cells = connected_components(edges, f"join-cells-{k}").select(F.col("node").alias("uid"), F.col("label").alias("cell"))
-    # Cells get their size from narrow rows; each text's set then moves once, from one of its rows.
-    texts = staged(live.groupBy("uid").agg(F.min("row").alias("one"), F.first("n").alias("n")).join(cells, "uid"), "join-texts")
-    sizes = staged(texts.groupBy("cell").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total")), "join-sizes")
-    large = (F.col("docs") > CELL_DOCS) | (F.col("total") > CELL_SHINGLES)
-    chosen = texts.join(sizes.select("cell", large.cast("int").alias("large")), "cell").select(F.col("uid").alias("t_uid"), "one", "cell", "large")
-    # Not an equality of columns: the rows are dealt by uid alone, as the next step wants them.
-    same = F.coalesce("row", F.lit(-1)).bitwiseXOR(F.coalesce("one", F.lit(-1))) == 0
-    sets = live.select("row", "uid", "n", "shingles").join(chosen.hint("merge"), (F.col("uid") == F.col("t_uid")) & same)
-    members = staged(sets.select("cell", "uid", "n", "shingles", "large").dropDuplicates(["uid"]), "join-members", "large")
-    big, small = members.filter("large = 1").drop("large"), members.filter("large = 0")
-    labels = small.select("cell", "uid", "shingles").groupBy("cell").applyInArrow(_cell(percent), "node long, label long")
-    if not big.isEmpty():
-        labels = labels.union(connected_components(_spread(big, sizes.filter(large), percent), "join-spread"))
-    labels = staged(labels.filter("node <> label"), "join-labels")
+    shared = spark.sparkContext.broadcast(repeated_shingles(two, width, "text", "join-repeats"))
+    rows = staged(two.mapInArrow(_rows(shared, orders, width, percent), ROWS + (", key long" if extra else "")), "join-rows")
+    texts = staged(rows.filter("tokens IS NOT NULL").select("uid", "n", "shingles", "tokens").dropDuplicates(["uid"]), "join-texts")
+    token = texts.select("uid", "n", (F.octet_length("shingles") / F.col("n")).alias("part"), F.explode(F.col("tokens")[0]).alias("token"))
+    lists = token.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.max(F.struct("part", (-F.col("uid")).alias("no"), "uid", "n")).alias("lead")).filter("m > 1")
+    met = staged(token.select("token", "uid", "n").join(lists.select("token", "m", F.struct("lead.uid", "lead.n").alias("lead")).hint("merge"), "token"), "join-met")
+    side = texts.select("uid", "n", "shingles", F.slice("tokens", 2, max(1, orders - 1)).alias("tokens"))
+    pairs = _candidates(met, percent).join(side.hint("merge"), F.col("u") == F.col("uid")).select("v", "uid", "n", "shingles", "tokens")
+    pairs = pairs.join(side.select(F.col("uid").alias("v"), F.col("n").alias("v_n"), F.col("shingles").alias("v_shingles"), F.col("tokens").alias("v_tokens")).hint("merge"), "v")
+    for k in range(orders - 1):
+        pairs = pairs.filter(F.arrays_overlap(F.col("tokens")[k], F.col("v_tokens")[k]))
+    links = staged(pairs.select("uid", "v", "n", "v_n", "shingles", "v_shingles").mapInArrow(_compare(percent), "u long, v long"), "join-links")
+    labels = staged(connected_components(links, "join-first").filter("node <> label"), "join-labels")
+    hot = met.filter(F.col("m") > FEW).select("token", "uid").join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    unsettled = hot.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
+    open_ = staged(hot.select("token", "uid").join(unsettled.hint("merge"), "token", "left_semi"), "join-open")
+    if not open_.isEmpty():
+        more = staged(_rest(open_, texts, labels, percent), "join-more")
+        joined = connected_components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(more), "join-last")
+        old, labels = labels, staged(joined.filter("node <> label"), "join-labels")
+        discard(old, more)
+    discard(texts, met, links, open_)
     named = rows.select("row", "uid", "n", *extra).join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     named = staged(named.select("row", "n", "label", *extra), "join-named")
+    discard(rows, labels)
     place = F.struct(F.col("row").isNull(), "row", *extra)
     least = named.filter("n > 0").groupBy("label").agg(F.min("row").alias("least"), *([F.min(place).alias("first")] if extra else []))
     out = named.join(least, "label", "left")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,25 +58,21 @@ def shingle_hashes(hashed: np.ndarray, width: int = 5) -> np.ndarray:
         return mix(out)
 
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
-_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-
-class Runs:
-    """Digests of runs of equal length in a hash sequence, from sums of a polynomial modulo 2^64."""
-
-    def __init__(self, h: np.ndarray):
-        global _powers
-        with np.errstate(over="ignore"):
-            if len(_powers[0]) < len(h):
-                n = 1 << (len(h) - 1).bit_length()
-                _powers = tuple(np.concatenate(([np.uint64(1)], np.cumprod(np.full(n - 1, b)))) for b in (np.uint64(_BASE), _INVERSE))
-            self.sums = np.concatenate(([np.uint64(0)], np.cumsum(h * _powers[0][: len(h)])))
-
-    def digest(self, start: np.ndarray, size: int, seed: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mix((self.sums[start + size] - self.sums[start]) * _powers[1][start], seed)
+def shingle_arrays(words: list[list[bytes]], known: WordHashes, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shingles, their bounds, word hashes, their bounds) of many texts, one after the other; as ``shingle_hashes`` of each."""
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    hashed = np.fromiter((known[w] for own in words for w in own), np.uint64, int(n.sum()))
+    ends = np.concatenate(([0], np.cumsum(n)))
+    sizes = np.where(n >= width, n - width + 1, (n > 0).astype(np.int64))
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    out = np.zeros(bounds[-1], np.uint64)
+    if len(hashed) >= width:
+        whole = shingle_hashes(hashed, width)  # those across two texts are left out
+        at = np.repeat(ends[:-1] - bounds[:-1], sizes) + np.arange(bounds[-1])
+        out = whole[np.minimum(at, len(whole) - 1)]
+    for i in np.flatnonzero((n > 0) & (n < width)):
+        out[bounds[i]] = shingle_hashes(hashed[ends[i] : ends[i + 1]], width)[0]
+    return out, bounds, hashed, ends
 
 
 def distinct(h: np.ndarray) -> np.ndarray:
@@ -105,37 +101,40 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.cumsum(d, dtype=np.uint32)
 
 
-class Packer:
-    """Gathers hashes and gives them out as (bucket, sorted four-byte values) rows."""
-
-    def __init__(self, bits: int, most: int = 2_000_000):
-        self.bits, self.most, self.held, self.n = bits, most, [], 0
+def packed_counts(held: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    """Hashes as one row a bucket: distinct four-byte values, and place and count of those that occur more than once."""
+    h = np.sort(np.concatenate([np.zeros(0, np.uint64), *held]))
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+    n, h = np.diff(np.append(first, len(h))), h[first]
+    bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+    value = (h >> np.uint64(32 - bits)).astype(np.uint32)
+    starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(h) else np.zeros(0, np.int64)
+    data, more = [], []
+    for a, b in zip(starts, np.append(starts, len(h))[1:], strict=True):
+        data.append(to_planes(value[a:b]))
+        at = np.flatnonzero(n[a:b] > 1)
+        more.append(np.concatenate((at, n[a:b][at])).astype("<u4").tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts], pa.int64()), pa.array(data, pa.binary()), pa.array(more, pa.binary())], names=["bucket", "data", "more"])
 
-    def add(self, h: np.ndarray) -> bool:
-        self.held.append(h)
-        self.n += len(h)
-        return self.n > self.most
 
-    def rows(self) -> pa.RecordBatch:
-        h = np.sort(np.concatenate([np.zeros(0, np.uint64), *self.held]))
-        self.held, self.n = [], 0
-        bucket = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(h) else np.zeros(0, int)
-        value = (h >> np.uint64(32 - self.bits)).astype(np.uint32)
-        ends = np.append(first, len(h))[1:]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), pa.array([to_planes(value[a:b]) for a, b in zip(first, ends, strict=True)], pa.binary())], names=["bucket", "data"])
-
-
-PACKED = "bucket long, data binary"
+PACKED = "bucket long, data binary, more binary"
 
 
 def _repeated(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    parts = [from_planes(x) for x in rows.column("data").to_pylist()]
-    v = np.sort(np.concatenate(parts))
+    parts, counts = [], []
+    for data, more in zip(rows.column("data").to_pylist(), rows.column("more").to_pylist(), strict=True):
+        parts.append(from_planes(data))
+        n = np.ones(len(parts[-1]), np.int64)
+        at, times = np.frombuffer(more, "<u4").reshape(2, -1)
+        n[at] = times
+        counts.append(n)
+    v, n = np.concatenate(parts), np.concatenate(counts)
+    order = np.argsort(v, kind="stable")
+    v, n = v[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
-    n = np.diff(np.append(first, len(v)))
-    more = n > 1
-    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([int(more.sum())], pa.int64()), "vals": pa.array([v[first][more].tobytes()], pa.binary()), "counts": pa.array([n[more].astype(np.uint32).tobytes()], pa.binary())})
+    n = np.add.reduceat(n, first)
+    on = n > 1
+    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([int(on.sum())], pa.int64()), "vals": pa.array([v[first][on].tobytes()], pa.binary()), "counts": pa.array([np.minimum(n[on], (1 << 32) - 1).astype(np.uint32).tobytes()], pa.binary())})
 
 
 def places(value: np.ndarray, log2: int) -> list[np.ndarray]:
@@ -220,19 +219,25 @@ def repeats(packed: DataFrame, bits: int, name: str, most_bits: int = 1 << 29, m
     return Repeats(bits, log2, {r["bucket"]: np.frombuffer(r["map"], np.uint8) for r in got}, keys, ns)
 
 
-def pack_all(docs: DataFrame, hashes: Callable, text: str, name: str) -> Repeats:
-    """Repeats among ``hashes(texts, known)``, one array for a list of texts, over every text."""
+def repeated_shingles(docs: DataFrame, width: int, text: str, name: str, flush: int = 2_000_000) -> Repeats:
+    """Which ``width``-word shingles stand at two places or more, over every text.
+
+    Each task counts before it sends, so a shingle of every text is one value a task and ``flush`` hashes.
+    """
     total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
     bits = bucket_bits(total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, out = WordHashes(), Packer(bits)
+        known, held, n = WordHashes(), [], 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in chunks_by_bytes([t or "" for t in texts], 2_000_000):
-                if out.add(hashes(texts[a:b], known)):
-                    yield out.rows()
-        yield out.rows()
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            for a, b in chunks_by_bytes(texts, 2_000_000):
+                held.append(shingle_arrays([words_of(t) for t in texts[a:b]], known, width)[0])
+                n += len(held[-1])
+                if n > flush:
+                    yield packed_counts(held, bits)
+                    held, n = [], 0
+        yield packed_counts(held, bits)
 
     return repeats(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, PACKED), bits, name)
 

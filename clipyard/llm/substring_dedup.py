@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import chunks_by_bytes, discard, staged
 from .jaccard_join import prefix_length
-from .shingles import Repeats, WordHashes, distinct, mix, pack_all, shingle_hashes, word_hashes, words_of
+from .shingles import Repeats, WordHashes, distinct, mix, repeated_shingles, shingle_hashes, word_hashes, words_of
 
 
 def compact_windows(v: np.ndarray, least: int, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -316,7 +316,7 @@ def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width
     """
     spark, least = docs.sparkSession, words - width + 1
     four = docs.select(F.col(doc_id).cast("long").alias("doc_id"), document_key(F.col(doc_id), F.col(text)).alias("uid"), F.xxhash64(F.col(text).cast("string")).alias("tid"), F.col(text).cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(pack_all(four, lambda texts, known: np.concatenate([np.zeros(0, np.uint64), *_tokens(texts, known, width)]), "text", "passage-repeats"))
+    shared = spark.sparkContext.broadcast(repeated_shingles(four, width, "text", "passage-repeats"))
     rows = staged(four.mapInArrow(_rows(shared, least, percent, width), "doc_id long, uid long, tid long, n int, tokens binary, keys array<long>, lo array<int>, hi array<int>"), "passage-rows")
     # Of equal texts the first stands for all: the others are wholly its passage.
     first = rows.groupBy("tid").agg(F.min(F.struct("doc_id", "uid")).alias("f"))

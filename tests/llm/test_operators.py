@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from clipyard.llm import jaccard_join, lattice
 from clipyard.llm.common import Memo, crc_bucket, heaviest, space_units
 from clipyard.llm.exact_dedup import exact_dedup
-from clipyard.llm.jaccard_join import components, jaccard_components, prefix_length
+from clipyard.llm.jaccard_join import Index, jaccard_components, prefix_length, prefixes
 from clipyard.llm.language_id import fit_language_model, identify_language
 from clipyard.llm.lm_scoring import lm_scores
 from clipyard.llm.packing import best_fit_pack, plan, unit_ids
 from clipyard.llm.quality import fit_additive, quality_scores
 from clipyard.llm.sentencepiece_codec import combine, decode, encode_n_best, text_units
-from clipyard.llm.shingles import connected_components
+from clipyard.llm.shingles import WordHashes, connected_components, from_planes, packed_counts, shingle_arrays, shingle_hashes, word_hashes, words_of
 from clipyard.llm.substring_dedup import compact_windows, cut_words, drop_repeated_passages, repeated_passages
 from clipyard.llm.token_counts import token_counts
 from clipyard.llm.top_k import bands, search_block, top_k
@@ -253,13 +253,27 @@ def links_by_hand(texts):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("cell", [4000, 2])
-def test_jaccard_components(spark, corpus, monkeypatch, cell):
-    monkeypatch.setattr(jaccard_join, "CELL_DOCS", cell)
+@pytest.mark.parametrize(("few", "block"), [(16, 2000), (1, 2000), (1, 2), (3, 3)])
+def test_jaccard_components(spark, corpus, monkeypatch, few, block):
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", block)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(corpus).collect()}
     assert got == links_by_hand(whole(corpus))
 
 
+def test_hot_families_of_near_copies(spark, monkeypatch):
+    """Sixty copies of one text with other words changed in each: most pairs are too far apart, some chains link."""
+    monkeypatch.setattr(jaccard_join, "FEW", 4)
+    rng, base, texts = random.Random(5), prose(900, 60).split(), {}
+    for i in range(60):
+        own = list(base)
+        for k in rng.sample(range(60), i % 5):
+            own[k] = f"new{rng.randrange(4)}"
+        texts[i] = " ".join(own)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect()} == links_by_hand(texts)
+
+
 def test_jaccard_components_odd(odd, none):
     got = jaccard_components(odd).collect()
     assert len(got) == odd.count() and {r.component_id for r in got if r.doc_id in (0, 1, 2, 3)} == {0, 1, 2, 3}
@@ -267,19 +281,34 @@ def test_jaccard_components_odd(odd, none):
     assert jaccard_components(none).count() == 0
 
 
-def test_components_and_prefix():
+def test_prefixes_meet_and_index_counts():
     assert [prefix_length(n, 75) for n in (1, 4, 5, 100)] == [1, 2, 2, 26]
     rng = np.random.default_rng(0)
     sets = [np.sort(rng.choice(1 << 40, 50, replace=False)).astype(np.uint64) for _ in range(8)]
     sets += [np.unique(np.concatenate((sets[0][k:], rng.integers(1 << 50, 1 << 51, k, dtype=np.uint64)))) for k in range(1, 20)]
-    top = components(sets, 75)
-    up = list(range(len(sets)))
-    for _ in sets:
-        for a, b in itertools.combinations(range(len(sets)), 2):
-            both = len(np.intersect1d(sets[a], sets[b]))
-            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
-                up[a] = up[b] = min(up[a], up[b])
-    assert top == up
+    index, first = Index(sets), [prefixes(s, 0, np.zeros(len(s), np.uint32), 3, 75) for s in sets]
+    for a, s in enumerate(sets):
+        want = [len(np.intersect1d(s, x)) for x in sets]
+        assert index.shared(s).tolist() == want
+        for b, both in enumerate(want):
+            if 100 * both >= 75 * (len(s) + len(sets[b]) - both):
+                assert all(len(np.intersect1d(x, y)) for x, y in zip(first[a], first[b], strict=True))
+
+
+def test_shingles_of_many_texts_and_counts():
+    texts, known = ["a b c d e f g", "", "x y", "a b c d e", " ", "q"], WordHashes()
+    flat, bounds, _, _ = shingle_arrays([words_of(t) for t in texts], known, 5)
+    for i, t in enumerate(texts):
+        assert flat[bounds[i] : bounds[i + 1]].tolist() == shingle_hashes(word_hashes(words_of(t), known)).tolist()
+    got = packed_counts([flat, flat[:2]], 6).to_pylist()
+    seen = collections.Counter((int(h) >> 58, (int(h) >> 26) & 0xFFFFFFFF) for h in [*flat, *flat[:2]])
+    back = {}
+    for r in got:
+        n = {v: 1 for v in from_planes(r["data"]).tolist()}
+        at, times = np.frombuffer(r["more"], "<u4").reshape(2, -1)
+        n |= {list(n)[i]: int(k) for i, k in zip(at, times, strict=True)}
+        back |= {(r["bucket"], v): k for v, k in n.items()}
+    assert back == seen
 
 
 def test_connected_components(spark):
