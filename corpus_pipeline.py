@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipyard.llm.common import STAGED, crc_bucket, delete_paths, staged
+from clipyard.llm.common import crc_bucket, discard, staged
 from clipyard.llm.exact_dedup import exact_dedup
 from clipyard.llm.jaccard_join import jaccard_components
 from clipyard.llm.language_id import UNDETERMINED, fit_language_model, identify_language
@@ -52,29 +52,12 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return best_fit_pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_left: list[str] = []
-
-
-def _tidy(stage: Stage) -> Stage:
-    """The stage, which first removes the inner tables of the one before: that one's result is written by then."""
-
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        delete_paths(spark, _left)
-        before = set(STAGED)
-        out = stage(spark, docs, sf_dir)
-        _left[:] = [p for p in STAGED if p not in before]
-        return out
-
-    return run_stage
-
-
-STAGES = [
-    ("language ID", _tidy(language_id)),
-    ("exact dedup", _tidy(exact)),
-    ("n-gram Jaccard join", _tidy(near)),
-    ("substring dedup", _tidy(passages)),
-    ("best-fit packing", _tidy(packing)),
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", language_id),
+    ("exact dedup", exact),
+    ("n-gram Jaccard join", near),
+    ("substring dedup", passages),
+    ("best-fit packing", packing),
 ]
 
 #: No SQL form: the stages' models and tokenisers aren't SQL. tests/llm compares the run with plain versions.
@@ -82,7 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), "stage-" + "".join(c if c.isalnum() else "-" for c in name))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
