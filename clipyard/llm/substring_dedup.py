@@ -1,19 +1,24 @@
-"""Near-duplicate passages by rarest shared tokens and chains of equal runs.
-
-A token is a word shingle. A passage can only repeat where three quarters of the tokens occur twice in the corpus;
-such stretches come out of one pass over the text. There, under one order of all tokens (rare before frequent, then by
-hash), a token is a key if it is among the smallest of any window of the least passage length: as many as two
-similar passages need to share one, whichever words were changed (the prefix filter of set joins, on windows).
-
-Documents meet on a key. All pairs of a key of few windows are candidates. A key of many windows has all its windows
-meet the first; a window whose neighbourhood no verified passage covers then meets every earlier window of the key,
-so nothing hangs on what the first window looks like. Candidate documents are verified as a whole: runs of equal
-tokens on any diagonal are chained, and the widest joined spans whose two token sets are similar enough are passages;
-stretches whose tokens are shared in another order are compared as sets.
+"""Near-duplicate passages by compact windows of token min-hashes.
+
+A token is a word shingle. Under each of several hash functions a text's compact windows are the nodes of its Cartesian
+tree: all runs of the least passage length or more inside a window have their min-hash at the window's centre, so a
+window stands for very many passages. Only repeated tokens take part, and only stretches where a passage can repeat at
+all: three quarters of its tokens occur twice in the corpus.
+
+Windows meet on (function, min-hash). Of a key of few windows all pairs of texts are joined: the windows that a pair
+shares under different functions must overlap on both sides by the least length (interval join, ``min_hits`` functions).
+A key of many windows has all its texts meet the first. Candidate texts are verified as a whole: runs of equal tokens on
+any diagonal are chained, and the widest joined spans whose token sets are similar enough are passages; stretches
+whose tokens are shared in another order are compared as sets. A window of a hot key that no passage covers after
+that is compared with all earlier windows of its key, in blocks of bounded size, by an inverted index of their tokens.
+
+Two passages of Jaccard similarity J share their min-hash under a function with probability J or more, so a pair of
+J = 0.75 is missed with probability 0.005 at most (two functions of six); equal passages of the least length share all.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -23,8 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks_by_bytes, discard, staged
-from .jaccard_join import prefix_length
-from .shingles import Repeats, WordHashes, distinct, mix, repeated_shingles, shingle_hashes, word_hashes, words_of
+from .shingles import WordHashes, distinct, mix, repeated_shingles, shingle_arrays, words_of
+
+#: All pairs of a key's windows are candidates up to so many windows.
+FEW = 8
+#: Windows in a block of a hot key.
+BLOCK = 2000
 
 
 def compact_windows(v: np.ndarray, least: int, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,77 +79,58 @@ def stretches(rep: np.ndarray, percent: int, least: int, free: np.ndarray | None
     return [(int(s), int(e)) for s, e in zip(edge[::2], edge[1::2], strict=True) if e - s >= least and rep[s:e].any()]
 
 
-def among_smallest(rank: np.ndarray, least: int, p: int) -> np.ndarray:
-    """Which places have fewer than ``p`` smaller ones in some window of ``least`` around them; beyond the ends nothing is smaller."""
-    n, side = len(rank), least - 1
-    wide = np.concatenate((np.full(side, ~np.uint64(0)), rank, np.full(side, ~np.uint64(0))))
-    kind = np.int8 if least < 128 else np.int32
-    right = np.zeros((least, n), kind)
-    for d in range(1, least):
-        right[d] = right[d - 1] + (wide[side + d : side + d + n] < rank)
-    left, best = np.zeros(n, kind), right[side].copy()
-    for d in range(1, least):
-        left += wide[side - d : side - d + n] < rank
-        np.minimum(best, left + right[side - d], out=best)
-    return best < p
-
-
-def _tokens(texts: list[str | None], known: WordHashes, width: int) -> list[np.ndarray]:
-    """Each text's shingles; nothing of texts of fewer words."""
-    return [shingle_hashes(word_hashes(w, known), width) if len(w) >= width else np.zeros(0, np.uint64) for w in map(words_of, texts)]
-
-
-def window_keys(tokens: np.ndarray, rep: Repeats, least: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, lo, hi) of a text's keys, each once, and the tokens [lo, hi) around it that a passage might hold."""
-    twice, p = rep.seen_twice(tokens), prefix_length(least, percent)
-    keys, lows, highs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for a, b in stretches(twice, percent, least):
-        own, on = tokens[a:b], twice[a:b]
-        w = rep.weight(own)
-        cls = np.where(w > 0, (2 * np.log2(np.maximum(w, 1))).astype(np.uint64) + np.uint64(2), on.astype(np.uint64))
-        rank = (cls << np.uint64(57)) | (mix(own) >> np.uint64(7))
-        for x in range(0, b - a, 100_000):
-            y = min(b - a, x + 100_000)
-            first, last = max(0, x - least), min(b - a, y + least)
-            at = x + np.flatnonzero(among_smallest(rank[first:last], least, p)[x - first : y - first] & on[x:y])
-            places = np.flatnonzero(on)
-            keys.append(own[at])
-            lows.append(a + places[np.searchsorted(places, at - least + 1)])
-            highs.append(a + places[np.searchsorted(places, at + least - 1, side="right") - 1] + 1)
-    key, low, high = np.concatenate(keys), np.concatenate(lows), np.concatenate(highs)
-    if not len(key):
-        return key, low, high
-    order = np.argsort(key, kind="stable")
-    key, low, high = key[order], low[order], high[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[first], np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)
-
-
-def _rows(shared, least: int, percent: int, width: int):
+def window_keys(tokens: np.ndarray, on: np.ndarray, least: int, functions: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, c, first, end) of the compact windows under each function, over the tokens that are ``on``; a key's last three bits are its function."""
+    out = []
+    for f in range(functions):
+        rank = np.where(on, mix(tokens, f) >> np.uint64(1), np.uint64(1 << 63) + np.arange(len(tokens), dtype=np.uint64))
+        first, c, last = compact_windows(rank, least, starts)
+        use = on[c]
+        first, c, last = first[use], c[use], last[use]
+        out.append(((mix(tokens[c], 64 + f) & ~np.uint64(7)) | np.uint64(f), c, first, last + 1))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+ROWS = "doc_id long, uid long, tid long, n int, tokens binary, keys array<long>, lo array<int>, hi array<int>"
+
+
+def _rows(shared, least: int, percent: int, width: int, functions: int):
+    def some(flat: np.ndarray, bounds: np.ndarray, twice: np.ndarray) -> tuple[list[int], list[bytes], list[np.ndarray], np.ndarray]:
+        """Texts with windows, their tokens in stretches (zeros elsewhere), and the windows by text."""
+        sums, owners, spans = np.concatenate(([0], np.cumsum(twice))), [], []
+        size = np.diff(bounds)
+        for i in np.flatnonzero((size >= least) & (100 * (sums[bounds[1:]] - sums[bounds[:-1]]) >= percent * least)).tolist():
+            for s, e in stretches(twice[bounds[i] : bounds[i + 1]], percent, least):
+                owners.append(i)
+                spans.append((bounds[i] + s, bounds[i] + e))
+        if not spans:
+            return [], [], [], np.zeros(1, np.int64)
+        at = np.concatenate([np.arange(s, e) for s, e in spans])
+        ends = np.cumsum([e - s for s, e in spans])
+        starts = np.concatenate([np.arange(x - (e - s), x - least + 1) for (s, e), x in zip(spans, ends, strict=True)])
+        own, on = flat[at], twice[at]
+        key, c, first, end = window_keys(own, on, least, functions, starts)
+        owner = np.repeat(owners, [e - s for s, e in spans])
+        order = np.argsort(owner[c], kind="stable")
+        whose = owner[c][order]
+        lo, hi = at[first][order] - bounds[whose], at[end - 1][order] + 1 - bounds[whose]
+        texts, cuts = np.unique(whose, return_index=True)
+        # 32 bits of a token's hash; what lies in no stretch or occurs once equals nothing: zeros, which compress.
+        value = np.zeros(len(flat), "<u4")
+        value[at] = np.where(on, np.maximum(own >> np.uint64(32), np.uint64(1)), np.uint64(0))
+        return texts.tolist(), [value[bounds[i] : bounds[i + 1]].tobytes() for i in texts], [key[order].view(np.int64), lo.astype(np.int32), hi.astype(np.int32)], np.append(cuts, len(key))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rep, known = shared.value, WordHashes()
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            for a, b in chunks_by_bytes([t or "" for t in texts], 2_000_000):
-                took, sizes, small, lists = [], [], [], ([], [], [])
-                for i, tokens in enumerate(_tokens(texts[a:b], known, width), a):
-                    found = window_keys(tokens, rep, least, percent)
-                    if len(found[0]):
-                        took.append(i)
-                        sizes.append(len(tokens) + width - 1)
-                        # What lies in no stretch or occurs once equals nothing: zeros, which compress.
-                        own = np.zeros(len(tokens), np.uint32)
-                        twice = rep.seen_twice(tokens)
-                        for s, e in stretches(twice, percent, least):
-                            own[s:e] = np.where(twice[s:e], np.maximum(tokens[s:e] >> np.uint64(32), np.uint64(1)), np.uint64(0))
-                        small.append(own.tobytes())
-                        for into, x in zip(lists, found, strict=True):
-                            into.append(x)
-                cut = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in lists[0]]))).astype(np.int32))
-                flat = [np.concatenate([np.zeros(0, np.int64), *(x.view(np.int64) for x in into)]) for into in lists]
-                arrays = [pa.ListArray.from_arrays(cut, pa.array(v if k == 0 else v.astype(np.int32))) for k, v in enumerate(flat)]
-                where = pa.array(took, pa.int64())
-                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(where) for k in range(3)], pa.array(sizes, pa.int32()), pa.array(small, pa.binary()), *arrays], names=["doc_id", "uid", "tid", "n", "tokens", "keys", "lo", "hi"])
+            texts = [t or "" for t in batch.column(3).to_pylist()]
+            for a, b in chunks_by_bytes(texts, 2_000_000):
+                flat, bounds, _, _ = shingle_arrays([words_of(t) for t in texts[a:b]], known, width)
+                took, tokens, lists, cuts = some(flat, bounds, rep.seen_twice(flat))
+                if took:
+                    where, cut = pa.array([a + i for i in took], pa.int64()), pa.array(cuts.astype(np.int32))
+                    sizes = [int(bounds[i + 1] - bounds[i]) + width - 1 for i in took]
+                    yield pa.RecordBatch.from_arrays([*[batch.column(k).take(where) for k in range(3)], pa.array(sizes, pa.int32()), pa.array(tokens, pa.binary()), *[pa.ListArray.from_arrays(cut, pa.array(x)) for x in lists]], names=["doc_id", "uid", "tid", "n", "tokens", "keys", "lo", "hi"])
 
     return run
 
@@ -176,16 +166,21 @@ def equal_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def chains(i: np.ndarray, j: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-    """Runs joined in step: each to the one before it, on both sides, at the least distance, if it is that one's nearest too."""
-    n = len(i)
-    before, cost = np.full(n, -1), np.full(n, np.iinfo(np.int64).max)
-    for k in range(1, n):
+    """Runs joined in step: each to the one before it if that is near, else to the nearest earlier one in step, if it is that one's nearest too."""
+    n, far = len(i), np.iinfo(np.int64).max
+    if n and (np.diff(j) > 0).all():
+        return [np.arange(n)]
+    before, cost = np.full(n, -1), np.full(n, far)
+    near = np.abs(i[1:] - i[:-1] - size[:-1]) + np.abs(j[1:] - j[:-1] - size[:-1])
+    easy = (j[1:] > j[:-1]) & (i[1:] > i[:-1]) & (near <= 16)
+    before[1:][easy], cost[1:][easy] = np.flatnonzero(easy), near[easy]
+    for k in np.flatnonzero(before < 0)[1:].tolist():
         di, dj = i[k] - (i[:k] + size[:k]), j[k] - (j[:k] + size[:k])
-        far = np.abs(di) + np.abs(dj)
-        far[(j[:k] >= j[k]) | (i[:k] >= i[k]) | (di + size[k] <= 0) | (dj + size[k] <= 0)] = np.iinfo(np.int64).max
-        q = k - 1 - int(np.argmin(far[::-1]))
-        if far[q] < np.iinfo(np.int64).max:
-            before[k], cost[k] = q, far[q]
+        away = np.abs(di) + np.abs(dj)
+        away[(j[:k] >= j[k]) | (i[:k] >= i[k]) | (di + size[k] <= 0) | (dj + size[k] <= 0)] = far
+        q = k - 1 - int(np.argmin(away[::-1]))
+        if away[q] < far:
+            before[k], cost[k] = q, away[q]
     after: dict[int, int] = {}
     for k in np.argsort(cost, kind="stable").tolist():
         if before[k] >= 0:
@@ -213,6 +208,32 @@ def again(a: np.ndarray) -> np.ndarray:
     return out
 
 
+def chain_spans(s, e, s2, e2, least: int, percent: int, lack: list[np.ndarray] | None) -> Iterator[tuple[int, int]]:
+    """(first run, last run) of a chain's spans that may be similar, the widest first; with ``lack`` (tokens repeat) all such spans, else of each first run the widest, which is similar."""
+    n = e - s
+    total = np.concatenate(([0], np.cumsum(n)))
+    found = []
+    for a in range(0, len(s), 256):
+        at = slice(a, a + 256)
+        wide, wide2 = e[None, :] - s[at, None], e2[None, :] - s2[at, None]
+        if lack is None:
+            equal = total[None, 1:] - total[:-1][at, None]
+            may = 100 * equal >= percent * (wide + wide2 - equal)
+        else:  # tokens that repeat in a span count once, so only what the other side lacks decides
+            lacks = sum(x[t][None, :] - x[f][at, None] for x, f, t in ((lack[0], s, e), (lack[1], s2, e2)))
+            may = (100 - percent) * np.minimum(wide, wide2) >= percent * lacks
+        may &= (wide >= least) & (wide2 >= least)
+        if lack is None:
+            left = np.flatnonzero(may.any(axis=1))
+            right = may.shape[1] - 1 - np.argmax(may[left, ::-1], axis=1)
+        else:
+            left, right = np.nonzero(may)
+        found.append((wide[left, right], left + a, right))
+    wide, left, right = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(-wide, kind="stable")
+    return zip(left[order].tolist(), right[order].tolist(), strict=True)
+
+
 def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list[tuple[int, int, int, int, float]]:
     """(start, end, source start, source end, jaccard): spans of ``a`` and ``b`` of ``least`` or more tokens whose sets are similar.
 
@@ -220,6 +241,22 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
     a similar span holds.
     """
     out: list[tuple[int, int, int, int, float]] = []
+    if min(len(a), len(b)) < least:
+        return out
+    in_b = within(a, np.sort(b))
+    if 100 * np.count_nonzero(in_b) < percent * least:
+        return out
+    at = np.flatnonzero(in_b)
+    a0, a, in_b = int(at[0]), a[at[0] : at[-1] + 1], in_b[at[0] : at[-1] + 1]
+    in_a = within(b, np.sort(a))
+    at = np.flatnonzero(in_a)
+    b0, b, in_a = int(at[0]), b[at[0] : at[-1] + 1], in_a[at[0] : at[-1] + 1]
+    if min(len(a), len(b)) < least:
+        return out
+    again_a, again_b = again(a), again(b)
+    on_a, on_b = stretches(in_b, percent, least, again_a), stretches(in_a, percent, least, again_b)
+    if not on_a or not on_b:
+        return out
 
     def similar(s: int, e: int, s2: int, e2: int) -> bool:
         x, y = distinct(a[s:e]), distinct(b[s2:e2])
@@ -229,44 +266,27 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
             out.append((s, e, s2, e2, both / union))
         return fine
 
-    if min(len(a), len(b)) < least:
-        return out
-    in_b = within(a, np.sort(b))
-    again_a = again(a)
-    if not stretches(in_b, percent, least, again_a):
-        return out
-    in_a, again_b = within(b, np.sort(a)), again(b)
-    if not stretches(in_a, percent, least, again_b):
-        return out
     i, j, size = equal_runs(a, b)
-    plain = not again_a.any() and not again_b.any()
-    lack = [np.concatenate(([0], np.cumsum(x))) for x in (~in_b & ~again_a, ~in_a & ~again_b)]
+    lack = None
+    if again_a.any() or again_b.any():
+        lack = [np.concatenate(([0], np.cumsum(x))) for x in (~in_b & ~again_a, ~in_a & ~again_b)]
     for path in chains(i, j, size):
         s, s2, n = i[path], j[path], size[path]
         e, e2 = s + n, s2 + n
-        if e[-1] - s[0] < least or e2[-1] - s2[0] < least:
+        if e[-1] - s[0] < least or e2[-1] - s2[0] < least or similar(int(s[0]), int(e[-1]), int(s2[0]), int(e2[-1])):
             continue
-        wide, wide2, total = e[None, :] - s[:, None], e2[None, :] - s2[:, None], np.concatenate(([0], np.cumsum(n)))
-        equal = total[None, 1:] - total[:-1, None]
-        if plain:
-            may = 100 * equal >= percent * (wide + wide2 - equal)
-        else:  # tokens that repeat in a span count once, so only what the other side lacks decides
-            lacks = sum(x[t][None, :] - x[f][:, None] for x, f, t in ((lack[0], s, e), (lack[1], s2, e2)))
-            may = (100 - percent) * np.minimum(wide, wide2) >= percent * lacks
-        left, right = np.nonzero(may & (wide >= least) & (wide2 >= least))
         held = np.zeros(len(path), bool)
-        for k in np.argsort(-wide[left, right], kind="stable").tolist():
-            l, r = int(left[k]), int(right[k])
+        for l, r in chain_spans(s, e, s2, e2, least, percent, lack):
             if not held[l : r + 1].all() and similar(int(s[l]), int(e[r]), int(s2[l]), int(e2[r])):
                 held[l : r + 1] = True
     # Shared in another order: what the chains left, as sets.
-    for x in [x for x in stretches(in_b, percent, least) if not any(y[0] < x[1] and x[0] < y[1] for y in out)]:
-        for y in stretches(in_a, percent, least):
+    for x in [x for x in on_a if not any(y[0] < x[1] and x[0] < y[1] for y in out)]:
+        for y in on_b:
             s, e = (x[0] + f(np.flatnonzero(in_b[x[0] : x[1]])) for f in (np.min, np.max))
             s2, e2 = (y[0] + f(np.flatnonzero(in_a[y[0] : y[1]])) for f in (np.min, np.max))
             if min(e - s, e2 - s2) + 1 >= least:
                 similar(int(s), int(e) + 1, int(s2), int(e2) + 1)
-    return out
+    return [(s + a0, e + a0, s2 + b0, e2 + b0, x) for s, e, s2, e2, x in out]
 
 
 def apart(data: bytes, side: int) -> np.ndarray:
@@ -278,6 +298,12 @@ def apart(data: bytes, side: int) -> np.ndarray:
 
 
 FOUND = "doc_id long, uid long, start int, end int, source_id long, source_start int, source_end int, jaccard double"
+_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+
+
+def _found(rows: list[tuple]) -> pa.Table:
+    cols = list(zip(*rows, strict=True)) or [()] * 8
+    return pa.table([pa.array(c, k) for c, k in zip(cols, _KINDS, strict=True)], names=[x.split()[0] for x in FOUND.split(", ")])
 
 
 def _verify(least: int, percent: int, width: int):
@@ -288,9 +314,65 @@ def _verify(least: int, percent: int, width: int):
                 a, b = (apart(col[c][i].as_py(), k) for k, c in enumerate(("tokens", "s_tokens"), 1))
                 for s, e, s2, e2, jaccard in joined_spans(a, b, least, percent):
                     out.append((col["doc_id"][i].as_py(), col["uid"][i].as_py(), s, e + width - 1, col["s_doc"][i].as_py(), s2, e2 + width - 1, jaccard))
-            cols = list(zip(*out, strict=True)) or [()] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in FOUND.split(", ")])
+            yield from _found(out).to_batches()
+
+    return run
+
+
+class Windows:
+    """Windows of a block, in order of their texts, with an inverted index of their tokens."""
+
+    def __init__(self, tokens: list[np.ndarray]):
+        self.count = len(tokens)
+        flat, owner = np.concatenate(tokens), np.repeat(np.arange(len(tokens), dtype=np.int32), [len(x) for x in tokens])
+        by = np.argsort(flat, kind="stable")
+        flat, self.owner = flat[by], owner[by]
+        first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+        self.values, self.first = flat[first], np.append(first, len(flat))
+
+    def reach(self, own: np.ndarray, before: int, least: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the windows before ``before`` may share a passage with ``own``, and the places of ``own`` it may hold."""
+        at = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
+        place = np.flatnonzero((self.values[at] == own) & (own > 0))
+        a = self.first[at[place]]
+        n = self.first[at[place] + 1] - a
+        who = self.owner[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        place = np.repeat(place, n)
+        place, who = place[who < before], who[who < before]
+        enough = np.flatnonzero(100 * np.bincount(who, minlength=self.count) >= percent * least)
+        row = np.full(self.count, -1)
+        row[enough] = np.arange(len(enough))
+        use = row[who] >= 0
+        has = np.zeros((len(enough), len(own)), bool)
+        has[row[who[use]], place[use]] = True
+        free = again(own) & (own > 0)
+        cost = np.where(has, np.int32(100 - percent), np.where(free, np.int32(0), np.int32(-percent)))
+        sums = np.zeros((len(enough), len(own) + 1), np.int32)
+        np.cumsum(cost, axis=1, out=sums[:, 1:])
+        on = np.maximum.accumulate(sums[:, ::-1], axis=1)[:, ::-1][:, 1:] >= np.minimum.accumulate(sums, axis=1)[:, :-1]
+        far = on.sum(axis=1) >= least
+        return enough[far], on[far]
+
+
+def _hot_windows(least: int, percent: int, width: int):
+    def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if left.num_rows and right.num_rows:
+            left, right = (t.sort_by([("doc_id", "ascending"), ("uid", "ascending")]) for t in (left, right))
+            place = lambda t: list(zip(*(t.column(c).to_pylist() for c in ("doc_id", "uid")), strict=True))
+            texts, l_lo = place(left), left.column("lo").to_pylist()
+            raw = [np.frombuffer(x, np.uint32) for x in left.column("tokens").to_pylist()]
+            index, low = Windows([np.unique(x[x > 0]) for x in raw]), [(d is not None, d or 0, u) for d, u in texts]
+            for (doc, uid), lo, tokens in zip(place(right), right.column("lo").to_pylist(), right.column("tokens").to_pylist(), strict=True):
+                own = np.frombuffer(tokens, np.uint32)
+                who, may = index.reach(own, bisect.bisect_left(low, (doc is not None, doc or 0, uid)), least, percent)
+                open_ = np.ones(len(own), bool)
+                for w, on in zip(who.tolist(), may, strict=True):
+                    if (on & open_).any():
+                        for s, e, s2, e2, jaccard in joined_spans(apart(tokens, 1), apart(raw[w].tobytes(), 2), least, percent):
+                            open_[s:e] = False
+                            out.append((doc, uid, lo + s, lo + e + width - 1, texts[w][0], l_lo[w] + s2, l_lo[w] + e2 + width - 1, jaccard))
+        return _found(out)
 
     return run
 
@@ -300,24 +382,31 @@ def document_key(doc_id, text):
     return F.xxhash64(doc_id.cast("long"), text.cast("string"))
 
 
-#: All pairs of a key's windows are candidates up to so many windows.
-FEW = 8
+def _shared_windows(met: DataFrame, least: int, min_hits: int) -> DataFrame:
+    """(uid, s_uid) of texts whose shared windows under ``min_hits`` functions overlap by ``least`` on both sides."""
+    few = met.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("w", "lo", "hi"))).alias("all"))
+    pair = lambda x, i: F.transform(F.filter(F.slice("all", F.lit(1), i), lambda y: y["w"] < x["w"]), lambda y: F.struct(x["w"]["uid"].alias("uid"), y["w"]["uid"].alias("s_uid"), F.struct((F.col("key").bitwiseAND(7)).alias("f"), x["lo"].alias("lo"), x["hi"].alias("hi"), y["lo"].alias("lo2"), y["hi"].alias("hi2")).alias("x")))
+    hits = few.select(F.explode(F.flatten(F.transform("all", pair))).alias("p")).select("p.*").groupBy("uid", "s_uid").agg(F.collect_list("x").alias("hits"))
+    meet = lambda a, b: (F.least(a["hi"], b["hi"]) - F.greatest(a["lo"], b["lo"]) >= least) & (F.least(a["hi2"], b["hi2"]) - F.greatest(a["lo2"], b["lo2"]) >= least)
+    enough = F.exists("hits", lambda a: F.size(F.array_distinct(F.transform(F.filter("hits", lambda b: meet(a, b)), lambda b: b["f"]))) >= min_hits)
+    return hits.filter(enough).select("uid", "s_uid")
 
 
-def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width: int = 5, functions: int = 6, min_hits: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, uid, start, end, source_id, source_start, source_end, jaccard: word spans [start, end) of ``doc_id`` that near-duplicate a passage of an earlier document.
 
     Passages have ``words`` or more words on both sides, begin and end with shared ``width``-word shingles, and have a
-    similarity of ``percent`` or more between their sets of shingles; words may be changed, inserted or deleted.
-    Earlier: smaller doc_id, null ids first; rows with equal id and text are one document (``uid`` tells rows with
-    equal ids apart). A document lists each source it meets, so spans may overlap; of a frequent passage that may be
-    the first source only. Null and short texts have no passage; extra columns are left out; an empty table gives an
-    empty one.
+    similarity of ``percent`` or more between their sets of shingles (compared by 32 bits of their hashes); words may be
+    changed, inserted or deleted. Earlier: smaller doc_id, null ids first; rows with equal id and text are one document
+    (``uid`` tells rows with equal ids apart), and equal texts (by a 64-bit hash) are told as whole passages of the first.
+    A document lists each source it meets, so spans may overlap; of a frequent passage that may be the first source only.
+    Null and short texts have no passage; extra columns are left out; an empty table gives an empty one. ``functions``: 8 at
+    most.
     """
     spark, least = docs.sparkSession, words - width + 1
     four = docs.select(F.col(doc_id).cast("long").alias("doc_id"), document_key(F.col(doc_id), F.col(text)).alias("uid"), F.xxhash64(F.col(text).cast("string")).alias("tid"), F.col(text).cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(repeated_shingles(four, width, "text", "passage-repeats"))
-    rows = staged(four.mapInArrow(_rows(shared, least, percent, width), "doc_id long, uid long, tid long, n int, tokens binary, keys array<long>, lo array<int>, hi array<int>"), "passage-rows")
+    rows = staged(four.mapInArrow(_rows(shared, least, percent, width, functions), ROWS), "passage-rows")
     # Of equal texts the first stands for all: the others are wholly its passage.
     first = rows.groupBy("tid").agg(F.min(F.struct("doc_id", "uid")).alias("f"))
     told = staged(rows.select("doc_id", "uid", "tid", "n").distinct().join(first.hint("merge"), "tid"), "passage-texts")
@@ -326,27 +415,31 @@ def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width
     discard(rows)
     x = F.explode(F.arrays_zip("keys", "lo", "hi")).alias("x")
     windows = single.select(F.struct("doc_id", "uid").alias("w"), x).select(F.col("x.keys").alias("key"), "w", F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"))
-    groups = windows.groupBy("key").agg(F.min("w").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    groups = windows.groupBy("key").agg(F.min("w").alias("a"), F.max("w").alias("z"), F.count(F.lit(1)).alias("m")).filter("a <> z").drop("z")
     met = staged(windows.join(groups.hint("merge"), "key"), "passage-windows")
-    few = met.filter(F.col("m") <= FEW).groupBy("key").agg(F.array_sort(F.collect_list("w")).alias("all"))
-    pairs = few.select(F.explode(F.flatten(F.transform("all", lambda m, i: F.transform(F.slice("all", F.lit(1), i), lambda s: F.struct(m["uid"].alias("uid"), s["uid"].alias("s_uid")))))).alias("p")).select("p.*")
     hot = met.filter(F.col("m") > FEW)
-    pairs = staged(pairs.unionByName(hot.filter("w.uid <> a.uid").select(F.col("w.uid").alias("uid"), F.col("a.uid").alias("s_uid"))).distinct(), "passage-pairs")
-    known = single.select("uid", "doc_id", "tokens")
-    sources = single.select(F.col("uid").alias("s_uid"), F.col("doc_id").alias("s_doc"), F.col("tokens").alias("s_tokens"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        whole = pairs.join(known.hint("merge"), "uid").join(sources.hint("merge"), "s_uid").select("doc_id", "uid", "tokens", "s_doc", "s_tokens")
-        return staged(whole.mapInArrow(_verify(least, percent, width), FOUND), "passage-found")
-
-    found = verified(pairs)
-    # Windows of hot keys that the first one didn't settle.
+    star = hot.filter("w.uid <> a.uid").select(F.col("w.uid").alias("uid"), F.col("a.uid").alias("s_uid"))
+    pairs = _shared_windows(met.filter(F.col("m") <= FEW), least, min_hits).union(star).distinct()
+    side = single.select("uid", "doc_id", "tokens")
+    whole = pairs.join(side.hint("merge"), "uid").join(side.select(F.col("uid").alias("s_uid"), F.col("doc_id").alias("s_doc"), F.col("tokens").alias("s_tokens")).hint("merge"), "s_uid")
+    found = staged(whole.select("doc_id", "uid", "tokens", "s_doc", "s_tokens").mapInArrow(_verify(least, percent, width), FOUND), "passage-found")
+    # Windows of hot keys that no passage covers.
     spans = found.groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    open_ = hot.filter("w.uid <> a.uid").select("key", "w", "lo", "hi", F.col("w.uid").alias("uid")).join(spans.hint("merge"), "uid", "left")
-    open_ = open_.filter(~F.coalesce(F.exists("spans", lambda s: (s["start"] <= F.col("lo")) & (s["end"] >= F.col("hi") + width - 1)), F.lit(False)))
-    more = open_.select("key", "w").join(hot.select("key", F.col("w").alias("s")).hint("merge"), "key").filter("w > s").select(F.col("w.uid").alias("uid"), F.col("s.uid").alias("s_uid")).distinct()
-    more = staged(more.join(pairs, ["uid", "s_uid"], "left_anti"), "passage-more")
-    return found.unionByName(verified(more)).unionByName(copies)
+    covered = F.exists("spans", lambda s: (s["start"] <= F.col("lo")) & (s["end"] >= F.col("hi") + width - 1))
+    mine = hot.select("key", F.col("w.doc_id").alias("doc_id"), F.col("w.uid").alias("uid"), "lo", "hi", F.col("a.uid").alias("a"))
+    mine = mine.join(spans.hint("merge"), "uid", "left").withColumn("open", (F.col("uid") != F.col("a")) & ~F.coalesce(covered, F.lit(False))).drop("spans", "a")
+    cut = mine.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.count_if("open").alias("o")).filter("o > 0")
+    cut = cut.select("key", *[F.ceil(F.col(c) / F.lit(BLOCK)).cast("int").alias(n) for c, n in (("m", "lb"), ("o", "rb"))])
+    held = mine.join(cut.hint("merge"), "key").join(single.select("uid", "tokens").hint("merge"), "uid")
+    held = staged(held.select("key", "doc_id", "uid", "lo", "open", "lb", "rb", F.expr("substring(tokens, 4 * lo + 1, 4 * (hi - lo))").alias("tokens")), "passage-open")
+    place = lambda of: F.pmod(F.xxhash64("uid", "lo"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    left = held.select("key", place("lb").alias("p"), every("rb").alias("q"), "doc_id", "uid", "lo", "tokens")
+    right = held.filter("open").select("key", every("lb").alias("p"), place("rb").alias("q"), "doc_id", "uid", "lo", "tokens")
+    right = right.toDF(*right.columns)
+    more = staged(left.groupBy("key", "p", "q").cogroup(right.groupBy("key", "p", "q")).applyInArrow(_hot_windows(least, percent, width), FOUND).distinct(), "passage-more")
+    discard(single, met, held)
+    return found.unionByName(more).unionByName(copies)
 
 
 _WORD = re.compile("[^ \t-\r]+")
