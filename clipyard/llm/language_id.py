@@ -21,10 +21,15 @@ from pyspark.sql import functions as F
 from .common import Memo, chunks_by_bytes
 from .lattice import SPACE, load_pieces, log_marginals
 
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character has the Unicode category L; numbers such as one half or a superscript haven't."""
+    return any(m[0].isalpha() for m in _MAYBE.finditer(text))
+
+
 @functools.lru_cache(maxsize=2)
 def processor(model: str):
     import sentencepiece
@@ -76,7 +81,8 @@ class LanguageModel:
 def fit_language_model(train: DataFrame, model: str, text: str = "text", lang: str = "lang", smoothing: float = 0.1, max_langs: int = 500) -> LanguageModel:
     """Piece probabilities and document shares of each language in ``train``; rows with a null language are left out.
 
-    Raises if there are more than ``max_langs`` languages, the bound of what the driver holds and broadcasts.
+    Null and empty texts count for their language's share only; extra columns are left out; an empty table gives a
+    model without languages, by which every text is undetermined. A long text is counted whole, word by word. Raises if there are more than ``max_langs`` languages, the bound of what the driver holds and broadcasts.
     """
     two = train.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).filter("lang IS NOT NULL")
     rows = two.mapInArrow(_count(model), "lang string, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
@@ -104,7 +110,7 @@ def _predict(model: str, shared):
                 words = [t.lower().split() for t in texts[a:b]]
                 memo.fill(words)
                 for t, w in zip(texts[a:b], words, strict=True):
-                    if not m.langs or not _LETTER.search(t):
+                    if not m.langs or not has_letter(t):
                         preds.append(UNDETERMINED)
                         scores.append(0.0)
                         continue
@@ -121,7 +127,8 @@ def identify_language(docs: DataFrame, lm: LanguageModel, model: str, text: str
     """row, lang_pred, score of every row. ``row``: the column or struct to carry, else ``doc_id``.
 
     ``und`` with score 0 where the text is null or has no letter, or where nothing was learned; otherwise the score
-    is the language's posterior probability and ties go to the first name. Ids may be null or repeat.
+    is the language's posterior probability and ties go to the first name. Ids may be null or repeat; each row is
+    told for itself, whole, however long. Extra columns are left out unless carried; an empty table gives an empty one.
     """
     row = F.col("doc_id") if carry is None else carry
     two = docs.select(row.alias("row"), F.col(text).cast("string").alias("text"))
