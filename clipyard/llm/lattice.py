@@ -74,7 +74,11 @@ class Pieces:
 
 @functools.lru_cache(maxsize=4)
 def load_pieces(model_path: str) -> Pieces:
-    """The pieces and scores of a SentencePiece model file."""
+    """The pieces of a SentencePiece model file and their natural log probabilities.
+
+    A unigram model has these itself. A BPE model has merge ranks, which are no probabilities: rank r counts as Zipf's
+    1 / (r + 100), byte pieces as the last rank, over their sum.
+    """
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
@@ -88,7 +92,12 @@ def load_pieces(model_path: str) -> Pieces:
             if byte[i]:
                 byte_ids[int(p[1:-1], 16)] = i
     usable = np.array([not (byte[i] or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) for i in range(n)])
-    return Pieces(pieces, np.array([sp.get_score(i) for i in range(n)]), byte_ids, usable)
+    scores = np.array([sp.get_score(i) for i in range(n)])
+    if (scores[usable] == np.round(scores[usable])).all():
+        counted = usable | np.array(byte)
+        rank = np.where(usable, -scores, -scores[usable].min(initial=0))
+        scores = -np.log(rank + 100) - np.log((1 / (rank[counted] + 100)).sum())
+    return Pieces(pieces, scores, byte_ids, usable)
 
 
 def _matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -298,21 +307,41 @@ def n_best(v: Pieces, word: str, n: int) -> list[tuple[float, list[int]]]:
     return out
 
 
+def _long_expected(v: Pieces, word: str, weight: float, logp: np.ndarray, out: np.ndarray) -> None:
+    """``expected_counts`` of one word: forward sums of every position, then backward over the edges from each."""
+    get, n, lp = v.values.get, len(word), logp.tolist()
+
+    def edges_from(i: int):
+        if get(word[i], NONE) < 0:
+            ids = v.fallback_ids(word[i])
+            yield i + 1, ids, sum(lp[x] for x in ids)
+        for k in range(1, min(v.longest, n - i) + 1):
+            x = get(word[i : i + k], NONE)
+            if x == NONE:
+                break
+            if x >= 0:
+                yield i + k, [x], lp[x]
+
+    alpha, beta = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+    alpha[0], beta[n] = 0, 0
+    for i in range(n):
+        for end, _, cost in edges_from(i):
+            alpha[end] = np.logaddexp(alpha[end], alpha[i] + cost)
+    for i in range(n - 1, -1, -1):
+        for end, ids, cost in edges_from(i):
+            through = cost + beta[end]
+            beta[i] = np.logaddexp(beta[i], through)
+            np.add.at(out, ids, weight * math.exp(alpha[i] + through - alpha[n]))
+
+
 def expected_counts(v: Pieces, words: list[str], weights: np.ndarray, logp: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations, each word ``weights`` times (forward-backward).
 
-    ``logp``: one natural log probability a piece. Words above LONG characters take their best path under ``logp``.
+    ``logp``: one natural log probability a piece.
     """
     out = np.zeros(v.size)
     for i in (i for i, w in enumerate(words) if len(w) > LONG):
-        at, best, back = len(words[i]), [0.0] + [-math.inf] * len(words[i]), [None] * (len(words[i]) + 1)
-        for end, into in enumerate(_scalar_edges(v, words[i])):
-            for start, ids in into:
-                if (s := best[start] + float(logp[ids].sum())) > best[end]:
-                    best[end], back[end] = s, (start, ids)
-        while at:
-            at, ids = back[at]
-            np.add.at(out, ids, weights[i])
+        _long_expected(v, words[i], float(weights[i]), logp, out)
     short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG]
     for a in range(0, len(short), 16_000):
         part = short[a : a + 16_000]
