@@ -9,8 +9,10 @@ Windows meet on (function, min-hash). Of a key of few windows all pairs of texts
 shares under different functions must overlap on both sides by the least length (interval join, ``min_hits`` functions).
 A key of many windows has all its texts meet the first. Candidate texts are verified as a whole: runs of equal tokens on
 any diagonal are chained, and the widest joined spans whose token sets are similar enough are passages; stretches
-whose tokens are shared in another order are compared as sets. A window of a hot key that no passage covers after
-that is compared with all earlier windows of its key, in blocks of bounded size, by an inverted index of their tokens.
+whose tokens are shared in another order are compared as sets. What no passage covers after that of a hot key's windows
+is compared with all earlier windows of the key, in blocks of bounded size, through an inverted index: one sum along a
+window tells for every other one where a similar span may lie, and those that cover most of what is open are verified
+first, until nothing that any may cover is open.
 
 Two passages of Jaccard similarity J share their min-hash under a function with probability J or more, so a pair of
 J = 0.75 is missed with probability 0.005 at most (two functions of six); equal passages of the least length share all.
@@ -320,58 +322,99 @@ def _verify(least: int, percent: int, width: int):
 
 
 class Windows:
-    """Windows of a block, in order of their texts, with an inverted index of their tokens."""
+    """Windows of a block with an inverted index of their tokens' places."""
 
     def __init__(self, tokens: list[np.ndarray]):
         self.count = len(tokens)
         flat, owner = np.concatenate(tokens), np.repeat(np.arange(len(tokens), dtype=np.int32), [len(x) for x in tokens])
-        by = np.argsort(flat, kind="stable")
-        flat, self.owner = flat[by], owner[by]
-        first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+        place = np.concatenate([np.arange(len(x), dtype=np.int32) for x in tokens])
+        on = np.flatnonzero(flat)
+        by = on[np.argsort(flat[on], kind="stable")]
+        flat, self.owner, self.place = flat[by], owner[by], place[by]
+        first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1]))) if len(flat) else np.zeros(0, np.int64)
         self.values, self.first = flat[first], np.append(first, len(flat))
 
-    def reach(self, own: np.ndarray, before: int, least: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the windows before ``before`` may share a passage with ``own``, and the places of ``own`` it may hold."""
-        at = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
-        place = np.flatnonzero((self.values[at] == own) & (own > 0))
-        a = self.first[at[place]]
-        n = self.first[at[place] + 1] - a
-        who = self.owner[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        place = np.repeat(place, n)
-        place, who = place[who < before], who[who < before]
+    def covers(self, own: np.ndarray, before: int, least: int, percent: int, most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(windows before ``before``, which places of ``own`` a similar span may hold), some windows at a time.
+
+        A span of ``own`` from s to e and of another from the places of its first to its last token share x tokens:
+        similar where (100 + percent) x >= percent (both lengths), so the sum (100 + percent) x - percent (own place + other
+        place) has to grow enough between them. That holds for tokens in step that don't repeat; a window with
+        others may also hold what lies in a row of which ``percent`` are its tokens.
+        """
+        if not len(self.values) or not before:
+            return
+        found = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
+        col = np.flatnonzero((self.values[found] == own) & (own > 0))
+        a = self.first[found[col]]
+        n = self.first[found[col] + 1] - a
+        post = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        who, col = self.owner[post], np.repeat(col, n)
+        use = who < before
+        who, col, post = who[use], col[use], post[use]
         enough = np.flatnonzero(100 * np.bincount(who, minlength=self.count) >= percent * least)
-        row = np.full(self.count, -1)
-        row[enough] = np.arange(len(enough))
-        use = row[who] >= 0
-        has = np.zeros((len(enough), len(own)), bool)
-        has[row[who[use]], place[use]] = True
-        free = again(own) & (own > 0)
-        cost = np.where(has, np.int32(100 - percent), np.where(free, np.int32(0), np.int32(-percent)))
-        sums = np.zeros((len(enough), len(own) + 1), np.int32)
-        np.cumsum(cost, axis=1, out=sums[:, 1:])
-        on = np.maximum.accumulate(sums[:, ::-1], axis=1)[:, ::-1][:, 1:] >= np.minimum.accumulate(sums, axis=1)[:, :-1]
-        far = on.sum(axis=1) >= least
-        return enough[far], on[far]
+        at = np.arange(len(own), dtype=np.int32)
+        lag = at - least + 1  # the last place from which a span may begin
+        again_ = again(own) & (own > 0)
+        repeats = again_.any()
+        row, step, gain = np.full(self.count, -1), max(1, most // len(at)), 100 + percent
+        for k in range(0, len(enough), step):
+            some = enough[k : k + step]
+            row[:] = -1
+            row[some] = np.arange(len(some))
+            mine = row[who] >= 0
+            place = np.full((len(some), len(at)), -1, np.int32)
+            place[row[who[mine]], col[mine]] = self.place[post[mine]]
+            has = place >= 0
+            sums = gain * np.cumsum(has, axis=1, dtype=np.int32) - percent * (at[None, :] + place)
+            low = np.minimum.accumulate(np.where(has, sums, np.int32(1 << 30)), axis=1)
+            high = np.where(has, sums, np.int32(-(1 << 30)))
+            least_gain = 2 * percent - gain
+            starts = np.where(lag >= 0, low[:, np.maximum(lag, 0)], np.int32(1 << 30))
+            ends = high - starts >= least_gain
+            good = ends.any(axis=1)
+            cover = np.maximum.accumulate(np.where(ends, high, np.int32(-(1 << 30)))[:, ::-1], axis=1)[:, ::-1] - low >= least_gain
+            last = np.maximum.accumulate(place, axis=1)
+            twice = np.bincount(row[who[mine]], minlength=len(some)) > has.sum(axis=1)
+            loose = np.flatnonzero(~good & (repeats | twice | (has[:, 1:] & (place[:, 1:] < last[:, :-1])).any(axis=1)))
+            if len(loose):
+                cost = np.where(has[loose], np.int32(100 - percent), np.where(again_, np.int32(0), np.int32(-percent)))
+                total = np.zeros((len(loose), len(at) + 1), np.int32)
+                np.cumsum(cost, axis=1, out=total[:, 1:])
+                cover[loose] = np.maximum.accumulate(total[:, ::-1], axis=1)[:, ::-1][:, 1:] >= np.minimum.accumulate(total, axis=1)[:, :-1]
+                good[loose] = cover[loose].sum(axis=1) >= least
+            yield some[good], cover[good]
 
 
 def _hot_windows(least: int, percent: int, width: int):
+    order = lambda doc, uid: (doc is not None, doc or 0, uid)  # noqa: E731  null ids come first
+
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if left.num_rows and right.num_rows:
-            left, right = (t.sort_by([("doc_id", "ascending"), ("uid", "ascending")]) for t in (left, right))
-            place = lambda t: list(zip(*(t.column(c).to_pylist() for c in ("doc_id", "uid")), strict=True))
-            texts, l_lo = place(left), left.column("lo").to_pylist()
-            raw = [np.frombuffer(x, np.uint32) for x in left.column("tokens").to_pylist()]
-            index, low = Windows([np.unique(x[x > 0]) for x in raw]), [(d is not None, d or 0, u) for d, u in texts]
-            for (doc, uid), lo, tokens in zip(place(right), right.column("lo").to_pylist(), right.column("tokens").to_pylist(), strict=True):
+            rows = lambda t, *cols: zip(*(t.column(c).to_pylist() for c in ("doc_id", "uid", "lo", "tokens", *cols)), strict=True)
+            windows = sorted(rows(left), key=lambda x: order(x[0], x[1]))
+            index, ranks = Windows([np.frombuffer(x[3], np.uint32) for x in windows]), [order(x[0], x[1]) for x in windows]
+            for doc, uid, lo, tokens, spans in rows(right, "spans"):
                 own = np.frombuffer(tokens, np.uint32)
-                who, may = index.reach(own, bisect.bisect_left(low, (doc is not None, doc or 0, uid)), least, percent)
                 open_ = np.ones(len(own), bool)
-                for w, on in zip(who.tolist(), may, strict=True):
-                    if (on & open_).any():
-                        for s, e, s2, e2, jaccard in joined_spans(apart(tokens, 1), apart(raw[w].tobytes(), 2), least, percent):
-                            open_[s:e] = False
-                            out.append((doc, uid, lo + s, lo + e + width - 1, texts[w][0], l_lo[w] + s2, l_lo[w] + e2 + width - 1, jaccard))
+                for x in spans or []:
+                    open_[max(0, x["start"] - lo) : max(0, x["end"] - width + 1 - lo)] = False
+                if not open_.any():
+                    continue
+                for who, cover in index.covers(own, bisect.bisect_left(ranks, order(doc, uid)), least, percent):
+                    fresh = np.ones(len(who), bool)
+                    while len(who):
+                        gain = np.where(fresh, cover[:, open_].sum(axis=1), 0)
+                        w = int(np.argmax(gain))
+                        if not gain[w]:
+                            break
+                        fresh[w] = False
+                        s_doc, _, s_lo, source = windows[who[w]]
+                        for s, e, s2, e2, jaccard in joined_spans(apart(tokens, 1), apart(source, 2), least, percent):
+                            if open_[s:e].any():
+                                open_[s:e] = False
+                                out.append((doc, uid, lo + s, lo + e + width - 1, s_doc, s_lo + s2, s_lo + e2 + width - 1, jaccard))
         return _found(out)
 
     return run
@@ -423,19 +466,21 @@ def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width
     side = single.select("uid", "doc_id", "tokens")
     whole = pairs.join(side.hint("merge"), "uid").join(side.select(F.col("uid").alias("s_uid"), F.col("doc_id").alias("s_doc"), F.col("tokens").alias("s_tokens")).hint("merge"), "s_uid")
     found = staged(whole.select("doc_id", "uid", "tokens", "s_doc", "s_tokens").mapInArrow(_verify(least, percent, width), FOUND), "passage-found")
-    # Windows of hot keys that no passage covers.
+    # What is open of the windows of hot keys.
     spans = found.groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    mine = hot.select("key", F.col("w.doc_id").alias("doc_id"), F.col("w.uid").alias("uid"), "lo", "hi", F.col("a.uid").alias("a")).join(spans.hint("merge"), "uid", "left")
     covered = F.exists("spans", lambda s: (s["start"] <= F.col("lo")) & (s["end"] >= F.col("hi") + width - 1))
-    mine = hot.select("key", F.col("w.doc_id").alias("doc_id"), F.col("w.uid").alias("uid"), "lo", "hi", F.col("a.uid").alias("a"))
-    mine = mine.join(spans.hint("merge"), "uid", "left").withColumn("open", (F.col("uid") != F.col("a")) & ~F.coalesce(covered, F.lit(False))).drop("spans", "a")
+    mine = mine.withColumn("open", (F.col("uid") != F.col("a")) & ~F.coalesce(covered, F.lit(False)))
+    near = F.when(F.col("open"), F.filter("spans", lambda s: (s["start"] < F.col("hi")) & (s["end"] > F.col("lo"))))
+    mine = mine.withColumn("spans", near).drop("a")
     cut = mine.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.count_if("open").alias("o")).filter("o > 0")
     cut = cut.select("key", *[F.ceil(F.col(c) / F.lit(BLOCK)).cast("int").alias(n) for c, n in (("m", "lb"), ("o", "rb"))])
     held = mine.join(cut.hint("merge"), "key").join(single.select("uid", "tokens").hint("merge"), "uid")
-    held = staged(held.select("key", "doc_id", "uid", "lo", "open", "lb", "rb", F.expr("substring(tokens, 4 * lo + 1, 4 * (hi - lo))").alias("tokens")), "passage-open")
+    held = staged(held.select("key", "doc_id", "uid", "lo", "open", "spans", "lb", "rb", F.expr("substring(tokens, 4 * lo + 1, 4 * (hi - lo))").alias("tokens")), "passage-open")
     place = lambda of: F.pmod(F.xxhash64("uid", "lo"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     left = held.select("key", place("lb").alias("p"), every("rb").alias("q"), "doc_id", "uid", "lo", "tokens")
-    right = held.filter("open").select("key", every("lb").alias("p"), place("rb").alias("q"), "doc_id", "uid", "lo", "tokens")
+    right = held.filter("open").select("key", every("lb").alias("p"), place("rb").alias("q"), "doc_id", "uid", "lo", "tokens", "spans")
     right = right.toDF(*right.columns)
     more = staged(left.groupBy("key", "p", "q").cogroup(right.groupBy("key", "p", "q")).applyInArrow(_hot_windows(least, percent, width), FOUND).distinct(), "passage-more")
     discard(single, met, held)
