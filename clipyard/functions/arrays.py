@@ -79,8 +79,9 @@ def peak_normalize(x: Column, level: float = 0.95) -> Column:
     return F.transform(x, lambda v: F.try_divide(v.cast("double"), p) * F.lit(level))
 
 
-def is_silent(x: Column, eps: float = 1e-6) -> Column:
-    return F.coalesce(peak(x) < eps, F.lit(True))
+def is_silent(x: Column, eps: float = 1e-6, inclusive: bool = False) -> Column:
+    """Whether the peak is below ``eps``, or reaches no more than it (``inclusive``, as for the sound of videos); null and empty waves are silent."""
+    return F.coalesce(peak(x) <= eps if inclusive else peak(x) < eps, F.lit(True))
 
 
 def cut(x: Column, start: Column, end: Column) -> Column:

@@ -72,3 +72,8 @@ def nearest_frame(wanted: DataFrame, frames: DataFrame, key: str, idx: str = "id
     got = f.unionByName(q).withColumn("_p", F.last(own, ignorenulls=True).over(back)).withColumn("_n", F.first(own, ignorenulls=True).over(ahead)).filter("_kind = 1")
     near = F.when(F.col("_p").isNull(), F.col("_n")).when(F.col("_n").isNull(), F.col("_p")).when(F.col("_i") - F.col("_p") <= F.col("_n") - F.col("_i"), F.col("_p")).otherwise(F.col("_n"))
     return got.select(key, F.col("_i").alias(idx), near.alias("frame_idx"))
+
+
+def require_samples(df: DataFrame, wave: str, n: int) -> DataFrame:
+    """Rows whose wave has ``n`` samples or more, cut to the first ``n``."""
+    return df.filter(F.size(wave) >= n).withColumn(wave, F.slice(wave, 1, n))

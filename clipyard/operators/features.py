@@ -16,8 +16,8 @@ Encoder = Callable[[pd.DataFrame], pd.DataFrame]
 def extract_features(df: DataFrame, make_encoder: Callable[[], Encoder], schema: str, batch: int = 64, id_col: str = "id") -> DataFrame:
     """``schema`` columns and ``error`` for each row.
 
-    The encoder is built once a task and gets ``batch`` rows at a time. If a batch raises, its rows go one by one, so
-    a bad item is the only one with an error.
+    The encoder is built once a task and gets ``batch`` rows at a time. If a batch raises, its halves are tried, so a bad
+    item is the only one with an error. What an Arrow batch gave goes out together.
     """
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
     own = df.schema[id_col].dataType.simpleString()
@@ -25,21 +25,25 @@ def extract_features(df: DataFrame, make_encoder: Callable[[], Encoder], schema:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = make_encoder()
 
-        def attempt(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        def attempt(part: pd.DataFrame, out: dict[str, list]) -> None:
             try:
-                got = encode(part)[names].reset_index(drop=True)
-                got.insert(0, id_col, part[id_col].to_numpy())
-                yield got.assign(error=None)
+                got = encode(part)
+                new = {n: got[n].tolist() for n in names} | {"error": [None] * len(part)}
             except Exception as e:  # noqa: BLE001  one item's failure is its own
                 if len(part) > 1:
-                    for i in range(len(part)):
-                        yield from attempt(part.iloc[[i]])
-                else:
-                    yield pd.DataFrame({id_col: part[id_col].to_numpy(), **{n: [None] for n in names}, "error": [f"{type(e).__name__}: {e}"]})
+                    attempt(part.iloc[: len(part) // 2], out)
+                    attempt(part.iloc[len(part) // 2 :], out)
+                    return
+                new = {n: [None] for n in names} | {"error": [f"{type(e).__name__}: {e}"]}
+            out[id_col] += part[id_col].tolist()
+            for n, v in new.items():
+                out[n] += v
 
         for b in batches:
+            out: dict[str, list] = {n: [] for n in (id_col, *names, "error")}
             for i in range(0, len(b), batch):
-                yield from attempt(b.iloc[i : i + batch])
+                attempt(b.iloc[i : i + batch], out)
+            yield pd.DataFrame({n: pd.Series(v, dtype=object).convert_dtypes() for n, v in out.items()})
 
     return df.mapInPandas(run, f"{id_col} {own}, {schema}, error string")
 

@@ -53,6 +53,13 @@ def missing(manifest: DataFrame, inventory: DataFrame, on: str = "id") -> DataFr
     return manifest.join(inventory.select(on), on, "left_anti")
 
 
+def missing_counts(manifest: DataFrame, inventory: DataFrame, on: str = "id") -> DataFrame:
+    """One row: listed, found and missing manifest rows."""
+    has = inventory.select(on).distinct().withColumn("_has", F.lit(True))
+    found = F.count_if(F.coalesce("_has", F.lit(False)))
+    return manifest.join(has, on, "left").agg(F.count(F.lit(1)).alias("listed"), found.alias("found"), (F.count(F.lit(1)) - found).alias("missing"))
+
+
 def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row a key: the last in order. Combined before the shuffle, so a hot key stays cheap."""
     rest = [c for c in df.columns if c != key]

@@ -1,11 +1,19 @@
-"""Onset picking, suppression, matching and scoring. The file is the unit of parallel work of the greedy steps."""
+"""Onset picking, suppression, matching and scoring.
+
+The greedy steps work on a file, or on parts of a long file: it is cut only at gaps that no step reaches across.
+"""
 
 from __future__ import annotations
 
+import bisect
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import truth_name
+
 
 def pick_peaks(env: DataFrame, file: str, pos: str, value: str, delta: float, w: int = 3, wide: int = 10) -> DataFrame:
     """Frames that are the largest within ``w`` frames and at least ``delta`` above the mean within ``wide`` frames."""
@@ -40,6 +48,15 @@ def onset_confidence(wave: Column, onset: Column, half: int = 1102) -> Column:
     return F.array_max(F.slice(wave, start + 1, F.greatest((onset + half).cast("int") - start, F.lit(0))))
 
 
+def parts(rows: DataFrame, file: str, pos: str, gap: float, size: int = 20_000, name: str = "_part") -> DataFrame:
+    """``name``: numbers parts of about ``size`` rows of each file, cut only where the next position is ``gap`` or more away."""
+    w = Window.partitionBy(file).orderBy(pos)
+    before = F.lag(pos).over(w)
+    marked = rows.withColumn("_i", F.row_number().over(w)).withColumn("_new", before.isNull() | (F.col(pos) - before >= gap))
+    start = F.max(F.when(F.col("_new"), F.col("_i"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return marked.withColumn(name, F.floor(start / F.lit(size))).drop("_i", "_new")
+
+
 def suppress(onsets: DataFrame, window: float, file: str = "file", pos: str = "pos", conf: str = "conf") -> DataFrame:
     """Greedy non-maximum suppression by falling confidence: a kept onset removes all others less than ``window`` away.
 
@@ -47,21 +64,25 @@ def suppress(onsets: DataFrame, window: float, file: str = "file", pos: str = "p
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        order = group.sort_values([conf, pos], ascending=[False, False], kind="stable")
-        kept: list = []
-        for i, p in zip(order.index, order[pos], strict=True):
-            if all(abs(p - group.at[k, pos]) >= window for k in kept):
-                kept.append(i)
-        return group.loc[sorted(kept, key=lambda k: group.at[k, pos])]
+        at = group[pos].to_numpy()
+        kept, rows = [], []
+        for i in np.lexsort((-at, -group[conf].to_numpy())).tolist():
+            p = float(at[i])
+            k = bisect.bisect(kept, p)
+            if (k == 0 or p - kept[k - 1] >= window) and (k == len(kept) or kept[k] - p >= window):
+                kept.insert(k, p)
+                rows.append(i)
+        return group.iloc[sorted(rows, key=at.__getitem__)].drop(columns="_part")
 
-    return onsets.groupBy(file).applyInPandas(run, onsets.schema)
+    return parts(onsets, file, pos, window).groupBy(file, "_part").applyInPandas(run, onsets.schema)
 
 
 def onset_candidates(pred: DataFrame, truth: DataFrame, window: float, file: str = "file", pos: str = "pos") -> DataFrame:
-    """Pairs less than ``window`` apart: a band join as an equi-join on buckets of that width and their neighbours."""
-    p = pred.select(file, F.col(pos).alias("pred_pos"), F.floor(F.col(pos) / F.lit(window)).alias("_b"))
-    t = truth.select(file, F.col(pos).alias("truth_pos"), F.explode(F.array(*[F.floor(F.col(pos) / F.lit(window)) + d for d in (-1, 0, 1)])).alias("_b"))
-    return p.join(t, [file, "_b"]).filter(F.abs(F.col("pred_pos") - F.col("truth_pos")) < window).drop("_b")
+    """Pairs less than ``window`` apart, all columns as ``pred_`` and ``truth_``: a band join as an equi-join on buckets of that width and their neighbours."""
+    named = lambda df, side: [file, *[F.col(c).alias(f"{side}_{c}") for c in df.columns if c != file]]
+    p = pred.select(*named(pred, "pred"), F.floor(F.col(pos) / F.lit(window)).alias("_b"))
+    t = truth.select(*named(truth, "truth"), F.explode(F.array(*[F.floor(F.col(pos) / F.lit(window)) + d for d in (-1, 0, 1)])).alias("_b"))
+    return p.join(t, [file, "_b"]).filter(F.abs(F.col(f"pred_{pos}") - F.col(f"truth_{pos}")) < window).drop("_b")
 
 
 def match_onsets(pred: DataFrame, truth: DataFrame, window: float, compat: bool = False) -> DataFrame:
@@ -73,22 +94,29 @@ def match_onsets(pred: DataFrame, truth: DataFrame, window: float, compat: bool
     """
 
     def run(key: tuple, p: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        free = sorted(zip(p["pos"], p["conf"], strict=True))
-        had, out = bool(free), []
-        for g in sorted(t["pos"]):
-            near = [i for i, (x, _) in enumerate(free) if abs(x - g) < window]
-            if not near:
+        p = p.sort_values("pos", kind="stable")
+        at, conf, free, out = p["pos"].to_numpy(), p["conf"].to_numpy(float), np.ones(len(p), bool), []
+        for g in np.sort(t["pos"].to_numpy()).tolist():
+            low, high = np.searchsorted(at, g - window, side="left"), np.searchsorted(at, g + window, side="right")
+            near = low + np.flatnonzero(free[low:high] & (np.abs(at[low:high] - g) < window))
+            if not len(near):
                 out.append((1, 0.0, False))
                 continue
-            best = max(near, key=lambda i: (free[i][1], free[i][0]))
-            out.append((1, float(free.pop(best)[1]), True))
-            if compat and had and not free:
+            best = near[np.lexsort((at[near], conf[near]))[-1]]
+            free[best] = False
+            out.append((1, float(conf[best]), True))
+            if compat and not free.any():
                 break
-        out += [(0, float(c), False) for _, c in free]
+        out += [(0, c, False) for c in conf[free].tolist()]
         return pd.DataFrame([(key[0], *r) for r in out], columns=["file", "y", "score", "hit"])
 
     kind = dict(truth.dtypes)["file"]
-    return pred.select("file", "pos", "conf").groupBy("file").cogroup(truth.select("file", "pos").groupBy("file")).applyInPandas(run, f"file {kind}, y int, score double, hit boolean")
+    both = pred.select("file", "pos", F.col("conf").cast("double").alias("conf"), F.lit(True).alias("said")).union(truth.select("file", "pos", F.lit(None).cast("double"), F.lit(False)))
+    # The published order looks at what is left of the whole file.
+    cut = both.withColumn("_part", F.lit(0)) if compat else parts(both, "file", "pos", window)
+    said, told = cut.filter("said"), cut.filter("NOT said")
+    told = told.toDF(*told.columns)
+    return said.groupBy("file", "_part").cogroup(told.groupBy("file", "_part")).applyInPandas(run, f"file {kind}, y int, score double, hit boolean")
 
 
 def average_precision(pairs: DataFrame, group: str, y: str = "y", score: str = "score") -> DataFrame:
@@ -103,6 +131,13 @@ def average_precision(pairs: DataFrame, group: str, y: str = "y", score: str = "
     return ap.join(f1, group)
 
 
+def pair_truth(pred: DataFrame, truth: DataFrame, name: str = "name") -> DataFrame:
+    """Each prediction file with its ground truth, whose name derives from its own; columns as ``pred_`` and ``truth_``."""
+    p = pred.select(*[F.col(c).alias(f"pred_{c}") for c in pred.columns])
+    t = truth.select(*[F.col(c).alias(f"truth_{c}") for c in truth.columns])
+    return p.join(t, truth_name(F.col(f"pred_{name}")) == F.col(f"truth_{name}"))
+
+
 def score_onsets(matched: DataFrame, truth: DataFrame) -> DataFrame:
     """file, acc, ap, f1. Accuracy: hits over all truths, 0 without any."""
     n = truth.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))

@@ -21,14 +21,15 @@ def mix(video: list[DataFrame], audio: list[DataFrame], oversample: int = 1) ->
 def global_index(mixed: DataFrame, order: str, ord_col: str = "dataset_ord") -> DataFrame:
     """``sample_idx`` within the dataset and ``global_idx`` over all: earlier datasets' sizes are added."""
     ranked = global_rank(mixed, ord_col, order, name="global_idx")
-    first = mixed.groupBy(ord_col).agg(F.count(F.lit(1)).alias("_n"))
-    offset = first.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(ord_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a dataset
-    return ranked.join(F.broadcast(offset.select(ord_col, "_before")), ord_col).withColumn("sample_idx", F.col("global_idx") - F.col("_before")).drop("_before")
+    first = ranked.groupBy(ord_col).agg(F.min("global_idx").alias("_before"))  # one row a dataset; Spark broadcasts by measured size
+    return ranked.join(first, ord_col).withColumn("sample_idx", F.col("global_idx") - F.col("_before")).drop("_before")
 
 
-def lookup_index(indexed: DataFrame, i: Column, total: Column) -> Column:
-    """The global position of ``i``, negative ones counted from the end."""
-    return F.when(i < 0, total + i).otherwise(i)
+def lookup_index(indexed: DataFrame, wanted: DataFrame, i: str = "i") -> DataFrame:
+    """The rows of ``indexed`` at the global positions ``i`` of ``wanted``; negative ones count from the end, as ``i`` keeps."""
+    total = indexed.agg(F.count(F.lit(1)).alias("_total"))
+    at = wanted.crossJoin(F.broadcast(total)).withColumn("global_idx", F.when(F.col(i) < 0, F.col("_total") + F.col(i)).otherwise(F.col(i))).drop("_total")  # one row
+    return at.join(indexed, "global_idx")
 
 
 def combine_shards(df: DataFrame, id_col: str = "id", order: list[str] | None = None, dedup: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -75,6 +76,12 @@ def assign_batch(df: DataFrame, pos: str, batch: int, drop_last: bool) -> DataFr
     return out.crossJoin(F.broadcast(n)).filter(F.col("batch_id") < F.col("_full")).drop("_full")  # one row
 
 
+def batch_counts(df: DataFrame, batch: int, world: int, drop_last: bool) -> DataFrame:
+    """One row: batches (of ``batch`` rows, a last one that isn't full counts unless ``drop_last``) and per_rank, a rank's share of a batch."""
+    n = F.count(F.lit(1)) / F.lit(batch)
+    return df.agg((F.floor(n) if drop_last else F.ceil(n)).cast("long").alias("batches"), F.lit(batch // world).cast("long").alias("per_rank"))
+
+
 def pending(df: DataFrame, done: DataFrame, on: str = "id") -> DataFrame:
     """What a resumed job has still to do."""
     return df.join(done.select(on), on, "left_anti")

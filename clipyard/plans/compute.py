@@ -47,6 +47,15 @@ def u2_global_index(t: Tables) -> DataFrame:
     return S.global_index(t.documents.select("doc_id", "source"), "doc_id", "source").select("doc_id", "source", "sample_idx", "global_idx")
 
 
+@query("""WITH g AS (SELECT doc_id, row_number() OVER (ORDER BY source, doc_id) - 1 AS p, count(*) OVER () AS n FROM documents),
+          w AS (SELECT doc_id // 2 AS i FROM labels UNION SELECT -1 - doc_id // 2 FROM labels)
+          SELECT w.i, g.doc_id FROM w JOIN g ON g.p = CASE WHEN w.i < 0 THEN g.n + w.i ELSE w.i END""")
+def u2_lookup_index(t: Tables) -> DataFrame:
+    i = F.floor(F.col("doc_id") / 2)
+    wanted = t.labels.select(F.explode(F.array(i, -1 - i)).alias("i")).distinct()
+    return S.lookup_index(S.global_index(t.documents.select("doc_id", "source"), "doc_id", "source"), wanted).select("i", "doc_id")
+
+
 @query("SELECT md5(text) AS id, min(doc_id) AS doc_id FROM documents GROUP BY 1")
 def u3_combine_shards(t: Tables) -> DataFrame:
     d = t.documents.select(F.md5(F.col("text").cast("binary")).alias("id"), "doc_id")
@@ -201,6 +210,12 @@ def v3_reject_silent(t: Tables) -> DataFrame:
     return t.embeddings.withColumn("w", wave).filter(~A.is_silent(F.col("w"))).select("vec_id", "label")
 
 
+@query("SELECT vec_id, label FROM embeddings WHERE label > 1")
+def v3_reject_silent_video(t: Tables) -> DataFrame:
+    """A peak equal to the threshold is silent too."""
+    return t.embeddings.filter(~A.is_silent(F.array(F.col("label").cast("double")), 1.0, inclusive=True)).select("vec_id", "label")
+
+
 @query(sql_items("SELECT vec_id, list_transform(embedding[vec_id % 40 + 1 : vec_id % 40 + 16], lambda x: x::DOUBLE) AS a FROM embeddings"))
 def v4_cut(t: Tables) -> DataFrame:
     start = F.col("vec_id") % 40
@@ -210,7 +225,7 @@ def v4_cut(t: Tables) -> DataFrame:
 @query("SELECT vec_id, 40::INTEGER AS size, round(embedding[vec_id % 64 + 40]::DOUBLE, 4) AS last FROM embeddings WHERE 64 - vec_id % 64 >= 40")
 def v5_require_samples(t: Tables) -> DataFrame:
     w = t.embeddings.select("vec_id", A.cut(F.col("embedding").cast(A.DOUBLES), F.col("vec_id") % 64, F.lit(64)).alias("w"))
-    return w.filter(F.size("w") >= 40).withColumn("w", F.slice("w", 1, 40)).select("vec_id", F.size("w").alias("size"), r4(F.element_at("w", -1)).alias("last"))
+    return C.require_samples(w, "w", 40).select("vec_id", F.size("w").alias("size"), r4(F.element_at("w", -1)).alias("last"))
 
 
 @query("SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN 100 ELSE 64 END::INTEGER AS size FROM embeddings")
@@ -366,6 +381,11 @@ def f5_assign_batch(t: Tables) -> DataFrame:
     return S.assign_batch(global_rank(t.documents.select("doc_id"), "doc_id", name="pos"), "pos", 64, True).select("doc_id", "batch_id")
 
 
+@query("SELECT count(*) // 64 AS batches, 16::BIGINT AS per_rank FROM documents")
+def f5_batch_counts(t: Tables) -> DataFrame:
+    return S.batch_counts(t.documents, 64, 4, True)
+
+
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def f7_pending(t: Tables) -> DataFrame:
     return S.pending(t.documents.select("doc_id"), t.labels, "doc_id")
@@ -409,18 +429,22 @@ _HOURS = "(epoch_us(ts) - 1704067200000000) / 3.6e9"
 @query(f"""SELECT p.user_id AS file, p.event_id AS pred_id, t.event_id AS truth_id FROM events p JOIN events t ON p.user_id = t.user_id AND p.event_type = 'purchase' AND t.event_type = 'click'
           AND abs({_HOURS.replace('ts', 'p.ts')} - {_HOURS.replace('ts', 't.ts')}) < 12""")
 def j9_onset_candidates(t: Tables) -> DataFrame:
-    p, g = _onsets(t, "purchase"), _onsets(t, "click")
-    pairs = O.onset_candidates(p, g, 12.0)
-    return pairs.join(p.select("file", F.col("pos").alias("pred_pos"), F.col("event_id").alias("pred_id")), ["file", "pred_pos"]).join(g.select("file", F.col("pos").alias("truth_pos"), F.col("event_id").alias("truth_id")), ["file", "truth_pos"]).select("file", "pred_id", "truth_id")
+    pairs = O.onset_candidates(_onsets(t, "purchase"), _onsets(t, "click"), 12.0)
+    return pairs.select("file", F.col("pred_event_id").alias("pred_id"), F.col("truth_event_id").alias("truth_id"))
+
 
+_PEAKS = """SELECT user_id, event_id, value FROM (SELECT user_id, event_id, value, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS top,
+            avg(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING) AS mean FROM events) WHERE value = top AND value >= mean + 30"""
 
-@query("""SELECT user_id, event_id, value FROM (SELECT user_id, event_id, value, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS top,
-            avg(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING) AS mean FROM events) WHERE value = top AND value >= mean + 30""")
+
+@query(_PEAKS)
 def o1_pick_peaks(t: Tables) -> DataFrame:
     return O.pick_peaks(t.events.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 30.0)
 
 
-@query()
+@query(f"""WITH RECURSIVE p AS ({_PEAKS}), s AS (SELECT user_id, list(event_id ORDER BY event_id) AS open, NULL::BIGINT AS kept FROM p GROUP BY user_id
+            UNION ALL SELECT user_id, list_filter(open, lambda x: x - open[1] > 50), open[1] FROM s WHERE len(open) > 0)
+          SELECT p.user_id, p.event_id, p.value FROM s JOIN p ON p.user_id = s.user_id AND p.event_id = s.kept""")
 def o1_pick_onsets(t: Tables) -> DataFrame:
     return O.pick_onsets(t.events.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 30.0, gap=50)
 
@@ -430,12 +454,22 @@ def o2_onset_confidence(t: Tables) -> DataFrame:
     return t.embeddings.select("vec_id", r4(O.onset_confidence(F.col("embedding").cast(A.DOUBLES), F.col("vec_id") % 64, 5)).alias("conf"))
 
 
-@query()
+@query(f"""WITH RECURSIVE s AS (SELECT user_id, list({{'c': value, 'p': {_HOURS}, 'id': event_id}} ORDER BY value DESC, {_HOURS} DESC) AS open, NULL::BIGINT AS kept FROM events WHERE event_type = 'click' GROUP BY user_id
+            UNION ALL SELECT user_id, list_filter(open, lambda x: abs(x.p - open[1].p) >= 24), open[1].id FROM s WHERE len(open) > 0)
+          SELECT user_id AS file, kept AS event_id FROM s WHERE kept IS NOT NULL""")
 def o3_suppress(t: Tables) -> DataFrame:
     return O.suppress(_onsets(t, "click"), 24.0).select("file", "event_id")
 
 
-@query()
+_MATCH = f"""RECURSIVE p AS (SELECT user_id, list({{'c': value, 'h': {_HOURS}, 'id': event_id}}) AS free FROM events WHERE event_type = 'purchase' GROUP BY user_id),
+          t AS (SELECT user_id, list({_HOURS} ORDER BY {_HOURS}) AS truths FROM events WHERE event_type = 'click' GROUP BY user_id),
+          s AS (SELECT coalesce(p.user_id, t.user_id) AS file, coalesce(truths, []) AS truths, coalesce(free, []) AS free, 0 AS i, NULL::STRUCT(c DOUBLE, h DOUBLE, id BIGINT) AS best FROM p FULL JOIN t ON p.user_id = t.user_id
+            UNION ALL SELECT file, truths, list_filter(free, lambda x: x.id IS DISTINCT FROM b.id), i + 1, b FROM (SELECT *, list_max(list_filter(free, lambda x: abs(x.h - truths[i + 1]) < 12)) AS b FROM s WHERE i < len(truths))),
+          m AS (SELECT file, 1::INTEGER AS y, coalesce(best.c, 0.0::DOUBLE) AS score, best.id IS NOT NULL AS hit FROM s WHERE i > 0
+            UNION ALL SELECT file, 0, x.c, false FROM (SELECT file, unnest(free) AS x FROM s WHERE i = len(truths)))"""
+
+
+@query(f"WITH {_MATCH} SELECT file, y, score, hit FROM m")
 def o4_match_onsets(t: Tables) -> DataFrame:
     return O.match_onsets(_onsets(t, "purchase"), _onsets(t, "click"), 12.0)
 
@@ -450,18 +484,27 @@ def o5_average_precision(t: Tables) -> DataFrame:
     return O.average_precision(pairs, "lang").select("lang", r4("ap").alias("ap"), r4("f1").alias("f1"))
 
 
-@query()
+@query(f"""WITH {_MATCH}, g AS (SELECT file, score, sum(y) AS pos, count(*) AS n FROM m GROUP BY ALL),
+          c AS (SELECT file, pos, sum(pos) OVER w AS tp, sum(n) OVER w AS everything, sum(pos) OVER (PARTITION BY file) AS total FROM g WINDOW w AS (PARTITION BY file ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
+          a AS (SELECT file, coalesce(sum(pos / nullif(total, 0)::DOUBLE * tp / everything), 0.0) AS ap FROM c GROUP BY file),
+          f AS (SELECT file, count(*) FILTER (hit) AS hits, count(*) FILTER (y = 1) AS truths, count(*) FILTER (score > 0 AND y = 1) AS tp, count(*) FILTER (score > 0 AND y = 0) AS fp, count(*) FILTER (score <= 0 AND y = 1) AS fn FROM m GROUP BY file)
+          SELECT file, round(coalesce(hits / nullif(truths, 0)::DOUBLE, 0.0), 4) AS acc, round(ap, 4) AS ap, round(coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0.0), 4) AS f1 FROM a JOIN f USING (file)""")
 def o5_score_onsets(t: Tables) -> DataFrame:
     truth = _onsets(t, "click")
-    return O.score_onsets(O.match_onsets(_onsets(t, "purchase"), truth, 12.0), truth)
+    return O.score_onsets(O.match_onsets(_onsets(t, "purchase"), truth, 12.0), truth).select("file", r4("acc").alias("acc"), r4("ap").alias("ap"), r4("f1").alias("f1"))
 
 
-def _log_stream(t: Tables) -> DataFrame:
-    """The events as a stream of a metric log, one file's rows a batch at most."""
+def _log_stream(t: Tables, late: int = 0) -> DataFrame:
+    """The events as a stream of a metric log: three batches of two files, the last one of ``late`` rows that come again with other values."""
     src = scratch_path(t.spark, "events-in")
     log = t.events.select(F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("run"), F.col("event_type").alias("tag"), F.col("event_id").alias("it"), "value", seconds(F.col("ts")).alias("seconds"))
-    log.repartitionByRange(2, "it").sortWithinPartitions("it").write.parquet(src)
-    return t.spark.readStream.schema(t.spark.read.parquet(src).schema).parquet(src)
+    middle = t.events.approxQuantile("event_id", [0.5], 0.01)[0]
+    parts = [log.filter(F.col("it") < middle), log.filter(F.col("it") >= middle)]
+    if late:
+        parts.append(log.filter(F.col("it") <= late).withColumn("value", F.col("value") + 1000))
+    for part in parts:
+        part.repartitionByRange(2, "it").sortWithinPartitions("it").write.mode("append").parquet(src)
+    return t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(src)
 
 
 def _drain(t: Tables, stream: DataFrame, mode: str) -> DataFrame:
@@ -476,11 +519,12 @@ def _drain(t: Tables, stream: DataFrame, mode: str) -> DataFrame:
     return t.spark.read.option("basePath", out).parquet(f"{out}/b=*").drop("b")
 
 
-@query("SELECT user_id AS run, event_type AS tag, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '2000-01-01') AS start, round(avg(value), 4) AS mean, count(*) AS n FROM events GROUP BY ALL")
+@query("""SELECT user_id AS run, event_type AS tag, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '2000-01-01') AS start, round(avg(value), 4) AS mean, count(*) AS n FROM events
+          GROUP BY ALL HAVING time_bucket(INTERVAL 1 DAY, any_value(ts), TIMESTAMP '2000-01-01') + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def t1_stream_metric_means(t: Tables) -> DataFrame:
-    out = _drain(t, T.stream_metric_means(_log_stream(t), "1 day"), "complete")
-    last = out.agg(F.max("batch")).first()[0]  # in complete mode the last batch holds the whole table
-    return out.filter(F.col("batch") == last).select("run", "tag", F.col("start").cast("timestamp_ntz").alias("start"), r4("mean").alias("mean"), "n")
+    """Append mode: each closed window once; a batch of rows that come a long time late changes none."""
+    out = _drain(t, T.stream_metric_means(_log_stream(t, late=200), "1 day"), "append")
+    return out.select("run", "tag", F.col("start").cast("timestamp_ntz").alias("start"), r4("mean").alias("mean"), "n")
 
 
 @query(_STREAK.replace("PARTITION BY user_id", "PARTITION BY user_id, event_type").replace("SELECT user_id, event_id, value,", "SELECT user_id, event_type, event_id, value,") + " SELECT user_id AS run, event_type AS tag, event_id AS it FROM s WHERE bad AND streak = 3")

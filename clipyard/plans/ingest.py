@@ -9,6 +9,7 @@ from ..functions import text as X
 from ..operators import manifest as M
 from ..operators.clips import clamp_duration, sequence_plan
 from ..operators.features import encode_distinct
+from ..operators.onsets import pair_truth
 from ..operators.sets import condition_dropout, fill_missing
 from ..operators.stats import outcome_counts
 from ..sources import readers as R
@@ -52,6 +53,13 @@ def s5_json_field(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
+@query("SELECT s_suppkey::VARCHAR AS name, s_name AS audio_prompt FROM supplier")
+def s5_prompt_json(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "prompts")
+    t.supplier.select("s_suppkey", F.to_json(F.struct(F.col("s_name").alias("audio_prompt"))).alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+    return R.read_prompt_json(t.spark, path, F.regexp_extract("_metadata.file_path", r"s_suppkey=(\d+)", 1))
+
+
 _STEM = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '^.*/', '')"
 
 
@@ -60,6 +68,27 @@ def s6_inventory(t: Tables) -> DataFrame:
     return R.name_parts(t.pages.select("url"), "url")
 
 
+@query("SELECT (page_id % 7)::VARCHAR AS folder, '.txt' AS ext, 1::BIGINT AS files, sum(strlen(html) + 1)::BIGINT AS length FROM pages GROUP BY 1")
+def s6_media_files(t: Tables) -> DataFrame:
+    """Files of one kind a folder; other kinds and their bytes don't count."""
+    path = scratch_path(t.spark, "media")
+    pages = t.pages.select((F.col("page_id") % 7).alias("folder"), "html")
+    pages.repartition("folder").write.partitionBy("folder").text(path)
+    pages.select("folder", F.col("html").alias("value")).write.mode("append").partitionBy("folder").json(path)
+    inv = R.media_inventory(t.spark, path, [".TXT"])
+    return inv.groupBy(F.regexp_extract("path", r"folder=(\d+)", 1).alias("folder"), "ext").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("length"))
+
+
+@query("""SELECT (user_id % 20)::VARCHAR AS file, pos::INTEGER AS pos, value AS time FROM (
+            SELECT *, max((value >= 250)::INT) OVER (PARTITION BY user_id % 20 ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS past, row_number() OVER (PARTITION BY user_id % 20 ORDER BY event_id) - 1 AS pos FROM events)
+          WHERE past = 0""")
+def s7_onset_times(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "onsets")
+    lines = t.events.select((F.col("user_id") % 20).alias("file"), "event_id", F.concat_ws(" ", F.col("value").cast("string"), "event_type").alias("value"))
+    lines.repartition("file").sortWithinPartitions("file", "event_id").select("file", "value").write.partitionBy("file").text(path)
+    return R.read_onset_times(t.spark, path, 250.0, F.regexp_extract("_metadata.file_path", r"file=(\d+)", 1))
+
+
 @query("""SELECT user_id, event_id, value FROM (
             SELECT *, max((value >= 200)::INT) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS past FROM events)
           WHERE past = 0""")
@@ -103,11 +132,22 @@ def k2_feature_sink(t: Tables) -> DataFrame:
     return R.read_features(t.spark, path)
 
 
-@query("""SELECT count(*) AS dataset_size, count(*) FILTER (n_chars >= 200) AS written, count(*) FILTER (n_chars < 200) AS failed,
-            min_by(n_chars, doc_id) FILTER (n_chars >= 200) AS first_shape, 1000::BIGINT AS expected_shape FROM documents""")
+def _run(t: Tables) -> tuple[DataFrame, DataFrame]:
+    rows = t.documents.select(F.col("doc_id").alias("id"), F.expr("doc_id div 16").alias("batch"), "n_chars", F.length("lang").alias("lang_len"))
+    return K.split_errors(rows, F.when(F.col("n_chars") < 200, "too short"))
+
+
+@query("""SELECT count(*) AS dataset_size, count(*) FILTER (n_chars >= 200) AS written, count(*) FILTER (n_chars < 200) AS failed, count(DISTINCT doc_id // 16) FILTER (n_chars < 200) AS num_failed_batches,
+            min_by(n_chars, doc_id) FILTER (n_chars >= 200) AS first_chars, 2::BIGINT AS first_lang, 1000::BIGINT AS expected_chars FROM documents""")
 def k4_run_report(t: Tables) -> DataFrame:
-    ok, bad = K.split_errors(t.documents.withColumnRenamed("doc_id", "id"), F.when(F.col("n_chars") < 200, "too short"))
-    return K.run_report(ok, bad, "n_chars", 1000)
+    ok, bad = _run(t)
+    out = K.run_report(ok, bad, {"chars": F.col("n_chars"), "lang": F.col("lang_len")}, {"chars": 1000})
+    return out.select("dataset_size", "written", "failed", "num_failed_batches", F.col("first_shapes")["chars"].alias("first_chars"), F.col("first_shapes")["lang"].alias("first_lang"), F.col("expected_shapes")["chars"].alias("expected_chars"))
+
+
+@query("SELECT doc_id // 16 AS batch, count(*) AS failed, 'too short' AS error FROM documents WHERE n_chars < 200 GROUP BY 1")
+def k4_failed_batches(t: Tables) -> DataFrame:
+    return K.failed_batches(_run(t)[1])
 
 
 @query("SELECT event_type, printf('%.4f', avg(value)) AS mean FROM events GROUP BY event_type")
@@ -243,6 +283,11 @@ def j2_missing(t: Tables) -> DataFrame:
     return M.missing(t.documents.select("doc_id", "lang"), t.labels, "doc_id")
 
 
+@query("SELECT count(*) AS listed, count(*) FILTER (doc_id IN (SELECT doc_id FROM labels)) AS found, count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM labels)) AS missing FROM documents")
+def j2_missing_counts(t: Tables) -> DataFrame:
+    return M.missing_counts(t.documents.select("doc_id"), t.labels, "doc_id")
+
+
 @query("SELECT d.doc_id, d.source, c.text AS caption FROM documents d JOIN (SELECT conv_id, max_by(text, turn) AS text FROM conversations GROUP BY conv_id) c ON c.conv_id = d.doc_id")
 def j3_attach_captions(t: Tables) -> DataFrame:
     captions = t.conversations.select(F.col("conv_id").alias("doc_id"), "turn", F.col("text").alias("caption"))
@@ -282,6 +327,14 @@ def j7_encode_distinct(t: Tables) -> DataFrame:
     return encode_distinct(t.documents.select("doc_id", "source"), "source", encode).select("doc_id", "source", "feature")
 
 
+@query("SELECT d.doc_id AS pred_id, e.vec_id AS truth_id FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id AND d.doc_id % 3 <> 0")
+def j8_pair_truth(t: Tables) -> DataFrame:
+    name = lambda c, end: F.concat(F.col(c).cast("string"), F.lit(end))
+    pred = t.documents.select(F.col("doc_id").alias("id"), name("doc_id", "_denoised").alias("name"))
+    truth = t.embeddings.filter("vec_id % 3 <> 0").select(F.col("vec_id").alias("id"), name("vec_id", "_times").alias("name"))
+    return pair_truth(pred, truth).select("pred_id", "truth_id")
+
+
 @query("SELECT DISTINCT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE lower(trim(b.text)) = lower(trim(d.text)))")
 def j12_remove_overlap(t: Tables) -> DataFrame:
     norm = lambda c: F.lower(F.trim(F.col(c)))

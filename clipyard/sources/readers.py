@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name, file_ext, file_stem
@@ -42,10 +42,10 @@ def read_captions_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("name string, caption string").csv(path, header=True, escape='"')
 
 
-def read_prompt_json(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document a file: the name is the file's, the prompt its ``audio_prompt``."""
-    rows = spark.read.schema("audio_prompt string").json(path, multiLine=True)
-    return rows.select(file_stem(F.col("_metadata.file_name")).alias("name"), "audio_prompt")
+def read_prompt_json(spark: SparkSession, path: str, name: Column | None = None) -> DataFrame:
+    """One JSON document a file: the name is the file's (or ``name``, of its ``_metadata``), the prompt its ``audio_prompt``."""
+    rows = spark.read.schema("audio_prompt string").option("recursiveFileLookup", "true").json(path, multiLine=True)
+    return rows.select((file_stem(F.col("_metadata.file_name")) if name is None else name).alias("name"), "audio_prompt")
 
 
 def media_inventory(spark: SparkSession, path: str, exts: list[str] | None = None) -> DataFrame:
@@ -69,9 +69,10 @@ def take_until(rows: DataFrame, group: str, order: str, value: str, limit: float
     return rows.withColumn("_past", F.max((F.col(value) >= limit).cast("int")).over(w)).filter("_past = 0").drop("_past")
 
 
-def read_onset_times(spark: SparkSession, path: str, duration: float) -> DataFrame:
-    """file, pos, time: the first token of each line, up to the first time that reaches the duration."""
-    text = spark.read.text(path, wholetext=True).select(file_stem(F.col("_metadata.file_name")).alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+def read_onset_times(spark: SparkSession, path: str, duration: float, name: Column | None = None) -> DataFrame:
+    """file (or ``name``, of its ``_metadata``), pos, time: the first token of each line, up to the first time that reaches the duration."""
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    text = files.select((file_stem(F.col("_metadata.file_name")) if name is None else name).alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
     times = text.filter(F.trim("line") != "").select("file", "pos", F.split("line", " ").getItem(0).cast("double").alias("time"))
     return take_until(times, "file", "pos", "time", duration)
 

@@ -1,7 +1,8 @@
-"""A folder for tables that a job writes and reads again: the cluster's shared one, or a temporary one where unset."""
+"""A folder for tables that a job writes and reads again: the cluster's shared one; a temporary one only where unset and local."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,12 @@ _LOCAL: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``."""
+    """A new path under ``spark.checkpoint.dir``. Raises where that is unset and Spark isn't local: executors share no other folder."""
     app = spark.sparkContext.applicationId
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {spark.sparkContext.master})")
         if app not in _LOCAL:
             _LOCAL[app] = tempfile.mkdtemp(prefix="spark-")
         base = f"file://{_LOCAL[app]}"

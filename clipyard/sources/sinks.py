@@ -20,11 +20,21 @@ def write_features(df: DataFrame, path: str, split: str | None = "split") -> Non
     writer.parquet(path)
 
 
-def run_report(ok: DataFrame, bad: DataFrame, n_col: str, expected: int) -> DataFrame:
-    """One row: dataset_size, written, failed, first_shape (that of the smallest id), expected_shape."""
-    good = ok.agg(F.count(F.lit(1)).alias("written"), F.min_by(n_col, "id").cast("long").alias("first_shape"))
-    lost = bad.agg(F.count(F.lit(1)).alias("failed"))
-    return good.crossJoin(lost).select((F.col("written") + F.col("failed")).alias("dataset_size"), "written", "failed", "first_shape", F.lit(expected).cast("long").alias("expected_shape"))  # one row each
+def run_report(ok: DataFrame, bad: DataFrame, shapes: dict[str, Column], expected: dict[str, int]) -> DataFrame:
+    """One row: dataset_size, written, failed, num_failed_batches, first_shapes (those of the smallest id), expected_shapes.
+
+    ``bad`` has the failed items with their ``batch``; the list of failed batches is ``failed_batches``.
+    """
+    first = F.min_by(F.create_map(*[x for name, size in shapes.items() for x in (F.lit(name), size.cast("long"))]), "id")
+    good = ok.agg(F.count(F.lit(1)).alias("written"), first.alias("first_shapes"))
+    lost = bad.agg(F.count(F.lit(1)).alias("failed"), F.count_distinct("batch").alias("num_failed_batches"))
+    wanted = F.create_map(*[x for name, size in expected.items() for x in (F.lit(name), F.lit(size).cast("long"))])
+    return good.crossJoin(lost).select((F.col("written") + F.col("failed")).alias("dataset_size"), "written", "failed", "num_failed_batches", "first_shapes", wanted.alias("expected_shapes"))  # one row each
+
+
+def failed_batches(bad: DataFrame) -> DataFrame:
+    """batch, failed, error: how many items of each batch failed, and the error of the one with the smallest id."""
+    return bad.groupBy("batch").agg(F.count(F.lit(1)).alias("failed"), F.min_by("error", "id").alias("error"))
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
@@ -53,13 +63,15 @@ def guarded(df: DataFrame, work: Callable[[pd.Series], dict], schema: str) -> Da
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            new: dict[str, list] = {n: [] for n in (*names, "error")}
             for row in batch.to_dict("records"):
                 try:
-                    out.append({**row, **work(row), "error": None})
+                    got = {**work(row), "error": None}
                 except Exception as e:  # noqa: BLE001  any failure of one item is its own
-                    out.append({**row, "error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(out, columns=[*batch.columns, *[n for n in names if n not in batch.columns], "error"])
+                    got = {"error": f"{type(e).__name__}: {e}"}
+                for n, values in new.items():
+                    values.append(got.get(n))
+            yield batch.assign(**{n: pd.Series(v, dtype=object, index=batch.index).convert_dtypes() for n, v in new.items()})
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInPandas(run, f"{own}, {schema}, error string")

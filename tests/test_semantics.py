@@ -195,6 +195,53 @@ def test_suppression_and_matching(spark):
     assert O.match_onsets(one.withColumn("file", F.lit("c")).withColumn("pos", F.lit(1.0)), truth.filter("file = 'c'").unionAll(spark.createDataFrame([("c", 5.0)], truth.schema)), 0.3, compat=True).count() == 1
 
 
+def test_greedy_steps_in_parts_are_those_of_whole_files(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(f"f{i % 2}", float(x), float(c), i) for i, (x, c) in enumerate(zip(np.round(rng.uniform(0, 60, 300), 3), rng.integers(0, 40, 300), strict=True))]
+    pred = spark.createDataFrame(rows, "file string, pos double, conf double, id long")
+    truth = spark.createDataFrame([(f"f{i % 2}", float(x)) for i, x in enumerate(np.round(rng.uniform(0, 60, 80), 3))], "file string, pos double")
+    whole = O.parts
+    monkeypatch.setattr(O, "parts", lambda df, file, pos, gap: whole(df, file, pos, gap, size=5))
+    assert whole(pred, "file", "pos", 0.2, 5).select("file", "_part").distinct().count() > 10
+    kept, matched = [], []
+    for f in ("f0", "f1"):
+        own: list = []
+        for r in sorted((r for r in rows if r[0] == f), key=lambda r: (-r[2], -r[1])):
+            if all(abs(r[1] - k[1]) >= 0.2 for k in own):
+                own.append(r)
+        kept += own
+        free = [(r[1], r[2]) for r in rows if r[0] == f]
+        for g in sorted(t.pos for t in truth.collect() if t.file == f):
+            near = [x for x in free if abs(x[0] - g) < 0.2]
+            best = max(near, key=lambda x: (x[1], x[0]), default=None)
+            matched.append((f, 1, best[1] if best else 0.0, bool(best)))
+            if best:
+                free.remove(best)
+        matched += [(f, 0, c, False) for _, c in free]
+    assert lists(O.suppress(pred, 0.2)) == sorted(kept)
+    assert lists(O.match_onsets(pred, truth, 0.2)) == sorted(matched)
+
+
+def test_truth_pairs_and_candidates_keep_their_columns(spark):
+    pred = spark.createDataFrame([("a_denoised", 1), ("b_denoised", 2), ("c", 3)], "name string, x int")
+    truth = spark.createDataFrame([("a_times", 7), ("c", 8)], "name string, y int")
+    assert lists(O.pair_truth(pred, truth).select("pred_name", "pred_x", "truth_y")) == [("a_denoised", 1, 7), ("c", 3, 8)]
+    p = spark.createDataFrame([("a", 1.0, 1), ("a", 1.0, 2)], "file string, pos double, id int")
+    t = spark.createDataFrame([("a", 1.1, 5), ("a", 1.1, 6), ("a", 2.5, 7)], "file string, pos double, id int")
+    assert lists(O.onset_candidates(p, t, 0.5).select("pred_id", "truth_id")) == [(1, 5), (1, 6), (2, 5), (2, 6)]
+
+
+def test_lookup_counts_and_lengths(spark):
+    rows = S.global_index(spark.createDataFrame([(0, 5), (1, 1), (0, 3)], "dataset_ord int, id int"), "id")
+    assert lists(S.lookup_index(rows, spark.createDataFrame([(0,), (-1,), (9,)], "i int")).select("i", "id")) == [(-1, 1), (0, 3)]
+    assert lists(S.batch_counts(spark.range(10), 4, 2, False)) == [(3, 2)] and lists(S.batch_counts(spark.range(10), 4, 2, True)) == [(2, 2)]
+    assert lists(M.missing_counts(spark.range(5), spark.createDataFrame([(1,), (1,), (9,)], "id long"))) == [(5, 1, 4)]
+    w = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0]), (3, None)], "id int, w array<double>")
+    assert lists(C.require_samples(w, "w", 2)) == [(1, [1.0, 2.0])]
+    quiet = spark.createDataFrame([([0.5],), ([0.2],)], "w array<double>").select(A.is_silent(F.col("w"), 0.5).alias("a"), A.is_silent(F.col("w"), 0.5, inclusive=True).alias("b"))
+    assert lists(quiet) == [(False, True), (True, True)]
+
+
 def test_average_precision_perfect_and_empty(spark):
     df = spark.createDataFrame([("a", 1, 0.9), ("a", 0, 0.1), ("b", 0, 0.5)], "f string, y int, score double")
     got = {r.f: (r.ap, round(r.f1, 4)) for r in O.average_precision(df, "f").collect()}
@@ -248,15 +295,22 @@ def test_empty_inputs(spark):
 
 
 def test_streaming_late_rows_and_first_id(spark, tmp_path):
-    src = tmp_path / "in"
-    rows = [("a", "x", "2024-01-01 00:00:10", 1.0, 1), ("a", "x", "2024-01-01 00:00:50", 3.0, 2), ("b", "x", "2024-01-01 00:01:10", 5.0, 3)]
-    df = spark.createDataFrame(rows, "run string, tag string, ts string, value double, id long").withColumn("ts", F.col("ts").cast("timestamp"))
-    df.coalesce(1).write.parquet(str(src))
+    src = str(tmp_path / "in")
+    batches = [
+        [("a", "x", "2024-01-01 00:00:10", 1.0, 1), ("a", "x", "2024-01-01 00:00:50", 3.0, 2), ("b", "x", "2024-01-01 00:01:10", 5.0, 3)],
+        [("a", "x", "2024-01-01 02:00:00", 7.0, 4), ("b", "x", "2024-01-01 00:01:20", 7.0, 5)],
+        [("c", "x", "2024-01-01 02:00:30", 1.0, 8)],  # late rows go by the mark that the batch before began with
+        [("a", "x", "2024-01-01 00:00:20", 900.0, 6), ("c", "x", "2024-01-01 02:01:00", 1.0, 7)],
+    ]
+    for rows in batches:
+        df = spark.createDataFrame(rows, "run string, tag string, ts string, value double, id long").withColumn("ts", F.col("ts").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out = {}
-    stream = spark.readStream.schema(df.schema).parquet(str(src))
-    for name, s, mode in (("means", T.stream_metric_means(stream, "1 minute"), "complete"), ("ids", T.stream_manifest(stream, "1 hour", "run"), "append")):
-        q = s.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    for name, s in (("means", T.stream_metric_means(stream, "1 minute")), ("ids", T.stream_manifest(stream.select("run", "ts", "id"), "4 hours", "run"))):
+        q = s.writeStream.outputMode("append").format("memory").queryName(name).trigger(availableNow=True).start()
         q.awaitTermination()
         out[name] = spark.table(name).collect()
-    assert sorted((r.run, r["mean"], r.n) for r in out["means"]) == [("a", 2.0, 2), ("b", 5.0, 1)]
-    assert sorted(r.run for r in out["ids"]) == ["a", "b"]
+    # The row of 900 comes after its window has closed; the last windows are still open.
+    assert sorted((r.run, r["mean"], r.n) for r in out["means"]) == [("a", 2.0, 2), ("b", 6.0, 2)]
+    assert {r.run: r.id for r in out["ids"]}.keys() == {"a", "b", "c"} and {r.run: r.id for r in out["ids"]}["b"] == 3
