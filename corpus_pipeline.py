@@ -23,32 +23,46 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and those that no learned language claims by half; the label becomes the prediction's."""
+    """Rejects texts without a letter and those that no learned language claims by half; the label becomes the prediction's.
+
+    Learns from the documents with a label, but for the held-out quarter. Null and empty texts go; rows that repeat an
+    id are told each for itself; without any label, or of an empty table, nothing is left. A claim by half is a weak
+    test: of longer texts, some learned language nearly always has it.
+    """
     model = fit_language_model(docs.filter(crc_bucket(F.col("doc_id"), 4) != 2), VOCABULARY)
-    told = identify_language(docs, model, VOCABULARY, carry=F.struct(*docs.columns))
+    told = identify_language(docs, model, VOCABULARY, carry=F.struct(*[docs[f"`{c}`"] for c in docs.columns]))
     kept = told.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= 0.5))
-    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (after white space, null as empty) the row of smallest id stays, a null id last; of rows that repeat id and text, one."""
     return exact_dedup(docs, keep_rows=True).filter("kept").select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the row of smallest id stays, a null id last; ids may repeat."""
+    """Of each group of near duplicates the row of smallest id stays, a null id last.
+
+    Rows are told apart by id and text, so ids may repeat. Null, empty and blank texts link with nothing and stay; an
+    empty table gives an empty one.
+    """
     keyed = docs.withColumn("_row_key", document_key(F.col("doc_id"), F.col("text")))
     gone = jaccard_components(keyed, row_key="_row_key").filter("NOT kept").select(F.col("row_key").alias("_row_key"))
     return keyed.join(gone, "_row_key", "left_anti").select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages that an earlier document has; a document of which no word is left goes."""
+    """Cuts passages that an earlier document has; a document of which no word is left goes, null and blank texts too.
+
+    Earlier is by id, null ids first. Rows of equal id and text are one document. ``n_chars`` becomes the new length.
+    """
     found = staged(repeated_passages(docs), "pipeline-passages")
     cut = drop_repeated_passages(docs, found).withColumn("n_chars", F.length("text").cast("long"))
     return cut.filter(F.col("text").rlike("[^ \\t-\\r]")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences; null texts are empty documents, each row is packed for itself."""
     return best_fit_pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
