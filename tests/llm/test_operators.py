@@ -25,7 +25,7 @@ from clipyard.llm.sentencepiece_codec import combine, decode, encode_n_best, tex
 from clipyard.llm.shingles import WordHashes, connected_components, from_planes, packed_counts, shingle_arrays, shingle_hashes, word_hashes, words_of
 from clipyard.llm.substring_dedup import compact_windows, cut_words, drop_repeated_passages, repeated_passages
 from clipyard.llm.token_counts import token_counts
-from clipyard.llm.top_k import bands, search_block, top_k
+from clipyard.llm.top_k import ImpactIndex, top_k
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,7 +86,7 @@ def test_top_k_is_exact(spark):
     x[50:60] = x[40]
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, [1.0, None]), (902, [float("nan")] * 16), (903, [float("inf")] * 16), (904, []), (905, [1.0, 2.0]), (None, [0.0] * 16), (7, x[7].tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit(1)).withColumn("block", F.lit(2))
-    for block, query_block in ((8192, 1024), (37, 3)):
+    for block, query_block in ((1 << 20, 1 << 16), (600, 48)):
         got = collections.defaultdict(list)
         for r in top_k(df, df.filter("vec_id % 50 = 0"), block=block, query_block=query_block).orderBy("query_id", "rank").collect():
             got[r.query_id].append((r.vec_id, r.score))
@@ -99,26 +99,40 @@ def test_top_k_is_exact(spark):
     assert top_k(df, df.filter("vec_id = 905")).count() == 0
 
 
-def test_bands_add_up_and_stop_with_proof():
+def test_segments_stop_with_proof():
     rng = np.random.default_rng(3)
-    x = np.floor(rng.standard_t(2, size=(500, 8)) * 100).astype(np.int64)
-    assert (sum(bands(x)) == x).all()
-    for r, ids, score in search_block(x[:20], np.arange(20), x, np.arange(500), 5):
-        s = x @ x[r]
-        want = sorted((j for j in range(500) if j != r), key=lambda j: (-s[j], j))[:5]
-        assert ids.tolist() == want and score.tolist() == [s[j] for j in want]
+    for x in (np.floor(rng.standard_t(2, size=(900, 8)) * 100).astype(np.int64), np.floor(rng.normal(size=(900, 64)) * 256).astype(np.int64)):
+        index, early = ImpactIndex(x), 0
+        assert index.segments.sum() == (x != 0).sum() == len(index.value)
+        for r in range(40):
+            ids, score, read = index.best(x[r], np.arange(len(x)), r, 5)
+            early += read < len(index.value)
+            s = x @ x[r]
+            want = sorted((j for j in range(len(x)) if j != r), key=lambda j: (-s[j], j))[:5]
+            assert ids.tolist() == want and score.tolist() == [s[j] for j in want]
+            assert set(want) <= set(index.members(x[r], np.array([r]), 5)[0].tolist())
+        assert early > (30 if x.shape[1] == 64 else 0)
+    zero = ImpactIndex(np.zeros((7, 3), np.int64))
+    assert zero.best(np.zeros(3, np.int64), np.arange(7), 0, 5)[0].tolist() == [1, 2, 3, 4, 5]
+
+
+def test_most_queries_stop_before_the_last_segments(spark):
+    """On the test vectors: how many queries are proven before all postings are read."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    x = np.floor(256 * np.stack(rows["embedding"]).astype(float)).astype(np.int64)
+    index, ids = ImpactIndex(x), rows["vec_id"].to_numpy()
+    read = np.array([index.best(x[i], ids, ids[i], 5)[2] for i in np.flatnonzero(ids % 50 == 0)])
+    assert (read < len(index.value)).mean() > 0.9
 
 
 def test_a_repeated_id_with_other_vectors_hides_no_neighbour():
-    """The query's own rows are all nearer than the k others, and every vector has to be read to the end."""
+    """The query's own rows are all nearer than the k others."""
     x, ids = np.ones((200, 4), np.int64) * 100, np.arange(200)
     x[:4] += np.arange(1, 5)[:, None]
     ids[:4] = 0
-    for _, got, _ in search_block(x[:1], ids[:1], x, ids, 5):
-        assert got.tolist() == [4, 5, 6, 7, 8]
+    assert ImpactIndex(x).best(x[0], ids, 0, 5)[0].tolist() == [4, 5, 6, 7, 8]
     x[4:] -= np.arange(196)[:, None] % 90
-    for _, got, _ in search_block(x[:1], ids[:1], x, ids, 5, stop_at=-5):
-        assert got.tolist() == [4, 94, 184, 5, 95]
+    assert ImpactIndex(x).best(x[0], ids, 0, 5)[0].tolist() == [4, 94, 184, 5, 95]
 
 
 # 2

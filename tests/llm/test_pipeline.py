@@ -76,6 +76,21 @@ def test_no_passage_of_fifty_words_is_left_twice(steps):
     assert sum(map(len, after.values())) > 0.8 * sum(map(len, before.values()))
 
 
+def test_nulls_empty_tables_repeats_and_odd_names(spark):
+    """All stages over odd rows: each keeps the columns it was given, whatever their names."""
+    text = " ".join(f"the rain in the city number {k}" for k in range(30))
+    rows = [(1, text), (1, text), (2, None), (3, ""), (4, " \t"), (None, "a lone line of words"), (5, "½ ²"), (5, "the other words of this id"), (6, text + " x")]
+    odd = spark.createDataFrame([(i, t, "en", None, 0, 1, 2) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, `a.b` int, row int")
+    for docs, want in ((odd, {1, 5, None}), (odd.limit(0), set())):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            columns, docs = docs.columns, staged(stage(spark, docs, DATA), "odd-stage")
+            assert docs.columns == columns
+        assert {r.doc_id for r in docs.collect()} == want
+        assert {r.doc_id for r in corpus_pipeline.packing(spark, docs, DATA).collect()} == want
+    got = corpus_pipeline.near(spark, odd, DATA).collect()
+    assert sorted((r.doc_id or 0) for r in got) in ([0, 1, 2, 3, 4, 5, 5], [0, 1, 1, 2, 3, 4, 5, 5])
+
+
 def test_packed_documents_are_the_last_stages(steps):
     assert {r.doc_id for r in steps[5].collect()} == {r.doc_id for r in steps[4].collect()}
 
