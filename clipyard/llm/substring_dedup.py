@@ -311,12 +311,12 @@ def _found(rows: list[tuple]) -> pa.Table:
 def _verify(least: int, percent: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, col = [], {c: batch.column(c) for c in batch.schema.names}
-            for i in range(batch.num_rows):
-                a, b = (apart(col[c][i].as_py(), k) for k, c in enumerate(("tokens", "s_tokens"), 1))
-                for s, e, s2, e2, jaccard in joined_spans(a, b, least, percent):
-                    out.append((col["doc_id"][i].as_py(), col["uid"][i].as_py(), s, e + width - 1, col["s_doc"][i].as_py(), s2, e2 + width - 1, jaccard))
-            yield from _found(out).to_batches()
+            for first in range(0, batch.num_rows, 500):
+                out, part = [], batch.slice(first, 500)
+                for doc, uid, tokens, s_doc, s_tokens in zip(*(part.column(c).to_pylist() for c in ("doc_id", "uid", "tokens", "s_doc", "s_tokens")), strict=True):
+                    for s, e, s2, e2, jaccard in joined_spans(apart(tokens, 1), apart(s_tokens, 2), least, percent):
+                        out.append((doc, uid, s, e + width - 1, s_doc, s2, e2 + width - 1, jaccard))
+                yield from _found(out).to_batches()
 
     return run
 
@@ -330,12 +330,16 @@ class Windows:
         place = np.concatenate([np.arange(len(x), dtype=np.int32) for x in tokens])
         on = np.flatnonzero(flat)
         by = on[np.argsort(flat[on], kind="stable")]
-        flat, self.owner, self.place = flat[by], owner[by], place[by]
+        flat, owner, place = flat[by], owner[by], place[by]
+        once = np.ones(len(flat), bool)  # of a token that a window repeats, the first place
+        once[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
+        self.twice = np.bincount(owner[~once], minlength=self.count) > 0
+        flat, self.owner, self.place = flat[once], owner[once], place[once]
         first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1]))) if len(flat) else np.zeros(0, np.int64)
         self.values, self.first = flat[first], np.append(first, len(flat))
 
-    def covers(self, own: np.ndarray, before: int, least: int, percent: int, most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(windows before ``before``, which places of ``own`` a similar span may hold), some windows at a time.
+    def covers(self, own: np.ndarray, open_: np.ndarray, before: int, least: int, percent: int, most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(windows before ``before`` that share an open place's token, which places of ``own`` a similar span may hold), some windows at a time.
 
         A span of ``own`` from s to e and of another from the places of its first to its last token share x tokens:
         similar where (100 + percent) x >= percent (both lengths), so the sum (100 + percent) x - percent (own place + other
@@ -344,15 +348,24 @@ class Windows:
         """
         if not len(self.values) or not before:
             return
-        found = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
-        col = np.flatnonzero((self.values[found] == own) & (own > 0))
-        a = self.first[found[col]]
-        n = self.first[found[col] + 1] - a
+        token, of = np.unique(own, return_inverse=True)
+        found = np.minimum(np.searchsorted(self.values, token), len(self.values) - 1)
+        col = np.flatnonzero((self.values[found] == token) & (token > 0))
+        a, b = self.first[found[col]], self.first[found[col] + 1]
+        fresh, news = np.zeros(len(token), bool), np.zeros(self.count, bool)
+        fresh[of[open_]] = True
+        for k in np.flatnonzero(fresh[col]).tolist():
+            news[self.owner[a[k] : b[k]]] = True
+        if not news[:before].any():
+            return
+        n = b - a
         post = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
         who, col = self.owner[post], np.repeat(col, n)
-        use = who < before
+        use = (who < before) & news[who]
         who, col, post = who[use], col[use], post[use]
-        enough = np.flatnonzero(100 * np.bincount(who, minlength=self.count) >= percent * least)
+        shared = np.zeros(self.count, np.int64)
+        shared += np.bincount(who, np.bincount(of, minlength=len(token))[col], self.count).astype(np.int64)
+        enough = np.flatnonzero(100 * shared >= percent * least)
         at = np.arange(len(own), dtype=np.int32)
         lag = at - least + 1  # the last place from which a span may begin
         again_ = again(own) & (own > 0)
@@ -363,8 +376,9 @@ class Windows:
             row[:] = -1
             row[some] = np.arange(len(some))
             mine = row[who] >= 0
-            place = np.full((len(some), len(at)), -1, np.int32)
+            place = np.full((len(some), len(token)), -1, np.int32)
             place[row[who[mine]], col[mine]] = self.place[post[mine]]
+            place = place[:, of]
             has = place >= 0
             sums = gain * np.cumsum(has, axis=1, dtype=np.int32) - percent * (at[None, :] + place)
             low = np.minimum.accumulate(np.where(has, sums, np.int32(1 << 30)), axis=1)
@@ -375,8 +389,7 @@ class Windows:
             good = ends.any(axis=1)
             cover = np.maximum.accumulate(np.where(ends, high, np.int32(-(1 << 30)))[:, ::-1], axis=1)[:, ::-1] - low >= least_gain
             last = np.maximum.accumulate(place, axis=1)
-            twice = np.bincount(row[who[mine]], minlength=len(some)) > has.sum(axis=1)
-            loose = np.flatnonzero(~good & (repeats | twice | (has[:, 1:] & (place[:, 1:] < last[:, :-1])).any(axis=1)))
+            loose = np.flatnonzero(~good & (repeats | self.twice[some] | (has[:, 1:] & (place[:, 1:] < last[:, :-1])).any(axis=1)))
             if len(loose):
                 cost = np.where(has[loose], np.int32(100 - percent), np.where(again_, np.int32(0), np.int32(-percent)))
                 total = np.zeros((len(loose), len(at) + 1), np.int32)
@@ -389,33 +402,35 @@ class Windows:
 def _hot_windows(least: int, percent: int, width: int):
     order = lambda doc, uid: (doc is not None, doc or 0, uid)  # noqa: E731  null ids come first
 
+    def of_key(windows: list[tuple], asked: list[tuple]) -> Iterator[tuple]:
+        windows = sorted(windows, key=lambda x: order(x[0], x[1]))
+        index, ranks = Windows([np.frombuffer(x[3], np.uint32) for x in windows]), [order(x[0], x[1]) for x in windows]
+        for doc, uid, lo, tokens, spans in asked:
+            own = np.frombuffer(tokens, np.uint32)
+            open_ = np.ones(len(own), bool)
+            for x in spans or []:
+                open_[max(0, x["start"] - lo) : max(0, x["end"] - width + 1 - lo)] = False
+            for who, cover in index.covers(own, open_, bisect.bisect_left(ranks, order(doc, uid)), least, percent):
+                fresh = np.ones(len(who), bool)
+                while len(who):
+                    gain = np.where(fresh, cover[:, open_].sum(axis=1), 0)
+                    w = int(np.argmax(gain))
+                    if not gain[w]:
+                        break
+                    fresh[w] = False
+                    s_doc, _, s_lo, source = windows[who[w]]
+                    for s, e, s2, e2, jaccard in joined_spans(apart(tokens, 1), apart(source, 2), least, percent):
+                        if open_[s:e].any():
+                            open_[s:e] = False
+                            yield doc, uid, lo + s, lo + e + width - 1, s_doc, s_lo + s2, s_lo + e2 + width - 1, jaccard
+
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        if left.num_rows and right.num_rows:
-            rows = lambda t, *cols: zip(*(t.column(c).to_pylist() for c in ("doc_id", "uid", "lo", "tokens", *cols)), strict=True)
-            windows = sorted(rows(left), key=lambda x: order(x[0], x[1]))
-            index, ranks = Windows([np.frombuffer(x[3], np.uint32) for x in windows]), [order(x[0], x[1]) for x in windows]
-            for doc, uid, lo, tokens, spans in rows(right, "spans"):
-                own = np.frombuffer(tokens, np.uint32)
-                open_ = np.ones(len(own), bool)
-                for x in spans or []:
-                    open_[max(0, x["start"] - lo) : max(0, x["end"] - width + 1 - lo)] = False
-                if not open_.any():
-                    continue
-                for who, cover in index.covers(own, bisect.bisect_left(ranks, order(doc, uid)), least, percent):
-                    fresh = np.ones(len(who), bool)
-                    while len(who):
-                        gain = np.where(fresh, cover[:, open_].sum(axis=1), 0)
-                        w = int(np.argmax(gain))
-                        if not gain[w]:
-                            break
-                        fresh[w] = False
-                        s_doc, _, s_lo, source = windows[who[w]]
-                        for s, e, s2, e2, jaccard in joined_spans(apart(tokens, 1), apart(source, 2), least, percent):
-                            if open_[s:e].any():
-                                open_[s:e] = False
-                                out.append((doc, uid, lo + s, lo + e + width - 1, s_doc, s_lo + s2, s_lo + e2 + width - 1, jaccard))
-        return _found(out)
+        held: dict[int, list] = {}
+        asked: dict[int, list] = {}
+        for t, into, more in ((left, held, []), (right, asked, ["spans"])):
+            for k, *row in zip(*(t.column(c).to_pylist() for c in ("key", "doc_id", "uid", "lo", "tokens", *more)), strict=True):
+                into.setdefault(k, []).append(tuple(row))
+        return _found([x for k, rows in asked.items() if k in held for x in of_key(held[k], rows)])
 
     return run
 
@@ -479,10 +494,14 @@ def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width
     held = staged(held.select("key", "doc_id", "uid", "lo", "open", "spans", "lb", "rb", F.expr("substring(tokens, 4 * lo + 1, 4 * (hi - lo))").alias("tokens")), "passage-open")
     place = lambda of: F.pmod(F.xxhash64("uid", "lo"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    left = held.select("key", place("lb").alias("p"), every("rb").alias("q"), "doc_id", "uid", "lo", "tokens")
-    right = held.filter("open").select("key", every("lb").alias("p"), place("rb").alias("q"), "doc_id", "uid", "lo", "tokens", "spans")
+    # Keys of one block each go together, about ``BLOCK`` windows a group.
+    group = F.when((F.col("lb") == 1) & (F.col("rb") == 1), F.pmod(F.xxhash64("key"), F.lit(1 + held.count() // BLOCK))).otherwise(F.col("key")).alias("group")
+    cols = ["key", "doc_id", "uid", "lo", "tokens"]
+    left = held.select(group, place("lb").alias("p"), every("rb").alias("q"), *cols)
+    right = held.filter("open").select(group, every("lb").alias("p"), place("rb").alias("q"), *cols, "spans")
     right = right.toDF(*right.columns)
-    more = staged(left.groupBy("key", "p", "q").cogroup(right.groupBy("key", "p", "q")).applyInArrow(_hot_windows(least, percent, width), FOUND).distinct(), "passage-more")
+    by = ["group", "p", "q"]
+    more = staged(left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_hot_windows(least, percent, width), FOUND).distinct(), "passage-more")
     discard(single, met, held)
     return found.unionByName(more).unionByName(copies)
 
