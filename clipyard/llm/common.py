@@ -73,13 +73,14 @@ def crc_bucket(doc_id: Column, mod: int) -> Column:
 
 
 def chunks_by_bytes(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Index ranges whose texts hold about ``limit`` characters, one text at least."""
+    """Index ranges whose texts hold about ``limit`` bytes of UTF-8, one text at least."""
     start, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
+        n = len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass"))
+        if size and size + n > limit:
             yield start, i
             start, size = i, 0
-        size += len(t)
+        size += n
     if start < len(texts):
         yield start, len(texts)
 

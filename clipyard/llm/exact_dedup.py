@@ -31,7 +31,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fir
 
     Null texts count as empty. Of equal texts the smallest id stays, null ids last; rows that repeat id and text form
     one group, of which one row is kept. Extra columns are left out or kept inside ``row``, so their names can't
-    clash. An empty table gives an empty one.
+    clash. An empty table gives an empty one. Long texts are compared to their end, by longer digits. Rows that repeat
+    an id and a text are told apart by their place in the input, which has to be the same whenever it is read.
     """
     row = F.struct(*[docs[c] for c in docs.columns]) if keep_rows else F.struct(docs[doc_id].alias(doc_id), docs[text].alias(text))
     norm = normalised(F.col("row")[text])

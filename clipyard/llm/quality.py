@@ -158,7 +158,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, text: s
 
     ``sample``: the fit takes about this many labelled rows, those of least hash of the id, fewer if there are
     fewer. Null texts count as empty and get a score. Rows whose label or id is null teach nothing; a repeated
-    label row counts by its largest label. Without labels every score is 0.5. Extra columns are left out; an empty
+    label row counts by its largest label; rows that repeat an id are scored each for itself, whole texts however long.
+    Equal features give equal scores. Without labels every score is 0.5. Extra columns are left out; an empty
     table gives an empty one.
     """
     spark = docs.sparkSession

@@ -4,7 +4,7 @@ Pieces never cross a place where white space begins, so a text is a row of units
 it) and its segmentations are the products of theirs. Forward Viterbi scores of each distinct unit give the best
 segmentation and the loss of the second best. The N best of a text differ from the best in at most the N-1 units
 of least loss; those units' own N best come from a backward A-star search whose heuristic, the forward score, is
-exact. The vocabulary's piece scores are used as they are.
+exact. Scores are natural log probabilities of pieces: a unigram vocabulary's own, or Zipf's of a BPE vocabulary's ranks.
 """
 
 from __future__ import annotations
@@ -83,9 +83,9 @@ def _encode(model: str, n: int):
 def encode_n_best(docs: DataFrame, model: str, n: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, ids (the best segmentation), nbest (score and the units that differ from the best; best first), round_trip.
 
-    ``round_trip``: the ids decode to the text.
- Null and empty texts have no ids and one segmentation of score 0. Among equal scores the longer last piece wins
-    within a unit. The space mark itself counts as a space, as the format has it. Ids may be null or repeat; extra
+    ``round_trip``: the ids decode to the text. Null and empty texts have no ids and one segmentation of score 0. Among
+    equal scores the longer last piece wins within a unit. Long texts are encoded whole, unit by unit; a unit's lattice is
+    held at once. The space mark itself counts as a space, as the format has it. Ids may be null or repeat; extra
     columns are left out; an empty table gives an empty one.
     """
     two = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -529,7 +529,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def drop_repeated_passages(docs: DataFrame, passages: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with the spans of ``passages`` cut from the texts; a document stays where its passage came first."""
+    """``docs`` with the spans of ``passages`` cut from the texts; a document stays where its passage came first.
+
+    Rows are found by id and text, so ids may be null or repeat; null texts stay null; all columns stay.
+    """
     spans = passages.groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     kept = docs.select(document_key(F.col(doc_id), F.col(text)).alias("uid"), F.struct(*[c for c in docs.columns if c != text]).alias("row"), F.col(text).alias("text"))
     kind = kept.schema["row"].dataType.simpleString()

@@ -58,7 +58,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, text: str =
     """doc_id, n_bytes, n_tokens, over_limit of every row.
 
     Null and empty texts have 0 bytes and tokens; ids may be null or repeat, each row is counted for itself; other
-    columns are left out, whatever their names; an empty table gives an empty one. ``tokenizer``: the path of a
+    columns are left out, whatever their names; an empty table gives an empty one. A long text is counted whole; what
+    has no safe boundary, such as one word, goes to the library in one piece. ``tokenizer``: the path of a
     ``tokenizers`` JSON file on every executor. Narrow: no shuffle, one Arrow pass over two columns.
     """
     two = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -222,6 +222,20 @@ def test_language_id_learns_and_handles_odd_texts(spark, odd, none):
     assert {r.lang_pred for r in identify_language(odd, fit_language_model(none, MODEL), MODEL).collect()} == {"und"}
 
 
+def test_language_posterior_is_brute_force(spark):
+    """Of whole texts: every segmentation of every word under each language, and the languages' shares."""
+    docs = spark.createDataFrame([(1, "the rain", "en"), (2, "the city rain the", "en"), (3, "la ville pluie", "fr"), (4, None, None)], "doc_id long, text string, lang string")
+    m, v = fit_language_model(docs, MODEL), lattice.load_pieces(MODEL)
+    assert m.langs == ["en", "fr"] and np.allclose(np.exp(m.prior), [2 / 3, 1 / 3]) and np.allclose(np.exp(m.logp).sum(axis=0), 1)
+    asked = spark.createDataFrame([(9, "rain la"), (10, "pluie é"), (11, "½ ² ³ 12"), (12, "the")], "doc_id long, text string")
+    got = {r.row: (r.lang_pred, r.score) for r in identify_language(asked, m, MODEL).collect()}
+    assert got.pop(11) == ("und", 0.0)
+    for r in asked.filter("doc_id <> 11").collect():
+        x = m.prior + sum(np.log(sum(np.exp(m.logp[ids].sum(axis=0)) for _, ids in segmentations(v, "▁" + w))) for w in r.text.split())
+        post = np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+        assert got[r.doc_id][0] == m.langs[int(post.argmax())] and math.isclose(got[r.doc_id][1], post.max(), rel_tol=1e-9)
+
+
 def test_language_id_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = crc_bucket(F.col("doc_id"), 4) == 2
@@ -552,6 +566,41 @@ def test_lm_scores_base_and_marginals(spark, odd, none):
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in lm_scores(odd, F.lit(True), MODEL).collect())
 
 
+def test_lm_scores_are_the_lattices(spark):
+    """The score of whole texts from plain EM rounds over the training words and all segmentations."""
+    texts = {i: prose(i, 2 + i % 5) for i in range(30)} | {77: None, 78: "x" * 60 + " unseen"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_scores(df, crc_bucket(F.col("doc_id"), 7) == 2, MODEL, em_rounds=2, strength=50.0).collect()}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    words = collections.Counter(w for t in train for w in (t or "").split())
+    v = lattice.load_pieces(MODEL)
+    use = np.zeros(v.size, bool)
+    use[[*v.ids.values(), *v.byte_ids]] = True
+    prior = np.where(use, np.exp(v.scores), 0)
+    prior /= prior.sum()
+    counts = np.zeros(v.size)
+    for _ in range(3):
+        mass = counts + 50.0 * prior
+        total = mass.sum() + len(train) + 1
+        with np.errstate(divide="ignore"):
+            logp = np.log(mass / total)
+        last = counts
+        counts = lattice.expected_counts(v, ["▁" + w for w in words], np.array(list(words.values()), float), logp)
+    end = (len(train) + 1) / (last.sum() + 51.0 + len(train))
+    for i, t in texts.items():
+        want = lattice.log_marginals(v, ["▁" + w for w in (t or "").split()], logp.reshape(-1, 1)).sum() / math.log(10) + math.log10(end)
+        assert math.isclose(got[i], want, rel_tol=1e-9)
+
+
+def test_long_words_train_on_all_segmentations(monkeypatch):
+    v = lattice.load_pieces(MODEL)
+    logp = np.log(np.random.default_rng(2).dirichlet(np.ones(v.size)))
+    words, weights = ["▁rainfall" * 3, "▁日a\nb", "▁x"], np.array([2.0, 1.0, 3.0])
+    short = lattice.expected_counts(v, words, weights, logp)
+    monkeypatch.setattr(lattice, "LONG", 1)
+    assert np.allclose(lattice.expected_counts(v, words, weights, logp), short)
+
+
 def test_expected_counts_are_brute_force():
     v = lattice.load_pieces(MODEL)
     logp = np.log(np.random.default_rng(0).dirichlet(np.ones(v.size)))
