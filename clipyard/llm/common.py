@@ -63,6 +63,11 @@ def discard(*tables: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def all_columns(df: DataFrame) -> list[Column]:
+    """Every column by its exact name, dots and backticks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, staged
+from .common import SPACES, all_columns, staged
 
 
 def normalised(text: Column) -> Column:
@@ -34,7 +34,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fir
     clash. An empty table gives an empty one. Long texts are compared to their end, by longer digits. Rows that repeat
     an id and a text are told apart by their place in the input, which has to be the same whenever it is read.
     """
-    row = F.struct(*[docs[c] for c in docs.columns]) if keep_rows else F.struct(docs[doc_id].alias(doc_id), docs[text].alias(text))
+    row = F.struct(*all_columns(docs)) if keep_rows else F.struct(docs[doc_id].alias(doc_id), docs[text].alias(text))
     norm = normalised(F.col("row")[text])
     active = docs.select(row.alias("row"), F.monotonically_increasing_id().alias("rid"), F.lit(0).cast("long").alias("gid")).withColumn("sha", F.sha2(norm.cast("binary"), 256))
     slim = F.col("row") if keep_rows else F.struct(F.col("row")[doc_id].alias(doc_id), F.lit(None).cast(docs.schema[text].dataType).alias(text))

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import Memo, chunks_by_bytes
 from .lattice import SPACE, load_pieces, log_marginals
@@ -132,5 +133,5 @@ def identify_language(docs: DataFrame, lm: LanguageModel, model: str, text: str
     """
     row = F.col("doc_id") if carry is None else carry
     two = docs.select(row.alias("row"), F.col(text).cast("string").alias("text"))
-    kind = two.schema["row"].dataType.simpleString()
-    return two.mapInArrow(_predict(model, docs.sparkSession.sparkContext.broadcast(lm)), f"row {kind}, lang_pred string, score double")
+    out = StructType([two.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return two.mapInArrow(_predict(model, docs.sparkSession.sparkContext.broadcast(lm)), out)

@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import chunks_by_bytes, discard, staged
+from .common import all_columns, chunks_by_bytes, discard, staged
 from .shingles import WordHashes, distinct, mix, repeated_shingles, shingle_arrays, words_of
 
 #: All pairs of a key's windows are candidates up to so many windows.
@@ -534,7 +535,7 @@ def drop_repeated_passages(docs: DataFrame, passages: DataFrame, text: str = "te
     Rows are found by id and text, so ids may be null or repeat; null texts stay null; all columns stay.
     """
     spans = passages.groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    kept = docs.select(document_key(F.col(doc_id), F.col(text)).alias("uid"), F.struct(*[c for c in docs.columns if c != text]).alias("row"), F.col(text).alias("text"))
-    kind = kept.schema["row"].dataType.simpleString()
-    done = kept.join(spans.hint("merge"), "uid", "left").select("row", "text", "spans").mapInArrow(_cut, f"row {kind}, text string")
+    kept = docs.select(document_key(F.col(doc_id), F.col(text)).alias("uid"), F.struct(*[x for c, x in zip(docs.columns, all_columns(docs), strict=True) if c != text]).alias("row"), F.col(text).alias("text"))
+    kind = StructType([kept.schema["row"], StructField("text", StringType())])
+    done = kept.join(spans.hint("merge"), "uid", "left").select("row", "text", "spans").mapInArrow(_cut, kind)
     return done.select(*[F.col("text").alias(text) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
