@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipyard.llm.common import crc_bucket, discard, staged
+from clipyard.llm.common import all_columns, crc_bucket, discard, staged
 from clipyard.llm.exact_dedup import exact_dedup
 from clipyard.llm.jaccard_join import jaccard_components
 from clipyard.llm.language_id import UNDETERMINED, fit_language_model, identify_language
@@ -30,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     test: of longer texts, some learned language nearly always has it.
     """
     model = fit_language_model(docs.filter(crc_bucket(F.col("doc_id"), 4) != 2), VOCABULARY)
-    told = identify_language(docs, model, VOCABULARY, carry=F.struct(*[docs[f"`{c}`"] for c in docs.columns]))
+    told = identify_language(docs, model, VOCABULARY, carry=F.struct(*all_columns(docs)))
     kept = told.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= 0.5))
     return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
@@ -48,7 +48,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     keyed = docs.withColumn("_row_key", document_key(F.col("doc_id"), F.col("text")))
     gone = jaccard_components(keyed, row_key="_row_key").filter("NOT kept").select(F.col("row_key").alias("_row_key"))
-    return keyed.join(gone, "_row_key", "left_anti").select(*docs.columns)
+    return keyed.join(gone, "_row_key", "left_anti").select(*all_columns(docs))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = staged(repeated_passages(docs), "pipeline-passages")
     cut = drop_repeated_passages(docs, found).withColumn("n_chars", F.length("text").cast("long"))
-    return cut.filter(F.col("text").rlike("[^ \\t-\\r]")).select(*docs.columns)
+    return cut.filter(F.col("text").rlike("[^ \\t-\\r]")).select(*all_columns(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
