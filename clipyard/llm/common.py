@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_LOCAL[app]}"
 
 
-#: Removes a write's shuffle files once it has ended.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is staged: its write's shuffle files go when it has ended, and workers get rows of whole texts in small batches.
+STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -44,12 +47,14 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in STAGING}
+    for k, v in STAGING.items():
+        spark.conf.set(k, v)
     try:
         writer.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
@@ -63,6 +68,20 @@ def discard(*tables: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def gives_back(run: Callable) -> Callable:
+    """The Arrow function ``run``, after which a worker returns its free memory: workers live on for later stages."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def all_columns(df: DataFrame) -> list[Column]:
     """Every column by its exact name, dots and backticks included."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_by_bytes, discard, staged
+from .common import chunks_by_bytes, discard, gives_back, staged
 from .shingles import WordHashes, connected_components, distinct, mix, repeated_shingles, shingle_arrays, words_of
 
 #: All pairs of a token are candidates up to so many texts.
@@ -75,7 +75,7 @@ def _rows(shared, orders: int, width: int, percent: int):
                     tokens.append([x.view(np.int64) for x in prefixes(own, single, rep.weight(own), orders, percent)] if live else None)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(tokens, pa.list_(pa.list_(pa.int64()))), *[c.slice(a, b - a) for c in batch.columns[2:]]], names=["row", "uid", "n", "shingles", "tokens", *batch.schema.names[2:]])
 
-    return run
+    return gives_back(run)
 
 
 class Roots:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import Memo, chunks_by_bytes
+from .common import Memo, chunks_by_bytes, gives_back
 from .lattice import SPACE, load_pieces, log_marginals
 
 _MAYBE = re.compile(r"[^\W\d_]")
@@ -63,7 +63,7 @@ def _count(model: str):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 docs[lang] += 1
                 words[lang].update((text or "").lower().split())
-            if sum(map(len, words.values())) > 300_000:
+            if sum(map(len, words.values())) > 150_000:
                 flush()
         flush()
         for lang in docs:
@@ -71,7 +71,7 @@ def _count(model: str):
             ids = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(ids) + 1)), pa.array(np.append(ids, -1)), pa.array(np.append(c[ids], docs[lang]))], names=["lang", "piece", "n"])
 
-    return run
+    return gives_back(run)
 
 
 class LanguageModel:
@@ -104,7 +104,7 @@ def fit_language_model(train: DataFrame, model: str, text: str = "text", lang: s
 def _predict(model: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, v = shared.value, load_pieces(model)
-        memo = Memo(lambda words: log_marginals(v, [SPACE + w for w in words], m.logp))
+        memo = Memo(lambda words: log_marginals(v, [SPACE + w for w in words], m.logp), limit=100_000)
         for batch in batches:
             texts, preds, scores = [t or "" for t in batch.column(1).to_pylist()], [], []
             for a, b in chunks_by_bytes(texts):
@@ -121,7 +121,7 @@ def _predict(model: str, shared):
                     scores.append(float(1 / np.exp(x - x[k]).sum()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"])
 
-    return run
+    return gives_back(run)
 
 
 def identify_language(docs: DataFrame, lm: LanguageModel, model: str, text: str = "text", carry: Column | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, chunks_by_bytes, heaviest, staged
+from .common import Memo, chunks_by_bytes, gives_back, heaviest, staged
 from .lattice import SPACE, expected_counts, load_pieces, log_marginals
 
 LN10 = math.log(10)
@@ -56,7 +56,7 @@ def _piece_counts(model: str, shared):
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["piece", "n"])
 
-    return run
+    return gives_back(run)
 
 
 def _probabilities(v, counts: np.ndarray, ends: int, strength: float) -> np.ndarray:
@@ -105,7 +105,7 @@ def _score(model: str, shared):
                 names=["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "rare_n"],
             )
 
-    return run
+    return gives_back(run)
 
 
 def lm_scores(docs: DataFrame, held_out: Column, model: str, text: str = "text", doc_id: str = "doc_id", em_rounds: int = 2, strength: float = 1000.0, common_words: int = 1 << 18) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, chunks_by_bytes, space_units, staged
+from .common import Memo, chunks_by_bytes, gives_back, space_units, staged
 from .token_counts import encode_units
 
 #: Units with other characters go to the tokenizers library itself: engines may class newer letters differently.
@@ -140,7 +140,7 @@ def _pieces(tokenizer: str, ranks: str | None, capacity: int):
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "local"])
 
-    return run
+    return gives_back(run)
 
 
 def best_fit_pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = 2048, max_docs: int | None = None, max_cost: float | None = None, weights: tuple[float, float, float] = (1.0, 1.0, 1.0), score: str = "norm", text: str = "text", doc_id: str = "doc_id") -> DataFrame:

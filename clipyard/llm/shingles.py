@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_by_bytes, discard, staged
+from .common import chunks_by_bytes, discard, gives_back, staged
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
 
@@ -239,7 +239,7 @@ def repeated_shingles(docs: DataFrame, width: int, text: str, name: str, flush:
                     held, n = [], 0
         yield packed_counts(held, bits)
 
-    return repeats(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, PACKED), bits, name)
+    return repeats(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(gives_back(run), PACKED), bits, name)
 
 
 def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import all_columns, chunks_by_bytes, discard, staged
+from .common import all_columns, chunks_by_bytes, discard, gives_back, staged
 from .shingles import WordHashes, distinct, mix, repeated_shingles, shingle_arrays, words_of
 
 #: All pairs of a key's windows are candidates up to so many windows.
@@ -135,7 +135,7 @@ def _rows(shared, least: int, percent: int, width: int, functions: int):
                     sizes = [int(bounds[i + 1] - bounds[i]) + width - 1 for i in took]
                     yield pa.RecordBatch.from_arrays([*[batch.column(k).take(where) for k in range(3)], pa.array(sizes, pa.int32()), pa.array(tokens, pa.binary()), *[pa.ListArray.from_arrays(cut, pa.array(x)) for x in lists]], names=["doc_id", "uid", "tid", "n", "tokens", "keys", "lo", "hi"])
 
-    return run
+    return gives_back(run)
 
 
 def equal_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -319,7 +319,7 @@ def _verify(least: int, percent: int, width: int):
                         out.append((doc, uid, s, e + width - 1, s_doc, s2, e2 + width - 1, jaccard))
                 yield from _found(out).to_batches()
 
-    return run
+    return gives_back(run)
 
 
 class Windows:
