@@ -246,32 +246,57 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
     out: list[tuple[int, int, int, int, float]] = []
     if min(len(a), len(b)) < least:
         return out
-    in_b = within(a, np.sort(b))
-    if 100 * np.count_nonzero(in_b) < percent * least:
+    by = np.argsort(b, kind="stable")
+    held = b[by]
+    at = np.minimum(np.searchsorted(held, a), len(b) - 1)
+    in_b = held[at] == a
+    where = np.flatnonzero(in_b)
+    if 100 * len(where) < percent * least:
         return out
-    at = np.flatnonzero(in_b)
-    a0, a, in_b = int(at[0]), a[at[0] : at[-1] + 1], in_b[at[0] : at[-1] + 1]
-    in_a = within(b, np.sort(a))
-    at = np.flatnonzero(in_a)
-    b0, b, in_a = int(at[0]), b[at[0] : at[-1] + 1], in_a[at[0] : at[-1] + 1]
+    own = np.sort(a[where])
+    plain = (own[1:] != own[:-1]).all() and (held[1:] != held[:-1]).all()  # no shared token repeats
+    a0, a1 = int(where[0]), int(where[-1]) + 1
+    if plain:
+        place = by[at[where]]
+        b0, b1 = int(place.min()), int(place.max()) + 1
+    else:
+        at = np.flatnonzero(within(b, own))
+        b0, b1 = int(at[0]), int(at[-1]) + 1
+    a, b, in_b = a[a0:a1], b[b0:b1], in_b[a0:a1]
     if min(len(a), len(b)) < least:
         return out
-    again_a, again_b = again(a), again(b)
+    if plain:
+        in_a = np.zeros(len(b), bool)
+        in_a[place - b0] = True
+        again_a = again_b = None
+    else:
+        in_a, again_a, again_b = within(b, own), again(a), again(b)
     on_a, on_b = stretches(in_b, percent, least, again_a), stretches(in_a, percent, least, again_b)
     if not on_a or not on_b:
         return out
 
     def similar(s: int, e: int, s2: int, e2: int) -> bool:
-        x, y = distinct(a[s:e]), distinct(b[s2:e2])
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        union = len(x) + len(y) - both
+        if plain:
+            at = partner[s:e]
+            both = int(np.count_nonzero((at >= s2) & (at < e2)))
+            union = e - s + e2 - s2 - both
+        else:
+            x, y = distinct(a[s:e]), distinct(b[s2:e2])
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            union = len(x) + len(y) - both
         if fine := 100 * both >= percent * union:
             out.append((s, e, s2, e2, both / union))
         return fine
 
-    i, j, size = equal_runs(a, b)
     lack = None
-    if again_a.any() or again_b.any():
+    if plain:
+        i, j = where - a0, place - b0
+        partner = np.full(len(a), -1)
+        partner[i] = j
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1))))
+        i, j, size = i[first], j[first], np.diff(np.append(first, len(i)))
+    else:
+        i, j, size = equal_runs(a, b)
         lack = [np.concatenate(([0], np.cumsum(x))) for x in (~in_b & ~again_a, ~in_a & ~again_b)]
     for path in chains(i, j, size):
         s, s2, n = i[path], j[path], size[path]
