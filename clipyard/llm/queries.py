@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_bucket, table
+from .divergence_audit import divergence_audit
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
 from .language_id import fit_language_model, identify_language
@@ -68,7 +69,11 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), crc_bucket(F.col("doc_id"), 7) == 2, VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op8_substring_dedup, op9_quality, op10_lm_scores)}
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op8_substring_dedup, op9_quality, op10_lm_scores, op11_divergence_audit)}
 
 SQL = {
     "op1_top_k": """
@@ -83,4 +88,20 @@ SQL = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM d""",
+    "op11_divergence_audit": r"""
+        WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+        o AS (SELECT lang, source, id, unnest(ts) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n FROM o GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+        l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+        c AS (SELECT o.lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+        g AS (SELECT d.lang, d.source, coalesce(any_value(l.v), 0) AS v, coalesce(any_value(x.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) d
+              LEFT JOIN l USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) x ON x.lang = d.lang AND x.source = d.source GROUP BY ALL),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * g.v) AS p, 1 + (1000000000::HUGEINT * (k.n + 5)) // (l.n + 5 * l.v) AS q
+              FROM g JOIN kept k ON k.lang = g.lang JOIN l ON l.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+              UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q)
+        SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM r) WHERE part = 'pair' OR rank <= 50""",
 }
