@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .common import crc_bucket, table
 from .divergence_audit import divergence_audit
 from .exact_dedup import exact_dedup
+from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .language_id import fit_language_model, identify_language
 from .lm_scoring import lm_scores
@@ -73,7 +74,11 @@ def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op8_substring_dedup, op9_quality, op10_lm_scores, op11_divergence_audit)}
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op8_substring_dedup, op9_quality, op10_lm_scores, op11_divergence_audit, op13_html_text)}
 
 SQL = {
     "op1_top_k": """
