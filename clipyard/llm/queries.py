@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .common import crc_bucket, table
 from .divergence_audit import divergence_audit
 from .exact_dedup import exact_dedup
+from .hard_negatives import hard_negatives
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .language_id import fit_language_model, identify_language
@@ -74,11 +75,17 @@ def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_audit(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", wrong.alias("label"))
+    return hard_negatives(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
 def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op8_substring_dedup, op9_quality, op10_lm_scores, op11_divergence_audit, op13_html_text)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_sentencepiece, op3_exact_dedup, op4_language_id, op5_token_counts, op6_jaccard_join, op7_best_fit_packing, op8_substring_dedup, op9_quality, op10_lm_scores, op11_divergence_audit, op12_hard_negatives, op13_html_text)}
 
 SQL = {
     "op1_top_k": """
@@ -109,4 +116,13 @@ SQL = {
               LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
               UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q)
         SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM r) WHERE part = 'pair' OR rank <= 50""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+              FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.e) = len(c.e)),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+              FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
 }
