@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import subclip_id
+from .scan import carried, chunked
 
 
 def partition_clips(df: DataFrame, id_col: str, samples: str, rate: int, min_sec: float = 8.1, max_n: int = 5) -> DataFrame:
@@ -41,15 +42,20 @@ def clamp_duration(df: DataFrame, duration: float, clip_frames: Column, sync_fra
     return df.withColumn("duration", d).withColumn("clip_n", F.floor(F.col("duration") * clip_fps).cast("long")).withColumn("sync_n", F.floor(F.col("duration") * sync_fps).cast("long"))
 
 
-def resample_clock(frames: DataFrame, ticks: DataFrame, key: str, time: str, value: str) -> DataFrame:
+def resample_clock(frames: DataFrame, ticks: DataFrame, key: str, time: str, value: str, size: int = 1_000_000) -> DataFrame:
     """Each tick (key, tick_time) with the first frame at or after it; ticks beyond the last frame are left out.
 
-    A forward as-of join: ticks and frames in one ordered window, so each key is sorted once and nothing is paired.
+    A forward as-of join: ticks and frames in one ordered window, so each key is sorted once and nothing is paired. A
+    long key is cut into chunks (``scan``); a chunk without a frame after a tick is given the next chunks' first one.
     """
     f = frames.select(key, F.col(time).alias("_t"), F.lit(1).alias("_kind"), F.struct(F.col(time).alias("frame_time"), F.col(value).alias(value)).alias("_f"))
     t = ticks.select(key, F.col("tick_time").alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast(f.schema["_f"].dataType).alias("_f"))
-    w = Window.partitionBy(key).orderBy("_t", "_kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    got = f.unionByName(t).withColumn("_next", F.first("_f", ignorenulls=True).over(w)).filter("_kind = 0 AND _next IS NOT NULL")
+    rows = chunked(f.unionByName(t), [key], "_t", size)
+    first = F.min_by("_f", F.when(F.col("_kind") == 1, F.col("_t")))
+    rows = carried(rows, [key], {"_first": first}, {"_ahead": lambda before, after: F.last("_first", ignorenulls=True).over(after)})
+    # From the end to the start: a frame that grows keeps its value, one that shrinks would be read anew for every row.
+    w = Window.partitionBy(key, "_chunk").orderBy(F.desc("_t"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    got = rows.withColumn("_next", F.coalesce(F.last("_f", ignorenulls=True).over(w), F.col("_ahead"))).filter("_kind = 0 AND _next IS NOT NULL")
     return got.select(key, F.col("_t").alias("tick_time"), "_next.*")
 
 
@@ -59,17 +65,19 @@ def clock_ticks(df: DataFrame, key: str, fps: float, duration: Column) -> DataFr
     return df.withColumn("_n", n).filter("_n > 0").select(key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("k")).withColumn("tick_time", F.col("k") / F.lit(fps))
 
 
-def nearest_frame(wanted: DataFrame, frames: DataFrame, key: str, idx: str = "idx") -> DataFrame:
+def nearest_frame(wanted: DataFrame, frames: DataFrame, key: str, idx: str = "idx", size: int = 1_000_000) -> DataFrame:
     """Each wanted index with the nearest available one, the lower of two equally near; null without frames.
 
-    A two-sided as-of join over one ordered window a key.
+    A two-sided as-of join over one ordered window a chunk of a key; chunks are given the nearest frames of the others.
     """
     f = frames.select(key, F.col(idx).alias("_i"), F.lit(0).alias("_kind"))
     q = wanted.select(key, F.col(idx).alias("_i"), F.lit(1).alias("_kind"))
     own = F.when(F.col("_kind") == 0, F.col("_i"))
-    back = Window.partitionBy(key).orderBy("_i", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = Window.partitionBy(key).orderBy("_i", "_kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    got = f.unionByName(q).withColumn("_p", F.last(own, ignorenulls=True).over(back)).withColumn("_n", F.first(own, ignorenulls=True).over(ahead)).filter("_kind = 1")
+    ends = {"_low": F.min(own), "_high": F.max(own)}
+    rows = carried(chunked(f.unionByName(q), [key], "_i", size), [key], ends, {"_back": lambda before, after: F.max("_high").over(before), "_ahead": lambda before, after: F.min("_low").over(after)})
+    # Each way with a frame that grows: one that shrinks would be read anew for every row.
+    last = lambda *order: F.last(own, ignorenulls=True).over(Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    got = rows.withColumn("_p", F.coalesce(last("_i", "_kind"), F.col("_back"))).withColumn("_n", F.coalesce(last(F.desc("_i"), "_kind"), F.col("_ahead"))).filter("_kind = 1")
     near = F.when(F.col("_p").isNull(), F.col("_n")).when(F.col("_n").isNull(), F.col("_p")).when(F.col("_i") - F.col("_p") <= F.col("_n") - F.col("_i"), F.col("_p")).otherwise(F.col("_n"))
     return got.select(key, F.col("_i").alias(idx), near.alias("frame_idx"))
 

@@ -174,6 +174,65 @@ def w15_interval_ema(t: Tables) -> DataFrame:
     return out.select("user_id", "updates", F.round("mean_interval", 3).alias("mean_interval"), F.round("ema", 3).alias("ema"), F.round("remaining", 2).alias("remaining"))
 
 
+#: Chunks of so many rows in the queries that make all events one run, so that it is cut at any scale of the tables.
+_CHUNK = 500
+
+
+def _one_run(t: Tables) -> DataFrame:
+    return t.events.select(F.lit("all").alias("run"), "event_id", "user_id", "value", "event_type", seconds(F.col("ts")).alias("s"))
+
+
+@query("SELECT event_id, coalesce(value < min(value) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS best FROM events")
+def w12_one_run(t: Tables) -> DataFrame:
+    """All events as one run, which spreads over tasks in chunks."""
+    return U.running_best(_one_run(t), "run", "event_id", "value", _CHUNK).select("event_id", "best")
+
+
+@query("SELECT event_id, round(avg(value) OVER (ORDER BY event_id), 6) AS running_mean FROM events")
+def w13_one_run(t: Tables) -> DataFrame:
+    return U.running_mean(_one_run(t), "run", "event_id", "value", _CHUNK).select("event_id", F.round("running_mean", 6).alias("running_mean"))
+
+
+@query("""WITH b AS (SELECT event_id, value > 20 AS bad, sum((value <= 20)::INT) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS island FROM events)
+          SELECT event_id, streak::BIGINT AS streak FROM (SELECT *, sum(bad::INT) OVER (PARTITION BY island ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS streak FROM b) WHERE bad AND streak = 4""")
+def w14_one_run(t: Tables) -> DataFrame:
+    return U.nan_streaks(_one_run(t), "run", "event_id", F.col("value") > 20, 4, _CHUNK).select("event_id", "streak")
+
+
+@query("""WITH x AS (SELECT event_type, t - lag(t) OVER w AS x, row_number() OVER w - 1 AS i FROM (SELECT event_type, epoch_us(ts) / 1e6 AS t FROM events) WINDOW w AS (PARTITION BY event_type ORDER BY t))
+          SELECT event_type, (i - 1) // 50 AS log, count(*) AS updates, round(avg(x) / 10, 4) AS mean FROM x WHERE i > 0 GROUP BY ALL""")
+def w15_interval_means(t: Tables) -> DataFrame:
+    """The mean time of each fifty intervals, which starts anew with each log line."""
+    out = U.interval_means(t.events, "event_type", seconds(F.col("ts")), 50, 10, _CHUNK)
+    return out.select("event_type", "log", "updates", r4("mean").alias("mean"))
+
+
+@query("""WITH e AS (SELECT user_id, epoch_us(ts) / 1e6 AS t, CASE event_type WHEN 'click' THEN 'start' ELSE 'end' END AS kind FROM events),
+          l AS (SELECT *, lag(kind) OVER w AS k, lag(t) OVER w AS s FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t, kind))
+          SELECT user_id, round(s, 3) AS start, round(t - s, 3) AS time FROM l WHERE kind = 'end' AND k = 'start'""")
+def w15_timed_sections(t: Tables) -> DataFrame:
+    kinds = t.events.withColumn("kind", F.when(F.col("event_type") == "click", "start").otherwise("end"))
+    out = U.timed_sections(kinds, "user_id", seconds(F.col("ts")), "kind")
+    return out.select("user_id", F.round("start", 3).alias("start"), F.round("time", 3).alias("time"))
+
+
+@query("""WITH f AS (SELECT event_id AS idx FROM events WHERE event_type = 'click'), q AS (SELECT event_id AS idx FROM events WHERE event_type <> 'click'),
+          b AS (SELECT q.idx, f.idx AS p FROM q ASOF LEFT JOIN f ON q.idx >= f.idx), n AS (SELECT q.idx, f.idx AS n FROM q ASOF LEFT JOIN f ON q.idx <= f.idx)
+          SELECT idx, CASE WHEN p IS NULL THEN n WHEN n IS NULL THEN p WHEN idx - p <= n - idx THEN p ELSE n END AS frame_idx FROM b JOIN n USING (idx)""")
+def j11_one_recording(t: Tables) -> DataFrame:
+    e = _one_run(t).select("run", F.col("event_id").alias("idx"), "event_type")
+    return C.nearest_frame(e.filter("event_type <> 'click'"), e.filter("event_type = 'click'"), "run", size=_CHUNK).select("idx", "frame_idx")
+
+
+@query("""WITH u AS (SELECT (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6 AS time, event_id FROM events),
+          k AS (SELECT unnest(range(ceil((SELECT max(time) FROM u) / 600)::BIGINT)) * 600.0::DOUBLE AS tick_time)
+          SELECT k.tick_time, u.event_id FROM k ASOF JOIN u ON k.tick_time <= u.time""")
+def j10_one_recording(t: Tables) -> DataFrame:
+    frames = _one_run(t).select("run", (F.col("s") - F.lit(1704067200.0)).alias("time"), "event_id")
+    ticks = C.clock_ticks(frames.groupBy("run").agg(F.max("time").alias("m")), "run", 1.0, F.col("m") / 600).withColumn("tick_time", F.col("k") * F.lit(600.0))
+    return C.resample_clock(frames, ticks, "run", "time", "event_id", _CHUNK).select("tick_time", "event_id")
+
+
 @query("""WITH u AS (SELECT user_id, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6 AS time, event_id FROM events),
           k AS (SELECT user_id, unnest(range(ceil(m / 86400)::BIGINT)) * 86400.0::DOUBLE AS tick_time FROM (SELECT user_id, max(time) AS m FROM u GROUP BY user_id))
           SELECT k.user_id, k.tick_time, round(u.time, 6) AS frame_time, u.event_id FROM k ASOF JOIN u ON k.user_id = u.user_id AND k.tick_time <= u.time""")
