@@ -38,13 +38,29 @@ def cut_points(df: DataFrame, key: list[str], order: str, size: int) -> DataFram
     return ranked.groupBy(*key).agg(F.array_sort(F.collect_list(order)).alias("_cuts"))
 
 
+def with_cuts(df: DataFrame, key: list[str], order: str, size: int, cuts: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``_cuts``, its key's cuts (``cuts``, or those of its own rows), for ``chunk_at``; null without any."""
+    return _null_safe(df, cut_points(df, key, order, size) if cuts is None else cuts, key)
+
+
+def chunk_at(value: Column) -> Column:
+    """How many of the row's ``_cuts`` are at or below ``value``, by binary search."""
+    steps = F.array(*[F.lit(1 << b) for b in range(CUTS.bit_length(), -1, -1)])
+    # A step is taken if the cut before its end isn't above the value.
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_cuts", at + step - 1) <= value, at + step).otherwise(at))
+    return F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(found)
+
+
 def chunked(df: DataFrame, key: list[str], order: str, size: int) -> DataFrame:
     """``df`` with ``_chunk``, the number of a key's cuts at or below the row's order value."""
-    cut = _null_safe(df, cut_points(df, key, order, size), key)
-    steps = F.array(*[F.lit(1 << b) for b in range(CUTS.bit_length(), -1, -1)])
-    # Binary search: a step is taken if the cut before its end isn't above the value.
-    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_cuts", at + step - 1) <= F.col(order), at + step).otherwise(at))
-    return cut.withColumn("_chunk", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(found)).drop("_cuts")
+    return with_cuts(df, key, order, size).withColumn("_chunk", chunk_at(F.col(order))).drop("_cuts")
+
+
+def overlapping(df: DataFrame, key: list[str], order: str, reach: Column, size: int, cuts: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``_home``, the row's chunk, and ``_chunk``: a copy for every chunk within ``reach`` of the row."""
+    at = F.col(order)
+    rows = with_cuts(df, key, order, size, cuts).withColumn("_home", chunk_at(at))
+    return rows.withColumn("_chunk", F.explode(F.sequence(chunk_at(at - reach), chunk_at(at + reach)))).drop("_cuts")
 
 
 def carried(rows: DataFrame, key: list[str], summary: dict[str, Column], carry: dict[str, Callable[[WindowSpec, WindowSpec], Column]], through: dict[str, Callable[[WindowSpec], Column]] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
@@ -22,3 +22,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             _LOCAL[app] = tempfile.mkdtemp(prefix="spark-")
         base = f"file://{_LOCAL[app]}"
     return f"{base.rstrip('/')}/{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new scratch path and read again: cuts lineage, is not computed twice, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``staged`` gave and that nothing reads any more."""
+    for df in tables:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)

@@ -195,15 +195,13 @@ def test_suppression_and_matching(spark):
     assert O.match_onsets(one.withColumn("file", F.lit("c")).withColumn("pos", F.lit(1.0)), truth.filter("file = 'c'").unionAll(spark.createDataFrame([("c", 5.0)], truth.schema)), 0.3, compat=True).count() == 1
 
 
-def test_greedy_steps_in_parts_are_those_of_whole_files(spark, monkeypatch):
+@pytest.mark.parametrize("size", [5, 1_000_000])
+def test_greedy_steps_in_chunks_are_those_of_whole_files(spark, size):
     rng = np.random.default_rng(1)
     rows = [(f"f{i % 2}", float(x), float(c), i) for i, (x, c) in enumerate(zip(np.round(rng.uniform(0, 60, 300), 3), rng.integers(0, 40, 300), strict=True))]
     pred = spark.createDataFrame(rows, "file string, pos double, conf double, id long")
     truth = spark.createDataFrame([(f"f{i % 2}", float(x)) for i, x in enumerate(np.round(rng.uniform(0, 60, 80), 3))], "file string, pos double")
-    whole = O.parts
-    monkeypatch.setattr(O, "parts", lambda df, file, pos, gap: whole(df, file, pos, gap, size=5))
-    assert whole(pred, "file", "pos", 0.2, 5).select("file", "_part").distinct().count() > 10
-    kept, matched = [], []
+    kept, matched, published = [], [], []
     for f in ("f0", "f1"):
         own: list = []
         for r in sorted((r for r in rows if r[0] == f), key=lambda r: (-r[2], -r[1])):
@@ -218,8 +216,44 @@ def test_greedy_steps_in_parts_are_those_of_whole_files(spark, monkeypatch):
             if best:
                 free.remove(best)
         matched += [(f, 0, c, False) for _, c in free]
-    assert lists(O.suppress(pred, 0.2)) == sorted(kept)
-    assert lists(O.match_onsets(pred, truth, 0.2)) == sorted(matched)
+    assert lists(O.suppress(pred, 0.2, size=size)) == sorted(kept)
+    for rounds, passes in ((1, 3), (2, 1), (4, 8)):
+        assert lists(O.suppress(pred, 0.2, size=size, rounds=rounds, passes=passes)) == sorted(kept)
+    assert lists(O.match_onsets(pred, truth, 0.2, size=size)) == sorted(matched)
+    few = pred.filter("id % 25 = 0")
+    got = lists(O.match_onsets(few, truth, 3.0, compat=True, size=size))
+    for f in ("f0", "f1"):
+        free = [(r[1], r[2]) for r in rows if r[0] == f and r[3] % 25 == 0]
+        for g in sorted(t.pos for t in truth.collect() if t.file == f):
+            near = [x for x in free if abs(x[0] - g) < 3.0]
+            best = max(near, key=lambda x: (x[1], x[0]), default=None)
+            published.append((f, 1, best[1] if best else 0.0, bool(best)))
+            if best:
+                free.remove(best)
+            if best and not free:
+                break
+        published += [(f, 0, c, False) for _, c in free]
+    assert got == sorted(published)
+    apart = []
+    for f in ("f0", "f1"):
+        last = None
+        for p in sorted({r[1] for r in rows if r[0] == f}):
+            if last is None or p > last + 0.25:
+                apart.append((f, p))
+                last = p
+    assert sorted((r.file, r.pos) for r in O.keep_apart(pred, "file", "pos", 0.25, size).collect()) == sorted(apart)
+    got = [(r.file, r.pred_id, r.truth_pos) for r in O.onset_candidates(pred, truth, 0.2, cell=max(1, size // 5)).collect()]
+    assert sorted(got) == sorted((r[0], r[3], t.pos) for r in rows for t in truth.collect() if t.file == r[0] and abs(r[1] - t.pos) < 0.2)
+
+
+def test_suppression_of_rising_chains_and_odd_rows(spark):
+    """Confidence that rises along a gapless file takes as many rounds as it is long; the last passes leave the rest to one task."""
+    rising = spark.range(300).select(F.lit("a").alias("file"), (F.col("id") * 0.1).alias("pos"), F.col("id").cast("double").alias("conf"))
+    got = sorted(r.pos for r in O.suppress(rising, 0.15, size=20, rounds=1, passes=3).collect())
+    assert got == [i * 0.1 for i in range(1, 300, 2)]
+    odd = spark.createDataFrame([("a", 1.0, 0.5, 1), ("a", 1.0, 0.7, 2), ("a", 1.0, 0.7, 3), ("a", 2.0, 0.7, 4), ("a", None, 0.9, 5), ("a", 1.1, None, 6), (None, 1.0, 0.1, 7)], "file string, pos double, conf double, `p.q` int")
+    assert sorted((r.file or "", r.pos, r.conf) for r in O.suppress(odd, 1.0).collect()) == [("", 1.0, 0.1), ("a", 1.0, 0.7), ("a", 2.0, 0.7)]
+    assert O.suppress(odd.limit(0), 1.0).count() == 0
 
 
 def test_truth_pairs_and_candidates_keep_their_columns(spark):
