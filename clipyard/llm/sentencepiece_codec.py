@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, chunks_by_bytes
+from .common import Memo, all_columns, chunks_by_bytes
 from .lattice import SPACE, Pieces, best_two, load_pieces, n_best
 
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -121,7 +121,13 @@ def _decode(model: str):
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
-    """Replace the column ``ids`` by ``decoded``, the text that they stand for; null ids count as none."""
-    fixed = rows.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fixed.schema if f.name != "ids")
-    return fixed.mapInArrow(_decode(model), f"{schema}, decoded string")
+    """Replace the column ``ids`` by ``decoded``, the text that they stand for.
+
+    Null ids count as none; an input column named ``decoded`` gives way to the result; repeated rows are decoded each,
+    rows of any length whole; an empty table gives an empty one.
+    """
+    keep = [c for c in rows.columns if c not in ("ids", "decoded")]
+    own = [x for c, x in zip(rows.columns, all_columns(rows), strict=True) if c in keep]
+    fixed = rows.select(F.struct(F.lit(0).alias("n"), *[x.alias(f"c{i}") for i, x in enumerate(own)]).alias("row"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    out = fixed.mapInArrow(_decode(model), f"row {fixed.schema['row'].dataType.simpleString()}, decoded string")
+    return out.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(keep)], "decoded")

@@ -35,8 +35,8 @@ from .shingles import WordHashes, distinct, mix, repeated_shingles, shingle_arra
 
 #: All pairs of a key's windows are candidates up to so many windows.
 FEW = 8
-#: Windows in a block of a hot key.
-BLOCK = 2000
+#: Windows in a block of a hot key, and their tokens.
+BLOCK, BLOCK_TOKENS = 2000, 400_000
 
 
 def compact_windows(v: np.ndarray, least: int, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,10 +138,43 @@ def _rows(shared, least: int, percent: int, width: int, functions: int):
     return gives_back(run)
 
 
-def equal_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, size): runs of equal tokens of ``a`` from i and ``b`` from j, by i.
+class Extensions:
+    """How far two token arrays agree on both sides of places, by polynomial hashes of their prefixes and binary search."""
 
-    A token that is frequent in both (over 64 pairs) pairs its occurrences in turn only.
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        n = max(len(a), len(b)) + 1
+        self.power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, self.BASE))), dtype=np.uint64)
+        self.sizes = len(a), len(b)
+        self.sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(x.astype(np.uint64)) * self.power[: len(x)], dtype=np.uint64))) for x in (a, b)]
+
+    def equal(self, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether a[i:i+n] and b[j:j+n] are alike (by 64 bits)."""
+        x, y = self.sums
+        return (x[i + n] - x[i]) * self.power[j] == (y[j + n] - y[j]) * self.power[i]
+
+    def runs(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, size) of the longest equal runs that hold each pair of equal places, without repeats."""
+        back, ahead = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
+        most = np.minimum(i, j), np.minimum(self.sizes[0] - i, self.sizes[1] - j)
+        for bit in range(max(1, max(self.sizes)).bit_length() - 1, -1, -1):
+            step = 1 << bit
+            for got, limit, sign in ((back, most[0], -1), (ahead, most[1], 1)):
+                fits = np.flatnonzero(got + step <= limit)
+                start = (i[fits] - got[fits] - step, j[fits] - got[fits] - step) if sign < 0 else (i[fits] + got[fits], j[fits] + got[fits])
+                got[fits] += step * self.equal(*start, np.full(len(fits), step))
+        s, s2, n = i - back, j - back, back + ahead
+        _, first = np.unique(s * (self.sizes[1] + 1) + s2, return_index=True)
+        return s[first], s2[first], n[first]
+
+
+def equal_runs(a: np.ndarray, b: np.ndarray, least: int = 46) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, size): the longest runs of equal tokens of ``a`` from i and ``b`` from j, by i.
+
+    All pairs of a token's places are looked at if they are 64 or fewer. Of a token that is frequent in both, a place of ``a`` meets
+    the places of ``b`` one after another, until a run of ``least`` tokens or more holds it or none can; shorter runs count in
+    the first turn. So a run of ``least`` tokens that no such runs cover is always found.
     """
     order = np.argsort(b, kind="stable")
     by = b[order]
@@ -154,18 +187,37 @@ def equal_runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     turn[mine] = np.arange(len(a)) - begin
     times[mine] = np.searchsorted(own, own, side="right") - begin
     dense = n * times > 64
-    low = np.where(dense, low + turn, low)
-    n = np.where(dense, (turn < n).astype(np.int64), n)
-    i = np.repeat(np.arange(len(a)), n)
-    j = order[np.repeat(low - np.cumsum(n) + n, n) + np.arange(len(i))]
-    order = np.lexsort((i, j - i))
-    i, j = i[order], j[order]
-    new = np.ones(len(i), bool)
-    new[1:] = (np.diff(i) != 1) | (np.diff(j) != 1)
-    first = np.flatnonzero(new)
-    size = np.diff(np.append(first, len(i)))
-    order = np.lexsort((j[first], i[first]))
-    return i[first][order], j[first][order], size[order]
+    few = np.where(dense, 0, n)
+    i = np.repeat(np.arange(len(a)), few)
+    j = order[np.repeat(low - np.cumsum(few) + few, few) + np.arange(len(i))]
+    at = np.flatnonzero(dense)
+    if not len(at):
+        by_diagonal = np.lexsort((i, j - i))
+        i, j = i[by_diagonal], j[by_diagonal]
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1)))) if len(i) else np.zeros(0, np.int64)
+        found = i[first], j[first], np.diff(np.append(first, len(i)))
+    else:
+        both, round_, parts, covered = Extensions(a, b), 0, [], np.zeros(len(a) + 1, np.int64)
+        border = np.flatnonzero(np.diff(np.concatenate(([False], n > 0, [False]))))  # of rows of tokens that b has
+        wide = np.repeat(np.diff(border)[::2] >= least, np.diff(border)[::2])
+        roomy = np.zeros(len(a), bool)
+        roomy[n > 0] = wide
+        while len(at) or round_ == 0:
+            more = (at, order[low[at] + (turn[at] + round_) % n[at]])
+            s, s2, size = both.runs(*(np.concatenate((x, y)) for x, y in zip((i, j), more, strict=True)) if round_ == 0 else more)
+            long = size >= least
+            keep = long if round_ else np.ones(len(s), bool)
+            parts.append((s[keep], s2[keep], size[keep]))
+            np.add.at(covered, s[long], 1)
+            np.add.at(covered, s[long] + size[long], -1)
+            round_ += 1
+            at = at[roomy[at] & (np.cumsum(covered)[at] == 0) & (round_ < n[at])]
+        found = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        _, first = np.unique(found[0] * (len(b) + 1) + found[1], return_index=True)
+        found = tuple(x[first] for x in found)
+    i, j, size = found
+    order = np.lexsort((j, i))
+    return i[order], j[order], size[order]
 
 
 def chains(i: np.ndarray, j: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
@@ -237,6 +289,26 @@ def chain_spans(s, e, s2, e2, least: int, percent: int, lack: list[np.ndarray] |
     return zip(left[order].tolist(), right[order].tolist(), strict=True)
 
 
+def unordered_spans(i: np.ndarray, j: np.ndarray, size: np.ndarray, least: int, percent: int) -> Iterator[tuple[int, int, tuple[int, int, int, int]]]:
+    """(first run, last run, span on both sides) of neighbouring runs, by i, that may be similar in whatever order the other side has them, the widest first."""
+    e, e2, total = i + size, j + size, np.concatenate(([0], np.cumsum(size)))
+    found = []
+    for a in range(0, len(i), 256):
+        rows = np.arange(a, min(a + 256, len(i)))[:, None]
+        later = np.arange(len(i)) >= rows
+        big = np.int64(1) << 40
+        end = np.maximum.accumulate(np.where(later, e, -1), axis=1)
+        low2 = np.minimum.accumulate(np.where(later, j, big), axis=1)
+        high2 = np.maximum.accumulate(np.where(later, e2, -1), axis=1)
+        wide, wide2 = end - i[rows], high2 - low2
+        equal = np.minimum(total[None, 1:] - total[rows], np.minimum(wide, wide2))
+        left, right = np.nonzero(later & (wide >= least) & (wide2 >= least) & (100 * equal >= percent * (wide + wide2 - equal)))
+        found.append((wide[left, right], left + a, right, end[left, right], low2[left, right], high2[left, right]))
+    wide, left, right, end, low2, high2 = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 6
+    for k in np.argsort(-wide, kind="stable").tolist():
+        yield int(left[k]), int(right[k]), (int(i[left[k]]), int(end[k]), int(low2[k]), int(high2[k]))
+
+
 def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list[tuple[int, int, int, int, float]]:
     """(start, end, source start, source end, jaccard): spans of ``a`` and ``b`` of ``least`` or more tokens whose sets are similar.
 
@@ -296,7 +368,7 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
         first = np.flatnonzero(np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1))))
         i, j, size = i[first], j[first], np.diff(np.append(first, len(i)))
     else:
-        i, j, size = equal_runs(a, b)
+        i, j, size = equal_runs(a, b, least)
         lack = [np.concatenate(([0], np.cumsum(x))) for x in (~in_b & ~again_a, ~in_a & ~again_b)]
     for path in chains(i, j, size):
         s, s2, n = i[path], j[path], size[path]
@@ -307,13 +379,30 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
         for l, r in chain_spans(s, e, s2, e2, least, percent, lack):
             if not held[l : r + 1].all() and similar(int(s[l]), int(e[r]), int(s2[l]), int(e2[r])):
                 held[l : r + 1] = True
-    # Shared in another order: what the chains left, as sets.
+    # Shared in another order: what the chains left, as sets; first whole stretches, then runs that stand together.
     for x in [x for x in on_a if not any(y[0] < x[1] and x[0] < y[1] for y in out)]:
         for y in on_b:
             s, e = (x[0] + f(np.flatnonzero(in_b[x[0] : x[1]])) for f in (np.min, np.max))
             s2, e2 = (y[0] + f(np.flatnonzero(in_a[y[0] : y[1]])) for f in (np.min, np.max))
             if min(e - s, e2 - s2) + 1 >= least:
                 similar(int(s), int(e) + 1, int(s2), int(e2) + 1)
+    open_ = np.ones(len(a) + 1, bool)
+    for s, e, *_ in out:
+        open_[s:e] = False
+    rest = np.flatnonzero(np.add.reduceat(open_, np.stack((i, i + size), axis=1).ravel())[::2] > 0) if len(i) else np.zeros(0, np.int64)
+    for sides in ((i, j), (j, i)):
+        flip = sides[0] is j
+        for x in on_b if flip else on_a:
+            for y in on_a if flip else on_b:
+                own = rest[(sides[0][rest] < x[1]) & (sides[0][rest] + size[rest] > x[0]) & (sides[1][rest] < y[1]) & (sides[1][rest] + size[rest] > y[0])]
+                if size[own].sum() * 100 < percent * least:
+                    continue
+                own = own[np.argsort(sides[0][own], kind="stable")]
+                held = np.zeros(len(own), bool)
+                for l, r, (s, e, s2, e2) in unordered_spans(sides[0][own], sides[1][own], size[own], least, percent):
+                    if not held[l : r + 1].all() and similar(*((s2, e2, s, e) if flip else (s, e, s2, e2))):
+                        held[l : r + 1] = True
+                rest = np.setdiff1d(rest, own[held], assume_unique=True)
     return [(s + a0, e + a0, s2 + b0, e2 + b0, x) for s, e, s2, e2, x in out]
 
 
@@ -514,14 +603,17 @@ def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width
     mine = mine.withColumn("open", (F.col("uid") != F.col("a")) & ~F.coalesce(covered, F.lit(False)))
     near = F.when(F.col("open"), F.filter("spans", lambda s: (s["start"] < F.col("hi")) & (s["end"] > F.col("lo"))))
     mine = mine.withColumn("spans", near).drop("a")
-    cut = mine.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.count_if("open").alias("o")).filter("o > 0")
-    cut = cut.select("key", *[F.ceil(F.col(c) / F.lit(BLOCK)).cast("int").alias(n) for c, n in (("m", "lb"), ("o", "rb"))])
+    tokens = F.sum((F.col("hi") - F.col("lo")).cast("long"))
+    cut = mine.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.count_if("open").alias("o"), tokens.alias("mt"), F.sum(F.when(F.col("open"), F.col("hi") - F.col("lo")).cast("long")).alias("ot")).filter("o > 0")
+    blocks = lambda n, t: F.ceil(F.greatest(F.col(n) / F.lit(BLOCK), F.col(t) / F.lit(BLOCK_TOKENS))).cast("int")
+    cut = cut.select("key", blocks("m", "mt").alias("lb"), blocks("o", "ot").alias("rb"))
     held = mine.join(cut.hint("merge"), "key").join(single.select("uid", "tokens").hint("merge"), "uid")
     held = staged(held.select("key", "doc_id", "uid", "lo", "open", "spans", "lb", "rb", F.expr("substring(tokens, 4 * lo + 1, 4 * (hi - lo))").alias("tokens")), "passage-open")
     place = lambda of: F.pmod(F.xxhash64("uid", "lo"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    # Keys of one block each go together, about ``BLOCK`` windows a group.
-    group = F.when((F.col("lb") == 1) & (F.col("rb") == 1), F.pmod(F.xxhash64("key"), F.lit(1 + held.count() // BLOCK))).otherwise(F.col("key")).alias("group")
+    # Keys of one block each go together, about a block's windows and tokens a group.
+    size = held.agg(F.count(F.lit(1)).alias("m"), F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0)).alias("t")).first()
+    group = F.when((F.col("lb") == 1) & (F.col("rb") == 1), F.pmod(F.xxhash64("key"), F.lit(1 + max(size["m"] // BLOCK, size["t"] // (4 * BLOCK_TOKENS))))).otherwise(F.col("key")).alias("group")
     cols = ["key", "doc_id", "uid", "lo", "tokens"]
     left = held.select(group, place("lb").alias("p"), every("rb").alias("q"), *cols)
     right = held.filter("open").select(group, every("lb").alias("p"), place("rb").alias("q"), *cols, "spans")

@@ -631,3 +631,80 @@ def test_memo_and_heaviest(spark):
     df = spark.range(1, 2000).withColumnRenamed("id", "n")
     got = [r.n for r in heaviest(df, "n", 100).collect()]
     assert 0 < len(got) <= 100 and min(got) == 2000 - len(got)
+
+
+# 8: passages with repeated phrases, and reordered ones side by side
+
+
+def found_share(spark, pairs) -> float:
+    """Share of (first text, second text, first word, last word of the passage in the second) of which the words are found, but for four at each end."""
+    rows, cover = [(2 * k + side, pair[side]) for k, pair in enumerate(pairs) for side in (0, 1)], collections.defaultdict(set)
+    for x in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert x.source_id == x.doc_id - 1
+        cover[x.doc_id].update(range(x.start, x.end))
+    return sum(set(range(s + 4, e - 4)) <= cover[2 * k + 1] for k, (_, _, s, e) in enumerate(pairs)) / len(pairs)
+
+
+def test_equal_passages_with_repeated_phrases_are_found(spark):
+    r = random.Random(11)
+    fresh = lambda k: [f"w{r.randrange(10**9)}" for _ in range(k)]
+    pairs = []
+    for t in range(40):
+        phrase, words = fresh(r.choice([2, 5, 7])), []
+        for _ in range(8):
+            words += phrase + fresh(r.choice([0, 1, 3]))
+        words = (words + fresh(64))[:64] if t % 2 else (phrase * 40)[:64]
+        around = [fresh(20) + (phrase * r.choice([0, 1, 3]) + fresh(3)) * r.choice([0, 2]) for _ in range(4)]
+        at = len(around[2])
+        pairs.append((" ".join(around[0] + words + around[1]), " ".join(around[2] + words + around[3]), at, at + 64))
+    assert found_share(spark, pairs) == 1
+
+
+def test_reordered_passages_side_by_side_are_found(spark):
+    r = random.Random(12)
+    fresh = lambda k: [f"w{r.randrange(10**9)}" for _ in range(k)]
+    first, both = [], []
+    for t in range(20):
+        p, q = fresh(80), fresh(80)
+        p2, q2 = p[40:] + p[:40], q[40:] + q[:40]
+        between = fresh(90 if t % 2 else 0)
+        first.append((" ".join(fresh(30) + p + q + fresh(30)), " ".join(fresh(25) + p2 + between + q2 + fresh(10)), 25, 105))
+        both.append((first[-1][0], first[-1][1], 105 + len(between), 185 + len(between)))
+    assert found_share(spark, first) == 1 and found_share(spark, both) == 1
+
+
+def test_equal_runs_are_brute_force():
+    """Every equal run of ``least`` tokens is among those found or covered by others of that length; all found are equal and the longest."""
+    from clipyard.llm.substring_dedup import equal_runs
+
+    r = np.random.default_rng(5)
+    for case in range(60):
+        few = [2, 3, 8, 40][case % 4]
+        motif = r.integers(0, few, 30)
+        parts = lambda: np.concatenate([motif if r.random() < 0.6 else r.integers(0, 60, r.integers(1, 12)) for _ in range(12)])
+        a, b = parts() + 1, parts() + 1
+        least = 20
+        i, j, n = equal_runs(a, b, least)
+        for s, s2, k in zip(i, j, n, strict=True):
+            assert (a[s : s + k] == b[s2 : s2 + k]).all()
+        cover = np.zeros(len(a), bool)
+        for s, k in zip(i, n, strict=True):
+            if k >= least:
+                cover[s : s + k] = True
+        for d in range(-len(a), len(b)):
+            run = 0
+            for s in range(max(0, -d), min(len(a), len(b) - d) + 1):
+                same = s < min(len(a), len(b) - d) and a[s] == b[s + d]
+                if same:
+                    run += 1
+                else:
+                    assert run < least or cover[s - run : s].all()
+                    run = 0
+
+
+def test_decode_odd(spark):
+    df = spark.createDataFrame([(1, "Hello wave", "x"), (2, None, "y"), (2, None, "y")], "doc_id long, text string, decoded string")
+    coded = encode_n_best(df.drop("decoded"), MODEL).select("doc_id", F.col("ids").cast("array<int>").alias("ids"), F.lit("old").alias("decoded"), F.lit(1).alias("a.b"))
+    got = decode(coded.withColumn("ids", F.when(F.col("doc_id") == 1, F.col("ids"))), MODEL)
+    assert sorted((r["doc_id"], r["decoded"], r["a.b"]) for r in got.collect()) == [(1, "Hello wave", 1), (2, "", 1), (2, "", 1)]
+    assert decode(coded.limit(0), MODEL).count() == 0

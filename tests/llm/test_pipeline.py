@@ -7,6 +7,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clipyard.llm.common import staged
@@ -103,3 +104,11 @@ def test_the_rest_imports_without_this_package(tmp_path):
     said = subprocess.run([sys.executable, "-c", "import json, __spark_entry__ as e; print(json.dumps(sorted(e.queries())))"], cwd=tmp_path / "r", env=os.environ | {"PYTHONPATH": str(tmp_path / "r")}, capture_output=True, text=True, timeout=120)
     names = json.loads(said.stdout)
     assert len(names) > 90 and not [n for n in names if n.startswith("op") or n == "pipeline"]
+
+
+def test_near_leaves_columns_of_any_name(spark):
+    names = ["_row_key", "key", "uid", "kept", "row", "row_key"]
+    rows = [(1, "one two three four five six seven", 7), (2, "one two three four five six seven", 8), (3, "other words stand here for good", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, a long").select("doc_id", "text", *[F.col("a").alias(n) for n in names])
+    got = corpus_pipeline.near(spark, docs, DATA)
+    assert got.columns == docs.columns and sorted(tuple(r) for r in got.collect()) == [(1, rows[0][1], *[7] * 6), (3, rows[2][1], *[9] * 6)]
