@@ -46,9 +46,10 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are told apart by id and text, so ids may repeat. Null, empty and blank texts link with nothing and stay; an
     empty table gives an empty one.
     """
-    keyed = docs.withColumn("_row_key", document_key(F.col("doc_id"), F.col("text")))
-    gone = jaccard_components(keyed, row_key="_row_key").filter("NOT kept").select(F.col("row_key").alias("_row_key"))
-    return keyed.join(gone, "_row_key", "left_anti").select(*all_columns(docs))
+    keyed = docs.select(document_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id"), F.col("text"), F.struct(*all_columns(docs)).alias("row"))
+    gone = jaccard_components(keyed.select("key", "doc_id", "text"), row_key="key").filter("NOT kept").select(F.col("row_key").alias("key"))
+    left = keyed.select("key", "row").join(gone, "key", "left_anti")
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
