@@ -573,8 +573,9 @@ def _drain(t: Tables, stream: DataFrame, mode: str) -> DataFrame:
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/b={batch_id}")
 
-    q = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", scratch_path(t.spark, "stream-state")).trigger(availableNow=True).start()
-    q.awaitTermination()
+    with T.state_store(t.spark):
+        q = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", scratch_path(t.spark, "stream-state")).trigger(availableNow=True).start()
+        q.awaitTermination()
     return t.spark.read.option("basePath", out).parquet(f"{out}/b=*").drop("b")
 
 
@@ -588,20 +589,22 @@ def t1_stream_metric_means(t: Tables) -> DataFrame:
 
 @query(_STREAK.replace("PARTITION BY user_id", "PARTITION BY user_id, event_type").replace("SELECT user_id, event_id, value,", "SELECT user_id, event_type, event_id, value,") + " SELECT user_id AS run, event_type AS tag, event_id AS it FROM s WHERE bad AND streak = 3")
 def t2_stream_nan_alert(t: Tables) -> DataFrame:
-    rows = _log_stream(t).select("run", "tag", "it", (F.col("value") > 100).alias("bad"))
-    return _drain(t, T.stream_nan_alert(rows, 3), "append").select("run", "tag", "it")
+    rows = _log_stream(t).select("run", "tag", "it", (F.col("value") > 100).alias("bad"), "ts")
+    return _drain(t, T.stream_nan_alert(rows, 3, idle="4000 days"), "append").select("run", "tag", "it")
 
 
 @query(f"{_EMA} SELECT user_id AS run, updates, round(ema, 3) AS ema FROM r")
 def t3_stream_eta(t: Tables) -> DataFrame:
-    out = _drain(t, T.stream_eta(_log_stream(t).select("run", "seconds"), 0.7, 1000, 10), "update")
+    out = _drain(t, T.stream_eta(_log_stream(t).select("run", "seconds", "ts"), 0.7, 1000, 10, idle="4000 days"), "update")
     last = out.groupBy("run").agg(F.max_by(F.struct("updates", "ema"), "batch").alias("x"))
     return last.select("run", "x.updates", F.round("x.ema", 3).alias("ema")).filter("updates > 0")
 
 
-@query("SELECT DISTINCT user_id AS run FROM events")
+@query("SELECT user_id AS run, min(event_id) AS it, arg_min(event_type, event_id) AS tag, round(arg_min(value, event_id), 4) AS value FROM events GROUP BY 1")
 def t4_stream_manifest(t: Tables) -> DataFrame:
-    return _drain(t, T.stream_manifest(_log_stream(t).select("run", "ts"), "400 days", "run"), "append").select("run")
+    """Each run's first row, also where late rows of it come again with other values."""
+    rows = _log_stream(t, late=200).select("run", "ts", "it", "tag", "value")
+    return _drain(t, T.stream_manifest(rows, "400 days", "run", order=["ts", "it"], idle="4000 days"), "append").select("run", "it", "tag", r4("value").alias("value"))
 
 
 @query("SELECT event_id AS it, value < 5 AS rejected FROM events")
@@ -610,3 +613,26 @@ def t5_stream_ingest(t: Tables) -> DataFrame:
     T.stream_ingest(_log_stream(t).select("it", "value"), F.when(F.col("value") < 5, "too small"), ok, bad, scratch_path(t.spark, "state")).awaitTermination()
     read = lambda p: t.spark.read.option("basePath", p).parquet(f"{p}/batch=*").select("it")
     return read(ok).withColumn("rejected", F.lit(False)).unionByName(read(bad).withColumn("rejected", F.lit(True)))
+
+
+@query("""WITH e AS (SELECT event_id, event_id % 3 AS batch, value < 5 AS bad, len(props) AS props_len FROM events), b AS (SELECT DISTINCT batch FROM e),
+          f AS (SELECT b.batch AS after, e.batch, count(*) AS failed FROM b JOIN e ON e.batch <= b.batch AND bad GROUP BY ALL)
+          SELECT b.batch AS after, count(*) AS dataset_size, count(*) FILTER (NOT bad) AS written, count(*) FILTER (bad) AS failed, (SELECT count(*) FROM f WHERE f.after = b.batch) AS num_failed_batches,
+            (SELECT string_agg(f.batch || ':' || f.failed || ':too small', ' ' ORDER BY f.batch) FROM f WHERE f.after = b.batch) AS failed_batches,
+            (SELECT arg_min(props_len, event_id) FROM e WHERE NOT bad AND e.batch = (SELECT min(batch) FROM e WHERE NOT bad)) AS first_props, 7::BIGINT AS expected_props
+          FROM b JOIN e ON e.batch <= b.batch GROUP BY b.batch""")
+def k4_batch_reports(t: Tables) -> DataFrame:
+    """The report after each of three micro-batches; the last of them is run twice."""
+    src, path = scratch_path(t.spark, "events-in"), scratch_path(t.spark, "reported")
+    log = t.events.select(F.col("event_id").alias("id"), "value", F.length("props").alias("props_len"))
+    for k in range(3):
+        log.filter(F.col("id") % 3 == k).repartitionByRange(2, "id").write.mode("append").parquet(src)
+    stream = t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    state = scratch_path(t.spark, "state")
+    for _ in range(2):
+        T.stream_reported_ingest(stream, F.when(F.col("value") < 5, "too small"), f"{path}/ok", f"{path}/bad", f"{path}/report", state, {"props": F.col("props_len")}, {"props": 7}).awaitTermination()
+        last = t.spark._jvm.org.apache.hadoop.fs.Path(f"{state}/commits/2")
+        last.getFileSystem(t.spark._jsc.hadoopConfiguration()).delete(last, False)  # as if the job had been lost before the commit
+    out = t.spark.read.parquet(f"{path}/report/reports")
+    failed = F.array_join(F.transform("failed_batches", lambda x: F.concat_ws(":", x["batch"], x["failed"], x["error"])), " ")
+    return out.select("after", "dataset_size", "written", "failed", "num_failed_batches", failed.alias("failed_batches"), F.col("first_shapes")["props"].alias("first_props"), F.col("expected_shapes")["props"].alias("expected_props"))

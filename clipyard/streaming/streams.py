@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 
 def stream_metric_means(stream: DataFrame, window: str, delay: str = "10 minutes") -> DataFrame:
@@ -17,50 +18,144 @@ def stream_metric_means(stream: DataFrame, window: str, delay: str = "10 minutes
     return out.select("run", "tag", F.col("window.start").alias("start"), "mean", "n")
 
 
-def stream_nan_alert(stream: DataFrame, n: int = 10) -> DataFrame:
-    """run, tag, it of the rows (run, tag, it, bad) at which a streak of bad values reaches ``n``; a good one resets.
+#: transformWithState keeps its state there.
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
-    The state is one number a (run, tag).
-    """
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        streak = state.get[0] if state.exists else 0
-        alerts = []
-        rows = pd.concat(list(batches)).sort_values("it", kind="stable")
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Stateful queries that are started inside keep their state in RocksDB; the session's setting is as before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
+    try:
+        for k, v in ROCKSDB.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+class _Expiring(StatefulProcessor):
+    """State of one kind a key, which goes once no row has come for ``idle_ms`` of event time: its timer is moved with every batch of rows."""
+
+    kind = ""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", f"{self.kind}, timer long")
+
+    def rows(self, key: tuple, rows: pd.DataFrame, state: tuple | None) -> tuple[tuple, pd.DataFrame]:
+        """The new state and what comes out, of a key's rows of a micro-batch in any order."""
+        raise NotImplementedError
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        *state, timer = self.state.get() if self.state.exists() else (None,)
+        got = pd.concat(list(rows))
+        new, out = self.rows(key, got, tuple(state) if state else None)
+        latest = int(got["ts"].max().timestamp() * 1000) + self.idle_ms
+        if timer is None or latest > timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(latest)
+            timer = latest
+        self.state.update((*new, timer))
+        yield out if len(out) else pd.DataFrame()  # an empty column has no kind that suits all
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        yield pd.DataFrame()
+
+    def close(self) -> None:
+        pass
+
+
+class _Streaks(_Expiring):
+    kind = "streak int"
+
+    def __init__(self, idle_ms: int, n: int):
+        super().__init__(idle_ms)
+        self.n = n
+
+    def rows(self, key: tuple, rows: pd.DataFrame, state: tuple | None) -> tuple[tuple, pd.DataFrame]:
+        streak, alerts = state[0] if state else 0, []
+        rows = rows.sort_values("it", kind="stable")
         for it, bad in zip(rows["it"], rows["bad"], strict=True):
             streak = streak + 1 if bad else 0
-            if streak == n:
+            if streak == self.n:
                 alerts.append(it)
-        state.update((streak,))
-        yield pd.DataFrame({"run": [key[0]] * len(alerts), "tag": [key[1]] * len(alerts), "it": alerts})
-
-    own = dict(stream.dtypes)
-    return stream.groupBy("run", "tag").applyInPandasWithState(step, f"run {own['run']}, tag {own['tag']}, it long", "streak int", "append", GroupStateTimeout.NoTimeout)
+        return (int(streak),), pd.DataFrame({"run": [key[0]] * len(alerts), "tag": [key[1]] * len(alerts), "it": alerts})
 
 
-def stream_eta(stream: DataFrame, alpha: float = 0.7, total: int = 1000, step_size: int = 1) -> DataFrame:
-    """run, updates, ema, remaining after each micro-batch from rows (run, seconds).
+class _Eta(_Expiring):
+    kind = "last double, ema double, n long"
 
-    Only the last time, the average and a count are kept for a run; the first interval is discarded, the second seeds.
-    """
+    def __init__(self, idle_ms: int, alpha: float, total: int, step_size: int):
+        super().__init__(idle_ms)
+        self.alpha, self.total, self.step_size = alpha, total, step_size
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, ema, n = state.get if state.exists else (None, 0.0, 0)
-        for t in sorted(pd.concat(list(batches))["seconds"]):
+    def rows(self, key: tuple, rows: pd.DataFrame, state: tuple | None) -> tuple[tuple, pd.DataFrame]:
+        last, ema, n = state or (None, 0.0, 0)
+        for t in sorted(rows["seconds"]):
             if last is not None:
                 x, n = t - last, n + 1
-                ema = x if n <= 2 else alpha * ema + (1 - alpha) * x
+                ema = x if n <= 2 else self.alpha * ema + (1 - self.alpha) * x
             last = t
-        state.update((float(last), float(ema), int(n)))
-        yield pd.DataFrame({"run": [key[0]], "updates": [n], "ema": [ema], "remaining": [(total - n) * ema / step_size]})
+        out = pd.DataFrame({"run": [key[0]], "updates": [n], "ema": [ema], "remaining": [(self.total - n) * ema / self.step_size]})
+        return (float(last), float(ema), int(n)), out
+
+
+class _First(_Expiring):
+    kind = "seen boolean"
+
+    def __init__(self, idle_ms: int, id_col: str, order: list[str]):
+        super().__init__(idle_ms)
+        self.id_col, self.order = id_col, order
+
+    def rows(self, key: tuple, rows: pd.DataFrame, state: tuple | None) -> tuple[tuple, pd.DataFrame]:
+        first = rows.sort_values(self.order, kind="stable").head(0 if state else 1)
+        return (True,), first
+
 
+def _milliseconds(stream: DataFrame, interval: str) -> int:
+    """A length of time such as "1 day" in milliseconds."""
+    return int(pd.Timedelta(interval).total_seconds() * 1000)
+
+
+def stream_nan_alert(stream: DataFrame, n: int = 10, delay: str = "10 minutes", idle: str = "7 days") -> DataFrame:
+    """run, tag, it of the rows (run, tag, it, bad, ts) at which a streak of bad values reaches ``n``; a good one resets.
+
+    The state is one number a (run, tag); it goes once the watermark has passed its last row by ``idle``, and a streak that
+    goes on later starts anew. Later rows than the delay are dropped. Start it within ``state_store``.
+    """
     own = dict(stream.dtypes)
-    return stream.groupBy("run").applyInPandasWithState(step, f"run {own['run']}, updates long, ema double, remaining double", "last double, ema double, n long", "update", GroupStateTimeout.NoTimeout)
+    rows = stream.withWatermark("ts", delay).groupBy("run", "tag")
+    return rows.transformWithStateInPandas(_Streaks(_milliseconds(stream, idle), n), f"run {own['run']}, tag {own['tag']}, it long", "Append", "EventTime")
+
 
+def stream_eta(stream: DataFrame, alpha: float = 0.7, total: int = 1000, step_size: int = 1, delay: str = "10 minutes", idle: str = "7 days") -> DataFrame:
+    """run, updates, ema, remaining after each micro-batch from rows (run, seconds, ts).
 
-def stream_manifest(stream: DataFrame, delay: str, id_col: str = "id", ts: str = "ts") -> DataFrame:
-    """The first row of each id; an id is forgotten once the watermark has passed it by the delay."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id_col])
+    Only the last time, the average and a count are kept for a run, until the watermark has passed its last row by ``idle``; the first
+    interval is discarded, the second seeds. Start it within ``state_store``.
+    """
+    own = dict(stream.dtypes)
+    rows = stream.withWatermark("ts", delay).groupBy("run")
+    return rows.transformWithStateInPandas(_Eta(_milliseconds(stream, idle), alpha, total, step_size), f"run {own['run']}, updates long, ema double, remaining double", "Update", "EventTime")
+
+
+def stream_manifest(stream: DataFrame, delay: str, id_col: str = "id", ts: str = "ts", order: list[str] | None = None, idle: str = "7 days") -> DataFrame:
+    """The first row of each id, whole: of a micro-batch's rows the least by ``order`` (``ts`` if not given), of micro-batches the first.
+
+    An id is forgotten once the watermark has passed its last row by ``idle``. Start it within ``state_store``.
+    """
+    rows = stream.withColumnRenamed(ts, "ts") if ts != "ts" else stream
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    by = [c if c != ts else "ts" for c in order or [ts]]
+    out = rows.withWatermark("ts", delay).groupBy(id_col).transformWithStateInPandas(_First(_milliseconds(stream, idle), id_col, by), kinds, "Append", "EventTime")
+    return out.withColumnRenamed("ts", ts) if ts != "ts" else out
 
 
 def stream_ingest(stream: DataFrame, reason: Column, ok_path: str, bad_path: str, checkpoint: str) -> Callable:
@@ -72,3 +167,40 @@ def stream_ingest(stream: DataFrame, reason: Column, ok_path: str, bad_path: str
         rows.filter("error IS NOT NULL").write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_reported_ingest(stream: DataFrame, reason: Column, ok_path: str, bad_path: str, report_path: str, checkpoint: str, shapes: dict[str, Column], expected: dict[str, int], id_col: str = "id") -> Callable:
+    """``stream_ingest`` with the run's report written anew after every micro-batch.
+
+    Counts and first shapes are observed while the rows are written, so no row is read for them again. A micro-batch's own line
+    stands in ``lines/batch=k``, the report over all lines so far in ``reports/batch=k``: one row ``after`` (the batch), dataset_size,
+    written, failed, num_failed_batches, failed_batches (batch, failed, the error of the smallest id), first_shapes, expected_shapes.
+    A batch that is run again replaces its rows, line and report by the same ones.
+    """
+    spark = stream.sparkSession
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("error", reason)
+        good, lost = Observation(), Observation()
+        size = F.struct(*[v.cast("long").alias(k) for k, v in shapes.items()])
+        ok = rows.filter("error IS NULL").observe(good, F.count(F.lit(1)).alias("written"), F.min(F.struct(F.col(id_col).alias("id"), size.alias("sizes"))).alias("first"))
+        bad = rows.filter("error IS NOT NULL").observe(lost, F.count(F.lit(1)).alias("failed"), F.min(F.struct(F.col(id_col).alias("id"), "error")).alias("first"))
+        ok.drop("error").write.mode("overwrite").parquet(f"{ok_path}/batch={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
+        w, f = good.get, lost.get
+        line = (batch_id, w["written"], [w["first"]["sizes"][k] for k in shapes] if w["written"] else None, f["failed"], f["first"]["error"] if f["failed"] else None)
+        spark.createDataFrame([line], "batch long, written long, sizes array<long>, failed long, error string").write.mode("overwrite").parquet(f"{report_path}/lines/batch={batch_id}")
+        lines = spark.read.schema("written long, sizes array<long>, failed long, error string, batch long").parquet(f"{report_path}/lines").filter(F.col("batch") <= batch_id)
+        run_summary(lines, list(shapes), expected).withColumn("after", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{report_path}/reports/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_summary(lines: DataFrame, shapes: list[str], expected: dict[str, int]) -> DataFrame:
+    """One row over the lines (batch, written, sizes, failed, error), one a micro-batch."""
+    failed = F.when(F.col("failed") > 0, F.struct("batch", "failed", "error"))
+    sizes = F.min_by("sizes", F.when(F.col("written") > 0, F.col("batch")))
+    out = lines.agg(F.sum("written").alias("written"), F.sum("failed").alias("failed"), F.array_sort(F.collect_list(failed)).alias("failed_batches"), sizes.alias("sizes"))
+    first = F.map_from_arrays(F.array(*map(F.lit, shapes)), "sizes")
+    wanted = F.create_map(*[x for k, v in expected.items() for x in (F.lit(k), F.lit(v).cast("long"))])
+    return out.select((F.col("written") + F.col("failed")).alias("dataset_size"), "written", "failed", F.size("failed_batches").cast("long").alias("num_failed_batches"), "failed_batches", first.alias("first_shapes"), wanted.alias("expected_shapes"))

@@ -342,8 +342,9 @@ def test_streaming_late_rows_and_first_id(spark, tmp_path):
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out = {}
     for name, s in (("means", T.stream_metric_means(stream, "1 minute")), ("ids", T.stream_manifest(stream.select("run", "ts", "id"), "4 hours", "run"))):
-        q = s.writeStream.outputMode("append").format("memory").queryName(name).trigger(availableNow=True).start()
-        q.awaitTermination()
+        with T.state_store(spark):
+            q = s.writeStream.outputMode("append").format("memory").queryName(name).trigger(availableNow=True).start()
+            q.awaitTermination()
         out[name] = spark.table(name).collect()
     # The row of 900 comes after its window has closed; the last windows are still open.
     assert sorted((r.run, r["mean"], r.n) for r in out["means"]) == [("a", 2.0, 2), ("b", 6.0, 2)]
