@@ -125,3 +125,96 @@ def log_mel(df: DataFrame, mode: str, wave: str = "samples", id_col: str = "id")
             yield pd.DataFrame({id_col: b[id_col], "frames": [0 if m is None else len(m) for m in mels], "mel": [None if m is None else list(m) for m in mels]})
 
     return df.select(id_col, F.col(wave)).mapInPandas(run, f"{id_col} {df.schema[id_col].dataType.simpleString()}, frames int, mel array<array<double>>")
+
+
+def cut_wave(df: DataFrame, size: int, id_col: str = "id", wave: str = "samples", carry: list[str] | None = None) -> DataFrame:
+    """id, chunk, samples and the columns ``carry``: a wave in rows of ``size`` samples, the last one shorter."""
+    n = F.ceil(F.size(wave) / F.lit(size)).cast("long")
+    rows = df.filter(F.size(wave) > 0).select(id_col, *(carry or []), wave, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("chunk"))
+    return rows.withColumn(wave, F.slice(wave, (F.col("chunk") * size + 1).cast("int"), F.lit(size)).cast("array<double>"))
+
+
+def with_halo(chunks: DataFrame, size: int, left: int, right: int, id_col: str = "id", wave: str = "samples") -> DataFrame:
+    """Chunk rows with ``before`` and ``after``, the last ``left`` and first ``right`` samples of their neighbours, and ``total``, the recording's length.
+
+    A chunk sends its ends to its neighbours, so a recording is spread over tasks by chunk. All chunks but a
+    recording's last have ``size`` samples, no fewer than a halo.
+    """
+    if size < max(left, right):
+        raise ValueError(f"chunks of {size} samples are shorter than a halo of {max(left, right)}")
+    others = [c for c in chunks.columns if c not in (id_col, "chunk")]
+    nothing = F.lit(None).cast("array<double>")
+    own = chunks.select(id_col, "chunk", F.struct(*others).alias("own"), nothing.alias("before"), nothing.alias("after"))
+    empty = F.lit(None).cast(own.schema["own"].dataType).alias("own")
+    tail = F.slice(wave, F.greatest(F.size(wave) - left + 1, F.lit(1)), F.lit(left)) if left else nothing
+    sent = chunks.select(id_col, (F.col("chunk") + 1).alias("chunk"), empty, tail.alias("before"), nothing.alias("after"))
+    back = chunks.select(id_col, (F.col("chunk") - 1).alias("chunk"), empty, nothing.alias("before"), F.slice(wave, 1, right).alias("after"))
+    any_ = lambda c: F.first(c, ignorenulls=True).alias(c)
+    met = own.unionByName(sent).unionByName(back).groupBy(id_col, "chunk").agg(any_("own"), any_("before"), any_("after")).filter("own IS NOT NULL")
+    totals = chunks.groupBy(id_col).agg(F.sum(F.size(wave)).alias("total"))
+    flat = met.select(id_col, "chunk", "own.*", *[F.coalesce(c, F.array().cast("array<double>")).alias(c) for c in ("before", "after")])
+    return flat.join(totals, id_col)
+
+
+def resample_chunks(chunks: DataFrame, target: int, size: int, id_col: str = "id", rate: str = "sample_rate", wave: str = "samples", rates: tuple[int, ...] = ()) -> DataFrame:
+    """Chunk rows (``cut_wave``) at the target rate: together exactly what ``resample_wave`` makes of the whole recording.
+
+    Every chunk makes the outputs of the filter steps that begin in it, with a halo of the filter's length from its
+    neighbours (overlap-save). ``rates``: the source rates that occur, looked up if not given.
+    """
+    found = rates or tuple(r[0] for r in chunks.select(rate).distinct().collect())  # a few rates
+    reach = max([sum(sinc_kernel(int(r), target)[1:3]) for r in found if r is not None and r != target], default=0)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            new = []
+            for k, own, before, after, r, total in zip(b["chunk"], b[wave], b["before"], b["after"], b[rate], b["total"], strict=True):
+                x = np.asarray(own, float)
+                if r != target:
+                    filters, half, s, t = sinc_kernel(int(r), target)
+                    begin = int(k) * size
+                    first, last = -(-begin // s), -(-(begin + len(x)) // s)  # steps that begin in the chunk
+                    left, right = np.asarray(before, float), np.asarray(after, float)
+                    left = np.concatenate((np.zeros(max(0, half - len(left))), left[max(0, len(left) - half) :]))
+                    padded = np.concatenate((left, x, right[: half + s], np.zeros(max(0, half + s - len(right)))))
+                    at = first * s - begin
+                    frames = np.lib.stride_tricks.sliding_window_view(padded[at:], filters.shape[1])[::s][: last - first] if last > first else np.zeros((0, filters.shape[1]))
+                    x = (frames @ filters.T).ravel()[: max(0, -(-int(total) * t // s) - first * t)]
+                new.append(x)
+            yield b[[c for c in b.columns if c not in ("before", "after", "total")]].assign(**{wave: new, rate: target})
+
+    halo = with_halo(chunks, size, reach, reach, id_col, wave)
+    kinds = ", ".join(f"`{f.name}` {'array<double>' if f.name == wave else 'int' if f.name == rate else f.dataType.simpleString()}" for f in halo.schema if f.name not in ("before", "after", "total"))
+    return halo.mapInPandas(run, kinds)
+
+
+def log_mel_chunks(chunks: DataFrame, mode: str, size: int, wave: str = "samples", id_col: str = "id") -> DataFrame:
+    """id, chunk, first_frame, mel (frames x bands): of each chunk (``cut_wave``) the frames that begin in it, together those of ``log_mel``.
+
+    The recording is reflected at its own ends only. Recordings too short to reflect give no row.
+    """
+    rate, n_fft, bands, hop, top, log = MEL_MODES[mode]
+    pad = (n_fft - hop) // 2
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(n_fft) / n_fft)
+        for b in batches:
+            out: dict[str, list] = {id_col: [], "chunk": [], "first_frame": [], "mel": []}
+            for i, k, own, before, after, total in zip(b[id_col], b["chunk"], b[wave], b["before"], b["after"], b["total"], strict=True):
+                begin, frames = int(k) * size, 1 + (int(total) + 2 * pad - n_fft) // hop
+                first, last = -(-begin // hop), min(frames, -(-(begin + len(own)) // hop))
+                if total <= pad or last <= first:
+                    continue
+                x = np.clip(np.concatenate([np.asarray(v, float) for v in (before, own, after)]), -1, 1)
+                at = begin - len(before)  # place of x in the recording
+                ends = at + len(x) == int(total)
+                x = np.pad(x, (pad if at == 0 else 0, pad if ends else 0), mode="reflect")
+                start = first * hop - pad - at + (pad if at == 0 else 0)
+                spec = np.abs(np.fft.rfft(np.lib.stride_tricks.sliding_window_view(x[start:], n_fft)[::hop][: last - first] * window, axis=1))
+                mel = log(np.maximum(mel_filters(rate, n_fft, bands, top) @ np.sqrt(spec**2 + 1e-9).T, 1e-5)).T
+                for name, v in ((id_col, i), ("chunk", k), ("first_frame", first), ("mel", list(mel))):
+                    out[name].append(v)
+            yield pd.DataFrame(out)
+
+    kind = chunks.schema[id_col].dataType.simpleString()
+    return with_halo(chunks, size, n_fft, n_fft, id_col, wave).mapInPandas(run, f"{id_col} {kind}, chunk long, first_frame long, mel array<array<double>>")

@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import discard, staged
 
 def latent_stats(df: DataFrame, col: str) -> DataFrame:
     """channel, mean, std (unbiased) over all samples and times of an array<array> column; one row a channel."""
@@ -111,41 +114,79 @@ def caption_counts(df: DataFrame, col: str, k: int) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), col).limit(k)
 
 
-def moments(df: DataFrame, col: str, dim: int) -> DataFrame:
-    """i, j, n, sx, sxx of vectors: sums and cross products, added up within each task before the shuffle.
+def _merged(x: tuple, y: tuple) -> tuple:
+    """Count, mean and centred cross products of two parts together."""
+    (n, m, c), (k, q, d) = x, y
+    if not n or not k:
+        return y if not n else x
+    gap = q - m
+    return n + k, m + gap * (k / (n + k)), c + d + np.outer(gap, gap) * (n * k / (n + k))
+
+
+def _to_row(n: int, mean: np.ndarray, c: np.ndarray) -> dict:
+    return {"n": n, "mean": mean.tobytes(), "products": c[np.triu_indices(len(c))].tobytes()}
+
+
+def _from_row(n: int, mean: bytes, products: bytes) -> tuple:
+    m = np.frombuffer(mean)
+    c = np.zeros((len(m), len(m)))
+    at = np.triu_indices(len(m))
+    c[at] = np.frombuffer(products)
+    c.T[at] = c[at]
+    return n, m, c
+
 
-    Row (i, j) holds the sum of x_i x_j, and on i = j the sum of x_i; at most dim x dim rows leave a task.
+_MOMENTS = "part long, n long, mean binary, products binary"
+
+
+def centred_moments(df: DataFrame, col: str, dim: int, fan_in: int = 16) -> tuple:
+    """(n, mean, sums of centred cross products) of vectors of ``dim`` components; others are left out.
+
+    A task gives one row: its count, mean and products around its own mean, as the packed triangle. Rows are merged
+    ``fan_in`` at a time until one is left; means far from zero cancel nothing.
     """
+    schema = pa.schema([("part", pa.int64()), ("n", pa.int64()), ("mean", pa.binary()), ("products", pa.binary())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, s, c = 0, np.zeros(dim), np.zeros((dim, dim))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = (0, np.zeros(dim), np.zeros((dim, dim)))
         for batch in batches:
-            x = np.array([v for v in batch[col] if v is not None and len(v) == dim], float).reshape(-1, dim)
-            n, s, c = n + len(x), s + x.sum(axis=0), c + x.T @ x
-        i, j = np.meshgrid(range(dim), range(dim), indexing="ij")
-        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "n": n, "sx": np.where(i == j, s[:, None], 0).ravel(), "sxx": c.ravel()})
+            x = np.array([v for v in batch.column(0).to_pylist() if v is not None and len(v) == dim], float).reshape(-1, dim)
+            if len(x):
+                mean = x.mean(axis=0)
+                total = _merged(total, (len(x), mean, (x - mean).T @ (x - mean)))
+        yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), **_to_row(*total)}], schema)
+
+    def merge(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        total = (0, np.zeros(dim), np.zeros((dim, dim)))
+        for r in rows:
+            total = _merged(total, _from_row(r["n"], r["mean"], r["products"]))
+        return pa.Table.from_pylist([{"part": min(r["part"] for r in rows) // fan_in, **_to_row(*total)}], schema)
+
+    parts = staged(df.select(col).mapInArrow(run, _MOMENTS), "moments")
+    while parts.count() > 1:
+        before, parts = parts, staged(parts.groupBy(F.floor(F.col("part") / fan_in)).applyInArrow(merge, _MOMENTS), "moments")
+        discard(before)
+    row = parts.first()
+    discard(parts)
+    return _from_row(row["n"], row["mean"], row["products"]) if row else (0, np.zeros(dim), np.zeros((dim, dim)))
 
-    parts = df.select(col).mapInPandas(run, "i long, j long, n long, sx double, sxx double")
-    return parts.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sxx").alias("sxx"))
 
-
-def _gaussian(m: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    got = m.toPandas()  # dim x dim rows
-    n = max(int(got["n"].max()), 1)
-    mean, cov = np.zeros(dim), np.zeros((dim, dim))
-    for r in got.itertuples():
-        cov[r.i, r.j] = r.sxx
-        if r.i == r.j:
-            mean[r.i] = r.sx / n
-    return mean, (cov - n * np.outer(mean, mean)) / max(n - 1, 1)
+def moments(df: DataFrame, col: str, dim: int) -> DataFrame:
+    """i, j, n, sx, sxx of vectors: row (i, j) holds the sum of x_i x_j, and on i = j the sum of x_i. From ``centred_moments``."""
+    n, mean, c = centred_moments(df, col, dim)
+    i, j = np.meshgrid(range(dim), range(dim), indexing="ij")
+    sums = pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "n": n, "sx": np.where(i == j, n * mean[:, None], 0).ravel(), "sxx": (c + n * np.outer(mean, mean)).ravel()})
+    return df.sparkSession.createDataFrame(sums, "i long, j long, n long, sx double, sxx double")
 
 
 def compare_embeddings(pred: DataFrame, truth: DataFrame, col: str, dim: int) -> dict[str, float]:
     """Set-level scores: the Fréchet distance of the two Gaussians and the distance of the means.
 
-    Only the dim x dim moments reach the driver.
+    Only the moments, of dim x dim size, reach the driver.
     """
-    (m1, c1), (m2, c2) = _gaussian(moments(pred, col, dim), dim), _gaussian(moments(truth, col, dim), dim)
+    (n1, m1, c1), (n2, m2, c2) = centred_moments(pred, col, dim), centred_moments(truth, col, dim)
+    c1, c2 = c1 / max(n1 - 1, 1), c2 / max(n2 - 1, 1)
     w, u = np.linalg.eigh(c1)
     root = (u * np.sqrt(np.maximum(w, 0))) @ u.T
     cross = np.sqrt(np.maximum(np.linalg.eigvalsh(root @ c2 @ root), 0)).sum()

@@ -419,6 +419,15 @@ def a16_compare_embeddings(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(sorted(got.items()), "metric string, value double")
 
 
+@query("""WITH m AS (SELECT vec_id % 2 AS side, avg(embedding[1]::DOUBLE) AS m, stddev_samp(embedding[1]::DOUBLE) AS s FROM embeddings GROUP BY 1)
+          SELECT 'frechet' AS metric, round(pow(a.m - b.m, 2) + pow(a.s - b.s, 2), 9) AS value FROM m a JOIN m b ON a.side = 0 AND b.side = 1 UNION ALL SELECT 'mean_gap', round(abs(a.m - b.m), 9) FROM m a JOIN m b ON a.side = 0 AND b.side = 1""")
+def a16_compare_first(t: Tables) -> DataFrame:
+    """The scores of one component, which have a closed form: far from zero, so that raw sums would cancel."""
+    e = t.embeddings.select("vec_id", F.array(F.element_at("embedding", 1).cast("double") + 1e6).alias("x"))
+    got = Z.compare_embeddings(e.filter("vec_id % 2 = 0"), e.filter("vec_id % 2 = 1"), "x", 1)
+    return t.spark.createDataFrame(sorted(got.items()), "metric string, value double").withColumn("value", F.round("value", 9))
+
+
 @query("SELECT doc_id, row_number() OVER (ORDER BY md5('3|1|' || doc_id), doc_id) - 1 AS pos FROM documents")
 def f3_epoch_order(t: Tables) -> DataFrame:
     return S.epoch_order(t.documents.select("doc_id"), "doc_id", 3, 1)
@@ -463,13 +472,40 @@ def f1_extract_features(t: Tables) -> DataFrame:
     return E.extract_features(t.documents.select(F.col("doc_id").alias("id"), "text"), make, "chars long", 8)
 
 
-@query()
+def _kernel(places: int, outputs: int, which: str) -> str:
+    """The resampling filter in SQL, table f (s, t, j, i, h): sinc times a Kaiser window of 64 zero crossings, its Bessel function as a series."""
+    return f"""k AS (SELECT DISTINCT s, t, j, i, least(s, t) * 0.9475937167399596::DOUBLE AS base FROM v, range({places}) a(j), range({outputs}) b(i) WHERE {which}),
+          w AS (SELECT *, (j / s::DOUBLE - i / t::DOUBLE) * base AS a FROM k WHERE abs((j / s::DOUBLE - i / t::DOUBLE) * base) < 64),
+          f AS (SELECT s, t, j, i, CASE WHEN a = 0 THEN 1.0 ELSE sin(pi() * a) / (pi() * a) END * base / s
+                   * list_sum(list_transform(range(60), lambda m: pow(14.769656459379492::DOUBLE * sqrt(1 - a * a / 4096) / 2, 2 * m) / pow(gamma(m + 1.0::DOUBLE), 2)))
+                   / list_sum(list_transform(range(60), lambda m: pow(14.769656459379492::DOUBLE / 2, 2 * m) / pow(gamma(m + 1.0::DOUBLE), 2))) AS h FROM w)"""
+
+
+@query(f"""WITH v AS (SELECT vec_id, embedding, CASE WHEN label % 2 = 0 THEN 2 ELSE 441 END AS s, CASE WHEN label % 2 = 0 THEN 1 ELSE 160 END AS t FROM embeddings), {_kernel(64, 64, "i < ceil(64 * t / s::DOUBLE)")},
+          y AS (SELECT vec_id, i, sum(embedding[j + 1]::DOUBLE * h) AS y FROM v JOIN f USING (s, t) GROUP BY vec_id, i)
+          SELECT vec_id, 8000::INTEGER AS sample_rate, count(*)::INTEGER AS size, round(max(abs(y)), 4) AS peak FROM y GROUP BY vec_id""")
 def v9_resample_band_limited(t: Tables) -> DataFrame:
-    w = t.embeddings.select("vec_id", F.when(F.col("label") % 2 == 0, 16_000).otherwise(22_050).cast("int").alias("sample_rate"), F.col("embedding").cast(A.DOUBLES).alias("samples"))
-    out = E.resample_band_limited(w, 8_000)
+    out = E.resample_band_limited(_waves(t), 8_000)
     return out.select("vec_id", "sample_rate", F.size("samples").alias("size"), r4(A.peak(F.col("samples"))).alias("peak"))
 
 
+def _waves(t: Tables) -> DataFrame:
+    return t.embeddings.select("vec_id", F.when(F.col("label") % 2 == 0, 16_000).otherwise(22_050).cast("int").alias("sample_rate"), F.col("embedding").cast(A.DOUBLES).alias("samples"))
+
+
+@query(f"""WITH v AS (SELECT 2 AS s, 1 AS t), {_kernel(400, 1, "true")}, h AS (SELECT j AS d, h FROM f UNION ALL SELECT -j, h FROM f WHERE j > 0),
+          z AS (SELECT vec_id, i, embedding[i % 64 + 1]::DOUBLE AS x FROM embeddings, range(2000) r(i) WHERE vec_id % 2 = 0),
+          y AS (SELECT a.vec_id, a.i // 2 AS i, sum(b.x * h) AS y FROM z a JOIN z b ON a.vec_id = b.vec_id AND a.i % 2 = 0 JOIN h ON h.d = b.i - a.i GROUP BY ALL)
+          SELECT vec_id, i // 100 AS piece, count(*) AS n, round(sum(abs(y)), 3) AS total FROM y GROUP BY ALL""")
+def v9_resample_chunks(t: Tables) -> DataFrame:
+    """Recordings of 2,000 samples in rows of 300, resampled with halos."""
+    wave = F.slice(F.flatten(F.array_repeat("embedding", 32)), 1, 2000).cast(A.DOUBLES)
+    long = t.embeddings.filter("vec_id % 2 = 0").select("vec_id", F.lit(16_000).alias("sample_rate"), wave.alias("samples"))
+    out = E.resample_chunks(E.cut_wave(long, 300, "vec_id", carry=["sample_rate"]), 8_000, 300, "vec_id")
+    rows = out.select("vec_id", F.posexplode("samples").alias("j", "y"), (F.col("chunk") * 150).alias("at"))
+    return rows.groupBy("vec_id", F.floor((F.col("at") + F.col("j")) / 100).alias("piece")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.abs("y")), 3).alias("total"))
+
+
 @query()
 def v10_log_mel(t: Tables) -> DataFrame:
     wave = F.flatten(F.array_repeat("embedding", 32)).cast(A.DOUBLES)

@@ -68,6 +68,12 @@ def s6_inventory(t: Tables) -> DataFrame:
     return R.name_parts(t.pages.select("url"), "url")
 
 
+@query(f"SELECT stem, min(url) AS url, count(*) AS files, row_number() OVER (ORDER BY stem) - 1 AS pos FROM (SELECT DISTINCT url, regexp_replace({_STEM}, '\\.[^.]*$', '') AS stem FROM pages) GROUP BY stem")
+def s6_unique_stems(t: Tables) -> DataFrame:
+    """The listing in order, each stem once."""
+    return R.unique_stems(R.name_parts(t.pages.select("url"), "url"), "url")
+
+
 @query("SELECT (page_id % 7)::VARCHAR AS folder, '.txt' AS ext, 1::BIGINT AS files, sum(strlen(html) + 1)::BIGINT AS length FROM pages GROUP BY 1")
 def s6_media_files(t: Tables) -> DataFrame:
     """Files of one kind a folder; other kinds and their bytes don't count."""

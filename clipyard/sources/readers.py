@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name, file_ext, file_stem
+from ..operators.manifest import global_rank
 
 #: First-line cells that mark a header of a loose manifest (fixed values).
 HEADER_WORDS = ("id", "path", "video", "label", "text", "caption")
@@ -63,6 +64,12 @@ def name_parts(files: DataFrame, path: str, exts: list[str] | None = None) -> Da
     return out.dropDuplicates([path])
 
 
+def unique_stems(files: DataFrame, path: str = "path") -> DataFrame:
+    """stem, the least path of that stem, files (how many there are), pos: the listing sorted by stem, each stem once."""
+    once = files.groupBy("stem").agg(F.min(path).alias(path), F.count(F.lit(1)).alias("files"))
+    return global_rank(once, "stem", name="pos")
+
+
 def take_until(rows: DataFrame, group: str, order: str, value: str, limit: float) -> DataFrame:
     """Rows before the first whose value reaches the limit, in order: later smaller values don't come back."""
     w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

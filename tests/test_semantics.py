@@ -305,6 +305,45 @@ def test_resampled_tone_and_mel(spark):
     assert {r.id: r.frames for r in E.log_mel(df, "16k").collect()} == {1: rate // 256, 2: 0}
 
 
+@pytest.mark.parametrize("source,size", [(16_000, 700), (22_050, 1001), (44_100, 3000), (8_000, 50), (11_025, 999)])
+def test_chunked_resampling_is_that_of_the_whole(spark, source, size):
+    rng = np.random.default_rng(source)
+    waves = {"a": rng.normal(size=5 * size + 3), "b": rng.normal(size=size), "c": rng.normal(size=2 * size + 1), "d": rng.normal(size=5)}
+    df = spark.createDataFrame([(k, source, v.tolist(), 7) for k, v in waves.items()] + [("e", source, [], 7), ("f", source, None, 7)], "id string, sample_rate int, samples array<double>, more int")
+    out = E.resample_chunks(E.cut_wave(df, size, carry=["sample_rate", "more"]), 8_000, size).orderBy("id", "chunk").collect()
+    got = {k: np.concatenate([np.array(r.samples) for r in out if r.id == k]) for k in waves}
+    assert {r.id for r in out} == set(waves) and {(r.sample_rate, r.more) for r in out} == {(8_000, 7)}
+    for k, v in waves.items():
+        want = E.resample_wave(v, source, 8_000)
+        assert len(got[k]) == len(want) and np.abs(got[k] - want).max(initial=0) < 1e-9
+
+
+@pytest.mark.parametrize("size", [1024, 1500, 4096])
+def test_chunked_log_mel_is_that_of_the_whole(spark, size):
+    rng = np.random.default_rng(size)
+    waves = {"a": rng.normal(size=9000) / 3, "b": rng.normal(size=4 * size) / 3, "c": rng.normal(size=3 * size + 10) / 3, "d": rng.normal(size=400) / 3, "short": rng.normal(size=300)}
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in waves.items()], "id string, samples array<double>")
+    out = E.log_mel_chunks(E.cut_wave(df, size), "16k", size).orderBy("id", "first_frame").collect()
+    assert {r.id for r in out} == set(waves) - {"short"}
+    for k in set(waves) - {"short"}:
+        got = np.concatenate([np.array(r.mel) for r in out if r.id == k])
+        assert np.abs(got - E.log_mel_frames(waves[k], "16k").T).max() < 1e-9
+
+
+def test_moments_far_from_zero_and_a_second_way_to_the_score(spark):
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(300, 6)) @ rng.normal(size=(6, 6)) + 1e6, rng.normal(size=(200, 6)) * 2 + 1e6 + 1
+    df = lambda v: spark.createDataFrame([(r.tolist(),) for r in v] + [(None,), ([1.0],)], "e array<double>").repartition(40)
+    n, mean, c = Z.centred_moments(df(x), "e", 6, fan_in=3)
+    assert n == 300 and np.abs(mean - x.mean(axis=0)).max() < 1e-8 and np.abs(c / 299 - np.cov(x.T)).max() < 1e-6
+    c1, c2 = np.cov(x.T), np.cov(y.T)
+    root = np.sqrt(np.maximum(np.linalg.eigvals(c1 @ c2).real, 0)).sum()  # the trace of the root of the product
+    want = ((x.mean(axis=0) - y.mean(axis=0)) ** 2).sum() + np.trace(c1) + np.trace(c2) - 2 * root
+    assert abs(Z.compare_embeddings(df(x), df(y), "e", 6)["frechet"] - want) < 1e-4
+    none = df(x).limit(0)
+    assert Z.centred_moments(none, "e", 6)[0] == 0 and Z.moments(none, "e", 2).count() == 4
+
+
 def test_quarantine_of_items(spark):
     def make():
         def encode(b):
