@@ -154,6 +154,25 @@ class Extensions:
         x, y = self.sums
         return (x[i + n] - x[i]) * self.power[j] == (y[j + n] - y[j]) * self.power[i]
 
+    def uncovered(self, least: int, covered: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Runs of ``least`` or more so that every place of a that such a run holds is covered, by them or before: the first stretch of so many tokens with an open place that b has, and so on behind its run."""
+        ends, out = [len(x) - least for x in self.sums], []
+        if min(ends) <= 0:
+            return out
+        top = len(self.power) - 1
+        one, two = ((x[least:] - x[:-least]) * self.power[top - np.arange(e)] for x, e in zip(self.sums, ends, strict=True))
+        open_ = np.concatenate(([0], np.cumsum(~covered)))
+        i = np.flatnonzero(open_[least:][: len(one)] > open_[: len(one)])
+        by = np.argsort(two, kind="stable")
+        held = two[by]
+        at = np.searchsorted(held, one[i])
+        fits = held[np.minimum(at, len(held) - 1)] == one[i]
+        i, j, k = i[fits], by[at[fits]], 0
+        while k < len(i):
+            out.append(self.runs(i[k : k + 1], j[k : k + 1]))
+            k = max(k + 1, int(np.searchsorted(i, out[-1][0][0] + out[-1][2][0] - least + 1)))
+        return out
+
     def runs(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(i, j, size) of the longest equal runs that hold each pair of equal places, without repeats."""
         back, ahead = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
@@ -172,9 +191,9 @@ class Extensions:
 def equal_runs(a: np.ndarray, b: np.ndarray, least: int = 46) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, size): the longest runs of equal tokens of ``a`` from i and ``b`` from j, by i.
 
-    All pairs of a token's places are looked at if they are 64 or fewer. Of a token that is frequent in both, a place of ``a`` meets
-    the places of ``b`` one after another, until a run of ``least`` tokens or more holds it or none can; shorter runs count in
-    the first turn. So a run of ``least`` tokens that no such runs cover is always found.
+    All pairs of a token's places are looked at if they are 64 or fewer; of a token that is frequent in both, its
+    places pair in turn. Each run is as long as it can be on both sides. What runs of ``least`` tokens or more these miss is found by
+    the hashes of all stretches of that length: every place of ``a`` that such a run holds is in one of them.
     """
     order = np.argsort(b, kind="stable")
     by = b[order]
@@ -197,21 +216,14 @@ def equal_runs(a: np.ndarray, b: np.ndarray, least: int = 46) -> tuple[np.ndarra
         first = np.flatnonzero(np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1)))) if len(i) else np.zeros(0, np.int64)
         found = i[first], j[first], np.diff(np.append(first, len(i)))
     else:
-        both, round_, parts, covered = Extensions(a, b), 0, [], np.zeros(len(a) + 1, np.int64)
-        border = np.flatnonzero(np.diff(np.concatenate(([False], n > 0, [False]))))  # of rows of tokens that b has
-        wide = np.repeat(np.diff(border)[::2] >= least, np.diff(border)[::2])
-        roomy = np.zeros(len(a), bool)
-        roomy[n > 0] = wide
-        while len(at) or round_ == 0:
-            more = (at, order[low[at] + (turn[at] + round_) % n[at]])
-            s, s2, size = both.runs(*(np.concatenate((x, y)) for x, y in zip((i, j), more, strict=True)) if round_ == 0 else more)
-            long = size >= least
-            keep = long if round_ else np.ones(len(s), bool)
-            parts.append((s[keep], s2[keep], size[keep]))
-            np.add.at(covered, s[long], 1)
-            np.add.at(covered, s[long] + size[long], -1)
-            round_ += 1
-            at = at[roomy[at] & (np.cumsum(covered)[at] == 0) & (round_ < n[at])]
+        both = Extensions(a, b)
+        at = at[turn[at] < n[at]]
+        parts = [both.runs(np.concatenate((i, at)), np.concatenate((j, order[low[at] + turn[at]])))]
+        long = parts[0][2] >= least
+        cover = np.zeros(len(a) + 1, np.int64)
+        np.add.at(cover, parts[0][0][long], 1)
+        np.add.at(cover, (parts[0][0] + parts[0][2])[long], -1)
+        parts += both.uncovered(least, np.cumsum(cover)[:-1] > 0)
         found = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
         _, first = np.unique(found[0] * (len(b) + 1) + found[1], return_index=True)
         found = tuple(x[first] for x in found)
@@ -289,7 +301,7 @@ def chain_spans(s, e, s2, e2, least: int, percent: int, lack: list[np.ndarray] |
     return zip(left[order].tolist(), right[order].tolist(), strict=True)
 
 
-def unordered_spans(i: np.ndarray, j: np.ndarray, size: np.ndarray, least: int, percent: int) -> Iterator[tuple[int, int, tuple[int, int, int, int]]]:
+def unordered_spans(i: np.ndarray, j: np.ndarray, size: np.ndarray, least: int, percent: int, lack: list[np.ndarray] | None) -> Iterator[tuple[int, int, tuple[int, int, int, int]]]:
     """(first run, last run, span on both sides) of neighbouring runs, by i, that may be similar in whatever order the other side has them, the widest first."""
     e, e2, total = i + size, j + size, np.concatenate(([0], np.cumsum(size)))
     found = []
@@ -302,7 +314,12 @@ def unordered_spans(i: np.ndarray, j: np.ndarray, size: np.ndarray, least: int,
         high2 = np.maximum.accumulate(np.where(later, e2, -1), axis=1)
         wide, wide2 = end - i[rows], high2 - low2
         equal = np.minimum(total[None, 1:] - total[rows], np.minimum(wide, wide2))
-        left, right = np.nonzero(later & (wide >= least) & (wide2 >= least) & (100 * equal >= percent * (wide + wide2 - equal)))
+        may = later & (wide >= least) & (wide2 >= least) & (100 * equal >= percent * (wide + wide2 - equal))
+        left, right = np.nonzero(may)
+        if lack is not None:  # what the other side lacks is in no intersection
+            lacks = lack[0][end[left, right]] - lack[0][i[left + a]] + lack[1][high2[left, right]] - lack[1][low2[left, right]]
+            fine = (100 - percent) * np.minimum(wide[left, right], wide2[left, right]) >= percent * lacks
+            left, right = left[fine], right[fine]
         found.append((wide[left, right], left + a, right, end[left, right], low2[left, right], high2[left, right]))
     wide, left, right, end, low2, high2 = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 6
     for k in np.argsort(-wide, kind="stable").tolist():
@@ -393,16 +410,19 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
     for sides in ((i, j), (j, i)):
         flip = sides[0] is j
         for x in on_b if flip else on_a:
+            mine = rest[(sides[0][rest] < x[1]) & (sides[0][rest] + size[rest] > x[0])] if len(rest) else rest
+            if size[mine].sum() * 100 < percent * least:
+                continue
             for y in on_a if flip else on_b:
-                own = rest[(sides[0][rest] < x[1]) & (sides[0][rest] + size[rest] > x[0]) & (sides[1][rest] < y[1]) & (sides[1][rest] + size[rest] > y[0])]
+                own = mine[(sides[1][mine] < y[1]) & (sides[1][mine] + size[mine] > y[0])]
                 if size[own].sum() * 100 < percent * least:
                     continue
                 own = own[np.argsort(sides[0][own], kind="stable")]
                 held = np.zeros(len(own), bool)
-                for l, r, (s, e, s2, e2) in unordered_spans(sides[0][own], sides[1][own], size[own], least, percent):
+                for l, r, (s, e, s2, e2) in unordered_spans(sides[0][own], sides[1][own], size[own], least, percent, lack if lack is None or not flip else lack[::-1]):
                     if not held[l : r + 1].all() and similar(*((s2, e2, s, e) if flip else (s, e, s2, e2))):
                         held[l : r + 1] = True
-                rest = np.setdiff1d(rest, own[held], assume_unique=True)
+                rest, mine = (np.setdiff1d(z, own[held], assume_unique=True) for z in (rest, mine))
     return [(s + a0, e + a0, s2 + b0, e2 + b0, x) for s, e, s2, e2, x in out]
 
 
