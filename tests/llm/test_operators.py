@@ -708,3 +708,44 @@ def test_decode_odd(spark):
     got = decode(coded.withColumn("ids", F.when(F.col("doc_id") == 1, F.col("ids"))), MODEL)
     assert sorted((r["doc_id"], r["decoded"], r["a.b"]) for r in got.collect()) == [(1, "Hello wave", 1), (2, "", 1), (2, "", 1)]
     assert decode(coded.limit(0), MODEL).count() == 0
+
+
+def test_whole_texts_n_best_are_brute_force(spark):
+    """Ids and scores of the four best segmentations of whole texts, against all of them."""
+    v = lattice.load_pieces(MODEL)
+    texts = ["low tone", "a ab", "x yz é", "bad  cab", ""]
+    rows = {r.doc_id: r for r in encode_n_best(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), MODEL, 4).collect()}
+    for i, t in enumerate(texts):
+        units = text_units(t)
+        every = sorted(((sum(s for s, _ in c), [ids for _, ids in c]) for c in itertools.product(*[segmentations(v, u) for u in units])), key=lambda x: -x[0])
+        got = rows[i]
+        assert np.allclose([x.score for x in got.nbest], [s for s, _ in every[:4]])
+        score_of = {tuple(itertools.chain(*ids)): s for s, ids in every}
+        assert np.isclose(score_of[tuple(got.ids)], every[0][0])
+        best, seen = None, set()
+        for x in got.nbest:  # each is the best with some units changed, and scores what it says
+            if best is None:
+                best = [list(lattice.n_best(v, u, 1)[0][1]) for u in units]
+                assert [p for u in best for p in u] == list(got.ids) and not x.edits
+            parts = [list(u) for u in best]
+            for e in x.edits:
+                parts[e.unit] = list(e.ids)
+            ids = tuple(p for u in parts for p in u)
+            assert np.isclose(score_of[ids], x.score)
+            seen.add(ids)
+        assert len(seen) == len(got.nbest)
+
+
+def test_additive_scores_are_a_plain_loop():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 6))
+    x[:50, 2] = 0
+    y = ((x[:, 0] + x[:, 1] * x[:, 3] + rng.normal(size=900) * 0.3) > 0).astype(float)
+    m = fit_additive(x, y)
+    for row, got in zip(x[:200], m.score(x[:200]), strict=True):
+        z = m.intercept
+        for j, (edges, table) in enumerate(zip(m.edges, m.tables, strict=True)):
+            z += table[sum(e <= row[j] for e in edges)]
+        for (a, b), table in zip(m.pairs, m.pair_tables, strict=True):
+            z += table[sum(e <= row[a] for e in m.pair_edges[a])][sum(e <= row[b] for e in m.pair_edges[b])]
+        assert math.isclose(got, 1 / (1 + math.exp(-max(-30, min(30, z)))), rel_tol=1e-9)
