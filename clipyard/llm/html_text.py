@@ -22,7 +22,7 @@ from .common import gives_back
 #: Fixed values of HTML: elements that begin and end a line of text, those whose text is never shown or never an
 #: article's, those that hold other blocks, and those without an end tag.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre search section summary table tbody tfoot thead tr ul".split())
-HIDDEN = frozenset("applet area audio button canvas datalist embed head iframe input label map math meter noembed noframes noscript object optgroup option output progress rp rt script select style svg template textarea title video".split())
+HIDDEN = frozenset("applet area audio button canvas datalist embed iframe input label map math meter noembed noframes noscript object optgroup option output progress script select style svg template textarea title video".split())
 FURNITURE = frozenset("aside dialog fieldset footer form menu nav search".split())
 HOLDERS = frozenset("article body div main section td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,7 +53,7 @@ class PageLines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.parent, self.kind, self.barred = [-1], ["page"], [False]  # by element; the page itself is element 0
+        self.parent, self.kind, self.barred, self.named = [-1], ["page"], [False], [False]  # by element; the page itself is element 0
         self.stack: list[tuple[str, int]] = [("page", 0)]
         self.open: dict[str, int] = {}
         self.lines: list[tuple[str, int, int, int, bool]] = []
@@ -92,7 +92,8 @@ class PageLines(HTMLParser):
             return
         named = dict(attrs)
         article = tag in ("article", "main") or named.get("role") in ("article", "main")
-        barred = hidden or tag in FURNITURE or (tag not in ("html", "body") and named_furniture(named))
+        plain = hidden or tag in FURNITURE
+        barred = plain or (tag not in ("html", "body") and named_furniture(named))
         if article and not barred:
             # What holds an article isn't furniture, whatever its class or id says.
             for name, at in reversed(self.stack):
@@ -101,11 +102,12 @@ class PageLines(HTMLParser):
                 if name not in FURNITURE and name not in HIDDEN:
                     self.barred[at] = False
         if tag == "header" and not self.sections:
-            barred = True
+            plain = barred = True
         if barred or tag in HOLDERS:
             self.parent.append(self.stack[-1][1])
             self.kind.append("article" if article else tag)
             self.barred.append(barred)
+            self.named.append(barred and not plain)
             self.stack.append((tag, len(self.kind) - 1))
             self.sections += article or tag == "section"
             self.open[tag] = self.open.get(tag, 0) + 1
@@ -171,6 +173,9 @@ def main_text(html: str) -> str:
     page.border()
     barred = _below(page.parent, page.barred)
     lines = [x for x in page.lines if not barred[x[3]]]
+    if not lines:  # names that bar all there is say nothing
+        barred = _below(page.parent, np.array(page.barred) & ~np.array(page.named))
+        lines = [x for x in page.lines if not barred[x[3]]]
     if not lines:
         return ""
     plain, tags = (np.array([x[i] for x in lines], float) for i in (1, 2))

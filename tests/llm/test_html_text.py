@@ -97,6 +97,8 @@ def test_broken_and_empty_pages():
     assert main_text("<article><p>one</p><!-- cut off") == "one"
     assert main_text("<article><div>one<p>two</article></div></b></article><div class=ad>no</div>") == "one\ntwo"
     assert main_text("<div class='page-nav'><article>kept</article><p>not</p></div>") == "kept"
+    assert main_text("<html><head><title>no</title><style>no</style><body><p>one <ruby>two<rt>three</ruby> four") == "one twothree four"
+    assert main_text('<div id="page" class="no-sidebar"><p>only text</p></div><nav>no</nav>') == "only text"
     assert main_text("<article>" + "<p>word</p>" * 20_000 + "</article>").count("\n") == 19_999
 
 
