@@ -23,19 +23,24 @@ SIZE = 200_000
 
 
 def pick_peaks(env: DataFrame, file: str, pos: str, value: str, delta: float, w: int = 3, wide: int = 10) -> DataFrame:
-    """Frames that are the largest within ``w`` frames and at least ``delta`` above the mean within ``wide`` frames."""
-    near = Window.partitionBy(file).orderBy(pos).rowsBetween(-w, w)
-    around = Window.partitionBy(file).orderBy(pos).rowsBetween(-wide, wide)
-    rows = env.withColumn("_top", F.max(value).over(near)).withColumn("_mean", F.avg(value).over(around))
-    return rows.filter((F.col(value) == F.col("_top")) & (F.col(value) >= F.col("_mean") + F.lit(delta))).drop("_top", "_mean")
+    """Frames that are the largest within ``w`` frames and at least ``delta`` above the mean within ``wide`` frames.
+
+    Told by n * value >= sum + n * delta, which is exact for whole numbers and decimals: fractions held as doubles leave a
+    value at the very threshold to rounding. Frames at one place go by value.
+    """
+    line = Window.partitionBy(file).orderBy(pos, value)
+    near, around = line.rowsBetween(-w, w), line.rowsBetween(-wide, wide)
+    rows = env.withColumns({"_top": F.max(value).over(near), "_sum": F.sum(value).over(around), "_n": F.count(value).over(around).cast("int")})
+    high = F.col("_n") * F.col(value) >= F.col("_sum") + F.col("_n") * F.lit(delta)
+    return rows.filter((F.col(value) == F.col("_top")) & high).drop("_top", "_sum", "_n")
 
 
-def keep_apart(peaks: DataFrame, file: str, pos: str, gap: float, size: int = SIZE) -> DataFrame:
+def keep_apart(peaks: DataFrame, file: str, pos: str, gap: float, size: int = SIZE, value: str | None = None) -> DataFrame:
     """Greedy in order: a peak stays if the last kept one is more than ``gap`` before it.
 
     Every peak points to the first one more than ``gap`` later. One that no other stands within ``gap`` before is kept whatever came
     before, and so is what such heads reach. Pointers are doubled until none is left: as many joins as the logarithm of
-    the longest way from a head. Rows without a file or place take no part; of rows that repeat a place one stays.
+    the longest way from a head. Rows without a file or place take no part; of rows that repeat a place the largest by ``value`` and then the other columns stays.
     """
     kind = dict(peaks.dtypes)[pos]
     at = peaks.select(F.col(file).alias("f"), F.col(pos).alias("p")).filter("f IS NOT NULL AND p IS NOT NULL").distinct()
@@ -59,11 +64,13 @@ def keep_apart(peaks: DataFrame, file: str, pos: str, gap: float, size: int = SI
         jump = staged(further, "peak-jumps")
     discard(jump, *old[:-2], *old[-1:], *([nodes] if old else []))
     places = kept.select(F.col("f").alias("_f"), F.col("p").alias("_p"))
-    return peaks.join(places, (F.col(file) == F.col("_f")) & (F.col(pos) == F.col("_p")), "left_semi").dropDuplicates([file, pos])
+    rows = peaks.join(places, (F.col(file) == F.col("_f")) & (F.col(pos) == F.col("_p")), "left_semi")
+    order = F.struct(*([value] if value else []), *[c for c, kind in peaks.dtypes if c != value and not kind.startswith("map")])
+    return rows.groupBy(file, pos).agg(F.max_by(F.struct(*peaks.columns), order).alias("_row")).select("_row.*")
 
 
 def pick_onsets(env: DataFrame, file: str, pos: str, value: str, delta: float, w: int = 3, wide: int = 10, gap: float = 3) -> DataFrame:
-    return keep_apart(pick_peaks(env, file, pos, value, delta, w, wide), file, pos, gap)
+    return keep_apart(pick_peaks(env, file, pos, value, delta, w, wide), file, pos, gap, value=value)
 
 
 def onset_confidence(wave: Column, onset: Column, half: int = 1102) -> Column:

@@ -528,20 +528,25 @@ def j9_onset_candidates(t: Tables) -> DataFrame:
     return pairs.select("file", F.col("pred_event_id").alias("pred_id"), F.col("truth_event_id").alias("truth_id"))
 
 
-_PEAKS = """SELECT user_id, event_id, value FROM (SELECT user_id, event_id, value, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS top,
-            avg(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING) AS mean FROM events) WHERE value = top AND value >= mean + 30"""
+# Values count in whole ten-thousandths: no order of summing changes their sums, so a value at the very threshold is told alike.
+_PEAKS = """SELECT user_id, event_id, value FROM (SELECT *, max(units) OVER (PARTITION BY user_id ORDER BY event_id NULLS FIRST, value NULLS FIRST ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS top, sum(units) OVER around AS total, count(units) OVER around AS n
+            FROM (SELECT user_id, event_id, value, round(value * 10000) AS units FROM events) WINDOW around AS (PARTITION BY user_id ORDER BY event_id NULLS FIRST, value NULLS FIRST ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING)) WHERE units = top AND n * units >= total + n * 300000"""
+
+
+def _envelope(t: Tables) -> DataFrame:
+    return t.events.select("user_id", "event_id", F.round(F.col("value") * 10000).alias("units"), "value")
 
 
 @query(_PEAKS)
 def o1_pick_peaks(t: Tables) -> DataFrame:
-    return O.pick_peaks(t.events.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 30.0)
+    return O.pick_peaks(_envelope(t), "user_id", "event_id", "units", 300_000).drop("units")
 
 
-@query(f"""WITH RECURSIVE p AS ({_PEAKS}), s AS (SELECT user_id, list(event_id ORDER BY event_id) AS open, NULL::BIGINT AS kept FROM p GROUP BY user_id
+@query(f"""WITH RECURSIVE p AS (SELECT user_id, event_id, max(value) AS value FROM ({_PEAKS}) GROUP BY ALL), s AS (SELECT user_id, list(event_id ORDER BY event_id) AS open, NULL::BIGINT AS kept FROM p GROUP BY user_id
             UNION ALL SELECT user_id, list_filter(open, lambda x: x - open[1] > 50), open[1] FROM s WHERE len(open) > 0)
           SELECT p.user_id, p.event_id, p.value FROM s JOIN p ON p.user_id = s.user_id AND p.event_id = s.kept""")
 def o1_pick_onsets(t: Tables) -> DataFrame:
-    return O.pick_onsets(t.events.select("user_id", "event_id", "value"), "user_id", "event_id", "value", 30.0, gap=50)
+    return O.pick_onsets(_envelope(t), "user_id", "event_id", "units", 300_000, gap=50).drop("units")
 
 
 @query("SELECT vec_id, round(list_max(embedding[greatest(vec_id % 64 - 5, 0) + 1 : vec_id % 64 + 5])::DOUBLE, 4) AS conf FROM embeddings")

@@ -2,6 +2,7 @@
 
 import json
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -18,6 +19,8 @@ from clipyard.operators import onsets as O
 from clipyard.operators import runs as U
 from clipyard.operators import sets as S
 from clipyard.operators import stats as Z
+from clipyard.plans import compute  # noqa: F401  it registers its queries
+from clipyard.plans.registry import QUERIES, SQL
 from clipyard.sources import readers as R
 from clipyard.sources import sinks as K
 from clipyard.streaming import streams as T
@@ -293,6 +296,26 @@ def test_peaks_keep_apart(spark):
     assert [r.pos for r in O.pick_onsets(df, "f", "pos", "v", 2.0, 1, 5, 3).orderBy("pos").collect()] == [2, 9]
 
 
+def test_peaks_at_the_threshold_and_at_one_place(spark, tmp_path):
+    """A value of exactly 30 above the mean is a peak whatever the order of summing; of equal places the largest goes on."""
+    rng, rows = np.random.default_rng(3), []
+    for user in range(300):
+        v = np.round(rng.uniform(0, 20, 21), 2)
+        rest = int(round(100 * (v.sum() - v[10])))
+        v[0] = (v[0] * 100 + (-rest) % 20) / 100  # so that the value at the threshold has two decimals
+        v[10] = (int(round(100 * (v.sum() - v[10]))) + 63_000) // 20 / 100
+        rows += [(user, i, float(x)) for i, x in enumerate(np.round(v, 2))]
+    rows += [(900, 5, x) for x in [90.0, *[1.0] * 9, 80.0, 90.0]] + [(901, i, x) for i, x in enumerate([float("nan"), 1.0, 2.0, 90.0, None, float("inf"), 1e300, *[0.0] * 9, 70.0])] + [(902, None, 60.0), (902, None, 1.0), (902, 3, 0.0), (None, 4, 50.0), (None, 1, 0.0), (None, 2, 0.0)]
+    spark.createDataFrame(rows, "user_id long, event_id long, value double").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    for name in ("o1_pick_peaks", "o1_pick_onsets"):
+        got = QUERIES[name](spark, str(tmp_path)).collect()
+        assert {(r.user_id, r.event_id) for r in got if r.user_id is not None and r.user_id < 300} >= {(u, 10) for u in range(300)}
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.execute(SQL[name]).fetchall()))
+        assert [tuple(r) for r in got if r.user_id == 900] == [(900, 5, 90.0)] * (2 if name == "o1_pick_peaks" else 1)
+
+
 def test_resampled_tone_and_mel(spark):
     rate = 16_000
     wave = np.sin(2 * np.pi * 440 * np.arange(rate) / rate)
