@@ -49,6 +49,12 @@ def read_prompt_json(spark: SparkSession, path: str, name: Column | None = None)
     return rows.select((file_stem(F.col("_metadata.file_name")) if name is None else name).alias("name"), "audio_prompt")
 
 
+def packed_prompts(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """What ``read_prompt_json`` gives for documents kept many a file: rows of a document's path and whole text."""
+    prompt = F.from_json(F.col(text), "audio_prompt string")["audio_prompt"]
+    return files.select(file_stem(base_name(F.col(path))).alias("name"), prompt.alias("audio_prompt"))
+
+
 def media_inventory(spark: SparkSession, path: str, exts: list[str] | None = None) -> DataFrame:
     """path, stem, ext, length of the files below a folder; their content is never read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")

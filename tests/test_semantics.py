@@ -19,7 +19,7 @@ from clipyard.operators import onsets as O
 from clipyard.operators import runs as U
 from clipyard.operators import sets as S
 from clipyard.operators import stats as Z
-from clipyard.plans import compute  # noqa: F401  it registers its queries
+from clipyard.plans import compute, ingest  # noqa: F401  they register their queries
 from clipyard.plans.registry import QUERIES, SQL
 from clipyard.sources import readers as R
 from clipyard.sources import sinks as K
@@ -51,6 +51,20 @@ def test_loose_manifest(spark, tmp_path):
         assert lists(R.read_loose_manifest(spark, str(p), "d")) == want
 
 
+def test_packed_prompts_read_like_loose_ones(spark, tmp_path):
+    """Null, spread over lines, broken, with a name of dots: the same from packed documents, and a query writes no file a document."""
+    docs = {"a.json": '{"audio_prompt": "x"}', "b.c.json": '{\n "id": 1,\n "audio_prompt": "y \\"z\\""}', "d.json": '{"id": 2}', "e.json": '{"audio_prompt": null}', "f.json": '{"audio_prompt": '}
+    for name, text in docs.items():
+        (tmp_path / name).write_text(text)
+    loose = R.read_prompt_json(spark, str(tmp_path)).collect()
+    rows = spark.createDataFrame([(f"x/y/{k}", v) for k, v in docs.items()], "path string, text string")
+    key = lambda r: (r[0], r[1] or "")
+    assert sorted(map(tuple, R.packed_prompts(rows).collect()), key=key) == sorted(map(tuple, loose), key=key)
+    spark.createDataFrame([(i, None if i == 7 else f"s {i}") for i in range(300)], "s_suppkey long, s_name string").repartition(2).write.parquet(str(tmp_path / "supplier.parquet"))
+    got = QUERIES["s5_prompt_json"](spark, str(tmp_path))
+    assert len(got.inputFiles()) < 20 and {(r.name, r.audio_prompt) for r in got.collect()} == {(str(i), None if i == 7 else f"s {i}") for i in range(300)}
+
+
 def test_prompt_json_and_inventory(spark, tmp_path):
     for name in ("b.json", "a.json"):
         (tmp_path / name).write_text(json.dumps({"audio_prompt": name[0] * 3}, indent=1))
