@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def stream_metric_means(stream: DataFrame, window: str, delay: str = "10 minutes") -> DataFrame:
@@ -18,7 +19,7 @@ def stream_metric_means(stream: DataFrame, window: str, delay: str = "10 minutes
     return out.select("run", "tag", F.col("window.start").alias("start"), "mean", "n")
 
 
-#: transformWithState keeps its state there.
+#: Keyed state is kept on disk, not on the heap.
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
@@ -35,88 +36,113 @@ def state_store(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-class _Expiring(StatefulProcessor):
-    """State of one kind a key, which goes once no row has come for ``idle_ms`` of event time: its timer is moved with every batch of rows."""
+#: Groups that the keys of a stateful stream are dealt to by hash.
+BUCKETS = 256
 
-    kind = ""
 
-    def __init__(self, idle_ms: int):
-        self.idle_ms = idle_ms
+class _Expiring:
+    """A few numbers of state a key; they go once no row has come for ``idle_ms`` of event time.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", f"{self.kind}, timer long")
+    Keys are dealt to buckets by hash, and a bucket's state is a list of keys with one of each number: what a call and a
+    frame cost is paid a bucket and micro-batch, not a key. A bucket wakes when its first key expires.
+    """
 
-    def rows(self, key: tuple, rows: pd.DataFrame, state: tuple | None) -> tuple[tuple, pd.DataFrame]:
-        """The new state and what comes out, of a key's rows of a micro-batch in any order."""
-        raise NotImplementedError
+    kinds: dict[str, str] = {}
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        *state, timer = self.state.get() if self.state.exists() else (None,)
-        got = pd.concat(list(rows))
-        new, out = self.rows(key, got, tuple(state) if state else None)
-        latest = int(got["ts"].max().timestamp() * 1000) + self.idle_ms
-        if timer is None or latest > timer:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(latest)
-            timer = latest
-        self.state.update((*new, timer))
-        yield out if len(out) else pd.DataFrame()  # an empty column has no kind that suits all
+    def __init__(self, keys: list[str], idle_ms: int):
+        self.keys, self.idle_ms = keys, idle_ms
 
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
-        yield pd.DataFrame()
+    def rows(self, rows: pd.DataFrame, code: np.ndarray, states: list[tuple | None]) -> tuple[list[tuple], pd.DataFrame]:
+        """New states and what comes out, of a bucket's rows of a micro-batch in any order; ``code``: the place of a row's key in ``states``."""
+        raise NotImplementedError
 
-    def close(self) -> None:
-        pass
+    def run(self, key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, now = len(self.keys), state.getCurrentWatermarkMs()
+        held = list(zip(*state.get, strict=True)) if state.exists else []
+        known = {(*h[:n],): h[n:] for h in held}
+        met: dict[tuple, tuple] = {}
+        if not state.hasTimedOut:
+            got = pd.concat(list(parts), ignore_index=True).drop(columns="_bucket")
+            code = got.groupby(self.keys, sort=False, dropna=False).ngroup().to_numpy()
+            heads = got[self.keys].iloc[np.unique(code, return_index=True)[1]].astype(object)
+            names = [tuple(r) for r in heads.where(heads.notna(), None).itertuples(index=False)]
+            old = [known.get(k) for k in names]
+            new, out = self.rows(got, code, [o[:-1] if o else None for o in old])
+            latest = got["ts"].groupby(code).max()
+            for k, s, o, ts in zip(names, new, old, latest, strict=True):
+                timer = int(ts.timestamp() * 1000) + self.idle_ms
+                met[k] = (*s, max(timer, o[-1]) if o else timer)
+            if len(out):
+                yield out
+        live = {k: v for k, v in known.items() if k not in met and v[-1] > now} | met
+        if live:
+            state.update(tuple(map(list, zip(*(k + v for k, v in live.items()), strict=True))))
+            state.setTimeoutTimestamp(max(min(v[-1] for v in live.values()), now + 1))
+        else:
+            state.remove()
+
+    def over(self, rows: DataFrame, out: str, mode: str, buckets: int) -> DataFrame:
+        """``rows`` (with a watermark on ``ts``) through this state."""
+        own = {f.name: f.dataType.simpleString() for f in rows.schema}
+        held = {k: own[k] for k in self.keys} | self.kinds | {"timer": "bigint"}
+        kinds = ", ".join(f"`{k if k in self.keys else '_' + k}` array<{kind}>" for k, kind in held.items())
+        # Null keys stand apart, so that a frame's whole numbers stay whole.
+        empty = sum((F.col(k).isNull().cast("long") * (buckets << i) for i, k in enumerate(self.keys)), F.lit(0))
+        return rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(buckets)) + empty).groupBy("_bucket").applyInPandasWithState(self.run, out, kinds, mode, GroupStateTimeout.EventTimeTimeout)
 
 
 class _Streaks(_Expiring):
-    kind = "streak int"
+    kinds = {"streak": "int"}
 
-    def __init__(self, idle_ms: int, n: int):
-        super().__init__(idle_ms)
+    def __init__(self, keys: list[str], idle_ms: int, n: int):
+        super().__init__(keys, idle_ms)
         self.n = n
 
-    def rows(self, key: tuple, rows: pd.DataFrame, state: tuple | None) -> tuple[tuple, pd.DataFrame]:
-        streak, alerts = state[0] if state else 0, []
-        rows = rows.sort_values("it", kind="stable")
-        for it, bad in zip(rows["it"], rows["bad"], strict=True):
-            streak = streak + 1 if bad else 0
-            if streak == self.n:
-                alerts.append(it)
-        return (int(streak),), pd.DataFrame({"run": [key[0]] * len(alerts), "tag": [key[1]] * len(alerts), "it": alerts})
+    def rows(self, rows: pd.DataFrame, code: np.ndarray, states: list[tuple | None]) -> tuple[list[tuple], pd.DataFrame]:
+        order = np.lexsort((rows["it"].to_numpy(), code))
+        code, bad = code[order], rows["bad"].eq(True).to_numpy(bool)[order]
+        at = np.arange(len(order))
+        first = np.searchsorted(code, np.arange(len(states)))[code]
+        carried = np.array([s[0] if s else 0 for s in states])[code]
+        good = np.maximum.accumulate(np.where(bad, -1, at))  # the last good row up to here
+        streak = np.where(bad, np.where(good >= first, at - good, at - first + 1 + carried), 0)
+        ends = np.searchsorted(code, np.arange(len(states)), side="right") - 1
+        return [(int(s),) for s in streak[ends]], rows.iloc[order[bad & (streak == self.n)]][[*self.keys, "it"]]
 
 
 class _Eta(_Expiring):
-    kind = "last double, ema double, n long"
+    kinds = {"last": "double", "ema": "double", "n": "bigint"}
 
-    def __init__(self, idle_ms: int, alpha: float, total: int, step_size: int):
-        super().__init__(idle_ms)
+    def __init__(self, keys: list[str], idle_ms: int, alpha: float, total: int, step_size: int):
+        super().__init__(keys, idle_ms)
         self.alpha, self.total, self.step_size = alpha, total, step_size
 
-    def rows(self, key: tuple, rows: pd.DataFrame, state: tuple | None) -> tuple[tuple, pd.DataFrame]:
-        last, ema, n = state or (None, 0.0, 0)
-        for t in sorted(rows["seconds"]):
+    def rows(self, rows: pd.DataFrame, code: np.ndarray, states: list[tuple | None]) -> tuple[list[tuple], pd.DataFrame]:
+        times = rows["seconds"].to_numpy(float)
+        order = np.lexsort((times, code))
+        new = [s or (None, 0.0, 0) for s in states]
+        for k, t in zip(code[order].tolist(), times[order].tolist(), strict=True):
+            last, ema, n = new[k]
             if last is not None:
                 x, n = t - last, n + 1
                 ema = x if n <= 2 else self.alpha * ema + (1 - self.alpha) * x
-            last = t
-        out = pd.DataFrame({"run": [key[0]], "updates": [n], "ema": [ema], "remaining": [(self.total - n) * ema / self.step_size]})
-        return (float(last), float(ema), int(n)), out
+            new[k] = (t, ema, n)
+        out = rows[self.keys].iloc[np.unique(code, return_index=True)[1]]
+        n, ema = np.array([s[2] for s in new]), np.array([s[1] for s in new])
+        return new, out.assign(updates=n, ema=ema, remaining=(self.total - n) * ema / self.step_size)
 
 
 class _First(_Expiring):
-    kind = "seen boolean"
+    kinds = {"seen": "boolean"}
 
-    def __init__(self, idle_ms: int, id_col: str, order: list[str]):
-        super().__init__(idle_ms)
-        self.id_col, self.order = id_col, order
+    def __init__(self, keys: list[str], idle_ms: int, order: list[str]):
+        super().__init__(keys, idle_ms)
+        self.order = order
 
-    def rows(self, key: tuple, rows: pd.DataFrame, state: tuple | None) -> tuple[tuple, pd.DataFrame]:
-        first = rows.sort_values(self.order, kind="stable").head(0 if state else 1)
-        return (True,), first
+    def rows(self, rows: pd.DataFrame, code: np.ndarray, states: list[tuple | None]) -> tuple[list[tuple], pd.DataFrame]:
+        places = rows.sort_values(self.order, kind="stable").index.to_numpy()
+        first = places[np.unique(code[places], return_index=True)[1]]
+        return [(True,)] * len(states), rows.iloc[first[[s is None for s in states]]]
 
 
 def _milliseconds(stream: DataFrame, interval: str) -> int:
@@ -124,29 +150,29 @@ def _milliseconds(stream: DataFrame, interval: str) -> int:
     return int(pd.Timedelta(interval).total_seconds() * 1000)
 
 
-def stream_nan_alert(stream: DataFrame, n: int = 10, delay: str = "10 minutes", idle: str = "7 days") -> DataFrame:
+def stream_nan_alert(stream: DataFrame, n: int = 10, delay: str = "10 minutes", idle: str = "7 days", buckets: int = BUCKETS) -> DataFrame:
     """run, tag, it of the rows (run, tag, it, bad, ts) at which a streak of bad values reaches ``n``; a good one resets.
 
     The state is one number a (run, tag); it goes once the watermark has passed its last row by ``idle``, and a streak that
     goes on later starts anew. Later rows than the delay are dropped. Start it within ``state_store``.
     """
     own = dict(stream.dtypes)
-    rows = stream.withWatermark("ts", delay).groupBy("run", "tag")
-    return rows.transformWithStateInPandas(_Streaks(_milliseconds(stream, idle), n), f"run {own['run']}, tag {own['tag']}, it long", "Append", "EventTime")
+    rows = stream.select("run", "tag", "it", "bad", "ts").withWatermark("ts", delay)
+    return _Streaks(["run", "tag"], _milliseconds(stream, idle), n).over(rows, f"run {own['run']}, tag {own['tag']}, it long", "append", buckets)
 
 
-def stream_eta(stream: DataFrame, alpha: float = 0.7, total: int = 1000, step_size: int = 1, delay: str = "10 minutes", idle: str = "7 days") -> DataFrame:
+def stream_eta(stream: DataFrame, alpha: float = 0.7, total: int = 1000, step_size: int = 1, delay: str = "10 minutes", idle: str = "7 days", buckets: int = BUCKETS) -> DataFrame:
     """run, updates, ema, remaining after each micro-batch from rows (run, seconds, ts).
 
     Only the last time, the average and a count are kept for a run, until the watermark has passed its last row by ``idle``; the first
     interval is discarded, the second seeds. Start it within ``state_store``.
     """
     own = dict(stream.dtypes)
-    rows = stream.withWatermark("ts", delay).groupBy("run")
-    return rows.transformWithStateInPandas(_Eta(_milliseconds(stream, idle), alpha, total, step_size), f"run {own['run']}, updates long, ema double, remaining double", "Update", "EventTime")
+    rows = stream.select("run", "seconds", "ts").withWatermark("ts", delay)
+    return _Eta(["run"], _milliseconds(stream, idle), alpha, total, step_size).over(rows, f"run {own['run']}, updates long, ema double, remaining double", "update", buckets)
 
 
-def stream_manifest(stream: DataFrame, delay: str, id_col: str = "id", ts: str = "ts", order: list[str] | None = None, idle: str = "7 days") -> DataFrame:
+def stream_manifest(stream: DataFrame, delay: str, id_col: str = "id", ts: str = "ts", order: list[str] | None = None, idle: str = "7 days", buckets: int = BUCKETS) -> DataFrame:
     """The first row of each id, whole: of a micro-batch's rows the least by ``order`` (``ts`` if not given), of micro-batches the first.
 
     An id is forgotten once the watermark has passed its last row by ``idle``. Start it within ``state_store``.
@@ -154,7 +180,7 @@ def stream_manifest(stream: DataFrame, delay: str, id_col: str = "id", ts: str =
     rows = stream.withColumnRenamed(ts, "ts") if ts != "ts" else stream
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     by = [c if c != ts else "ts" for c in order or [ts]]
-    out = rows.withWatermark("ts", delay).groupBy(id_col).transformWithStateInPandas(_First(_milliseconds(stream, idle), id_col, by), kinds, "Append", "EventTime")
+    out = _First([id_col], _milliseconds(stream, idle), by).over(rows.withWatermark("ts", delay), kinds, "append", buckets)
     return out.withColumnRenamed("ts", ts) if ts != "ts" else out
 
 

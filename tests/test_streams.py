@@ -45,6 +45,30 @@ def test_the_first_row_of_an_id_stays_whole(spark):
     assert sorted((r[1], r[3]) for r in got) == [("a", "first"), ("b", "only"), ("c", None)]
 
 
+def test_keys_share_buckets_and_expire_apart(spark):
+    """Streaks of many keys, some of them null, over three micro-batches and as few groups: as told key by key."""
+    import datetime
+    import random
+
+    rng, at = random.Random(5), lambda h, s: datetime.datetime(2024, 1, 1, tzinfo=datetime.UTC) + datetime.timedelta(hours=h, seconds=s)
+    keys = [(None if k == 0 else k, None if k % 7 == 3 else f"t{k % 3}") for k in range(60)]
+    batches, want, streak = [], [], dict.fromkeys(keys, 0)
+    for b in range(3):
+        rows = [(*k, 100 * b + i, rng.choice([True, True, True, False, None]), at(b, i)) for k in keys if rng.random() < 0.8 for i in range(rng.randrange(1, 12))]
+        for run, tag, it, bad, _ in rows:
+            streak[run, tag] = streak[run, tag] + 1 if bad else 0
+            want += [(run, tag, it)] if streak[run, tag] == 3 else []
+        batches.append(rng.sample(rows, len(rows)))
+    schema = "run int, tag string, it long, bad boolean, ts timestamp"
+    for buckets in (1, 5):
+        got = drained(spark, batches, schema, lambda s, buckets=buckets: T.stream_nan_alert(s, 3, "1 minute", "9 days", buckets), "append")
+        assert sorted(map(str, (r[1:] for r in got))) == sorted(map(str, want))
+    # Of two keys in one bucket the idle one goes, the other's streak goes on.
+    batches = [[(1, "x", i, True, at(0, i)) for i in (1, 2)] + [(2, "x", 1, True, at(0, 1))], [(2, "x", 2, True, at(8, 0))], [(3, "x", 1, False, at(9, 0))], [(1, "x", 3, True, at(9, 1)), (2, "x", 3, True, at(9, 1))]]
+    got = drained(spark, batches, schema, lambda s: T.stream_nan_alert(s, 3, "1 minute", "4 hours", 1), "append")
+    assert [r[1:] for r in got] == [(2, "x", 3)]
+
+
 def test_reports_after_each_batch_survive_a_repeat(spark):
     src, out = scratch_path(spark, "stream-in"), scratch_path(spark, "reported")
     schema = "id long, n int"
