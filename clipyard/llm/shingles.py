@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,8 +62,14 @@ def shingle_hashes(hashed: np.ndarray, width: int = 5) -> np.ndarray:
 def shingle_arrays(words: list[list[bytes]], known: WordHashes, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(shingles, their bounds, word hashes, their bounds) of many texts, one after the other; as ``shingle_hashes`` of each."""
     n = np.fromiter(map(len, words), np.int64, len(words))
-    hashed = np.fromiter((known[w] for own in words for w in own), np.uint64, int(n.sum()))
+    hashed = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(words)), np.uint64, int(n.sum()))
     ends = np.concatenate(([0], np.cumsum(n)))
+    return *_shingles(hashed, ends, width), hashed, ends
+
+
+def _shingles(hashed: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, their bounds) of texts whose word hashes lie between ``ends``."""
+    n = np.diff(ends)
     sizes = np.where(n >= width, n - width + 1, (n > 0).astype(np.int64))
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     out = np.zeros(bounds[-1], np.uint64)
@@ -72,7 +79,61 @@ def shingle_arrays(words: list[list[bytes]], known: WordHashes, width: int = 5)
         out = whole[np.minimum(at, len(whole) - 1)]
     for i in np.flatnonzero((n > 0) & (n < width)):
         out[bounds[i]] = shingle_hashes(hashed[ends[i] : ends[i + 1]], width)[0]
-    return out, bounds, hashed, ends
+    return out, bounds
+
+
+class TextShingles:
+    """Shingles of whole Arrow columns of texts, without a Python object a word.
+
+    A word's hash is a polynomial of its bytes' values (64 random bits each; A-Z as a-z), modulo 2^64 and mixed: words that
+    differ in one byte never share it, others by chance.
+    """
+
+    _BASE = 0x9E3779B97F4A7C13  # odd, and 3 modulo 8, so that swapped bytes keep 63 bits
+    SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+
+    def __init__(self, width: int):
+        self.width = width
+        byte = np.arange(256, dtype=np.uint64)
+        byte[65:91] += np.uint64(32)
+        self.value = np.where(self.SPACE, np.uint64(0), mix(byte, 7))
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.power) < n:
+            with np.errstate(over="ignore"):
+                self.power, self.inverse = (np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)))) for x in (self._BASE, pow(self._BASE, -1, 1 << 64)))
+        return self.power, self.inverse
+
+    def parts(self, texts: pa.Array, limit: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first text, end, shingles, their bounds) of texts of about ``limit`` bytes in turn, one text at least; a null is empty."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        if not len(texts):
+            return
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(at, at[a] + limit, side="right")) - 1)
+            yield a, b, *self._of(data[at[a] : at[b]], at[a : b + 1] - at[a])
+            a = b
+
+    def _of(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        space = self.SPACE[data]
+        new = ~space
+        new[1:] &= space[:-1]
+        inner = at[:-1][at[:-1] < len(data)]
+        new[inner] = ~space[inner]
+        starts = np.flatnonzero(new)
+        ends = np.searchsorted(starts, at)
+        if not len(starts):
+            return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
+        power, inverse = self._powers(len(data))
+        with np.errstate(over="ignore"):
+            x = self.value[data]
+            x *= power[: len(data)]
+            hashed = mix(np.add.reduceat(x, starts) * inverse[starts])
+        return _shingles(hashed, ends, self.width)
 
 
 def distinct(h: np.ndarray) -> np.ndarray:
@@ -219,8 +280,26 @@ def repeats(packed: DataFrame, bits: int, name: str, most_bits: int = 1 << 29, m
     return Repeats(bits, log2, {r["bucket"]: np.frombuffer(r["map"], np.uint8) for r in got}, keys, ns)
 
 
-def repeated_shingles(docs: DataFrame, width: int, text: str, name: str, flush: int = 2_000_000) -> Repeats:
-    """Which ``width``-word shingles stand at two places or more, over every text.
+def word_shingles(width: int) -> Callable[[pa.Array], Iterator[np.ndarray]]:
+    """Shingles as ``shingle_arrays`` has them, of a column's texts."""
+    known = WordHashes()
+
+    def run(column: pa.Array) -> Iterator[np.ndarray]:
+        texts = [t or "" for t in column.to_pylist()]
+        for a, b in chunks_by_bytes(texts, 2_000_000):
+            yield shingle_arrays([words_of(t) for t in texts[a:b]], known, width)[0]
+
+    return run
+
+
+def text_shingles(width: int) -> Callable[[pa.Array], Iterator[np.ndarray]]:
+    """Shingles as ``TextShingles`` has them, of a column's texts."""
+    hashes = TextShingles(width)
+    return lambda column: (flat for _, _, flat, _ in hashes.parts(column))
+
+
+def repeated_shingles(docs: DataFrame, width: int, text: str, name: str, flush: int = 2_000_000, hashes: Callable = word_shingles) -> Repeats:
+    """Which ``width``-word shingles, as ``hashes`` has them, stand at two places or more, over every text.
 
     Each task counts before it sends, so a shingle of every text is one value a task and ``flush`` hashes.
     """
@@ -228,11 +307,10 @@ def repeated_shingles(docs: DataFrame, width: int, text: str, name: str, flush:
     bits = bucket_bits(total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, n = WordHashes(), [], 0
+        shingles, held, n = hashes(width), [], 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for a, b in chunks_by_bytes(texts, 2_000_000):
-                held.append(shingle_arrays([words_of(t) for t in texts[a:b]], known, width)[0])
+            for flat in shingles(batch.column(0)):
+                held.append(flat)
                 n += len(held[-1])
                 if n > flush:
                     yield packed_counts(held, bits)

@@ -20,7 +20,6 @@ J = 0.75 is missed with probability 0.005 at most (two functions of six); equal
 
 from __future__ import annotations
 
-import bisect
 import re
 from collections.abc import Iterator
 
@@ -30,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import all_columns, chunks_by_bytes, discard, gives_back, staged
-from .shingles import WordHashes, distinct, mix, repeated_shingles, shingle_arrays, words_of
+from .common import all_columns, discard, gives_back, staged
+from .shingles import TextShingles, mix, repeated_shingles, text_shingles
 
 #: All pairs of a key's windows are candidates up to so many windows.
 FEW = 8
@@ -124,11 +123,9 @@ def _rows(shared, least: int, percent: int, width: int, functions: int):
         return texts.tolist(), [value[bounds[i] : bounds[i + 1]].tobytes() for i in texts], [key[order].view(np.int64), lo.astype(np.int32), hi.astype(np.int32)], np.append(cuts, len(key))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rep, known = shared.value, WordHashes()
+        rep, hashes = shared.value, TextShingles(width)
         for batch in batches:
-            texts = [t or "" for t in batch.column(3).to_pylist()]
-            for a, b in chunks_by_bytes(texts, 2_000_000):
-                flat, bounds, _, _ = shingle_arrays([words_of(t) for t in texts[a:b]], known, width)
+            for a, _, flat, bounds in hashes.parts(batch.column(3)):
                 took, tokens, lists, cuts = some(flat, bounds, rep.seen_twice(flat))
                 if took:
                     where, cut = pa.array([a + i for i in took], pa.int64()), pa.array(cuts.astype(np.int32))
@@ -149,7 +146,7 @@ class Extensions:
         self.sizes = len(a), len(b)
         self.sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(x.astype(np.uint64)) * self.power[: len(x)], dtype=np.uint64))) for x in (a, b)]
 
-    def equal(self, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
+    def equal(self, i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         """Whether a[i:i+n] and b[j:j+n] are alike (by 64 bits)."""
         x, y = self.sums
         return (x[i + n] - x[i]) * self.power[j] == (y[j + n] - y[j]) * self.power[i]
@@ -175,59 +172,77 @@ class Extensions:
 
     def runs(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(i, j, size) of the longest equal runs that hold each pair of equal places, without repeats."""
-        back, ahead = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
-        most = np.minimum(i, j), np.minimum(self.sizes[0] - i, self.sizes[1] - j)
-        for bit in range(max(1, max(self.sizes)).bit_length() - 1, -1, -1):
+        k = len(i)
+        most = np.concatenate((np.minimum(i, j), np.minimum(self.sizes[0] - i, self.sizes[1] - j)))  # back, then ahead
+        x, y, got, back = np.concatenate((i, i)), np.concatenate((j, j)), np.zeros(2 * k, np.int64), np.arange(2 * k) < k
+        for bit in range(int(most.max(initial=0)).bit_length() - 1, -1, -1):
             step = 1 << bit
-            for got, limit, sign in ((back, most[0], -1), (ahead, most[1], 1)):
-                fits = np.flatnonzero(got + step <= limit)
-                start = (i[fits] - got[fits] - step, j[fits] - got[fits] - step) if sign < 0 else (i[fits] + got[fits], j[fits] + got[fits])
-                got[fits] += step * self.equal(*start, np.full(len(fits), step))
-        s, s2, n = i - back, j - back, back + ahead
+            fits = np.flatnonzero(got + step <= most)
+            off = np.where(back[fits], -got[fits] - step, got[fits])
+            got[fits] += step * self.equal(x[fits] + off, y[fits] + off, step)
+        s, s2, n = i - got[:k], j - got[:k], got[:k] + got[k:]
         _, first = np.unique(s * (self.sizes[1] + 1) + s2, return_index=True)
         return s[first], s2[first], n[first]
 
 
+_PLACE = (1 << 31) - 1
+
+
+def in_order(v: np.ndarray) -> np.ndarray:
+    """The places of small values, none negative, by value and place: a stable sort."""
+    both = (v.astype(np.int64) << 31) | np.arange(len(v))
+    both.sort()
+    return both & _PLACE
+
+
 def equal_runs(a: np.ndarray, b: np.ndarray, least: int = 46) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, size): the longest runs of equal tokens of ``a`` from i and ``b`` from j, by i.
+    """(i, j, size): the longest runs of equal tokens of ``a`` from i and ``b`` from j, by i; tokens are under 2^32 and none negative.
 
     All pairs of a token's places are looked at if they are 64 or fewer; of a token that is frequent in both, its
-    places pair in turn. Each run is as long as it can be on both sides. What runs of ``least`` tokens or more these miss is found by
-    the hashes of all stretches of that length: every place of ``a`` that such a run holds is in one of them.
+    places pair in turn. Each run is as long as it can be on both sides. What runs of ``least`` tokens or more these miss holds
+    frequent tokens only, and is found by the hashes of all stretches of that length: every place of ``a`` that such a run holds is in one of them.
     """
-    order = np.argsort(b, kind="stable")
+    order = in_order(b)
     by = b[order]
     low, high = np.searchsorted(by, a), np.searchsorted(by, a, side="right")
     n = high - low
-    mine = np.argsort(a, kind="stable")
-    own = a[mine]
+    mine = in_order(a)
+    first = np.flatnonzero(np.concatenate(([True], a[mine[1:]] != a[mine[:-1]]))) if len(a) else mine
+    sizes = np.diff(np.append(first, len(a)))
     turn, times = np.empty(len(a), np.int64), np.empty(len(a), np.int64)
-    begin = np.searchsorted(own, own)
-    turn[mine] = np.arange(len(a)) - begin
-    times[mine] = np.searchsorted(own, own, side="right") - begin
+    turn[mine] = np.arange(len(a)) - np.repeat(first, sizes)
+    times[mine] = np.repeat(sizes, sizes)
     dense = n * times > 64
     few = np.where(dense, 0, n)
     i = np.repeat(np.arange(len(a)), few)
     j = order[np.repeat(low - np.cumsum(few) + few, few) + np.arange(len(i))]
     at = np.flatnonzero(dense)
-    if not len(at):
-        by_diagonal = np.lexsort((i, j - i))
-        i, j = i[by_diagonal], j[by_diagonal]
-        first = np.flatnonzero(np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1)))) if len(i) else np.zeros(0, np.int64)
-        found = i[first], j[first], np.diff(np.append(first, len(i)))
-    else:
-        both = Extensions(a, b)
-        at = at[turn[at] < n[at]]
-        parts = [both.runs(np.concatenate((i, at)), np.concatenate((j, order[low[at] + turn[at]])))]
-        long = parts[0][2] >= least
-        cover = np.zeros(len(a) + 1, np.int64)
-        np.add.at(cover, parts[0][0][long], 1)
-        np.add.at(cover, (parts[0][0] + parts[0][2])[long], -1)
-        parts += both.uncovered(least, np.cumsum(cover)[:-1] > 0)
-        found = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-        _, first = np.unique(found[0] * (len(b) + 1) + found[1], return_index=True)
-        found = tuple(x[first] for x in found)
-    i, j, size = found
+    if len(at):
+        paired = at[turn[at] < n[at]]
+        i, j = np.concatenate((i, paired)), np.concatenate((j, order[low[paired] + turn[paired]]))
+    by_diagonal = ((j - i + len(a)) << 31) | i
+    by_diagonal.sort()
+    i = by_diagonal & _PLACE
+    j = (by_diagonal >> 31) + i - len(a)
+    first = np.flatnonzero(np.concatenate(([True], np.diff(by_diagonal) != 1))) if len(i) else i
+    i, j, size = i[first], j[first], np.diff(np.append(first, len(i)))
+    if len(at):
+        both = None
+        e, e2 = i + size, j + size
+        more = ((i > 0) & (j > 0) & (a[i - 1] == b[j - 1])) | ((e < len(a)) & (e2 < len(b)) & (a[np.minimum(e, len(a) - 1)] == b[np.minimum(e2, len(b) - 1)]))
+        if more.any():
+            both = Extensions(a, b)
+            i, j, size = (np.concatenate((x[~more], y)) for x, y in zip((i, j, size), both.runs(i[more], j[more]), strict=True))
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], dense.view(np.int8), [0]))))
+        if (edge[1::2] - edge[::2] >= least).any():
+            long = size >= least
+            cover = np.zeros(len(a) + 1, np.int64)
+            np.add.at(cover, i[long], 1)
+            np.add.at(cover, (i + size)[long], -1)
+            parts = [(i, j, size), *(both or Extensions(a, b)).uncovered(least, np.cumsum(cover)[:-1] > 0)]
+            i, j, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+            _, first = np.unique(i * (len(b) + 1) + j, return_index=True)
+            i, j, size = i[first], j[first], size[first]
     order = np.lexsort((j, i))
     return i[order], j[order], size[order]
 
@@ -262,17 +277,24 @@ def chains(i: np.ndarray, j: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def within(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of ``a`` are among the sorted ``b``."""
-    return b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
-
-
-def again(a: np.ndarray) -> np.ndarray:
-    """Which places of ``a`` repeat an earlier one."""
-    order = np.argsort(a, kind="stable")
-    out = np.zeros(len(a), bool)
-    out[order[1:]] = a[order[1:]] == a[order[:-1]]
-    return out
+def small_ids(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of ``a``, ids of ``b``, the earlier place of the same id in ``a``, in ``b``, which ids both have): equal tokens have equal ids, each zero its own; negative: no earlier place."""
+    v = np.concatenate((a, b))
+    on = np.flatnonzero(v)
+    both = (v[on].astype(np.int64) << 31) | on
+    both.sort()
+    token, at = both >> 31, both & _PLACE
+    same = token[1:] == token[:-1]
+    ids, earlier = np.empty(len(v), np.int64), np.full(len(v), -1)
+    rank = np.cumsum(np.concatenate(([False], ~same))) if len(on) else on
+    ids[at] = rank
+    zeros = np.flatnonzero(v == 0)
+    ids[zeros] = len(on) + np.arange(len(zeros))
+    earlier[at[1:][same]] = at[:-1][same]
+    shared = np.zeros(len(v), bool)
+    # Of an id's places those in a come first.
+    shared[rank[1:][same & (at[:-1] < len(a)) & (at[1:] >= len(a))]] = True
+    return ids[: len(a)], ids[len(a) :], earlier[: len(a)], earlier[len(a) :] - len(a), shared
 
 
 def chain_spans(s, e, s2, e2, least: int, percent: int, lack: list[np.ndarray] | None) -> Iterator[tuple[int, int]]:
@@ -327,7 +349,7 @@ def unordered_spans(i: np.ndarray, j: np.ndarray, size: np.ndarray, least: int,
 
 
 def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list[tuple[int, int, int, int, float]]:
-    """(start, end, source start, source end, jaccard): spans of ``a`` and ``b`` of ``least`` or more tokens whose sets are similar.
+    """(start, end, source start, source end, jaccard): spans of ``a`` and ``b`` of ``least`` or more tokens whose sets are similar; zeros are tokens that equal nothing.
 
     A span begins and ends with shared tokens. Of the spans along a chain the widest come first, until they hold every run that
     a similar span holds.
@@ -335,34 +357,23 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
     out: list[tuple[int, int, int, int, float]] = []
     if min(len(a), len(b)) < least:
         return out
-    by = np.argsort(b, kind="stable")
-    held = b[by]
-    at = np.minimum(np.searchsorted(held, a), len(b) - 1)
-    in_b = held[at] == a
+    a, b, before_a, before_b, shared = small_ids(a, b)
+    in_b = shared[a]
     where = np.flatnonzero(in_b)
     if 100 * len(where) < percent * least:
         return out
-    own = np.sort(a[where])
-    plain = (own[1:] != own[:-1]).all() and (held[1:] != held[:-1]).all()  # no shared token repeats
-    a0, a1 = int(where[0]), int(where[-1]) + 1
-    if plain:
-        place = by[at[where]]
-        b0, b1 = int(place.min()), int(place.max()) + 1
-    else:
-        at = np.flatnonzero(within(b, own))
-        b0, b1 = int(at[0]), int(at[-1]) + 1
-    a, b, in_b = a[a0:a1], b[b0:b1], in_b[a0:a1]
-    if min(len(a), len(b)) < least:
+    in_a = shared[b]
+    where_b = np.flatnonzero(in_a)
+    (a0, a1), (b0, b1) = ((int(x[0]), int(x[-1]) + 1) for x in (where, where_b))
+    if min(a1 - a0, b1 - b0) < least:
         return out
-    if plain:
-        in_a = np.zeros(len(b), bool)
-        in_a[place - b0] = True
-        again_a = again_b = None
-    else:
-        in_a, again_a, again_b = within(b, own), again(a), again(b)
+    plain = (before_a[where] < 0).all() and (before_b < 0).all()  # no shared token repeats
+    a, b, in_b, in_a, before_a, before_b = a[a0:a1], b[b0:b1], in_b[a0:a1], in_a[b0:b1], before_a[a0:a1] - a0, before_b[b0:b1] - b0
+    again_a, again_b = (None, None) if plain else (before_a >= 0, before_b >= 0)
     on_a, on_b = stretches(in_b, percent, least, again_a), stretches(in_a, percent, least, again_b)
     if not on_a or not on_b:
         return out
+    among = np.zeros(len(shared), bool)
 
     def similar(s: int, e: int, s2: int, e2: int) -> bool:
         if plain:
@@ -370,16 +381,21 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
             both = int(np.count_nonzero((at >= s2) & (at < e2)))
             union = e - s + e2 - s2 - both
         else:
-            x, y = distinct(a[s:e]), distinct(b[s2:e2])
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            union = len(x) + len(y) - both
+            x, y = a[s:e][before_a[s:e] < s], b[s2:e2]
+            among[y] = True
+            both = int(np.count_nonzero(among[x]))
+            among[y] = False
+            union = len(x) + int(np.count_nonzero(before_b[s2:e2] < s2)) - both
         if fine := 100 * both >= percent * union:
             out.append((s, e, s2, e2, both / union))
         return fine
 
     lack = None
     if plain:
-        i, j = where - a0, place - b0
+        i = where - a0
+        partner = np.empty(len(shared), np.int64)
+        partner[b] = np.arange(len(b))
+        j = partner[a[i]]
         partner = np.full(len(a), -1)
         partner[i] = j
         first = np.flatnonzero(np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1))))
@@ -387,35 +403,51 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
     else:
         i, j, size = equal_runs(a, b, least)
         lack = [np.concatenate(([0], np.cumsum(x))) for x in (~in_b & ~again_a, ~in_a & ~again_b)]
+    begins, begins2, sizes = i.tolist(), j.tolist(), size.tolist()
     for path in chains(i, j, size):
+        first, last = int(path[0]), int(path[-1])
+        if min(begins[last] - begins[first], begins2[last] - begins2[first]) + sizes[last] < least:
+            continue
         s, s2, n = i[path], j[path], size[path]
         e, e2 = s + n, s2 + n
-        if e[-1] - s[0] < least or e2[-1] - s2[0] < least or similar(int(s[0]), int(e[-1]), int(s2[0]), int(e2[-1])):
+        if similar(int(s[0]), int(e[-1]), int(s2[0]), int(e2[-1])):
             continue
         held = np.zeros(len(path), bool)
         for l, r in chain_spans(s, e, s2, e2, least, percent, lack):
             if not held[l : r + 1].all() and similar(int(s[l]), int(e[r]), int(s2[l]), int(e2[r])):
                 held[l : r + 1] = True
     # Shared in another order: what the chains left, as sets; first whole stretches, then runs that stand together.
-    for x in [x for x in on_a if not any(y[0] < x[1] and x[0] < y[1] for y in out)]:
-        for y in on_b:
-            s, e = (x[0] + f(np.flatnonzero(in_b[x[0] : x[1]])) for f in (np.min, np.max))
-            s2, e2 = (y[0] + f(np.flatnonzero(in_a[y[0] : y[1]])) for f in (np.min, np.max))
-            if min(e - s, e2 - s2) + 1 >= least:
-                similar(int(s), int(e) + 1, int(s2), int(e2) + 1)
+    def whole(spans: list[tuple[int, int]], shares: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(start, end, distinct tokens, shared distinct ones) of stretches from their first to their last shared token."""
+        ends = [x + np.flatnonzero(shares[x:y])[[0, -1]] for x, y in spans]
+        once = [before[x : y + 1] < x for x, y in ends]
+        return tuple(np.array(z) for z in ([x for x, _ in ends], [y + 1 for _, y in ends], [np.count_nonzero(f) for f in once], [np.count_nonzero(f & shares[x : y + 1]) for f, (x, y) in zip(once, ends, strict=True)]))
+
+    if apart := [x for x in on_a if not any(y[0] < x[1] and x[0] < y[1] for y in out)]:
+        (s, e, n, m), (s2, e2, n2, m2) = whole(apart, in_b, before_a), whole(on_b, in_a, before_b)
+        most = np.minimum(m[:, None], m2[None, :])
+        may = (e - s >= least)[:, None] & (e2 - s2 >= least)[None, :] & (100 * most >= percent * (n[:, None] + n2[None, :] - most))
+        for x, y in zip(*(z.tolist() for z in np.nonzero(may)), strict=True):
+            similar(int(s[x]), int(e[x]), int(s2[y]), int(e2[y]))
     open_ = np.ones(len(a) + 1, bool)
     for s, e, *_ in out:
         open_[s:e] = False
     rest = np.flatnonzero(np.add.reduceat(open_, np.stack((i, i + size), axis=1).ravel())[::2] > 0) if len(i) else np.zeros(0, np.int64)
     for sides in ((i, j), (j, i)):
+        if 100 * size[rest].sum() < percent * least:
+            break
         flip = sides[0] is j
-        for x in on_b if flip else on_a:
-            mine = rest[(sides[0][rest] < x[1]) & (sides[0][rest] + size[rest] > x[0])] if len(rest) else rest
-            if size[mine].sum() * 100 < percent * least:
-                continue
-            for y in on_a if flip else on_b:
-                own = mine[(sides[1][mine] < y[1]) & (sides[1][mine] + size[mine] > y[0])]
-                if size[own].sum() * 100 < percent * least:
+        (from_, to), (from2, to2) = (np.array(z).T for z in ((on_b, on_a) if flip else (on_a, on_b)))
+
+        def enough(mine: np.ndarray, side: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[int]:
+            """Stretches in which runs stand that are long enough together."""
+            return np.flatnonzero(100 * (((side[mine] < end[:, None]) & (side[mine] + size[mine] > begin[:, None])) @ size[mine]) >= percent * least).tolist() if len(mine) else []
+
+        for x in enough(rest, sides[0], from_, to):
+            mine = rest[(sides[0][rest] < to[x]) & (sides[0][rest] + size[rest] > from_[x])]
+            for y in enough(mine, sides[1], from2, to2):
+                own = mine[(sides[1][mine] < to2[y]) & (sides[1][mine] + size[mine] > from2[y])]
+                if size[own].sum() * 100 < percent * least or len(own) == 1:  # a long run alone is held by a chain's span
                     continue
                 own = own[np.argsort(sides[0][own], kind="stable")]
                 held = np.zeros(len(own), bool)
@@ -426,14 +458,6 @@ def joined_spans(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> list
     return [(s + a0, e + a0, s2 + b0, e2 + b0, x) for s, e, s2, e2, x in out]
 
 
-def apart(data: bytes, side: int) -> np.ndarray:
-    """A text's tokens, the zeros as values that equal nothing."""
-    v = np.frombuffer(data, np.uint32).astype(np.int64)
-    zero = np.flatnonzero(v == 0)
-    v[zero] = (side << 40) + zero
-    return v
-
-
 FOUND = "doc_id long, uid long, start int, end int, source_id long, source_start int, source_end int, jaccard double"
 _KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
 
@@ -449,123 +473,205 @@ def _verify(least: int, percent: int, width: int):
             for first in range(0, batch.num_rows, 500):
                 out, part = [], batch.slice(first, 500)
                 for doc, uid, tokens, s_doc, s_tokens in zip(*(part.column(c).to_pylist() for c in ("doc_id", "uid", "tokens", "s_doc", "s_tokens")), strict=True):
-                    for s, e, s2, e2, jaccard in joined_spans(apart(tokens, 1), apart(s_tokens, 2), least, percent):
+                    for s, e, s2, e2, jaccard in joined_spans(np.frombuffer(tokens, np.uint32), np.frombuffer(s_tokens, np.uint32), least, percent):
                         out.append((doc, uid, s, e + width - 1, s_doc, s2, e2 + width - 1, jaccard))
                 yield from _found(out).to_batches()
 
     return gives_back(run)
 
 
+def laid_out(tokens: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(all windows' tokens one after the other, where each begins and the last ends)."""
+    data = tokens.to_pylist()
+    return np.frombuffer(b"".join(data), np.uint32), np.cumsum([0, *(len(x) // 4 for x in data)])
+
+
+def places_of(flat: np.ndarray, bounds: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group and token in one value, window, first and last place, count, index by place) of each window's distinct tokens, by value and window; zeros are none, -1 by place."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    on = np.flatnonzero(flat)
+    value = (group[owner[on]] << 32) | flat[on]
+    by = np.argsort(value, kind="stable")  # windows and places come in turn
+    value, at = value[by], on[by]
+    own = owner[at]
+    first = np.flatnonzero(np.concatenate(([True], (value[1:] != value[:-1]) | (own[1:] != own[:-1])))) if len(at) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(at)))
+    of = np.full(len(flat), -1)
+    of[at] = np.repeat(np.arange(len(first)), count)
+    place = at - bounds[own]
+    return value[first], own[first], place[first], place[first + count - 1], count, of
+
+
 class Windows:
-    """Windows of a block with an inverted index of their tokens' places."""
-
-    def __init__(self, tokens: list[np.ndarray]):
-        self.count = len(tokens)
-        flat, owner = np.concatenate(tokens), np.repeat(np.arange(len(tokens), dtype=np.int32), [len(x) for x in tokens])
-        place = np.concatenate([np.arange(len(x), dtype=np.int32) for x in tokens])
-        on = np.flatnonzero(flat)
-        by = on[np.argsort(flat[on], kind="stable")]
-        flat, owner, place = flat[by], owner[by], place[by]
-        once = np.ones(len(flat), bool)  # of a token that a window repeats, the first place
-        once[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
-        self.twice = np.bincount(owner[~once], minlength=self.count) > 0
-        flat, self.owner, self.place = flat[once], owner[once], place[once]
-        first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1]))) if len(flat) else np.zeros(0, np.int64)
-        self.values, self.first = flat[first], np.append(first, len(flat))
-
-    def covers(self, own: np.ndarray, open_: np.ndarray, before: int, least: int, percent: int, most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(windows before ``before`` that share an open place's token, which places of ``own`` a similar span may hold), some windows at a time.
-
-        A span of ``own`` from s to e and of another from the places of its first to its last token share x tokens:
+    """Windows of many keys, each key's in order, with an inverted index of their tokens' places."""
+
+    def __init__(self, flat: np.ndarray, bounds: np.ndarray, group: np.ndarray):
+        value, self.owner, self.place, self.last, count, _ = places_of(flat, bounds, group)
+        new = np.concatenate(([True], value[1:] != value[:-1])) if len(value) else np.zeros(0, bool)
+        self.value, self.count = value[new], len(group)
+        self.posting = (np.cumsum(new) - 1) * (self.count + 1) + self.owner  # by value and window
+        self.twice = np.bincount(self.owner[count > 1], minlength=len(group)) > 0
+
+    def covers(self, flat: np.ndarray, bounds: np.ndarray, group: np.ndarray, open_: np.ndarray, begin: np.ndarray, before: np.ndarray, least: int, percent: int, most: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(asked window, windows from ``begin`` to ``before`` that share an open place's token, which places of the asked one a similar span may hold), some windows at a time.
+
+        A span of an asked window from s to e and of another from the places of its first to its last token share x tokens:
         similar where (100 + percent) x >= percent (both lengths), so the sum (100 + percent) x - percent (own place + other
         place) has to grow enough between them. That holds for tokens in step that don't repeat; a window with
-        others may also hold what lies in a row of which ``percent`` are its tokens.
+        others may also hold what lies in a row of which ``percent`` are its tokens. On both sides the shared tokens
+        reach over ``least`` places.
         """
-        if not len(self.values) or not before:
+        value, asker, first, last, times, of = places_of(flat, bounds, group)
+        fresh = np.zeros(len(value), bool)
+        fresh[of[open_ & (of >= 0)]] = True
+        if not len(self.value) or not len(value):
             return
-        token, of = np.unique(own, return_inverse=True)
-        found = np.minimum(np.searchsorted(self.values, token), len(self.values) - 1)
-        col = np.flatnonzero((self.values[found] == token) & (token > 0))
-        a, b = self.first[found[col]], self.first[found[col] + 1]
-        fresh, news = np.zeros(len(token), bool), np.zeros(self.count, bool)
-        fresh[of[open_]] = True
-        for k in np.flatnonzero(fresh[col]).tolist():
-            news[self.owner[a[k] : b[k]]] = True
-        if not news[:before].any():
-            return
-        n = b - a
-        post = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
-        who, col = self.owner[post], np.repeat(col, n)
-        use = (who < before) & news[who]
-        who, col, post = who[use], col[use], post[use]
-        shared = np.zeros(self.count, np.int64)
-        shared += np.bincount(who, np.bincount(of, minlength=len(token))[col], self.count).astype(np.int64)
-        enough = np.flatnonzero(100 * shared >= percent * least)
-        at = np.arange(len(own), dtype=np.int32)
+        found = np.minimum(np.searchsorted(self.value, value), len(self.value) - 1)
+        a, b = (np.searchsorted(self.posting, found * (self.count + 1) + x[asker]) for x in (begin, before))
+        b = np.where(self.value[found] == value, b, a)
+        by = np.argsort(asker, kind="stable")  # each window's tokens together
+        met = b > a
+        may = 100 * np.bincount(asker, np.where(met, times, 0), minlength=len(group)) >= percent * least
+        may &= np.bincount(asker[fresh & met], minlength=len(group)) > 0
+        cuts = np.searchsorted(asker[by], np.arange(len(group) + 1))
+        work = np.concatenate(([0], np.cumsum((b - a)[by])))[cuts]
+        work = np.maximum(np.diff(work), before - begin)
+        lengths = np.diff(bounds)
+        local = np.empty(len(value), np.int64)
+        local[by] = np.arange(len(by)) - cuts[asker[by]]
+        repeats = np.bincount(asker[times > 1], minlength=len(group)) > 0
+        turn = np.argsort(lengths, kind="stable")
+        turn = turn[may[turn]]
+        done = 0
+        while done < len(turn):
+            load = np.cumsum(work[turn[done:]])
+            asks = turn[done : done + max(1, int(np.searchsorted(load, most, side="right")))]
+            done += len(asks)
+            # The postings of the tokens of these windows, and their sums by pair of windows.
+            col = by[np.concatenate([np.arange(x, y) for x, y in zip(cuts[asks], cuts[asks + 1], strict=True)])]
+            n = b[col] - a[col]
+            post = np.repeat(a[col] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            col = np.repeat(col, n)
+            sizes = before[asks] - begin[asks]
+            shift = np.zeros(len(group), np.int64)
+            shift[asks] = np.cumsum(sizes) - sizes - begin[asks]
+            pair = self.owner[post] + shift[asker[col]]
+            total = int(sizes.sum())
+            news = np.bincount(pair[fresh[col]], minlength=total) > 0
+            enough = news & (100 * np.bincount(pair, times[col], minlength=total) >= percent * least)
+            use = enough[pair]
+            post, col, pair = post[use], col[use], pair[use]
+            row = np.cumsum(enough) - 1
+            pairs = np.flatnonzero(enough)
+            span = []
+            for x, y in ((first[col], last[col]), (self.place[post], self.last[post])):
+                low, high = np.full(len(pairs), 1 << 40), np.full(len(pairs), -1)
+                np.minimum.at(low, row[pair], x)
+                np.maximum.at(high, row[pair], y)
+                span.append(high - low)
+            fine = np.minimum(*span) >= least - 1
+            use = fine[row[pair]]
+            post, col, pair = post[use], col[use], pair[use]
+            pairs = pairs[fine]
+            row = np.full(total, -1)
+            row[pairs] = np.arange(len(pairs))
+            row = row[pair]
+            by_row = np.argsort(row, kind="stable")
+            row, post, col = row[by_row], post[by_row], col[by_row]
+            ask = np.repeat(asks, sizes)[pairs]
+            who = pairs - shift[ask]
+            k = 0
+            while k < len(pairs):
+                # Rows of as many places as the longest asked window, which is the last.
+                many = max(1, int(np.count_nonzero((np.arange(k, len(pairs)) - k + 1) * lengths[ask[k:]] <= most)))
+                rows = slice(k, k + many)
+                f, t = np.searchsorted(row, (k, k + many))
+                k += many
+                whose = np.unique(ask[rows])
+                of_ask = np.searchsorted(whose, ask[rows])
+                wide = int(lengths[whose].max())
+                inside = np.arange(wide)[None, :] < lengths[whose][:, None]
+                tokens = np.full((len(whose), wide), wide)  # no token: the last column
+                own = of[np.concatenate([np.arange(bounds[x], bounds[x + 1]) for x in whose])]
+                tokens[inside] = np.where(own < 0, wide, local[own])
+                again_ = np.zeros((len(whose), wide), bool)
+                again_[inside] = (own >= 0) & (np.concatenate([np.arange(lengths[x]) for x in whose]) != first[own])
+                place = np.full((len(of_ask), wide + 1), -1, np.int32)
+                place[row[f:t] - rows.start, local[col[f:t]]] = self.place[post[f:t]]
+                good, cover = self._may(np.take_along_axis(place, tokens[of_ask], axis=1), again_[of_ask], repeats[ask[rows]] | self.twice[who[rows]], least, percent)
+                of_ask, some, cover = of_ask[good], who[rows][good], cover[good]
+                edge = np.flatnonzero(np.concatenate(([True], of_ask[1:] != of_ask[:-1], [True]))) if len(of_ask) else of_ask
+                for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    q = int(whose[of_ask[x]])
+                    yield q, some[x:y], cover[x:y, : lengths[q]]
+
+    @staticmethod
+    def _may(place: np.ndarray, again_: np.ndarray, repeats: np.ndarray, least: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which rows, and which of their places, a similar span may hold: ``place`` has the other side's places, or -1."""
+        has, gain, at = place >= 0, 100 + percent, np.arange(place.shape[1], dtype=np.int32)
         lag = at - least + 1  # the last place from which a span may begin
-        again_ = again(own) & (own > 0)
-        repeats = again_.any()
-        row, step, gain = np.full(self.count, -1), max(1, most // len(at)), 100 + percent
-        for k in range(0, len(enough), step):
-            some = enough[k : k + step]
-            row[:] = -1
-            row[some] = np.arange(len(some))
-            mine = row[who] >= 0
-            place = np.full((len(some), len(token)), -1, np.int32)
-            place[row[who[mine]], col[mine]] = self.place[post[mine]]
-            place = place[:, of]
-            has = place >= 0
-            sums = gain * np.cumsum(has, axis=1, dtype=np.int32) - percent * (at[None, :] + place)
-            low = np.minimum.accumulate(np.where(has, sums, np.int32(1 << 30)), axis=1)
-            high = np.where(has, sums, np.int32(-(1 << 30)))
-            least_gain = 2 * percent - gain
-            starts = np.where(lag >= 0, low[:, np.maximum(lag, 0)], np.int32(1 << 30))
-            ends = high - starts >= least_gain
-            good = ends.any(axis=1)
-            cover = np.maximum.accumulate(np.where(ends, high, np.int32(-(1 << 30)))[:, ::-1], axis=1)[:, ::-1] - low >= least_gain
-            last = np.maximum.accumulate(place, axis=1)
-            loose = np.flatnonzero(~good & (repeats | self.twice[some] | (has[:, 1:] & (place[:, 1:] < last[:, :-1])).any(axis=1)))
-            if len(loose):
-                cost = np.where(has[loose], np.int32(100 - percent), np.where(again_, np.int32(0), np.int32(-percent)))
-                total = np.zeros((len(loose), len(at) + 1), np.int32)
-                np.cumsum(cost, axis=1, out=total[:, 1:])
-                cover[loose] = np.maximum.accumulate(total[:, ::-1], axis=1)[:, ::-1][:, 1:] >= np.minimum.accumulate(total, axis=1)[:, :-1]
-                good[loose] = cover[loose].sum(axis=1) >= least
-            yield some[good], cover[good]
+        sums = gain * np.cumsum(has, axis=1, dtype=np.int32) - percent * (at[None, :] + place)
+        low = np.minimum.accumulate(np.where(has, sums, np.int32(1 << 30)), axis=1)
+        high = np.where(has, sums, np.int32(-(1 << 30)))
+        least_gain = 2 * percent - gain
+        starts = np.where(lag >= 0, low[:, np.maximum(lag, 0)], np.int32(1 << 30))
+        ends = high - starts >= least_gain
+        good = ends.any(axis=1)
+        cover = np.maximum.accumulate(np.where(ends, high, np.int32(-(1 << 30)))[:, ::-1], axis=1)[:, ::-1] - low >= least_gain
+        last = np.maximum.accumulate(place, axis=1)
+        loose = np.flatnonzero(~good & (repeats | (has[:, 1:] & (place[:, 1:] < last[:, :-1])).any(axis=1)))
+        if len(loose):
+            cost = np.where(has[loose], np.int32(100 - percent), np.where(again_[loose], np.int32(0), np.int32(-percent)))
+            total = np.zeros((len(loose), len(at) + 1), np.int32)
+            np.cumsum(cost, axis=1, out=total[:, 1:])
+            cover[loose] = np.maximum.accumulate(total[:, ::-1], axis=1)[:, ::-1][:, 1:] >= np.minimum.accumulate(total, axis=1)[:, :-1]
+            good[loose] = cover[loose].sum(axis=1) >= least
+        return good, cover
 
 
 def _hot_windows(least: int, percent: int, width: int):
-    order = lambda doc, uid: (doc is not None, doc or 0, uid)  # noqa: E731  null ids come first
-
-    def of_key(windows: list[tuple], asked: list[tuple]) -> Iterator[tuple]:
-        windows = sorted(windows, key=lambda x: order(x[0], x[1]))
-        index, ranks = Windows([np.frombuffer(x[3], np.uint32) for x in windows]), [order(x[0], x[1]) for x in windows]
-        for doc, uid, lo, tokens, spans in asked:
-            own = np.frombuffer(tokens, np.uint32)
-            open_ = np.ones(len(own), bool)
-            for x in spans or []:
-                open_[max(0, x["start"] - lo) : max(0, x["end"] - width + 1 - lo)] = False
-            for who, cover in index.covers(own, open_, bisect.bisect_left(ranks, order(doc, uid)), least, percent):
-                fresh = np.ones(len(who), bool)
-                while len(who):
-                    gain = np.where(fresh, cover[:, open_].sum(axis=1), 0)
-                    w = int(np.argmax(gain))
-                    if not gain[w]:
-                        break
-                    fresh[w] = False
-                    s_doc, _, s_lo, source = windows[who[w]]
-                    for s, e, s2, e2, jaccard in joined_spans(apart(tokens, 1), apart(source, 2), least, percent):
-                        if open_[s:e].any():
-                            open_[s:e] = False
-                            yield doc, uid, lo + s, lo + e + width - 1, s_doc, s_lo + s2, s_lo + e2 + width - 1, jaccard
+    def ordered(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(held windows in order: keys, then documents, null ids first; where each asked one's key begins there; where its document does; each window's key as a small number)."""
+        both = pa.concat_tables([x.select(["key", "doc_id", "uid", "lo"]) for x in (left, right)])
+        n = left.num_rows
+        doc, uid, lo = (both.column(c).fill_null(0).to_numpy() for c in ("doc_id", "uid", "lo"))
+        _, key = np.unique(both.column("key").to_numpy(), return_inverse=True)
+        held = np.arange(len(key)) < n
+        order = np.lexsort((lo, held, uid, doc, both.column("doc_id").is_valid().to_numpy(), key))
+        before = np.empty(len(key), np.int64)
+        before[order] = np.cumsum(held[order])
+        windows = order[held[order]]
+        return windows, np.searchsorted(key[windows], key[n:]), before[n:], key
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        held: dict[int, list] = {}
-        asked: dict[int, list] = {}
-        for t, into, more in ((left, held, []), (right, asked, ["spans"])):
-            for k, *row in zip(*(t.column(c).to_pylist() for c in ("key", "doc_id", "uid", "lo", "tokens", *more)), strict=True):
-                into.setdefault(k, []).append(tuple(row))
-        return _found([x for k, rows in asked.items() if k in held for x in of_key(held[k], rows)])
+        if not left.num_rows or not right.num_rows:
+            return _found([])
+        windows, begin, before, key = ordered(left, right)
+        held, asked = left.take(pa.array(windows)), right
+        group = key[: left.num_rows][windows], key[left.num_rows :]
+        (flat, bounds), (own, cuts) = laid_out(held.column("tokens")), laid_out(asked.column("tokens"))
+        open_, lows = np.ones(len(own), bool), asked.column("lo").to_pylist()
+        for k, (spans, lo) in enumerate(zip(asked.column("spans").to_pylist(), lows, strict=True)):
+            mine = open_[cuts[k] : cuts[k + 1]]
+            for x in spans or []:
+                mine[max(0, x["start"] - lo) : max(0, x["end"] - width + 1 - lo)] = False
+        (docs, uids), (s_docs, s_lows) = (asked.column(c).to_pylist() for c in ("doc_id", "uid")), (held.column(c).to_pylist() for c in ("doc_id", "lo"))
+        out = []
+        for q, who, cover in Windows(flat, bounds, group[0]).covers(own, cuts, group[1], open_.copy(), begin, before, least, percent):
+            mine, tokens, lo = open_[cuts[q] : cuts[q + 1]], own[cuts[q] : cuts[q + 1]], lows[q]
+            fresh = np.ones(len(who), bool)
+            while len(who):
+                gain = np.where(fresh, cover[:, mine].sum(axis=1), 0)
+                w = int(np.argmax(gain))
+                if not gain[w]:
+                    break
+                fresh[w] = False
+                h = int(who[w])
+                for s, e, s2, e2, jaccard in joined_spans(tokens, flat[bounds[h] : bounds[h + 1]], least, percent):
+                    if mine[s:e].any():
+                        mine[s:e] = False
+                        out.append((docs[q], uids[q], lo + s, lo + e + width - 1, s_docs[h], s_lows[h] + s2, s_lows[h] + e2 + width - 1, jaccard))
+        return _found(out)
 
     return run
 
@@ -598,7 +704,7 @@ def repeated_passages(docs: DataFrame, words: int = 50, percent: int = 75, width
     """
     spark, least = docs.sparkSession, words - width + 1
     four = docs.select(F.col(doc_id).cast("long").alias("doc_id"), document_key(F.col(doc_id), F.col(text)).alias("uid"), F.xxhash64(F.col(text).cast("string")).alias("tid"), F.col(text).cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(repeated_shingles(four, width, "text", "passage-repeats"))
+    shared = spark.sparkContext.broadcast(repeated_shingles(four, width, "text", "passage-repeats", hashes=text_shingles))
     rows = staged(four.mapInArrow(_rows(shared, least, percent, width, functions), ROWS), "passage-rows")
     # Of equal texts the first stands for all: the others are wholly its passage.
     first = rows.groupBy("tid").agg(F.min(F.struct("doc_id", "uid")).alias("f"))

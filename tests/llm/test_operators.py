@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -749,3 +750,66 @@ def test_additive_scores_are_a_plain_loop():
         for (a, b), table in zip(m.pairs, m.pair_tables, strict=True):
             z += table[sum(e <= row[a] for e in m.pair_edges[a])][sum(e <= row[b] for e in m.pair_edges[b])]
         assert math.isclose(got, 1 / (1 + math.exp(-max(-30, min(30, z)))), rel_tol=1e-9)
+
+
+# 8: the work of hot keys, and hashes of whole columns
+
+
+def hot_tables(windows) -> tuple[pa.Table, pa.Table]:
+    """Windows (key, doc_id, tokens, whether open) as the two sides of a hot key's block."""
+    row = lambda k, d, t: {"key": k, "doc_id": d, "uid": d, "lo": 0, "tokens": np.array(t, np.uint32).tobytes()}
+    kinds = [("key", pa.int64()), ("doc_id", pa.int64()), ("uid", pa.int64()), ("lo", pa.int32()), ("tokens", pa.binary())]
+    spans = ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+    return pa.Table.from_pylist([row(k, d, t) for k, d, t, _ in windows], pa.schema(kinds)), pa.Table.from_pylist([row(k, d, t) | {"spans": None} for k, d, t, o in windows if o], pa.schema([*kinds, spans]))
+
+
+def test_hot_windows_that_share_too_short_a_stretch_are_not_verified(monkeypatch):
+    """40 tokens in a row are three quarters of 46 places, but no span from shared to shared token reaches 46."""
+    from clipyard.llm import substring_dedup
+
+    calls, real = [], substring_dedup.joined_spans
+    monkeypatch.setattr(substring_dedup, "joined_spans", lambda *x: calls.append(x) or real(*x))
+    shared, fresh = list(range(1000, 1040)), iter(range(5000, 9000))
+    some = lambda n: [next(fresh) for _ in range(n)]
+    twice = next(fresh)
+    left, right = hot_tables([(8, 1, [twice, *some(9), *shared, *some(9), twice], False)] + [(8, d, some(10) + shared + some(10), True) for d in (2, 3)])
+    assert substring_dedup._hot_windows(46, 75, 5)((), left, right).num_rows == 0 and not calls
+    long = list(range(1000, 1046))
+    left, right = hot_tables([(8, d, some(10) + long + some(10), d > 1) for d in (1, 2)])
+    assert substring_dedup._hot_windows(46, 75, 5)((), left, right).num_rows == 1 and len(calls) == 1
+
+
+def test_hot_windows_of_many_keys_together_are_those_of_each_alone(monkeypatch):
+    from clipyard.llm.substring_dedup import Windows, _hot_windows
+
+    r, windows = random.Random(4), []
+    for key in range(12):
+        base = [r.randrange(1, 10**9) for _ in range(90)]
+        for doc in range(8):
+            own = base[r.randrange(20) : 90 - r.randrange(20)]
+            for _ in range(r.choice([0, 1, 2, 30])):
+                own[r.randrange(len(own))] = r.choice([0, base[0], r.randrange(1, 10**9)])
+            windows.append((key, None if doc == 3 else doc, own[30:] + own[:30] if doc == 5 else own, doc > 0))
+    run = _hot_windows(46, 75, 5)
+    found = lambda rows: sorted((tuple(x.values()) for x in rows), key=str)
+    fix = lambda ws: [t.set_column(2, "uid", pa.array([zlib.crc32(x) for x in t.column("tokens").to_pylist()], pa.int64())) for t in hot_tables(ws)]
+    alone = [x for k in range(12) for x in run((), *fix([w for w in windows if w[0] == k])).to_pylist()]
+    assert found(run((), *fix(windows)).to_pylist()) == found(alone) and len(alone) > 40
+    most = Windows.covers
+    monkeypatch.setattr(Windows, "covers", lambda *x: most(*x, most=300))
+    small = run((), *fix(windows)).to_pylist()
+    assert {(x["uid"], p) for x in small for p in range(x["start"], x["end"])} == {(x["uid"], p) for x in alone for p in range(x["start"], x["end"])}
+
+
+def test_column_shingles_are_those_of_words():
+    """Equal where those of single words are, in the same order, however a column is cut."""
+    from clipyard.llm.shingles import TextShingles
+
+    texts = ["a b c d e f g", "", None, "x y", "A B c D e", " ", "q", "é ü\tß \r\nx", "no space end", "end", " lead a b c d e", "a b c d e "]
+    for column in (pa.array(texts), pa.array(texts).slice(3, 6), pa.array(["", None]), pa.array([], pa.string())):
+        want, bounds, _, _ = shingle_arrays([words_of(t) for t in column.to_pylist()], WordHashes(), 5)
+        for limit in (1, 10, 10**6):
+            parts = list(TextShingles(5).parts(column, limit))
+            assert [n for _, _, _, b in parts for n in np.diff(b).tolist()] == np.diff(bounds).tolist()
+            got = [h for _, _, flat, _ in parts for h in flat.tolist()]
+            assert len(got) == len(want) and len(set(zip(got, want.tolist(), strict=True))) == len(set(got)) == len(set(want.tolist()))
