@@ -166,12 +166,25 @@ class Extensions:
         fits = held[np.minimum(at, len(held) - 1)] == one[i]
         i, j, k = i[fits], by[at[fits]], 0
         while k < len(i):
-            out.append(self.runs(i[k : k + 1], j[k : k + 1]))
-            k = max(k + 1, int(np.searchsorted(i, out[-1][0][0] + out[-1][2][0] - least + 1)))
+            # Runs of 16 places at a time; those behind a run are looked up in their turn.
+            some = slice(k, k + 16)
+            back, ahead = self.reach(i[some], j[some])
+            first = k
+            while k < min(first + 16, len(i)):
+                s, n = i[k] - back[k - first], back[k - first] + ahead[k - first]
+                out.append(tuple(np.array([x]) for x in (s, j[k] - back[k - first], n)))
+                k = max(k + 1, int(np.searchsorted(i, s + n - least + 1)))
         return out
 
     def runs(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(i, j, size) of the longest equal runs that hold each pair of equal places, without repeats."""
+        back, ahead = self.reach(i, j)
+        s, s2, n = i - back, j - back, back + ahead
+        _, first = np.unique(s * (self.sizes[1] + 1) + s2, return_index=True)
+        return s[first], s2[first], n[first]
+
+    def reach(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many tokens are equal before each pair of places, and from it on."""
         k = len(i)
         most = np.concatenate((np.minimum(i, j), np.minimum(self.sizes[0] - i, self.sizes[1] - j)))  # back, then ahead
         x, y, got, back = np.concatenate((i, i)), np.concatenate((j, j)), np.zeros(2 * k, np.int64), np.arange(2 * k) < k
@@ -180,9 +193,7 @@ class Extensions:
             fits = np.flatnonzero(got + step <= most)
             off = np.where(back[fits], -got[fits] - step, got[fits])
             got[fits] += step * self.equal(x[fits] + off, y[fits] + off, step)
-        s, s2, n = i - got[:k], j - got[:k], got[:k] + got[k:]
-        _, first = np.unique(s * (self.sizes[1] + 1) + s2, return_index=True)
-        return s[first], s2[first], n[first]
+        return got[:k], got[k:]
 
 
 _PLACE = (1 << 31) - 1
@@ -540,6 +551,7 @@ class Windows:
         local = np.empty(len(value), np.int64)
         local[by] = np.arange(len(by)) - cuts[asker[by]]
         repeats = np.bincount(asker[times > 1], minlength=len(group)) > 0
+        once, owner = not repeats.any(), self.owner.astype(np.int32)
         turn = np.argsort(lengths, kind="stable")
         turn = turn[may[turn]]
         done = 0
@@ -549,18 +561,19 @@ class Windows:
             done += len(asks)
             # The postings of the tokens of these windows, and their sums by pair of windows.
             col = by[np.concatenate([np.arange(x, y) for x, y in zip(cuts[asks], cuts[asks + 1], strict=True)])]
+            col = col[met[col]]
             n = b[col] - a[col]
-            post = np.repeat(a[col] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            col = np.repeat(col, n)
+            post = (np.repeat(a[col] - np.cumsum(n) + n, n) + np.arange(n.sum())).astype(np.int32)
             sizes = before[asks] - begin[asks]
             shift = np.zeros(len(group), np.int64)
             shift[asks] = np.cumsum(sizes) - sizes - begin[asks]
-            pair = self.owner[post] + shift[asker[col]]
+            pair = owner[post] + np.repeat(shift[asker[col]].astype(np.int32), n)
             total = int(sizes.sum())
-            news = np.bincount(pair[fresh[col]], minlength=total) > 0
-            enough = news & (100 * np.bincount(pair, times[col], minlength=total) >= percent * least)
+            news = np.zeros(total, bool)
+            news[pair[np.repeat(fresh[col], n)]] = True
+            enough = news & (100 * np.bincount(pair, None if once else np.repeat(times[col], n), minlength=total) >= percent * least)
             use = enough[pair]
-            post, col, pair = post[use], col[use], pair[use]
+            post, col, pair = post[use], np.repeat(col, n)[use], pair[use]
             row = np.cumsum(enough) - 1
             pairs = np.flatnonzero(enough)
             span = []
@@ -631,22 +644,29 @@ class Windows:
 
 def _hot_windows(least: int, percent: int, width: int):
     def ordered(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(held windows in order: keys, then documents, null ids first; where each asked one's key begins there; where its document does; each window's key as a small number)."""
+        """(where each asked window's key begins among the held ones in order, where its document does; these held ones: by keys, then documents, null ids first; each window's key as a small number).
+
+        Of held windows of a key with the same tokens the first stands for all: what it doesn't cover, no other does.
+        """
         both = pa.concat_tables([x.select(["key", "doc_id", "uid", "lo"]) for x in (left, right)])
         n = left.num_rows
         doc, uid, lo = (both.column(c).fill_null(0).to_numpy() for c in ("doc_id", "uid", "lo"))
         _, key = np.unique(both.column("key").to_numpy(), return_inverse=True)
         held = np.arange(len(key)) < n
         order = np.lexsort((lo, held, uid, doc, both.column("doc_id").is_valid().to_numpy(), key))
+        tokens, keys, seen = left.column("tokens").to_pylist(), key.tolist(), set()
+        for k in order[held[order]].tolist():
+            held[k] = (own := (keys[k], tokens[k])) not in seen
+            seen.add(own)
         before = np.empty(len(key), np.int64)
         before[order] = np.cumsum(held[order])
         windows = order[held[order]]
-        return windows, np.searchsorted(key[windows], key[n:]), before[n:], key
+        return np.searchsorted(key[windows], key[n:]), before[n:], windows, key
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _found([])
-        windows, begin, before, key = ordered(left, right)
+        begin, before, windows, key = ordered(left, right)
         held, asked = left.take(pa.array(windows)), right
         group = key[: left.num_rows][windows], key[left.num_rows :]
         (flat, bounds), (own, cuts) = laid_out(held.column("tokens")), laid_out(asked.column("tokens"))
@@ -661,7 +681,7 @@ def _hot_windows(least: int, percent: int, width: int):
             mine, tokens, lo = open_[cuts[q] : cuts[q + 1]], own[cuts[q] : cuts[q + 1]], lows[q]
             fresh = np.ones(len(who), bool)
             while len(who):
-                gain = np.where(fresh, cover[:, mine].sum(axis=1), 0)
+                gain = np.where(fresh, np.count_nonzero(cover & mine, axis=1), 0)
                 w = int(np.argmax(gain))
                 if not gain[w]:
                     break
